@@ -161,18 +161,6 @@ def _(spark, sf):
     return A.ai_enrich(view(spark, sf, "v_comm"), "rules", as_of=as_of()).select(*_FLAT)
 
 
-def echo_client():
-    """Stand-in client: answers JSON, plain text or an error, by the length of the prompt."""
-
-    def answer(prompt: str) -> str:
-        kind = len(prompt) % 3
-        if kind == 0:
-            raise RuntimeError("model is busy")
-        return '{"analysis":"seen","sentiment":"positive"}' if kind == 1 else "plain " + prompt
-
-    return answer
-
-
 _ASKED = _PROMPT.format(t="body")
 _ANSWERS = {
     "analysis": f"CASE WHEN length({_ASKED}) % 3 = 1 THEN 'seen' ELSE substr(concat('plain ', {_ASKED}), 1, 200) END",
@@ -200,5 +188,16 @@ _ANSWERS = {
     ),
 )
 def _(spark, sf):
+    def echo_client():
+        # A stand-in that answers JSON, plain text or an error by the length of the prompt.
+        # It is nested so that workers get it by value.
+        def answer(prompt: str) -> str:
+            kind = len(prompt) % 3
+            if kind == 0:
+                raise RuntimeError("model is busy")
+            return '{"analysis":"seen","sentiment":"positive"}' if kind == 1 else "plain " + prompt
+
+        return answer
+
     enriched = A.ai_enrich(view(spark, sf, "v_comm"), "family.other", echo_client, as_of=as_of())
     return enriched.select(*_FLAT)

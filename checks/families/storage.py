@@ -81,17 +81,6 @@ def _(spark, sf):
     return S.read_csv_header(spark, path)
 
 
-def _as_array_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """JSON lines of a partition as the lines of one array, batch by batch."""
-    lead = "["
-    for batch in batches:
-        lines = batch["value"].tolist()
-        if lines:
-            yield pd.DataFrame({"value": [lead + lines[0], *("," + x for x in lines[1:])]})
-            lead = ","
-    yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
-
-
 @query(
     "read_json_array",
     twin(
@@ -101,10 +90,21 @@ def _as_array_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     ),
 )
 def _(spark, sf):
+    def as_array_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # JSON lines of a partition as the lines of one array, batch by batch. Nested so that
+        # workers get it by value.
+        lead = "["
+        for batch in batches:
+            lines = batch["value"].tolist()
+            if lines:
+                yield pd.DataFrame({"value": [lead + lines[0], *("," + x for x in lines[1:])]})
+                lead = ","
+        yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+
     path = fresh_path(spark, "read_json_array")
     nested = nested_sensor(spark, sf)
     lines = nested.select(F.to_json(F.struct("*")).alias("value"))
-    lines.mapInPandas(_as_array_files, "value string").write.text(path)
+    lines.mapInPandas(as_array_files, "value string").write.text(path)
     flat = sensor_transform(S.read_json_array(spark, path, nested.schema))
     return flat.select("id", "temperature_celsius", "temperature_fahrenheit", "humidity_percent", "location_city")
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,5 +48,5 @@ def signed_weights(positive: Mapping[str, float], negative: Mapping[str, float])
 
 
 def contains_any(value: Column, words: Sequence[str]) -> Column:
-    """True when any of the words occurs as a substring."""
-    return value.rlike("|".join(words))
+    """True when any of the words occurs as a substring; plain searches, no regex."""
+    return reduce(or_, [value.contains(w) for w in words])

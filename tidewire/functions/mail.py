@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewire.functions.text import UNICODE_SPACE, strip
+from tidewire.functions.text import SPACE_CLASS, strip
 
 # The headers a raw message is read into.
 HEADERS = (
@@ -16,39 +16,32 @@ HEADERS = (
     "X-FileName",
 )
 
-_EDGE = "[" + UNICODE_SPACE.replace("\n", "") + "]*"
+_EDGE = rf"[{SPACE_CLASS}&&[^\n]]*"
 
 
 def header_block(message: Column) -> Column:
-    """Everything before the first blank line."""
-    return F.substring_index(message, "\n\n", 1)
+    """Everything before the first blank line; NULL for an empty message."""
+    return F.substring_index(F.when(message != "", message), "\n\n", 1)
 
 
-def header_value(block: Column, name: str) -> Column:
-    """Stripped value of the last line whose text before its first colon is ``name``.
+def raw_header(block: Column, name: str) -> Column:
+    """Colon and value of the last line whose text before its first colon is ``name``.
 
-    The colon stays in the captured group, so a present but empty header ('') is told
-    apart from a missing one (NULL).
+    The colon is kept, so a present but empty header (':') is told apart from none ('').
     """
-    line = rf"(?s)^(?:.*\n)?{_EDGE}{re.escape(name)}{_EDGE}(:[^\n]*)"
-    found = F.nullif(F.regexp_extract(block, line, 1), F.lit(""))
-    return strip(F.substr(found, F.lit(2)))
+    line = rf"(?sU)^(?:.*\n)?{_EDGE}{re.escape(name)}{_EDGE}(:[^\n]*)"
+    return F.regexp_extract(block, line, 1)
 
 
-def message_body(message: Column) -> Column:
-    """Stripped text after the first blank line, '' when there is none."""
-    at = F.instr(message, "\n\n")
-    return F.when(at > 0, strip(F.substr(message, at + 2))).otherwise("")
-
+def header_value(raw: Column) -> Column:
+    """Stripped value of a raw header, NULL when the header is missing."""
+    return F.when(raw != "", strip(F.substr(raw, F.lit(2))))
 
-def parsed_message(message: Column) -> Column:
-    """Struct of all headers plus Body; NULL for an empty or NULL message.
 
-    Reading single fields of the struct lets the optimizer drop the other headers.
-    """
-    block = header_block(message)
-    fields = [header_value(block, h).alias(h) for h in HEADERS]
-    return F.when(message != "", F.struct(*fields, message_body(message).alias("Body")))
+def message_body(message: Column) -> Column:
+    """Stripped text after the first blank line, '' without one, NULL for no message."""
+    at = F.instr(message, "\n\n")
+    return F.when(at > 0, strip(F.substr(message, at + 2))).when(message != "", "")
 
 
 def mail_instant(value: Column) -> Column:

@@ -15,7 +15,9 @@ UNICODE_SPACE = (
 NULL_TOKENS = ("", "null", "n/a", "none")
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
-_NON_SPACE_RUN = f"[^{UNICODE_SPACE}]+"
+# The same set as a regex class. Java scans the predefined class far faster than a listed one.
+SPACE_CLASS = r"[\s\x1c-\x1f]"
+_SPACE_RUN = rf"(?U){SPACE_CLASS}+"
 
 
 def strip(value: Column) -> Column:
@@ -29,7 +31,8 @@ def is_blank(value: Column) -> Column:
 
 def word_runs(value: Column) -> Column:
     """Number of white-space separated words, 0 for blank text, NULL for NULL."""
-    return F.regexp_count(value, F.lit(_NON_SPACE_RUN))
+    bare = strip(value)
+    return F.when(bare == "", 0).when(bare.isNotNull(), F.size(F.split(bare, _SPACE_RUN)))
 
 
 def split_parts(value: Column) -> Column:
@@ -76,8 +79,7 @@ def escape_for_log(value: Column, max_length: int = 1000) -> Column:
 
 def plain_words(value: Column) -> Column:
     """Lower-case ASCII words of three letters or more; the gaps of removed words stay."""
-    ascii_only = F.regexp_replace(value, r"[^\w\s]", " ")
-    single_gaps = F.regexp_replace(ascii_only, r"\s+", " ")
+    single_gaps = F.regexp_replace(value, r"\W+", " ")
     return F.lower(F.regexp_replace(single_gaps, r"\b\w{1,2}\b", ""))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.columns import (
@@ -19,58 +21,72 @@ from tidewire.functions.mail import (
     header_value,
     mail_instant,
     message_body,
+    raw_header,
 )
 from tidewire.functions.times import chat_instant, epoch_text_instant
-from tidewire.operators.filters import chat_line_ok, slack_keep, whatsapp_keep
+from tidewire.operators.filters import slack_keep, whatsapp_keep
 from tidewire.schemas import COMMUNICATION_FIELDS
 
 MEDIA_MARK = "<Media omitted>"
 REACTIONS_TYPE = "array<struct<name:string,count:bigint,users:array<string>>>"
 
-# The pieces of an exported chat line.
+# Headers behind the communication fields, and the pieces of an exported
+# chat line.
+EMAIL_FIELDS = {
+    "id": "Message-ID",
+    "timestamp": "Date",
+    "sender": "From",
+    "recipient": "To",
+    "subject": "Subject",
+}
 _CHAT_STAMP = r"\d{1,2}/\d{1,2}/\d{2,4}, \d{1,2}:\d{2} [AP]M"
+_CHAT_MESSAGE = f"{_CHAT_STAMP} - [^:]+: (.+)"
+
+# Raw text that the markup rules and the trim turn into ''.
+_EMPTY_MARKUP = r"^(?: |< +>)*\z"
 
 
-def _with_header_block(df: DataFrame, message: str) -> DataFrame:
-    # A projection of its own, so the block is cut once however many headers are read.
-    return df.select("*", header_block(named(message)).alias("_headers"))
+def _with_raw_headers(df: DataFrame, message: str, names: Sequence[str]) -> DataFrame:
+    """Raw headers as ``_h_<name>``, each found by one search of the header block.
+
+    Block, search and trimming are projections of their own: the optimizer keeps them apart
+    because each result is read several times, and prunes headers nobody reads.
+    """
+    blocked = df.select("*", header_block(named(message)).alias("_block"))
+    found = [raw_header(F.col("_block"), n).alias(f"_h_{n}") for n in names]
+    return blocked.select(*[named(c) for c in df.columns], *found)
 
 
 def parse_email(df: DataFrame, message: str = "message") -> DataFrame:
     """Adds ``parsed``: all known headers and the body; NULL for an empty message."""
-    block = F.col("_headers")
-    fields = [header_value(block, h).alias(h) for h in HEADERS]
+    raw = _with_raw_headers(df, message, HEADERS)
+    fields = [header_value(named(f"_h_{h}")).alias(h) for h in HEADERS]
     parsed = F.struct(*fields, message_body(named(message)).alias("Body"))
-    return (
-        _with_header_block(df, message)
-        .withColumn("parsed", F.when(named(message) != "", parsed))
-        .drop("_headers")
+    return raw.select(
+        *[named(c) for c in df.columns], F.when(named(message) != "", parsed).alias("parsed")
     )
 
 
 def conform_email(df: DataFrame, message: str = "message") -> DataFrame:
     """Raw message text to the ten communication fields; lineage columns are carried."""
-    block, has_text = F.col("_headers"), named(message) != ""
-
-    def header(name: str) -> Column:
-        return F.when(has_text, header_value(block, name))
-
+    raw = _with_raw_headers(df, message, list(EMAIL_FIELDS.values()))
+    values = {k: header_value(named(f"_h_{h}")) for k, h in EMAIL_FIELDS.items()}
+    # The date is read twice by the parser, so its trimmed text gets a step of its own.
+    dated = raw.withColumn("_date", values["timestamp"])
     fields = {
-        "id": header("Message-ID"),
-        "sender": header("From"),
-        "recipient": header("To"),
-        "timestamp": mail_instant(header("Date")),
-        "body": F.when(has_text, message_body(named(message))),
-        "subject": header("Subject"),
+        "id": values["id"],
+        "sender": values["sender"],
+        "recipient": values["recipient"],
+        "timestamp": mail_instant(named("_date")),
+        "body": message_body(named(message)),
+        "subject": values["subject"],
         "channel": F.lit("email"),
         "attachments": F.array().cast("array<string>"),
         "sentiment": typed_null("string"),
         "language": typed_null("string"),
     }
     lineage = [named(c) for c in df.columns if c != message and c not in fields]
-    return _with_header_block(df, message).select(
-        *lineage, *[v.alias(k) for k, v in fields.items()]
-    )
+    return dated.select(*lineage, *[v.alias(k) for k, v in fields.items()])
 
 
 def _unchanged(df: DataFrame) -> DataFrame:
@@ -126,24 +142,31 @@ def slack_fields(df: DataFrame) -> DataFrame:
 
 
 def conform_slack(df: DataFrame) -> DataFrame:
-    """Slack export rows to cleaned, kept messages."""
+    """Slack export rows to cleaned, kept messages.
+
+    The keep conditions are tested on the raw columns, where they are cheap and reach the
+    scan: a filter on the cleaned body would run every markup rule a second time.
+    """
+    fields = slack_fields(df)
+    kept = slack_keep(fields).filter(~named("body").rlike(_EMPTY_MARKUP))
     return (
-        df.transform(slack_fields)
-        .transform(clean_slack_markup)
+        kept.transform(clean_slack_markup)
         .transform(prefix_channel)
-        .transform(slack_keep)
         .withColumn("communication_type", F.lit("slack"))
     )
 
 
 def parse_chat_lines(df: DataFrame, column: str = "value") -> DataFrame:
-    """Exported chat lines to timestamp, sender, message; other lines are dropped."""
+    """Exported chat lines to timestamp, sender, message; other lines are dropped.
+
+    A line with a message part has the other two parts as well, so one search decides.
+    """
     line = named(column)
-    return df.select(
+    return df.filter(line.rlike(_CHAT_MESSAGE)).select(
         F.regexp_extract(line, f"({_CHAT_STAMP})", 1).alias("timestamp"),
         F.regexp_extract(line, f"{_CHAT_STAMP} - ([^:]+):", 1).alias("sender"),
-        F.regexp_extract(line, f"{_CHAT_STAMP} - [^:]+: (.+)", 1).alias("message"),
-    ).transform(chat_line_ok)
+        F.regexp_extract(line, _CHAT_MESSAGE, 1).alias("message"),
+    )
 
 
 def whatsapp_fields(df: DataFrame) -> DataFrame:

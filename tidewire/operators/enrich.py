@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.columns import named, present, text_columns
 from tidewire.functions.lexicon import contains_any
-from tidewire.functions.text import is_blank, strip, word_runs
+from tidewire.functions.text import flag, is_blank, strip, word_runs
 
 # Instruction text, request limits, answer keys with defaults, rule words.
 PROMPT_HEAD = (
@@ -112,57 +112,72 @@ def ai_response_text(df: DataFrame, model_id: str, column: str = "raw_response")
     return df.withColumn("response", F.coalesce(answer, F.lit("")))
 
 
-def parsed_answer(response: Column) -> Column:
-    """Answer struct of a response text.
+def _with_parsed(df: DataFrame, column: str) -> DataFrame:
+    """Adds ``_parsed``, the answer struct of a response text.
 
     A JSON object gives its values, with defaults for keys it lacks (a JSON null stays
     NULL). Anything else gives the start of the text as the analysis.
     """
-    body = strip(response)
+    response = named(column)
     # Inside brackets the whole text must parse; json_object_keys alone ignores a tail.
-    whole = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
-    is_object = F.coalesce(body.startswith("{") & whole, F.lit(False))
-    keys = F.json_object_keys(body)
-    values = F.from_json(body, _ANSWER_DDL)
+    whole = F.json_array_length(F.concat(F.lit("["), response, F.lit("]"))) == 1
+    read = df.select(
+        "*",
+        flag(strip(response).startswith("{") & whole).alias("_is_object"),
+        F.json_object_keys(response).alias("_keys"),
+        F.from_json(response, _ANSWER_DDL).alias("_values"),
+    )
     from_object = _answer(
         {
-            k: F.when(F.array_contains(keys, k), values[k]).otherwise(default)
+            k: F.when(F.array_contains("_keys", k), F.col("_values")[k]).otherwise(default)
             for k, default in ANSWER_DEFAULTS.items()
         }
     )
     start = F.coalesce(F.substring(response, 1, SUMMARY_LENGTH), F.lit(""))
-    return F.when(is_object, from_object).otherwise(
-        _answer({**UNREADABLE_ANSWER, "analysis": start})
+    other = _answer({**UNREADABLE_ANSWER, "analysis": start})
+    return read.select(
+        *[named(c) for c in df.columns],
+        F.when(F.col("_is_object"), from_object).otherwise(other).alias("_parsed"),
     )
 
 
-def rule_answer(text: Column) -> Column:
-    """Deterministic analysis of a text from a few words; the empty answer for NULL or ''."""
-    lowered = F.lower(text)
-    sentiment = (
-        F.when(contains_any(lowered, RULE_POSITIVE), "positive")
-        .when(contains_any(lowered, RULE_NEGATIVE), "negative")
+def _with_ruled(df: DataFrame, text: Column) -> DataFrame:
+    """Adds ``_ruled``, the deterministic analysis of a text from a few words.
+
+    NULL and '' get the empty answer. Tone and word count are read from the text once.
+    """
+    tone = (
+        F.when(contains_any(F.col("_lowered"), RULE_POSITIVE), "positive")
+        .when(contains_any(F.col("_lowered"), RULE_NEGATIVE), "negative")
         .otherwise("neutral")
     )
-    words = word_runs(text).cast("string")
+    facts = df.select("*", text.alias("_ruled_text"), F.lower(text).alias("_lowered")).select(
+        "*", tone.alias("_tone"), word_runs(F.col("_ruled_text")).cast("string").alias("_words")
+    )
     summary = F.concat(
-        F.lit("Mock analysis of "), words, F.lit("-word text with "), sentiment, F.lit(" sentiment")
+        F.lit("Mock analysis of "),
+        F.col("_words"),
+        F.lit("-word text with "),
+        F.col("_tone"),
+        F.lit(" sentiment"),
     )
     judged = _answer(
         {
             "analysis": summary,
             "key_themes": RULE_THEMES,
-            "sentiment": sentiment,
+            "sentiment": F.col("_tone"),
             "entities": RULE_ENTITIES,
             "confidence": RULE_CONFIDENCE,
         }
     )
-    return F.when(text != "", judged).otherwise(_answer(EMPTY_ANSWER))
+    ruled = F.when(F.col("_ruled_text") != "", judged).otherwise(_answer(EMPTY_ANSWER))
+    return facts.select(*[named(c) for c in df.columns], ruled.alias("_ruled"))
 
 
 def ai_rule_analysis(df: DataFrame, column: str | None = None) -> DataFrame:
     """Adds ``ai_analysis`` from the rules alone."""
-    return df.withColumn("ai_analysis", rule_answer(named(column or text_column(df))))
+    ruled = _with_ruled(df, named(column or text_column(df)))
+    return ruled.withColumnRenamed("_ruled", "ai_analysis")
 
 
 def ai_empty(df: DataFrame, column: str | None = None) -> DataFrame:
@@ -174,7 +189,7 @@ def ai_empty(df: DataFrame, column: str | None = None) -> DataFrame:
 
 def ai_parse_response(df: DataFrame, column: str = "response") -> DataFrame:
     """Adds ``ai_analysis`` parsed from response text."""
-    return df.withColumn("ai_analysis", parsed_answer(named(column)))
+    return _with_parsed(df, column).withColumnRenamed("_parsed", "ai_analysis")
 
 
 def model_responses(make_client: Callable[[], Callable[[str], str]]):
@@ -226,14 +241,17 @@ def ai_enrich(
     """
     text = named(column or text_column(df))
     if make_client is None:
-        return flatten_answer(df.withColumn("ai_analysis", rule_answer(text)), model_id, as_of)
-    blank = text.isNull() | is_blank(text)
-    asked = df.withColumn("_prompt", F.when(~blank, prompt_of(text)))
+        return flatten_answer(ai_rule_analysis(df, column), model_id, as_of)
+    asked = df.withColumn(
+        "_prompt", F.when(~is_blank(text), prompt_of(text))  # NULL text gives a NULL prompt
+    )
     answered = asked.withColumn("_response", model_responses(make_client)(named("_prompt")))
+    unanswered = F.when(named("_response").isNull(), text)
+    judged = _with_ruled(_with_parsed(answered, "_response"), unanswered)
     analysis = (
-        F.when(blank, _answer(EMPTY_ANSWER))
-        .when(named("_response").isNull(), rule_answer(text))
-        .otherwise(parsed_answer(named("_response")))
+        F.when(named("_prompt").isNull(), _answer(EMPTY_ANSWER))
+        .when(named("_response").isNull(), named("_ruled"))
+        .otherwise(named("_parsed"))
     )
-    result = answered.withColumn("ai_analysis", analysis).drop("_prompt", "_response")
-    return flatten_answer(result, model_id, as_of)
+    result = judged.withColumn("ai_analysis", analysis)
+    return flatten_answer(result.select(*[named(c) for c in df.columns], "ai_analysis"), model_id, as_of)

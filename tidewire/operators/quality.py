@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,9 @@ PENALTY = 5.0
 MAX_NULL_FRACTION = 0.05
 MIN_QUALITY_SCORE = 0.8
 
-Check = Callable[[DataFrame], tuple[Column, Column]]
+# A check binds to a frame: its pass predicate, and the message given that predicate's value.
+Message = Callable[[Column], Column]
+Check = Callable[[DataFrame], tuple[Column, Message]]
 
 
 class QualityError(ValueError):
@@ -36,7 +38,7 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """A named check. ``check`` binds it to a frame: a pass predicate and a message."""
+    """A named check on a frame; without ``check`` every record passes."""
 
     name: str
     severity: str = "info"
@@ -46,37 +48,39 @@ class Rule:
     check: Check | None = None
 
 
+def _always(message: str) -> Message:
+    return lambda _passed: F.lit(message)
+
+
 def rule_email(field: str = "email") -> Rule:
-    def check(df: DataFrame) -> tuple[Column, Column]:
-        value = named(field)
+    def check(df: DataFrame) -> tuple[Column, Message]:
+        absent = "Email field not found"
         if field not in df.columns:
-            return F.lit(False), F.lit("Email field not found")
+            return F.lit(False), _always(absent)
+        value = named(field)
         if not is_text(field_type(df, field)):
-            wrong = F.lit("Email value must be a string")
-            return F.lit(False), F.when(value.isNull(), "Email field not found").otherwise(wrong)
-        ok = flag(matches_email(value))
-        message = (
-            F.when(value.isNull(), "Email field not found")
-            .when(ok, "Valid email format")
+            wrong = F.when(value.isNull(), absent).otherwise("Email value must be a string")
+            return F.lit(False), lambda _passed: wrong
+        return flag(matches_email(value)), lambda passed: (
+            F.when(value.isNull(), absent)
+            .when(passed, "Valid email format")
             .otherwise("Invalid email format")
         )
-        return ok, message
 
     return Rule("email_format", "error", "validity", field, "Validate email address format", check)
 
 
 def rule_non_empty(field: str) -> Rule:
-    def check(df: DataFrame) -> tuple[Column, Column]:
+    def check(df: DataFrame) -> tuple[Column, Message]:
         if field not in df.columns:
-            return F.lit(False), F.lit("Value cannot be null")
+            return F.lit(False), _always("Value cannot be null")
         value = named(field)
-        empty = is_blank(value) if is_text(field_type(df, field)) else F.lit(False)
-        message = (
+        ok = ~is_blank(value) if is_text(field_type(df, field)) else value.isNotNull()
+        return flag(ok), lambda passed: (
             F.when(value.isNull(), "Value cannot be null")
-            .when(empty, "Value cannot be empty")
-            .otherwise("Value is not empty")
+            .when(passed, "Value is not empty")
+            .otherwise("Value cannot be empty")
         )
-        return value.isNotNull() & ~flag(empty), message
 
     return Rule(
         "non_empty", "warning", "completeness", field, "Validate that value is not empty", check
@@ -84,16 +88,15 @@ def rule_non_empty(field: str) -> Rule:
 
 
 def rule_positive(field: str) -> Rule:
-    def check(df: DataFrame) -> tuple[Column, Column]:
+    def check(df: DataFrame) -> tuple[Column, Message]:
         if field not in df.columns or not is_number(field_type(df, field)):
-            return F.lit(False), F.lit("Value must be a number")
+            return F.lit(False), _always("Value must be a number")
         value = named(field)
-        message = (
+        return flag(value > 0), lambda passed: (
             F.when(value.isNull(), "Value must be a number")
-            .when(value <= 0, "Value must be positive")
-            .otherwise("Value is a positive number")
+            .when(passed, "Value is a positive number")
+            .otherwise("Value must be positive")
         )
-        return flag(value > 0), message
 
     return Rule(
         "positive_number", "error", "validity", field, "Validate that number is positive", check
@@ -120,14 +123,12 @@ def custom_rule(
         return Rule(name, severity, dimension, field, description)
     filled = predicate.format(**parameters) if parameters else predicate
 
-    def check(df: DataFrame) -> tuple[Column, Column]:
-        condition = F.expr(filled)
-        message = (
-            F.when(condition.isNull(), "Validation rule execution failed")
-            .when(condition, passed_message)
+    def check(_df: DataFrame) -> tuple[Column, Message]:
+        return F.expr(filled), lambda passed: (
+            F.when(passed.isNull(), "Validation rule execution failed")
+            .when(passed, passed_message)
             .otherwise(failed_message)
         )
-        return condition, message
 
     return Rule(name, severity, dimension, field, description, check)
 
@@ -137,13 +138,12 @@ def passes(df: DataFrame, rule: Rule) -> Column:
     return F.lit(True) if rule.check is None else flag(rule.check(df)[0])
 
 
-def _verdict(df: DataFrame, rule: Rule, record_id: Column) -> dict[str, Column]:
+def _verdict(df: DataFrame, rule: Rule, raw: Column, record_id: Column) -> dict[str, Column]:
     if rule.check is None:
         passed, message = F.lit(True), F.lit("No validation function defined")
         severity, dimension = F.lit("info"), F.lit("validity")
     else:
-        raw, message = rule.check(df)
-        passed, dimension = flag(raw), F.lit(rule.dimension)
+        passed, message, dimension = flag(raw), rule.check(df)[1](raw), F.lit(rule.dimension)
         severity = F.when(raw.isNull(), "error").otherwise(rule.severity)
     return {
         "rule_name": F.lit(rule.name),
@@ -162,10 +162,22 @@ def dq_results(
     record_id: str = "record_id",
     only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per record and rule, from one narrow pass; ``only`` picks rules by name."""
+    """One row per record and rule, from one narrow pass; ``only`` picks rules by name.
+
+    Predicates are a projection below the explode, so each is evaluated once per record.
+    """
     chosen = [r for r in rules if not only or r.name in only]
     key = named(record_id).cast("string") if record_id in df.columns else F.lit(None).cast("string")
-    return report_rows(df, [_verdict(df, r, key) for r in chosen])
+    raw = {f"_p{i}": r.check(df)[0] for i, r in enumerate(chosen) if r.check}
+    tested = df.select("*", *[p.alias(n) for n, p in raw.items()])
+    rows = [_verdict(df, r, F.col(f"_p{i}"), key) for i, r in enumerate(chosen)]
+    return report_rows(tested, rows)
+
+
+def _with_passes(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame with one pass column per rule, and those columns by rule name."""
+    flags = [passes(df, r).alias(f"_p{i}") for i, r in enumerate(rules)]
+    return df.select("*", *flags), {r.name: F.col(f"_p{i}") for i, r in enumerate(rules)}
 
 
 def dq_flags(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -178,13 +190,14 @@ def dq_flags(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
         return df.withColumns(
             {"data_quality_score": F.lit(100), "quality_flags": F.lit("VALID")}
         )
-    failed_names = F.concat_ws(",", *[F.when(~passes(df, r), r.name) for r in rules])
-    passed = reduce(lambda a, b: a + b, [passes(df, r).cast("int") for r in rules])
-    return df.withColumns(
-        {
-            "data_quality_score": (passed * 100 / len(rules)).cast("int"),
-            "quality_flags": F.when(failed_names == "", "VALID").otherwise(failed_names),
-        }
+    tested, passed = _with_passes(df, rules)
+    count = reduce(add, [p.cast("int") for p in passed.values()])
+    failed_names = F.concat_ws(",", *[F.when(~p, n) for n, p in passed.items()])
+    named_failures = tested.select("*", failed_names.alias("_failed"))
+    return named_failures.select(
+        *[named(c) for c in df.columns],
+        (count * 100 / len(rules)).cast("int").alias("data_quality_score"),
+        F.when(F.col("_failed") == "", "VALID").otherwise(F.col("_failed")).alias("quality_flags"),
     )
 
 
@@ -241,7 +254,7 @@ def dq_field_profile(
                 "null_count": total - filled,
                 "duplicate_count": filled - unique,
                 **scores,
-                "overall_quality_score": reduce(lambda a, b: a + b, scores.values()) / 3,
+                "overall_quality_score": reduce(add, scores.values()) / 3,
             }
         )
     return report_rows(df.agg(*parts), rows)
@@ -283,15 +296,15 @@ def dq_summary(
 ) -> DataFrame:
     """One row about the dataset: record counts, dimension scores, overall score, issues."""
     start = base if isinstance(base, Mapping) else dict.fromkeys(DIMENSIONS, base)
-    passed = {r.name: passes(df, r) for r in rules}
+    tested, passed = _with_passes(df, rules)
     valid = reduce(and_, passed.values(), F.lit(True))
 
     def failures(chosen: Sequence[Rule]) -> Column:
         counts = [F.count_if(~passed[r.name]) for r in chosen]
-        return reduce(lambda a, b: a + b, counts, F.lit(0).cast("bigint"))
+        return reduce(add, counts, F.lit(0).cast("bigint"))
 
     key = F.struct(*[named(k) for k in key_columns])
-    counted = df.agg(
+    counted = tested.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(valid).alias("valid_records"),
         F.count_distinct(key).alias("distinct_keys"),
@@ -303,8 +316,8 @@ def dq_summary(
     scores = {d: _penalised(start.get(d, 0.0), named(f"f_{d}")) for d in DIMENSIONS}
     scored = counted.select("*", *[s.alias(f"{d}_score") for d, s in scores.items()])
     columns = [named(f"{d}_score") for d in DIMENSIONS]
-    above_sum = reduce(lambda a, b: a + b, columns)
-    above_n = reduce(lambda a, b: a + b, [(c > 0).cast("int") for c in columns])
+    above_sum = reduce(add, columns)
+    above_n = reduce(add, [(c > 0).cast("int") for c in columns])
     overall = F.when(above_n > 0, F.try_divide(above_sum, above_n)).otherwise(0.0)
     return scored.select(
         F.lit(dataset_name).alias("dataset_name"),
@@ -429,13 +442,13 @@ def _dimension(df: DataFrame, dimension: str, checked: Column, passed: Column) -
 def _rule_share(df: DataFrame, dimension: str, rules: Sequence[Rule]) -> DataFrame:
     both = [F.count_if(passes(df, r)) for r in rules]
     checked = F.count(F.lit(1)) * len(rules)
-    return _dimension(df, dimension, checked, reduce(lambda a, b: a + b, both))
+    return _dimension(df, dimension, checked, reduce(add, both))
 
 
 def dq_completeness(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """Share of cells that hold a value."""
     chosen = list(fields or df.columns)
-    filled = reduce(lambda a, b: a + b, [F.count(named(c)) for c in chosen])
+    filled = reduce(add, [F.count(named(c)) for c in chosen])
     return _dimension(df, "completeness", F.count(F.lit(1)) * len(chosen), filled)
 
 
@@ -477,8 +490,8 @@ def dq_integrity(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
         .groupBy(named(key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    known = parent.select(named(parent_key).alias("_key"), F.lit(True).alias("_known")).distinct()
-    joined = counted.join(known, "_key", "left")
+    known = parent.select(named(parent_key).alias("_key")).distinct()
+    joined = counted.join(known.withColumn("_known", F.lit(True)), "_key", "left")
     found = F.sum(F.when(named("_known"), named("_rows")).otherwise(0))
     total = F.coalesce(F.sum("_rows"), F.lit(0))
     return _dimension(joined, "integrity", total, F.coalesce(found, F.lit(0)))
