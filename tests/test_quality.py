@@ -154,6 +154,14 @@ def test_integrity_with_a_hot_key(spark, rows):
     assert D.dq_integrity(child.limit(0), "fk", parent, "pk").first().score == 0.0
 
 
+def test_long_text_counts_by_digest(rows):
+    long = "é" * 200
+    df = rows([(long,), (long,), (long + "x",), ("short",), (None,)], "t string")
+    assert D.dq_uniqueness(df.na.drop(), ["t"]).first().passed == 3
+    assert D.dq_field_profile(df).first().unique_count == 3
+    assert C.table_diff(df, df, "exact").first().left_distinct == 3
+
+
 def test_types_match():
     from pyspark.sql import types as T
 

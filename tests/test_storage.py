@@ -13,7 +13,7 @@ from tidewire.session import fresh_path, shared_dir
 from tidewire.sinks import writers as W
 from tidewire.sources import readers as S
 from tidewire.sources.paths import with_path_partitions
-from tidewire.streaming.files import stream_conform, stream_files
+from tidewire.streaming.files import late_rows, stream_conform, stream_files
 
 
 @pytest.fixture
@@ -84,6 +84,7 @@ def test_partitioned_table_prunes(spark, rows, tmp_path):
     df = rows([("a", "2024-01-05 10:00:00"), ("b", "2024-01-05 11:00:00"), ("c", "2024-11-15 00:00:00")], "id string, ts string")
     df = add_base_fields(df.select("id", F.to_timestamp("ts").alias("timestamp")), "enron", "mail")
     assert W.write_partitioned(df, path) == 3
+    assert W.write_partitioned(df, str(tmp_path / "u"), rebalance=False) == 3
     back = S.read_partitioned(spark, path, df.schema, PARTITION_KEYS)
     day = back.filter("month = '01' AND day = '05'")
     assert sorted(r.id for r in day.collect()) == ["a", "b"] and day.first().year == "2024"
@@ -149,6 +150,22 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert run() == [("ann", "#dev", "hi @user"), ("eve", "#x", "yo")]
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+
+    def conform(df):
+        return slack_ts(conform_slack(df)).select("sender", "body", "timestamp")
+
+    def run(data):
+        spark.createDataFrame(data, SLACK).coalesce(1).write.mode("append").parquet(landing)
+        query = stream_conform(stream_files(spark, landing, SLACK), conform, target, state, ["sender", "body"], delay="1 hour")
+        query.awaitTermination()
+        return late_rows(query)
+
+    assert run([("ann", "c", "new", "1704067200.0")]) == 0
+    assert run([("ann", "c", "old", "1700000000.0"), ("ann", "c", "newer", "1704067300.0")]) == 1
+
+
 def test_plain_stream_keeps_every_row(spark, rows, tmp_path):
     landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     spark.createDataFrame([("a", "c", "x", "1")] * 3, SLACK).write.parquet(landing)

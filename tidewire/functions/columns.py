@@ -76,6 +76,24 @@ def instant_present(df: DataFrame, names: Sequence[str]) -> Column:
     return as_instant(coalesce_present(df, names), read_as)
 
 
+def countable(value: Column, data_type: T.DataType) -> Column:
+    """The value as it takes part in an exact distinct count.
+
+    Long text stands as its digest, so a shuffle moves some 70 bytes per text whatever its
+    length. A leading NUL keeps digests apart from short text.
+    """
+    if not is_text(data_type):
+        return value
+    digest = F.concat(F.lit("\0"), F.sha2(value, 256))
+    return F.when(F.octet_length(value) > 128, digest).otherwise(value)
+
+
+def null_count(value: Column) -> Column:
+    """NULLs as the difference of two plain counts, which a source can answer from metadata
+    where it takes aggregates."""
+    return F.count(F.lit(1)) - F.count(value)
+
+
 def report_rows(df: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
     """One output row per dict, for every input row; dict keys become the columns."""
     structs = [F.struct(*[v.alias(k) for k, v in r.items()]) for r in rows]

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewire.functions.columns import field_type, named, report_rows, typed_null
+from tidewire.functions.columns import (
+    countable,
+    field_type,
+    named,
+    null_count,
+    report_rows,
+    typed_null,
+)
 
 
 class ContractError(ValueError):
@@ -86,7 +93,7 @@ def contract_check(
     for i, n in enumerate(names):
         if status[n] == "missing":
             continue
-        parts.append(F.count_if(named(n).isNull()).alias(f"null_{i}"))
+        parts.append(null_count(named(n)).alias(f"null_{i}"))
         if status[n] == "type_mismatch":
             lost = named(n).isNotNull() & _cast_or_null(df, n, contract[n].dataType).isNull()
             parts.append(F.count_if(lost).alias(f"lost_{i}"))
@@ -147,8 +154,9 @@ def _side(df: DataFrame, side: str, distinct: str | None) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         value = named(f.name)
         usable = count is not None and not isinstance(f.dataType, (T.MapType, T.VariantType))
-        unique = count(value) if usable else typed_null("bigint")
-        parts += [F.count_if(value.isNull()).alias(f"n{i}"), unique.alias(f"u{i}")]
+        key = countable(value, f.dataType) if distinct == "exact" else value
+        unique = count(key) if usable else typed_null("bigint")
+        parts += [null_count(value).alias(f"n{i}"), unique.alias(f"u{i}")]
     rows = [
         {
             "field_name": F.lit(f.name),
@@ -194,7 +202,7 @@ def table_summary(df: DataFrame, fields: Sequence[str] | None = None) -> DataFra
     chosen = [f for f in df.schema.fields if not fields or f.name in fields]
     kinds = [f.dataType.simpleString() for f in chosen]
     total = F.count(F.lit(1)).alias("rows")
-    nulls = [F.count_if(named(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(chosen)]
+    nulls = [null_count(named(f.name)).alias(f"n{i}") for i, f in enumerate(chosen)]
     rows = [
         {
             "field_name": F.lit(f.name),

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.columns import (
+    countable,
     field_type,
     is_number,
     is_text,
     named,
+    null_count,
     present,
     report_rows,
 )
@@ -206,8 +208,15 @@ def _percent(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.coalesce(share, F.lit(empty))
 
 
-def _distinct(column: Column, exact: bool) -> Column:
-    return F.count_distinct(column) if exact else F.approx_count_distinct(column)
+def _distinct(df: DataFrame, name: str, exact: bool) -> Column:
+    if not exact:
+        return F.approx_count_distinct(named(name))
+    return F.count_distinct(countable(named(name), field_type(df, name)))
+
+
+def _distinct_keys(df: DataFrame, key_columns: Sequence[str]) -> Column:
+    parts = [countable(named(k), field_type(df, k)) for k in key_columns]
+    return F.count_distinct(F.struct(*parts))
 
 
 def _comparable(data_type: T.DataType) -> bool:
@@ -233,7 +242,7 @@ def dq_field_profile(
         ok = flag(formats[name]) if name in formats else F.lit(True)
         parts += [
             F.count(value).alias(f"n{i}"),
-            _distinct(value, exact).alias(f"u{i}"),
+            _distinct(df, name, exact).alias(f"u{i}"),
             F.count_if(value.isNotNull() & ok).alias(f"f{i}"),
         ]
     total = F.col("total")
@@ -303,11 +312,10 @@ def dq_summary(
         counts = [F.count_if(~passed[r.name]) for r in chosen]
         return reduce(add, counts, F.lit(0).cast("bigint"))
 
-    key = F.struct(*[named(k) for k in key_columns])
     counted = tested.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(valid).alias("valid_records"),
-        F.count_distinct(key).alias("distinct_keys"),
+        _distinct_keys(df, key_columns).alias("distinct_keys"),
         failures(rules).alias("validation_issues"),
         failures([r for r in rules if r.severity == "critical"]).alias("critical_issues"),
         *[failures([r for r in rules if r.dimension == d]).alias(f"f_{d}") for d in DIMENSIONS],
@@ -372,7 +380,7 @@ def dq_gate(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(flag(failed)).alias("failed_records"),
         F.avg(quality).alias("mean_quality"),
-        *[F.count_if(named(c).isNull()).alias(f"null_{c}") for c in have],
+        *[null_count(named(c)).alias(f"null_{c}") for c in have],
     )
 
     def share(part: Column) -> Column:
@@ -402,7 +410,7 @@ def dq_required_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
     have = present(df, required)
     counted = df.agg(
         F.count(F.lit(1)).alias("total_records"),
-        *[F.count_if(named(c).isNull()).alias(f"null_{c}") for c in have],
+        *[null_count(named(c)).alias(f"null_{c}") for c in have],
     )
     clean = reduce(and_, [named(f"null_{c}") == 0 for c in have], F.lit(True))
     valid = clean & F.lit(len(have) == len(required))
@@ -469,8 +477,8 @@ def dq_consistency(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def dq_uniqueness(df: DataFrame, key_columns: Sequence[str]) -> DataFrame:
     """Distinct keys among rows. Copies of a hot key are merged before the shuffle."""
-    key = F.struct(*[named(k) for k in key_columns])
-    return _dimension(df, "uniqueness", F.count(F.lit(1)), F.count_distinct(key))
+    distinct = _distinct_keys(df, key_columns)
+    return _dimension(df, "uniqueness", F.count(F.lit(1)), distinct)
 
 
 def dq_timeliness(df: DataFrame, column: str, as_of: Column, max_age: str) -> DataFrame:

@@ -52,15 +52,21 @@ def with_partition_keys(df: DataFrame, timestamp: str = "timestamp") -> DataFram
 
 
 def write_partitioned(
-    df: DataFrame, path: str, keys: Sequence[str] = PARTITION_KEYS, timestamp: str = "timestamp"
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] = PARTITION_KEYS,
+    timestamp: str = "timestamp",
+    rebalance: bool = True,
 ) -> int:
     """Parquet partitioned by date parts and lineage.
 
     The rebalance hint groups rows by partition to keep files few; adaptive execution
-    splits a partition that holds far more than the others over several tasks.
+    splits a partition that holds far more than the others over several tasks. Data that
+    arrives grouped by day can go without that shuffle.
     """
     keyed = with_partition_keys(df, timestamp)
-    return write_counted(keyed.hint("rebalance", *[named(k) for k in keys]), path, keys=keys)
+    spread = keyed.hint("rebalance", *[named(k) for k in keys]) if rebalance else keyed
+    return write_counted(spread, path, keys=keys)
 
 
 def register_partitioned(

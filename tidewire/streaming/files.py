@@ -26,7 +26,11 @@ def stream_files(
 def dedupe_stream(
     df: DataFrame, keys: Sequence[str], event_time: str = "timestamp", delay: str = "1 hour"
 ) -> DataFrame:
-    """First row of every key within the watermark delay; state ends with the delay."""
+    """First row of every key within the watermark delay; state ends with the delay.
+
+    A row that lands later than ``delay`` behind the newest one is dropped: choose a delay
+    that covers how far landing runs behind, and watch :func:`late_rows`.
+    """
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -54,3 +58,12 @@ def stream_conform(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped, over the progress reports the query still holds."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for report in query.recentProgress
+        for state in report["stateOperators"]
+    )
