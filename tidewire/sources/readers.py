@@ -15,7 +15,7 @@ FORMATS = ("json", "parquet", "csv")
 PARQUET_FIRST = ("parquet", "json", "csv")
 
 _CORRUPT = "_corrupt_record"
-_ENDING = r"\.(json|parquet|csv)(\.[a-z0-9]+)?$"
+_ENDING = r"\.(json|parquet|csv|txt)(\.[a-z0-9]+)?$"
 
 
 class UnreadableError(ValueError):
@@ -105,6 +105,16 @@ def read_chat_text(spark: SparkSession, path: str) -> DataFrame:
     return parse_chat_lines(spark.read.text(path))
 
 
+def read_chat(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Chat export of any kind: JSON or CSV rows as they are, text files parsed to rows."""
+    known = formats_at(spark, path)
+    if "json" not in known and "txt" in known:
+        return read_chat_text(spark, path)
+    return read_auto(spark, path, ("json", "csv"), schema)
+
+
 def read_csv_header(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header line, every column text."""
     return spark.read.option("header", True).csv(path)
