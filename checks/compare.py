@@ -17,7 +17,6 @@ from tidewire.session import build_session
 
 def database(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
     for file in sorted(Path(sf).glob("*.parquet")):
         con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
     return con
