@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -95,3 +96,15 @@ def test_sanitize_leaves_other_types(rows):
 def test_awkward_column_names(rows):
     df = rows([(" N/A", "none")], "`a.b` string, `from` string")
     assert tuple(C.clean_all(df).first()) == ("N/A", None)
+
+
+def test_cleaned_equals_cleaning_then_validating(rows):
+    rng = random.Random(9)
+    pool = [None, "", "null", "N/A", " none ", "a@b.com", "bad", "5550102030", "x y"]
+    data = [(i, *rng.choices(pool, k=3)) for i in range(300)]
+    df = rows(data, "id int, email string, phone string, note string")
+    steps = C.stamp_cleaned(C.validate_rows(C.clean_all(df)), now())
+    got = cleaned(df, now())
+    assert got.columns == steps.columns
+    assert sorted(got.collect(), key=str) == sorted(steps.collect(), key=str)
+    assert 0 < got.count() < 300

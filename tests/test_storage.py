@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,9 +27,22 @@ def values(df):
     return sorted((int(r.id), r.name) for r in df.collect())
 
 
-def test_shared_dir_is_the_sessions(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+class _Session:
+    """As much of a session as the folder lookup reads."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+
+
+def test_shared_dir_is_the_clusters():
+    assert shared_dir(_Session("yarn", "hdfs:///work/")) == "hdfs:///work"
+    assert shared_dir(_Session("local[2]", "/set")) == "/set"
+    own = shared_dir(_Session("local[2]"))
+    assert Path(own).is_dir() and shared_dir(_Session("local[2]")) == own
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("yarn"))
+    assert fresh_path(_Session("local[2]"), "x") != fresh_path(_Session("local[2]"), "x")
 
 
 def test_read_auto_goes_by_ending(spark, people, tmp_path):

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.columns import named
-from tidewire.functions.lexicon import contains_any
 from tidewire.functions.text import matches_email
 
 # Words that mark a system line wherever they occur, join and leave events, and
 # bookkeeping columns that do not make a row worth keeping.
-SYSTEM_WORDS = ("left", "joined", "added", "removed")
+SYSTEM_PATTERN = r"left|joined|added|removed"
 SYSTEM_SUBTYPES = ("channel_join", "channel_leave")
 BOOKKEEPING = ("id", "created_at", "updated_at")
 
@@ -51,9 +50,9 @@ def whatsapp_keep(df: DataFrame, system_pattern: str | None = None) -> DataFrame
     By default a body with a system word anywhere in it counts as a system line, "I left my
     keys" too; an anchored ``system_pattern`` is more careful.
     """
-    body = named("body")
-    system = body.rlike(system_pattern) if system_pattern else contains_any(body, SYSTEM_WORDS)
-    return df.filter(named("sender").isNotNull() & (body != "") & ~system)
+    # One predicate on the body: pushed below a projection, it computes the body once.
+    unwanted = rf"^\z|(?:{system_pattern or SYSTEM_PATTERN})"
+    return df.filter(named("sender").isNotNull() & ~named("body").rlike(unwanted))
 
 
 def chat_line_ok(df: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ def sentiment_full(
 
 def sentiment_quick(df: DataFrame, column: str = "body") -> DataFrame:
     """Substring label and its fixed score."""
-    text = F.lower(named(column))
+    text = F.col("_lowered")
     label = (
         F.when(contains_any(text, QUICK_POSITIVE), "positive")
         .when(contains_any(text, QUICK_NEGATIVE), "negative")
@@ -149,4 +149,6 @@ def sentiment_quick(df: DataFrame, column: str = "body") -> DataFrame:
         .when(named("sentiment") == "negative", -0.6)
         .otherwise(0.0)
     )
-    return df.withColumn("sentiment", label).withColumn("sentiment_score", by_label)
+    lowered = df.select("*", F.lower(named(column)).alias("_lowered"))
+    labelled = lowered.withColumn("sentiment", label).drop("_lowered")
+    return labelled.withColumn("sentiment_score", by_label)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -25,20 +26,24 @@ def build_session(app_name: str = "tidewire", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=None)
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidewire-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only a local master may go without the setting; it then gets a fresh folder, kept for
-    the session.
+    Only a local master may go without the setting; it then gets a fresh folder, the same
+    one as long as the application runs.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidewire-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _own_dir(context.applicationId)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
