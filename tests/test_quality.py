@@ -115,6 +115,20 @@ def test_gate(rows):
     assert D.dq_gate(df.limit(0), [], F.lit(True), F.col("q"), 0.1).first().passed is True
 
 
+def test_strict_gate(rows):
+    df = rows([(1, 0.9)], "id int, q double")
+    good = D.dq_gate(df, ["id"], F.lit(False), F.col("q"), 0.4)
+    assert D.require_gate(good) is good
+    with pytest.raises(D.QualityError, match="'failure_rate' failed: 1.0 .threshold: 0.4"):
+        D.require_gate(D.dq_gate(df, ["id"], F.lit(True), F.col("q"), 0.4))
+
+
+def test_rule_from_a_column(rows):
+    df = rows([("1", "ab"), ("2", "b")], "record_id string, v string")
+    long = D.custom_rule("long", F.length("v") > 1, field="v")
+    assert [v[2] for v in verdicts(df, long)] == [True, False]
+
+
 def test_required_fields(rows):
     df = rows([(1, None), (2, "x")], "id int, v string")
     got = {r.field_name: (r.is_missing, r.null_count, r.total_records, r.is_valid) for r in D.dq_required_fields(df, ["id", "v", "w"]).collect()}

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidewire.operators.conform import conform_slack, slack_ts
 from tidewire.operators.transform import add_base_fields
+from tidewire.plans.cleaning import cleaned
 from tidewire.schemas import PARTITION_KEYS
 from tidewire.session import fresh_path, shared_dir
 from tidewire.sinks import writers as W
@@ -56,9 +57,27 @@ def test_read_auto_goes_by_ending(spark, people, tmp_path):
     assert dict(S.read_auto(spark, str(tmp_path / "csv")).dtypes) == {"id": "string", "name": "string"}
 
 
+def test_read_auto_reads_one_format_of_a_mixed_folder(spark, tmp_path):
+    (tmp_path / "a.JSON").write_text('{"id": 1, "name": "a"}\n')
+    (tmp_path / "b.csv").write_text("id,name\n2,b\n")
+    (tmp_path / "c.txt").write_text("1/5/24, 9:05 AM - Ann: hi\n")
+    assert values(S.read_auto(spark, str(tmp_path))) == [(1, "a")]
+    assert values(S.read_auto(spark, str(tmp_path), ("csv", "json"))) == [(2, "b")]
+    assert values(S.read_chat(spark, str(tmp_path))) == [(1, "a")]
+
+
+def test_read_parquet_pushes_down(spark):
+    got = S.read_parquet(spark, "/root/testdata/sf0.001/orders.parquet").filter("o_orderstatus = 'F'").select("o_orderkey")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan and "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+
+
 def test_read_auto_nameless_csv_is_not_taken_for_json(spark, tmp_path):
     (tmp_path / "data").write_text("id,name\n1,a\n2,b\n")
-    assert values(S.read_auto(spark, str(tmp_path / "data"), ("json", "csv"))) == [(1, "a"), (2, "b")]
+    for order in (S.FORMATS, S.PARQUET_FIRST):
+        assert values(S.read_auto(spark, str(tmp_path / "data"), order)) == [(1, "a"), (2, "b")]
+    with pytest.raises(S.UnreadableError):
+        S.read_auto(spark, str(tmp_path / "data"), ("parquet", "json"))
 
 
 def test_first_and_optional_paths(spark, people, tmp_path):
@@ -181,6 +200,16 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert run([("ann", "c", "old", "1700000000.0"), ("ann", "c", "newer", "1704067300.0")]) == 1
 
 
+def test_cleaning_stream(spark, tmp_path):
+    landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1, Ann ,A@B.COM\n2,n/a,bad\n")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "name", "email")])
+    stream_conform(stream_files(spark, landing, schema, "csv", 1), cleaned, target, state).awaitTermination()
+    got = spark.read.parquet(target).collect()
+    assert [(r.id, r.name, r.email, r.data_quality_score) for r in got] == [("1", "Ann", "a@b.com", 100)]
+
+
 def test_plain_stream_keeps_every_row(spark, rows, tmp_path):
     landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     spark.createDataFrame([("a", "c", "x", "1")] * 3, SLACK).write.parquet(landing)

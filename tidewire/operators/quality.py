@@ -107,7 +107,7 @@ def rule_positive(field: str) -> Rule:
 
 def custom_rule(
     name: str,
-    predicate: str | None,
+    predicate: str | Column | None,
     severity: str = "error",
     dimension: str = "validity",
     field: str | None = None,
@@ -116,17 +116,19 @@ def custom_rule(
     failed_message: str = "Rule failed",
     parameters: Mapping[str, object] | None = None,
 ) -> Rule:
-    """Rule from a SQL predicate; ``{name}`` in it is filled from ``parameters``.
+    """Rule from a SQL predicate, in which ``{name}`` is filled from ``parameters``, or from
+    a boolean column.
 
     No predicate passes. One that cannot be decided (NULL, as ``try_`` functions give for
     bad input) fails with severity error.
     """
     if predicate is None:
         return Rule(name, severity, dimension, field, description)
-    filled = predicate.format(**parameters) if parameters else predicate
+    as_text = isinstance(predicate, str)
+    filled = predicate.format(**parameters) if as_text and parameters else predicate
 
     def check(_df: DataFrame) -> tuple[Column, Message]:
-        return F.expr(filled), lambda passed: (
+        return F.expr(filled) if as_text else filled, lambda passed: (
             F.when(passed.isNull(), "Validation rule execution failed")
             .when(passed, passed_message)
             .otherwise(failed_message)
@@ -405,6 +407,18 @@ def dq_gate(
     return report_rows(counted, rows)
 
 
+def require_gate(report: DataFrame) -> DataFrame:
+    """A gate report itself, or an error naming the checks that failed."""
+    broken = report.filter(~named("passed")).collect()
+    if broken:
+        detail = "; ".join(
+            f"Data quality check '{r.check}' failed: {r.observed} (threshold: {r.threshold})"
+            for r in broken
+        )
+        raise QualityError(detail)
+    return report
+
+
 def dq_required_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row per required field: missing or not, NULL count, verdict on all of them."""
     have = present(df, required)

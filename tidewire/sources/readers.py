@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,10 +39,17 @@ def formats_at(spark: SparkSession, path: str) -> set[str]:
     return {r.ending for r in names.collect()} - {""}
 
 
+def _only(fmt: str) -> str:
+    """Glob of the file names that end in a format, in any case, compressed or not."""
+    return "*." + "".join(f"[{c}{c.upper()}]" for c in fmt) + "*"
+
+
 def _load(
-    spark: SparkSession, fmt: str, path: str, schema: T.StructType | str | None
+    spark: SparkSession, fmt: str, path: str, schema: T.StructType | str | None, by_name: bool
 ) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
+    if by_name:
+        reader = reader.option("pathGlobFilter", _only(fmt))
     if fmt == "csv":
         reader = reader.option("header", True)
     return reader.format(fmt).load(path)
@@ -56,20 +63,23 @@ def read_auto(
 ) -> DataFrame:
     """Frame of the first format, in the given order, that fits the files at ``path``.
 
-    Files with known endings decide by name. Nameless files are tried in order, and a JSON
-    read that understands nothing counts as a failure. Give ``schema`` for large JSON: to
-    infer one, Spark reads the data once more.
+    Files with known endings decide by name, and only those of the chosen format are read.
+    Nameless files are tried in order, and a JSON read that understands nothing counts as a
+    failure. Give ``schema`` for large JSON: to infer one, Spark reads the data once more.
     """
     known = formats_at(spark, path)
-    candidates = [f for f in formats if f in known] or list(formats)
+    by_name = [f for f in formats if f in known]
+    candidates = by_name or list(formats)
+    failure = None
     for fmt in candidates:
         try:
-            df = _load(spark, fmt, path, schema)
-        except AnalysisException:
+            df = _load(spark, fmt, path, schema, bool(by_name))
+        except PySparkException as error:
+            failure = error
             continue
         if df.columns and df.columns != [_CORRUPT]:
             return df
-    raise UnreadableError(f"none of {list(formats)} reads {path}")
+    raise UnreadableError(f"none of {candidates} reads {path}") from failure
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -105,13 +115,14 @@ def read_chat_text(spark: SparkSession, path: str) -> DataFrame:
     return parse_chat_lines(spark.read.text(path))
 
 
+
 def read_chat(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Chat export of any kind: JSON or CSV rows as they are, text files parsed to rows."""
     known = formats_at(spark, path)
     if "json" not in known and "txt" in known:
-        return read_chat_text(spark, path)
+        return parse_chat_lines(spark.read.option("pathGlobFilter", _only("txt")).text(path))
     return read_auto(spark, path, ("json", "csv"), schema)
 
 
