@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,8 @@ def read_auto(
     for fmt in candidates:
         try:
             df = _load(spark, fmt, path, schema, bool(by_name))
-        except PySparkException as error:
+        # A wrong guess fails while planning, or in the task that reads a parquet footer.
+        except (PySparkException, Py4JJavaError) as error:
             failure = error
             continue
         if df.columns and df.columns != [_CORRUPT]:
