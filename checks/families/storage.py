@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from checks.base import as_of, query, table, twin, view
 from checks.families.cleaning import _CLEAN, _VALID, _score
-from checks.families.conform import _CHAT, _EPOCH, _SLACK_KEPT
+from checks.families.conform import _CHAT, _EPOCH, _SLACK_KEPT, _digest
 from checks.families.transform import nested_sensor
-from tidewire.operators.conform import conform_slack, slack_ts
 from tidewire.operators.transform import add_base_fields, sensor_transform
 from tidewire.plans.cleaning import cleaned
-from tidewire.plans.communications import union_channels
+from tidewire.plans.communications import slack_messages, union_channels
 from tidewire.session import fresh_path
 from tidewire.sinks import writers as W
 from tidewire.sources import readers as S
@@ -184,8 +183,8 @@ def _(spark, sf):
     "stream_conform",
     twin(
         "v_slack_raw",
-        f"""SELECT DISTINCT sender, recipient, subject, body, {_EPOCH.format(c='timestamp')} AS timestamp, message_subtype, communication_type
-        FROM ({_SLACK_KEPT})""",
+        f"""SELECT DISTINCT {_digest('slack')} AS id, sender, recipient, timestamp, body, subject, 'slack' AS channel FROM
+        (SELECT sender, recipient, {_EPOCH.format(c='timestamp')} AS timestamp, body, subject FROM ({_SLACK_KEPT}))""",
     ),
 )
 def _(spark, sf):
@@ -193,13 +192,7 @@ def _(spark, sf):
     raw = view(spark, sf, "v_slack_raw")
     # Every message lands twice, as a retried upload would.
     raw.unionByName(raw).write.parquet(landing)
-    columns = ["sender", "recipient", "subject", "body", "timestamp", "message_subtype", "communication_type"]
-
-    def conform(df):
-        return slack_ts(conform_slack(df)).select(*columns)
-
-    running = stream_conform(
-        stream_files(spark, landing, raw.schema), conform, target, state, keys=columns, delay="30 days"
-    )
-    running.awaitTermination()
-    return spark.read.parquet(target)
+    source = stream_files(spark, landing, raw.schema)
+    # The content-derived id keeps the state small: a digest per message, not its text.
+    stream_conform(source, slack_messages, target, state, keys=["id"], delay="30 days").awaitTermination()
+    return spark.read.parquet(target).select("id", "sender", "recipient", "timestamp", "body", "subject", "channel")

@@ -42,8 +42,9 @@ EMAIL_FIELDS = {
 _CHAT_STAMP = r"\d{1,2}/\d{1,2}/\d{2,4}, \d{1,2}:\d{2} [AP]M"
 _CHAT_MESSAGE = f"{_CHAT_STAMP} - [^:]+: (.+)"
 
-# Raw text that the markup rules and the trim turn into ''.
-_EMPTY_MARKUP = r"^(?: |< +>)*\z"
+# Raw text that the markup rules and the trim turn into ''. Possessive, since Java walks a
+# possessive group in a loop and any other repeated group by recursion.
+_EMPTY_MARKUP = r"^(?: ++|< ++>)*+\z"
 
 
 def _with_raw_headers(df: DataFrame, message: str, names: Sequence[str]) -> DataFrame:

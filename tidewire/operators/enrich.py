@@ -33,7 +33,8 @@ EMPTY_ANSWER = {**ANSWER_DEFAULTS, "confidence": "low"}
 UNREADABLE_ANSWER = {**ANSWER_DEFAULTS, "key_themes": "analysis, communication"}
 RULE_POSITIVE = ("great", "excellent", "good")
 RULE_NEGATIVE = ("bad", "terrible", "problem")
-RULE_THEMES, RULE_ENTITIES, RULE_CONFIDENCE = "communication, analysis, mock", "mock_entity", "medium"
+RULE_THEMES = "communication, analysis, mock"
+RULE_ENTITIES, RULE_CONFIDENCE = "mock_entity", "medium"
 OUTPUT_NAMES = {
     "analysis": "ai_summary",
     "key_themes": "key_themes",
@@ -253,5 +254,5 @@ def ai_enrich(
         .when(named("_response").isNull(), named("_ruled"))
         .otherwise(named("_parsed"))
     )
-    result = judged.withColumn("ai_analysis", analysis)
-    return flatten_answer(result.select(*[named(c) for c in df.columns], "ai_analysis"), model_id, as_of)
+    result = judged.select(*[named(c) for c in df.columns], analysis.alias("ai_analysis"))
+    return flatten_answer(result, model_id, as_of)

@@ -458,7 +458,8 @@ def require_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def _dimension(df: DataFrame, dimension: str, checked: Column, passed: Column) -> DataFrame:
     counted = df.agg(checked.cast("bigint").alias("checked"), passed.cast("bigint").alias("passed"))
     score = _percent(named("passed"), named("checked"))
-    return counted.select(F.lit(dimension).alias("dimension"), "checked", "passed", score.alias("score"))
+    name = F.lit(dimension).alias("dimension")
+    return counted.select(name, "checked", "passed", score.alias("score"))
 
 
 def _rule_share(df: DataFrame, dimension: str, rules: Sequence[Rule]) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def build_session(app_name: str = "tidewire", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app_name: str = "tidewire", master: str | None = None, **conf: str
+) -> SparkSession:
     """Session with UTC clocks and Arrow; sizes and executors are the cluster's to set."""
     builder = (
         SparkSession.builder.appName(app_name)

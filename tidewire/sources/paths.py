@@ -27,7 +27,9 @@ def path_partitions(path: Column) -> Column:
     keys = F.reverse(F.regexp_extract_all(path, F.lit(PARTITION_PAIR), F.lit(1)))
     values = F.reverse(F.regexp_extract_all(path, F.lit(PARTITION_PAIR), F.lit(2)))
     unique = F.array_distinct(keys)
-    last = F.transform(unique, lambda k: F.element_at(values, F.array_position(keys, k).cast("int")))
+    last = F.transform(
+        unique, lambda k: F.element_at(values, F.array_position(keys, k).cast("int"))
+    )
     return F.map_from_arrays(unique, last)
 
 
