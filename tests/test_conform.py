@@ -98,6 +98,9 @@ def test_slack_markup(rows):
         "<mailto:x> <b>": "mailto:x b",
         "  <>  ": "<>",
         "< >": "",
+        "a > b <c> d < e": "a > b c d < e",
+        "no brackets": "no brackets",
+        "": "",
     }
     df = rows(list(enumerate(given)), "n int, body string")
     got = [r.body for r in K.clean_slack_markup(df).orderBy("n").collect()]

@@ -110,13 +110,19 @@ def route_source(df: DataFrame, source: str) -> DataFrame:
 
 
 def clean_slack_markup(df: DataFrame, column: str = "body") -> DataFrame:
-    """Mentions, channel links, titled links and bare tags to plain text."""
-    text = named(column)
+    """Mentions, channel links, titled links and bare tags to plain text.
+
+    Every rule ends on a closing bracket, so the text after the last one is left out of the
+    searches: unclosed brackets there would each be followed to the end of the text.
+    """
+    raw = named(column)
+    tail = F.substring_index(raw, ">", -1)
+    text = F.substr(raw, F.lit(1), F.length(raw) - F.length(tail))
     text = F.regexp_replace(text, r"<@U[A-Z0-9]+>", "@user")
     text = F.regexp_replace(text, r"<#C[A-Z0-9]+\|([^>]+)>", "#$1")
     text = F.regexp_replace(text, r"<(https?://[^|>]+)\|([^>]+)>", "$2 ($1)")
     text = F.regexp_replace(text, r"<([^>]+)>", "$1")
-    return with_all(df, {column: F.trim(text)})
+    return with_all(df, {column: F.trim(F.concat(text, tail))})
 
 
 def prefix_channel(df: DataFrame, column: str = "recipient") -> DataFrame:
