@@ -36,20 +36,18 @@ SELECT concat('c', CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS id,
   TIMESTAMP '2024-01-01 00:00:00' + CAST(conv_id * 11 % 40000 AS INT) * INTERVAL '1' MINUTE AS timestamp,
   CASE WHEN turn % 3 = 0 THEN 'RE: chat' WHEN turn % 3 = 1 THEN role ELSE NULL END AS subject,
   CASE CAST(turn % 3 AS INT) WHEN 0 THEN 'email' WHEN 1 THEN 'slack' ELSE 'whatsapp' END AS channel,
-  CASE CAST((conv_id + turn) % 13 AS INT)
-    WHEN 0 THEN 'Great work, excellent result!'
-    WHEN 1 THEN 'This is a terrible problem and I am angry.'
-    WHEN 2 THEN 'Thank you, grateful for the help.'
-    WHEN 3 THEN 'Not bad, but worried about the issue.'
-    WHEN 4 THEN 'I am happy, it''s great!'
-    WHEN 5 THEN 'see [attachment] urgent'
-    WHEN 6 THEN ''
-    WHEN 7 THEN NULL
-    WHEN 8 THEN '   '
-    WHEN 9 THEN 'Wonderful, amazing, excellent!'
-    WHEN 10 THEN 'So sad and disappointed.'
-    WHEN 11 THEN 'thrilled but nervous'
-    ELSE text END AS body
+  CASE WHEN (conv_id + turn) % 97 = 0 THEN NULL WHEN (conv_id + turn) % 97 = 1 THEN '' WHEN (conv_id + turn) % 97 = 2 THEN '   '
+    ELSE concat(CASE CAST((conv_id + turn) % 11 AS INT)
+      WHEN 0 THEN 'Great work, excellent result! '
+      WHEN 1 THEN 'This is a terrible problem and I am angry. '
+      WHEN 2 THEN 'Thank you, grateful for the help. '
+      WHEN 3 THEN 'Not bad, but worried about the issue. '
+      WHEN 4 THEN 'I am happy, it''s great! '
+      WHEN 5 THEN 'see [attachment] urgent '
+      WHEN 6 THEN 'Wonderful, amazing, excellent! '
+      WHEN 7 THEN 'So sad and disappointed. '
+      WHEN 8 THEN 'thrilled but nervous '
+      ELSE '' END, text) END AS body
 FROM @conversations""",
     "v_dirty": """
 SELECT c_custkey AS id, c_acctbal AS balance,
@@ -81,20 +79,25 @@ FROM @documents""",
     "v_slack_raw": """
 SELECT conv_id, turn, role AS "user",
   CASE CAST(turn % 4 AS INT) WHEN 0 THEN 'general' WHEN 1 THEN '#dev' WHEN 2 THEN NULL ELSE 'ops' END AS channel_name,
-  CASE CAST((conv_id + turn) % 5 AS INT) WHEN 0 THEN concat('hi <@U12AB> see <#C99|gen> ', text)
-    WHEN 1 THEN concat('read <https://a.example/x|Site> or <mailto:x> ', text) WHEN 2 THEN '' WHEN 3 THEN NULL ELSE text END AS text,
-  concat(CAST(1704067200 + conv_id * 60 + turn AS STRING), '.000100') AS ts,
+  CASE WHEN (conv_id + turn) % 101 = 0 THEN '' WHEN (conv_id + turn) % 101 = 1 THEN NULL
+    WHEN (conv_id + turn) % 4 = 0 THEN concat('hi <@U12AB> see <#C99|gen> ', text)
+    WHEN (conv_id + turn) % 4 = 1 THEN concat('read <https://a.example/x|Site> or <mailto:x> ', text)
+    WHEN (conv_id + turn) % 4 = 2 THEN concat(text, ' <https://b.example|> <b|c> a|b <http://c.example|two|bars>') ELSE text END AS text,
+  CASE WHEN conv_id % 4 = 3 THEN concat('2024-01-0', CAST(1 + conv_id % 9 AS STRING), 'T09:1', CAST(turn % 10 AS STRING), ':00Z')
+    ELSE concat(CAST(1704067200 + conv_id * 60 + turn AS STRING), '.000100') END AS ts,
+  concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS client_msg_id,
   CASE WHEN turn % 2 = 1 THEN concat(CAST(1704067200 + conv_id * 60 AS STRING), '.000100') ELSE NULL END AS thread_ts,
   CASE WHEN conv_id % 13 = 0 THEN 'channel_join' WHEN conv_id % 13 = 1 THEN 'bot_message' ELSE NULL END AS subtype,
   CAST(turn % 3 AS INT) AS reply_count
 FROM @conversations""",
     "v_chat_lines": """
-SELECT conv_id, turn, CASE CAST((conv_id + turn) % 6 AS INT)
-  WHEN 0 THEN 'just a continuation line'
-  WHEN 1 THEN concat('1/', CAST(1 + conv_id % 28 AS STRING), '/24, 9:05 AM - Ann: I left my keys')
-  WHEN 2 THEN concat('1/', CAST(1 + conv_id % 28 AS STRING), '/24, 9:06 PM - Bob: <Media omitted>')
-  WHEN 3 THEN '1/5/2024, 12:00 PM - Bob joined using this link'
-  ELSE concat('01/', CAST(1 + conv_id % 28 AS STRING), '/2024, 10:15 PM - ', role, ': ', regexp_replace(text, '[^A-Za-z ]', ' '@G)) END AS value
+SELECT conv_id, turn, concat(CASE CAST((conv_id + turn) % 6 AS INT)
+  WHEN 0 THEN 'just a continuation line '
+  WHEN 1 THEN concat('1/', CAST(1 + conv_id % 28 AS STRING), '/24, 9:05 AM - Ann: I left my keys ')
+  WHEN 2 THEN concat('1/', CAST(1 + conv_id % 28 AS STRING), '/24, 9:06 PM - Bob: <Media omitted> ')
+  WHEN 3 THEN '1/5/2024, 12:00 PM - Bob joined using this link '
+  ELSE concat('01/', CAST(1 + conv_id % 28 AS STRING), '/2024, 10:15 PM - ', role, ': ') END,
+  replace(coalesce(text, ''), chr(10), ' ')) AS value
 FROM @conversations""",
     "v_runs": """
 SELECT event_id AS run_id, event_type AS job_name, CAST(user_id % 4 + 1 AS INT) AS attempt_number, 3 AS max_attempts,
@@ -106,9 +109,9 @@ FROM @events""",
     "v_paths": """
 SELECT event_id, CASE CAST(event_id % 5 AS INT)
   WHEN 0 THEN concat('raw/year=2024/month=0', CAST(1 + event_id % 9 AS STRING), '/f.json')
-  WHEN 1 THEN 'Cleaned/region=us-east-1/env=prod_v2/f.json'
-  WHEN 2 THEN 'etl/year=2023/nested/year=2024/f.json'
-  WHEN 3 THEN 'nlp/config=key=value/other=normal/f.json' ELSE 'other/f.json' END AS path
+  WHEN 1 THEN 'Cleaned/region=north/env=blue_7/part.csv'
+  WHEN 2 THEN 'etl/month=11/deep/month=12/year=1999/f.json'
+  WHEN 3 THEN 'nlp/config=a=b=c/other=last/f.json' ELSE 'other/f.json' END AS path
 FROM @events""",
     "v_sensor": """
 SELECT event_id AS id, ts AS timestamp,
@@ -119,11 +122,18 @@ SELECT event_id AS id, ts AS timestamp,
   concat('City_', CAST(event_id % 10 AS STRING)) AS city, CAST(70 + event_id % 31 AS DOUBLE) / 100 AS quality_score
 FROM @events""",
     "v_responses": """
-SELECT doc_id, CASE CAST(doc_id % 6 AS INT)
-  WHEN 0 THEN '{"analysis":"ok","key_themes":"a, b","sentiment":"positive","entities":"x","confidence":"high"}'
-  WHEN 1 THEN '  {"analysis":"partial"}' WHEN 2 THEN '{"analysis":"broken"'
-  WHEN 3 THEN '{"analysis":"n","sentiment":null}' WHEN 4 THEN '' ELSE text END AS response
-FROM @documents""",
+SELECT doc_id, CASE WHEN doc_id % 100 = 99 THEN '' ELSE CASE CAST(doc_id % 10 AS INT)
+  WHEN 0 THEN concat('{"analysis":"', t, '","key_themes":"a, b","sentiment":"positive","entities":"x","confidence":"high"}')
+  WHEN 1 THEN concat('  {"analysis":"', t, '"}') WHEN 2 THEN concat('{"analysis":"broken ', t, '"')
+  WHEN 3 THEN concat('{"analysis":"', t, '","sentiment":null}')
+  WHEN 4 THEN concat('{', chr(39), 'analysis', chr(39), ':', chr(39), t, chr(39), '}')
+  WHEN 5 THEN concat('{"analysis":"a', chr(10), 'b ', t, '"}')
+  WHEN 6 THEN concat('{"analysis":"', t, '",}')
+  WHEN 7 THEN concat('{"analysis":"', t, '"} thanks')
+  WHEN 8 THEN concat('{"analysis":{"note":"', t, '"},"sentiment":"negative"}')
+  ELSE text END END AS response
+FROM (SELECT doc_id, text, replace(replace(replace(replace(text, chr(92), concat(chr(92), chr(92))), chr(34), concat(chr(92), chr(34))),
+  chr(10), concat(chr(92), 'n')), chr(9), concat(chr(92), 't')) AS t FROM @documents) AS escaped""",
     "v_log": """
 SELECT l_orderkey AS run_id,
   CASE l_returnflag WHEN 'A' THEN 'error' WHEN 'R' THEN 'warning' ELSE 'output' END AS kind,

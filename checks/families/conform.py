@@ -85,7 +85,7 @@ _CHANNEL = "CASE WHEN starts_with(channel_name, '#') THEN channel_name ELSE '#'
 _SLACK = f"""SELECT "user" AS sender, {_CHANNEL} AS recipient,
   CASE WHEN thread_ts IS NOT NULL THEN 'Thread Reply' ELSE 'Slack Message' END AS subject, {_markup('text')} AS body,
   ts AS timestamp, thread_ts AS thread_timestamp, coalesce(subtype, 'message') AS message_subtype,
-  CAST(NULL AS VARCHAR) AS reactions, reply_count FROM v_slack_raw"""
+  CAST(NULL AS VARCHAR) AS reactions, reply_count, client_msg_id AS message_id FROM v_slack_raw"""
 _SLACK_KEPT = f"""SELECT *, 'slack' AS communication_type FROM ({_SLACK}) WHERE sender IS NOT NULL AND recipient IS NOT NULL
   AND body <> '' AND message_subtype NOT IN ('channel_join', 'channel_leave')"""
 
@@ -120,7 +120,11 @@ def _(spark, sf):
     return rows.select("sender", "recipient", "body", "message_subtype")
 
 
-_EPOCH = "make_timestamp(CAST(CAST({c} AS DECIMAL(20, 6)) * 1000000 AS BIGINT))"
+# Epoch seconds or ISO text to a clock in UTC.
+_EPOCH = (
+    "coalesce(make_timestamp(CAST(TRY_CAST({c} AS DECIMAL(20, 6)) * 1000000 AS BIGINT)), "
+    "TRY_CAST({c} AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
+)
 
 
 @query("slack_ts", twin("v_slack_raw", f"SELECT conv_id, turn, {_EPOCH.format(c='ts')} AS ts FROM v_slack_raw"))
@@ -134,16 +138,28 @@ _CHAT = rf"""SELECT * FROM (SELECT regexp_extract(value, '({_STAMP})', 1) AS tim
   regexp_extract(value, '{_STAMP} - [^:]+: (.+)', 1) AS message FROM v_chat_lines)
   WHERE timestamp <> '' AND sender <> '' AND message <> ''"""
 _WHATSAPP = f"""SELECT trim(sender) AS sender, 'Direct Message' AS recipient, 'WhatsApp Message' AS subject, message AS body,
-  timestamp, CAST(NULL AS VARCHAR) AS message_type, CAST(NULL AS VARCHAR) AS media_type FROM ({_CHAT})"""
+  timestamp, CAST(NULL AS VARCHAR) AS message_type, CAST(NULL AS VARCHAR) AS media_type, CAST(NULL AS VARCHAR) AS message_id FROM ({_CHAT})"""
 _WHATSAPP_KEPT = f"""SELECT *, 'whatsapp' AS communication_type FROM ({_WHATSAPP}) WHERE sender IS NOT NULL AND body <> ''
   AND NOT regexp_matches(body, '.*left|joined|added|removed.*')"""
-_CHAT_TIME = "coalesce(try_strptime({c}, '%m/%d/%y, %I:%M %p'), try_strptime({c}, '%m/%d/%Y, %I:%M %p'))"
+_CHAT_TIME = (
+    "coalesce(try_strptime({c}, '%m/%d/%y, %I:%M %p'), try_strptime({c}, '%m/%d/%Y, %I:%M %p'), "
+    "TRY_CAST({c} AS TIMESTAMPTZ) AT TIME ZONE 'UTC')"
+)
+# Some rows carry ISO clocks, as exports by other tools do.
+_MIXED_CHAT = f"""SELECT CASE WHEN strlen(message) % 3 = 0 THEN '2024-02-03T04:05:06Z' ELSE timestamp END AS timestamp,
+  sender, message FROM ({_CHAT})"""
+_MIXED_KEPT = _WHATSAPP_KEPT.replace(_CHAT, _MIXED_CHAT)
 
 
 def _chat(spark, sf):
     return K.parse_chat_lines(view(spark, sf, "v_chat_lines"))
 
 
+def _mixed_chat(spark, sf):
+    iso = F.when(F.octet_length("message") % 3 == 0, "2024-02-03T04:05:06Z").otherwise(F.col("timestamp"))
+    return _chat(spark, sf).withColumn("timestamp", iso)
+
+
 @query("chat_line_ok", twin("v_chat_lines", _CHAT))
 def _(spark, sf):
     return _chat(spark, sf)
@@ -165,9 +181,9 @@ def _(spark, sf):
     return P.whatsapp_keep(K.whatsapp_fields(_chat(spark, sf)), "^(Ann|Bob) (left|joined)")
 
 
-@query("chat_ts", twin("v_chat_lines", f"SELECT sender, message, {_CHAT_TIME.format(c='timestamp')} AS timestamp FROM ({_CHAT})"))
+@query("chat_ts", twin("v_chat_lines", f"SELECT sender, message, {_CHAT_TIME.format(c='timestamp')} AS timestamp FROM ({_MIXED_CHAT})"))
 def _(spark, sf):
-    return K.chat_ts(_chat(spark, sf))
+    return K.chat_ts(_mixed_chat(spark, sf))
 
 
 @query("media_flag", twin("v_chat_lines", f"SELECT *, contains(body, '<Media omitted>') AS has_media FROM ({_WHATSAPP})"))
@@ -194,25 +210,25 @@ def _(spark, sf):
     return K.conform_local_slack(raw.withColumnsRenamed(renamed))
 
 
-def _digest(channel: str) -> str:
-    clock = "strftime(timestamp, '%Y-%m-%d %H:%M:%S')"
-    if channel == "slack":
-        # Six digits, trailing zeros dropped, as the other engine prints a timestamp.
-        clock = "rtrim(strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f'), '0')"
-    return f"sha256(concat_ws(chr(31), '{channel}', sender, recipient, {clock}, body))"
+def _framed(*parts: str) -> str:
+    """SQL of the id's digest: every part with its length in bytes before it, NULL as '-'."""
+    framed = " || ".join(f"coalesce(CAST(strlen({p}) AS VARCHAR) || ':' || {p}, '-')" for p in parts)
+    return f"sha256({framed})"
 
 
+_SLACK_ID = _framed("'own'", "'slack'", "message_id")
+_CHAT_ID = _framed("'whatsapp'", "sender", "recipient", "CAST(epoch_us(timestamp) AS VARCHAR)", "body")
 _UNION = f"""{_LINES}, m AS ({_EMAIL}),
-s AS (SELECT sender, recipient, {_EPOCH.format(c='timestamp')} AS timestamp, body, subject FROM ({_SLACK_KEPT})),
-w AS (SELECT sender, recipient, {_CHAT_TIME.format(c='timestamp')} AS timestamp, body, subject FROM ({_WHATSAPP_KEPT}))
+s AS (SELECT sender, recipient, {_EPOCH.format(c='timestamp')} AS timestamp, body, subject, message_id FROM ({_SLACK_KEPT})),
+w AS (SELECT sender, recipient, {_CHAT_TIME.format(c='timestamp')} AS timestamp, body, subject FROM ({_MIXED_KEPT}))
 SELECT id, sender, recipient, timestamp, body, subject, channel FROM m
-UNION ALL SELECT {_digest('slack')}, sender, recipient, timestamp, body, subject, 'slack' FROM s
-UNION ALL SELECT {_digest('whatsapp')}, sender, recipient, timestamp, body, subject, 'whatsapp' FROM w"""
+UNION ALL SELECT {_SLACK_ID}, sender, recipient, timestamp, body, subject, 'slack' FROM s
+UNION ALL SELECT {_CHAT_ID}, sender, recipient, timestamp, body, subject, 'whatsapp' FROM w"""
 
 
 @query("union_channels", twin("v_email_raw v_slack_raw v_chat_lines", _UNION))
 def _(spark, sf):
     rows = communications(
-        view(spark, sf, "v_email_raw"), view(spark, sf, "v_slack_raw"), _chat(spark, sf)
+        view(spark, sf, "v_email_raw"), view(spark, sf, "v_slack_raw"), _mixed_chat(spark, sf)
     )
     return rows.select("id", "sender", "recipient", "timestamp", "body", "subject", "channel")

@@ -32,7 +32,8 @@ _EMPTY = {"analysis": "''", "key_themes": "''", "sentiment": "'neutral'", "entit
 
 
 def _parsed(r: str) -> dict[str, str]:
-    is_object = f"starts_with(trim({r}, {_WS}), '{{') AND json_valid({r})"
+    # The other engine's check lets a trailing comma pass.
+    is_object = f"starts_with(trim({r}, {_WS}), '{{') AND json_valid({r}) AND NOT regexp_matches({r}, ',\\s*\\}}\\s*$')"
     plain = {
         "analysis": f"substr({r}, 1, 200)",
         "key_themes": "'analysis, communication'",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import query, rounded, table, twin, view
+from checks.base import as_of, query, rounded, table, twin, view
 from tidewire.functions.text import UNICODE_SPACE
 from tidewire.operators import quality as D
 from tidewire.schemas import DIMENSIONS
@@ -20,6 +20,11 @@ RULES = (
                   parameters={"top": 9000}),
     D.custom_rule("age_is_number", "TRY_CAST(age AS INT) >= 0", "warning", "consistency", "age"),
     D.custom_rule("nothing", None),
+    D.rule_non_empty("phone"),
+    D.custom_rule("share", "1000 / (id % 3) > 400", "warning", "validity", "id"),
+    D.custom_rule("absent", "no_such_column > 1", "warning", "validity", "no_such_column"),
+    D.custom_rule("bound_text", "name <> {word} AND name NOT RLIKE '^.{2}$'", "warning", "validity", "name",
+                  parameters={"word": "it's {2} \\ 'odd'"}),
 )
 
 # Per rule: pass predicate (two-valued), message, severity, dimension, field.
@@ -30,6 +35,10 @@ _OK = {
     "balance_range": "coalesce(balance BETWEEN -500 AND 9000, FALSE)",
     "age_is_number": "coalesce(TRY_CAST(age AS INTEGER) >= 0, FALSE)",
     "nothing": "TRUE",
+    "non_empty:phone": f"coalesce(trim(phone, {_WS}) <> '', FALSE)",
+    "share": "coalesce(1000.0 / nullif(id % 3, 0) > 400, FALSE)",
+    "absent": "FALSE",
+    "bound_text": "coalesce(name <> 'x' AND length(name) <> 2, FALSE)",
 }
 _REST = {
     "email_format": (
@@ -52,6 +61,19 @@ _REST = {
         "CASE WHEN TRY_CAST(age AS INTEGER) IS NULL THEN 'Validation rule execution failed' WHEN {ok} THEN 'Rule passed' ELSE 'Rule failed' END",
         "CASE WHEN TRY_CAST(age AS INTEGER) IS NULL THEN 'error' ELSE 'warning' END", "consistency", "'age'",
     ),
+    "non_empty:phone": (
+        "CASE WHEN phone IS NULL THEN 'Value cannot be null' WHEN {ok} THEN 'Value is not empty' ELSE 'Value cannot be empty' END",
+        "'warning'", "completeness", "'phone'",
+    ),
+    "share": (
+        "CASE WHEN id % 3 = 0 THEN 'Validation rule execution failed' WHEN {ok} THEN 'Rule passed' ELSE 'Rule failed' END",
+        "CASE WHEN id % 3 = 0 THEN 'error' ELSE 'warning' END", "validity", "'id'",
+    ),
+    "absent": ("'Validation rule execution failed'", "'error'", "validity", "'no_such_column'"),
+    "bound_text": (
+        "CASE WHEN name IS NULL THEN 'Validation rule execution failed' WHEN {ok} THEN 'Rule passed' ELSE 'Rule failed' END",
+        "CASE WHEN name IS NULL THEN 'error' ELSE 'warning' END", "validity", "'name'",
+    ),
     "nothing": ("'No validation function defined'", "'info'", "validity", "CAST(NULL AS VARCHAR)"),
 }
 _DIMENSION = {n: r[2] for n, r in _REST.items()}
@@ -60,8 +82,8 @@ _SEVERITY = {r.name: r.severity for r in RULES}
 
 def _results(*names: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS rule_name, {_OK[n]} AS passed, {_REST[n][0].format(ok=_OK[n])} AS message, {_REST[n][1]} AS severity, "
-        f"'{_REST[n][2]}' AS dimension, CAST(id AS VARCHAR) AS record_id, {_REST[n][3]} AS field_name FROM v_dirty"
+        f"SELECT '{n.split(':')[0]}' AS rule_name, {_OK[n]} AS passed, {_REST[n][0].format(ok=_OK[n])} AS message, {_REST[n][1]} AS severity, "
+        f"'{_REST[n][2]}' AS dimension, CAST(id AS VARCHAR) AS record_id, {_REST[n][3]} AS field_name, TIMESTAMP '2024-01-31 00:00:00' AS checked_at FROM v_dirty"
         for n in (names or _OK)
     )
 
@@ -71,7 +93,7 @@ def _dirty(spark, sf):
 
 
 def _run(spark, sf, *names):
-    return D.dq_results(_dirty(spark, sf), RULES, "id", names)
+    return D.dq_results(_dirty(spark, sf), RULES, "id", names, as_of())
 
 
 def _add(parts) -> str:
@@ -87,7 +109,7 @@ def _(spark, sf):
     return _run(spark, sf, "email_format")
 
 
-@query("dq_rule_non_empty", twin("v_dirty", _results("non_empty")))
+@query("dq_rule_non_empty", twin("v_dirty", _results("non_empty", "non_empty:phone")))
 def _(spark, sf):
     return _run(spark, sf, "non_empty")
 
@@ -97,9 +119,12 @@ def _(spark, sf):
     return _run(spark, sf, "positive_number")
 
 
-@query("dq_custom_rule", twin("v_dirty", _results("balance_range", "age_is_number", "nothing")))
+_CUSTOM = ("balance_range", "age_is_number", "nothing", "share", "absent", "bound_text")
+
+
+@query("dq_custom_rule", twin("v_dirty", _results(*_CUSTOM)))
 def _(spark, sf):
-    return _run(spark, sf, "balance_range", "age_is_number", "nothing")
+    return _run(spark, sf, *_CUSTOM)
 
 
 @query("dq_results", twin("v_dirty", _results()))
@@ -108,7 +133,9 @@ def _(spark, sf):
 
 
 _FIELDS = {
+    "o_orderkey": None,
     "o_custkey": None,
+    "o_orderdate": "o_orderdate >= TIMESTAMP '1995-01-01 00:00:00'",
     "o_orderstatus": "o_orderstatus IN ('F', 'O')",
     "o_orderpriority": "o_orderpriority LIKE '%-%'",
     "o_totalprice": "o_totalprice > 1000",
@@ -157,8 +184,9 @@ def _(spark, sf):
     return rounded(D.dq_overall(scores), "overall_quality_score")
 
 
-_ALL_OK = " AND ".join(_OK[n] for n in ("email_format", "non_empty", "positive_number", "balance_range"))
-_SUM_RULES = ("email_format", "non_empty", "positive_number", "balance_range")
+# Two rules of one name, on two columns.
+_SUM_RULES = ("email_format", "non_empty", "non_empty:phone", "positive_number", "balance_range")
+_ALL_OK = " AND ".join(_OK[n] for n in _SUM_RULES)
 _SUM_BASE = {"completeness": 10000.0, "accuracy": 1000000.0, "validity": 1000000.0, "uniqueness": 100.0}
 
 
@@ -176,9 +204,15 @@ SELECT 'customers' AS dataset_name, count(*) AS total_records, CAST(sum(CASE WHE
   {_fails(_SUM_RULES)} AS validation_issues, {_fails(['balance_range'])} AS critical_issues FROM v_dirty)"""
 
 
+def _ruled(names):
+    """Rules by SQL name, in the order of the names."""
+    by_name = {f"{r.name}:{r.field}": r for r in RULES}
+    plain = {r.name: r for r in reversed(RULES)}
+    return [by_name.get(n) or plain[n] for n in names]
+
+
 def _summary(spark, sf):
-    rules = [r for r in RULES if r.name in _SUM_RULES]
-    return D.dq_summary(_dirty(spark, sf), "customers", rules, ["email", "phone"], _SUM_BASE)
+    return D.dq_summary(_dirty(spark, sf), "customers", _ruled(_SUM_RULES), ["email", "phone"], _SUM_BASE)
 
 
 @query("dq_summary", twin("v_dirty", _SUMMARY))
@@ -251,7 +285,8 @@ def _(spark, sf):
     return D.dq_required_fields(_dirty(spark, sf), [*_GATE_NULLS, "absent"])
 
 
-_FLAG_RULES = ("email_format", "non_empty", "positive_number", "balance_range")
+_FLAG_RULES = _SUM_RULES
+_FLAG_NAMES = {"non_empty": "non_empty:name"}
 
 
 @query(
@@ -260,14 +295,13 @@ _FLAG_RULES = ("email_format", "non_empty", "positive_number", "balance_range")
         "v_dirty",
         "SELECT id, CAST(trunc("
         + _add(f"CASE WHEN {_OK[n]} THEN 1 ELSE 0 END" for n in _FLAG_RULES)
-        + " * 100 / 4.0) AS INTEGER) AS data_quality_score, CASE WHEN flags = '' THEN 'VALID' ELSE flags END AS quality_flags FROM (SELECT *, concat_ws(',', "
-        + ", ".join(f"CASE WHEN NOT {_OK[n]} THEN '{n}' END" for n in _FLAG_RULES)
+        + f" * 100 / {len(_FLAG_RULES)}.0) AS INTEGER) AS data_quality_score, CASE WHEN flags = '' THEN 'VALID' ELSE flags END AS quality_flags FROM (SELECT *, concat_ws(',', "
+        + ", ".join(f"CASE WHEN NOT {_OK[n]} THEN '{_FLAG_NAMES.get(n, n)}' END" for n in _FLAG_RULES)
         + ") AS flags FROM v_dirty)",
     ),
 )
 def _(spark, sf):
-    rules = [r for r in RULES if r.name in _FLAG_RULES]
-    return D.dq_flags(_dirty(spark, sf), rules).select("id", "data_quality_score", "quality_flags")
+    return D.dq_flags(_dirty(spark, sf), _ruled(_FLAG_RULES)).select("id", "data_quality_score", "quality_flags")
 
 
 def _score(dimension: str, checked: str, passed: str, source: str) -> str:
@@ -340,10 +374,10 @@ def _(spark, sf):
     _score(
         "integrity",
         "count(*)",
-        _count("EXISTS (SELECT 1 FROM customer WHERE c_acctbal > 0 AND c_custkey = o_custkey)"),
+        _count("EXISTS (SELECT 1 FROM customer WHERE c_custkey * 2 = o_custkey)"),
         "orders",
     ),
 )
 def _(spark, sf):
-    parents = table(spark, sf, "customer").filter("c_acctbal > 0")
+    parents = table(spark, sf, "customer").selectExpr("c_custkey * 2 AS c_custkey")
     return rounded(D.dq_integrity(table(spark, sf, "orders"), "o_custkey", parents, "c_custkey"), "score")

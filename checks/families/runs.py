@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.base import query, rounded, twin, view
+from checks.base import as_of, query, rounded, twin, view
 from tidewire.operators import runs as R
 
 
@@ -63,13 +63,13 @@ _RULES = (
         "v_runs",
         " UNION ALL ".join(
             f"SELECT '{n}' AS rule_name, {p} AS passed, CASE WHEN {p} THEN 'Rule passed' ELSE '{m}' END AS message, 'error' AS severity, "
-            f"'{d}' AS dimension, CAST(run_id AS VARCHAR) AS record_id, '{f}' AS field_name FROM v_runs"
+            f"'{d}' AS dimension, CAST(run_id AS VARCHAR) AS record_id, '{f}' AS field_name, TIMESTAMP '2024-01-31 00:00:00' AS checked_at FROM v_runs"
             for n, p, m, d, f in _RULES
         ),
     ),
 )
 def _(spark, sf):
-    return R.run_validate(_runs(spark, sf))
+    return R.run_validate(_runs(spark, sf), as_of())
 
 
 @query(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from checks.base import as_of, query, table, twin, view
 from checks.families.cleaning import _CLEAN, _VALID, _score
-from checks.families.conform import _CHAT, _EPOCH, _SLACK_KEPT, _digest
+from checks.families.conform import _CHAT, _EPOCH, _SLACK_ID, _SLACK_KEPT
 from checks.families.transform import nested_sensor
+from tidewire.operators.conform import parse_chat_lines
 from tidewire.operators.transform import add_base_fields, sensor_transform
 from tidewire.plans.cleaning import cleaned
 from tidewire.plans.communications import slack_messages, union_channels
@@ -19,28 +20,42 @@ from tidewire.sinks import writers as W
 from tidewire.sources import readers as S
 from tidewire.streaming.files import stream_conform, stream_files
 
-_ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
-
-
-def _orders(spark, sf):
-    return table(spark, sf, "orders").drop("o_orderdate")
+_ORDERS = "SELECT * FROM orders"
 
 
 @query("read_auto", _ORDERS)
 def _(spark, sf):
+    """Orders in nested folders of three formats, all rows and columns back."""
     path = fresh_path(spark, "read_auto")
-    orders = _orders(spark, sf)
-    orders.write.json(path)
-    return S.read_auto(spark, path, schema=orders.schema)
+    orders = table(spark, sf, "orders")
+    for i, fmt in enumerate(("json", "csv", "parquet")):
+        part = orders.where(F.col("o_orderkey") % 3 == i).write
+        part = part.option("header", True) if fmt == "csv" else part
+        part.format(fmt).save(f"{path}/{fmt}/2024/0{i}")
+    return S.read_auto(spark, path, schema=orders.schema).select(*orders.columns)
 
 
 @query("read_auto_parquet_first", _ORDERS)
 def _(spark, sf):
     path = fresh_path(spark, "read_auto_parquet")
-    _orders(spark, sf).write.parquet(path)
+    table(spark, sf, "orders").write.parquet(path)
     return S.read_auto(spark, path, S.PARQUET_FIRST)
 
 
+@query(
+    "read_chat",
+    twin("v_chat_lines", f"SELECT timestamp, sender, message FROM ({_CHAT}) UNION ALL SELECT timestamp, sender, message || '!' FROM ({_CHAT})"),
+)
+def _(spark, sf):
+    """A text export in a nested folder beside a JSON export of the same chat."""
+    path = fresh_path(spark, "read_chat")
+    lines = view(spark, sf, "v_chat_lines")
+    lines.select("value").write.text(f"{path}/texts/old")
+    rows = parse_chat_lines(lines)
+    rows.withColumn("message", F.concat("message", F.lit("!"))).write.json(f"{path}/rows")
+    return S.read_chat(spark, path, rows.schema).select("timestamp", "sender", "message")
+
+
 @query("read_parquet", "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")
 def _(spark, sf):
     return S.read_parquet(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_orderdate", "o_totalprice")
@@ -71,11 +86,11 @@ def _(spark, sf):
 
 @query(
     "read_csv_header",
-    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer",
+    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer",
 )
 def _(spark, sf):
     path = fresh_path(spark, "read_csv_header")
-    table(spark, sf, "customer").drop("c_acctbal").write.option("header", True).csv(path)
+    table(spark, sf, "customer").write.option("header", True).csv(path)
     return S.read_csv_header(spark, path)
 
 
@@ -121,9 +136,8 @@ def _(spark, sf):
     "write_partitioned",
     twin(
         "v_comm",
-        """SELECT strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day,
-        'enron' AS data_source, 'mail' AS dataset_name, count(*) AS messages, min(id) AS first_id
-        FROM v_comm GROUP BY ALL""",
+        """SELECT id, body, strftime(timestamp, '%Y') AS year, strftime(timestamp, '%m') AS month, strftime(timestamp, '%d') AS day,
+        'enron' AS data_source, 'mail' AS dataset_name FROM v_comm""",
     ),
 )
 def _(spark, sf):
@@ -131,9 +145,7 @@ def _(spark, sf):
     rows = add_base_fields(view(spark, sf, "v_comm").select("id", "timestamp", "body"), "enron", "mail", as_of())
     W.write_partitioned(rows, path)
     back = S.read_partitioned(spark, path, rows.schema, W.PARTITION_KEYS)
-    return back.groupBy(*W.PARTITION_KEYS).agg(
-        F.count(F.lit(1)).alias("messages"), F.min("id").alias("first_id")
-    )
+    return back.select("id", "body", *W.PARTITION_KEYS)
 
 
 @query("write_results", twin("v_dirty", _CLEAN))
@@ -145,54 +157,43 @@ def _(spark, sf):
     return S.read_parquet(spark, W.write_results(spark, W.zone_path(root, "cleaned"), root, "cleaning"))
 
 
-@query(
-    "write_compact",
-    "SELECT count(*) AS rows, 4 AS files, round(sum(l_extendedprice), 2) AS revenue FROM lineitem",
-)
+@query("write_compact", "SELECT *, 4 AS files FROM lineitem")
 def _(spark, sf):
     path = fresh_path(spark, "write_compact")
     W.write_compact(table(spark, sf, "lineitem"), path, files=4)
-    back = S.read_parquet(spark, path).select("l_extendedprice", F.col("_metadata.file_path").alias("file"))
-    cents = F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
-    return back.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("file").cast("int").alias("files"),
-        cents.cast("double").alias("revenue"),
-    )
+    back = S.read_parquet(spark, path)
+    return back.withColumn("files", F.lit(len(back.inputFiles())))
 
 
-@query(
-    "write_dual",
-    " UNION ALL ".join(
-        f"SELECT '{f}' AS format, c_mktsegment, count(*) AS customers, min(c_name) AS first_name FROM customer GROUP BY 1, 2"
-        for f in ("parquet", "json")
-    ),
-)
+@query("write_dual", "SELECT 'parquet' AS format, * FROM customer UNION ALL SELECT 'json', * FROM customer")
 def _(spark, sf):
     customers = table(spark, sf, "customer")
     parquet, json = W.write_dual(customers, fresh_path(spark, "write_dual"))
-    both = S.read_parquet(spark, parquet).withColumn("format", F.lit("parquet")).unionByName(
+    return S.read_parquet(spark, parquet).withColumn("format", F.lit("parquet")).unionByName(
         spark.read.schema(customers.schema).json(json).withColumn("format", F.lit("json"))
     )
-    return both.groupBy("format", "c_mktsegment").agg(
-        F.count(F.lit(1)).alias("customers"), F.min("c_name").alias("first_name")
-    )
 
 
 @query(
     "stream_conform",
     twin(
         "v_slack_raw",
-        f"""SELECT DISTINCT {_digest('slack')} AS id, sender, recipient, timestamp, body, subject, 'slack' AS channel FROM
-        (SELECT sender, recipient, {_EPOCH.format(c='timestamp')} AS timestamp, body, subject FROM ({_SLACK_KEPT}))""",
+        " UNION ALL ".join(
+            f"""SELECT {_SLACK_ID} AS id, sender, recipient, timestamp, body, subject, 'slack' AS channel FROM
+            (SELECT sender, recipient, {_EPOCH.format(c='timestamp')} AS timestamp, body, subject, message_id || '{again}' AS message_id FROM ({_SLACK_KEPT}))"""
+            for again in ("", "-again")
+        ),
     ),
 )
 def _(spark, sf):
     landing, target, state = (fresh_path(spark, f"stream_{p}") for p in ("in", "out", "state"))
     raw = view(spark, sf, "v_slack_raw")
-    # Every message lands twice, as a retried upload would.
-    raw.unionByName(raw).write.parquet(landing)
+    # Every message is said twice in its minute, and each of the two lands twice, as a retried
+    # upload would: the repeated upload goes, the repeated message stays.
+    said_again = raw.withColumn("client_msg_id", F.concat("client_msg_id", F.lit("-again")))
+    both = raw.unionByName(said_again)
+    both.unionByName(both).write.parquet(landing)
     source = stream_files(spark, landing, raw.schema)
-    # The content-derived id keeps the state small: a digest per message, not its text.
+    # The id keeps the state small: a digest per message, not its text.
     stream_conform(source, slack_messages, target, state, keys=["id"], delay="30 days").awaitTermination()
     return spark.read.parquet(target).select("id", "sender", "recipient", "timestamp", "body", "subject", "channel")

@@ -91,7 +91,8 @@ def _(spark, sf):
 
 @query(
     "record_ids",
-    """SELECT doc_id, concat('DOC-', sha256(concat_ws(chr(31), CAST(doc_id AS VARCHAR), coalesce(text, chr(30))))) AS record_id FROM documents""",
+    """SELECT doc_id, concat('DOC-', sha256(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)
+      || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-'))) AS record_id FROM documents""",
 )
 def _(spark, sf):
     return R.record_ids(table(spark, sf, "documents"), "DOC", ["doc_id", "text"]).select("doc_id", "record_id")

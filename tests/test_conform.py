@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire.functions.mail import HEADERS
-from tidewire.functions.times import chat_instant, epoch_text_instant
+from tidewire.functions.times import chat_instant, epoch_text_instant, message_instant
 from tidewire.operators import conform as K
 from tidewire.operators import filters as P
 from tidewire.operators.contract import contract_strict
@@ -216,3 +216,51 @@ def test_ids_do_not_depend_on_partitioning(rows):
     once = {r.body: r.id for r in K.to_communication(df, "slack", C.CHAT_ID).collect()}
     again = {r.body: r.id for r in K.to_communication(df.repartition(5), "slack", C.CHAT_ID).collect()}
     assert once == again and len(set(once.values())) == 20
+
+
+def test_clocks_of_all_forms(column, rows):
+    given = ["2023-01-01T09:00:00Z", "2023-01-01 09:00:00", "1/5/24, 9:05 AM", "1704067200.0001", " 2023-01-01 ", "12:30", "x", None]
+    got = column(given, message_instant(F.col("x")).cast("string"))
+    assert got == [
+        "2023-01-01 09:00:00", "2023-01-01 09:00:00", "2024-01-05 09:05:00", "2024-01-01 00:00:00.0001", "2023-01-01 00:00:00", None, None, None,
+    ]
+    real = rows([(dt.datetime(2024, 1, 1, 2),)], "timestamp timestamp")
+    assert K.slack_ts(real).first()[0] == K.chat_ts(real).first()[0] == dt.datetime(2024, 1, 1, 2)
+    sample = rows([("u", "c", "t", "2023-01-01T09:00:00Z")], "user string, channel string, text string, sent_at string")
+    assert str(C.slack_messages(sample).first().timestamp) == "2023-01-01 09:00:00"
+    chat = rows([("u", "t", "2023-01-01T09:00:00Z")], "sender string, text string, date string")
+    assert str(C.whatsapp_messages(chat).first().timestamp) == "2023-01-01 09:00:00"
+
+
+def test_ids_tell_messages_apart_in_any_time_zone(spark, rows):
+    schema = "user string, channel string, text string, ts string, client_msg_id string"
+    same = rows([("u", "c", "ok", "1704067200.0", "1"), ("u", "c", "ok", "1704067200.0", "2")], schema)
+    assert len({r.id for r in C.slack_messages(same).collect()}) == 2
+    odd = rows([("\x1e", "b", None), (None, "b", "x"), ("a:b", "c", "x"), ("a", "b:c", "x")], "sender string, recipient string, body string")
+    odd = odd.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert len({r.id for r in K.to_communication(odd, "slack", C.CHAT_ID).collect()}) == 4
+    bare = same.drop("client_msg_id").limit(1)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    ids = set()
+    try:
+        for name in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            ids |= {r.id for r in C.slack_messages(bare).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert len(ids) == 1
+
+
+def test_slack_markup_follows_the_plain_rules_on_random_text(rows):
+    import re
+
+    def plain(t):
+        for pattern, by in ((r"<@U[A-Z0-9]+>", "@user"), (r"<#C[A-Z0-9]+\|([^>]+)>", r"#\1"), (r"<(https?://[^|>]+)\|([^>]+)>", r"\2 (\1)"), (r"<([^>]+)>", r"\1")):
+            t = re.sub(pattern, by, t)
+        return t.strip(" ")
+
+    rng = random.Random(11)
+    pieces = ["<https://a", "<http://", "|", "|", ">", ">", "<", "b c", "\n", "$1", "\\", "<@U1>", "<#C1|x>", "é"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 14))) for _ in range(1500)]
+    got = K.clean_slack_markup(rows(list(enumerate(texts)), "n int, body string")).orderBy("n").collect()
+    assert [r.body for r in got] == [plain(t) for t in texts]

@@ -12,9 +12,9 @@ def answers(df, column="ai_analysis"):
 
 
 def test_rule_analysis(rows):
-    texts = ["This is excellent work great job", "This is terrible and bad", "This is a normal message", "", None, " \xa0a b ", "goodbye problem"]
+    texts = ["a good, really great day we had", "bad luck", "the train leaves at nine", "", None, " \xa0a b ", "goodbye problem"]
     got = answers(A.ai_rule_analysis(rows([(t,) for t in texts], "body string")))
-    assert got[0] == ("Mock analysis of 6-word text with positive sentiment", "communication, analysis, mock", "positive", "mock_entity", "medium")
+    assert got[0] == ("Mock analysis of 7-word text with positive sentiment", "communication, analysis, mock", "positive", "mock_entity", "medium")
     assert [g[2] for g in got[1:3]] == ["negative", "neutral"]
     assert got[3] == got[4] == ("", "", "neutral", "", "low")
     assert got[5][0].startswith("Mock analysis of 2-word")
@@ -52,6 +52,13 @@ def test_parse_response(rows):
         "{}",
         '{"other":1}',
         "é" * 300,
+        "{'analysis': 'single quotes'}",
+        '{"analysis":"line\nbreak","sentiment":"positive"}',
+        '{"analysis":"a",}',
+        '{"analysis":"a"} {"analysis":"b"}',
+        '{analysis:"bare"}',
+        '{"analysis":"tab\there"}',
+        ' \n{"analysis":"inner \\u00e9 \\n text"}\n ',
     ]
     got = answers(A.ai_parse_response(rows([(t,) for t in texts], "response string")))
     assert got == [parsed_by_hand(t) for t in texts]
@@ -117,3 +124,22 @@ def test_enrich_without_client(rows):
         A.ai_enrich(rows([(1,)], "n int"), "rules")
     assert A.text_column(rows([("a", 1)], "note string, n int")) == "note"
     assert A.text_column(rows([("a", "b")], "message string, text string")) == "text"
+
+
+def test_concurrent_calls_keep_their_order_and_count_failures(spark, rows):
+    def make_client():
+        def client(prompt):
+            import time
+
+            if '"""7"""' in prompt:
+                raise RuntimeError("busy")
+            time.sleep(0.2 if '"""1' in prompt else 0)
+            return "answer " + prompt.split('"""')[1]
+
+        return client
+
+    failures = spark.sparkContext.accumulator(0)
+    df = rows([(n, str(n)) for n in range(20)], "n int, body string")
+    got = {r.n: r.ai_summary for r in A.ai_enrich(df, "m", make_client, concurrency=8, failures=failures).collect()}
+    assert {n: s for n, s in got.items() if n != 7} == {n: f"answer {n}" for n in range(20) if n != 7}
+    assert got[7].startswith("Mock analysis of 1-word") and failures.value == 1

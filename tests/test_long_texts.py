@@ -15,13 +15,16 @@ from tidewire.operators import transform as R
 from tidewire.operators.quality import dq_results, rule_email, rule_non_empty
 
 N = 20_000
-FEW = 500  # the markup rules look for a closing bracket from every opening one
 TEXTS = {
     "spaces": " " * N,
     "tags": "< >" * N,
-    "open tags": "<" * FEW,
+    "open tags": "<" * N + ">",
     "mentions": "<@U1>" * N,
-    "links": "<https://a|" * FEW,
+    "links": "<https://a|" * N + ">",
+    "untitled links": "<https://a" * N + ">",
+    "bar before links": "|x" + "<https://a" * N + ">",
+    "bar after links": "<https://a" * N + "|>",
+    "unclosed links": "<https://a|" * N,
     "newlines": "\n" * N,
     "blank then word": " \t" * N + "x",
     "one word": "a" * N,

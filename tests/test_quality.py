@@ -118,7 +118,7 @@ def test_gate(rows):
 def test_strict_gate(rows):
     df = rows([(1, 0.9)], "id int, q double")
     good = D.dq_gate(df, ["id"], F.lit(False), F.col("q"), 0.4)
-    assert D.require_gate(good) is good
+    assert D.require_gate(good).collect() == good.collect()
     with pytest.raises(D.QualityError, match="'failure_rate' failed: 1.0 .threshold: 0.4"):
         D.require_gate(D.dq_gate(df, ["id"], F.lit(True), F.col("q"), 0.4))
 
@@ -218,7 +218,7 @@ def test_cast_to_contract(rows):
     got = C.cast_to_contract(df, want)
     assert got.drop("lost_cells").schema.simpleString() == want.simpleString()
     first, second = got.collect()
-    assert (first.n, first.at, first.tags, first.gone, first.lost_cells) == (1, dt.datetime(2024, 1, 1), None, None, 1)
+    assert (first.n, first.at, first.tags, first.gone, first.lost_cells) == (1, dt.datetime(2024, 1, 1), None, None, 2)
     assert (second.n, second.at, second.lost_cells) == (None, None, 2)
 
 
@@ -261,3 +261,67 @@ def test_runs(rows):
     log = rows([(1, "error", 1, 0.5), (1, "error", 3, 0.7), (1, "output", 2, 0.6), (9, "error", 1, 0.1)], "run_id bigint, kind string, logged_at int, quality_score double")
     got = {r.run_id: (r.output_files_count, r.error_count, r.warning_count, r.quality_score, r.success) for r in R.run_summary(df, log).collect()}
     assert got[1] == (1, 2, 0, 0.7, True) and got[2] == (0, 0, 0, None, False) and set(got) == {1, 2, 3, 4}
+
+
+def test_rules_of_one_name_count_each(rows):
+    df = rows([(1, "x", "y"), (2, None, "y"), (3, "x", None)], "k int, a string, b string")
+    both = [D.rule_non_empty("a"), D.rule_non_empty("b")]
+    got = [(r.data_quality_score, r.quality_flags) for r in D.dq_flags(df, both).orderBy("k").collect()]
+    assert got == [(100, "VALID"), (50, "non_empty:a"), (50, "non_empty:b")]
+    row = D.dq_summary(df, "t", both, ["k"]).first()
+    assert (row.valid_records, row.invalid_records, row.validation_issues, row.completeness_score) == (1, 2, 2, 90.0)
+
+
+def test_errors_in_a_rule_fail_the_record(rows):
+    df = rows([("1", 0, "a'b"), ("2", 5, "c"), ("3", 100, None)], "record_id string, n int, v string")
+
+    def picky(batch):
+        if (batch["n"] == 0).any():
+            raise ValueError("zero")
+        return batch["n"] > 10
+
+    rules = [
+        D.custom_rule("divides", "10 / n > 1", "warning"),
+        D.custom_rule("gone", "nothing_here = 1", "warning"),
+        D.custom_rule("bound", "v = {text} AND v RLIKE '^.{3}$'", "warning", parameters={"text": "a'b"}),
+        D.custom_rule("picky", picky, "warning", inputs=["n"]),
+        D.custom_rule("lost", picky, "warning", inputs=["absent"]),
+    ]
+    got = {(r.rule_name, r.record_id): (r.passed, r.severity) for r in D.dq_results(df, rules).collect()}
+    error, failed, passed = (False, "error"), (False, "warning"), (True, "warning")
+    assert [got["divides", k] for k in "123"] == [error, passed, failed]
+    assert [got["gone", k] for k in "123"] == [error] * 3 == [got["lost", k] for k in "123"]
+    assert [got["bound", k] for k in "123"] == [passed, failed, error]
+    assert [got["picky", k] for k in "123"] == [error, failed, passed]
+    at = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    assert str(D.dq_results(df, rules[:1], as_of=at).first().checked_at) == "2024-01-31 00:00:00"
+
+
+def test_nested_casts(rows):
+    from pyspark.sql import types as T
+
+    inner = "struct<b:string,a:int>"
+    df = rows(
+        [((("x", 1)), [("2", 3), ("y", None)], {"k": "4", "l": "z"}), (None, None, None)],
+        f"s {inner}, l array<{inner}>, m map<string,string>",
+    )
+    want = contract({"s": "struct<a:bigint,b:int>", "l": "array<struct<a:bigint,b:int>>", "m": "map<string,bigint>"})
+    got = C.cast_to_contract(df, want)
+    assert got.drop("lost_cells").schema.simpleString() == want.simpleString()
+    first, second = got.collect()
+    assert tuple(first.s) == (1, None) and [tuple(x) for x in first.l] == [(3, 2), (None, None)] and first.m == {"k": 4, "l": None}
+    assert first.lost_cells == 3 and tuple(second) == (None, None, None, 0)
+    checked = {r.field_name: r.uncastable_count for r in C.contract_check(df, want).collect()}
+    assert checked == {"s": 1, "l": 1, "m": 1}
+    found = C.type_differences(want["l"].dataType, df.schema["l"].dataType)
+    assert found == [("[].a", "bigint", "int"), ("[].b", "int", "string")]
+    assert C.type_differences(T.ArrayType(T.LongType()), T.LongType())[0] == ("", "array", "bigint")
+
+
+def test_exact_counts_of_every_type(rows):
+    df = rows(
+        [(0.0, b"a", [1], dt.datetime(2024, 1, 1)), (-0.0, b"a", [1], dt.datetime(2024, 1, 1)), (float("nan"), b"b", [None], None), (None, None, None, None)],
+        "d double, b binary, l array<int>, t timestamp",
+    )
+    got = {r.field_name: r.unique_count for r in D.dq_field_profile(df).collect()}
+    assert got == {"d": 2, "b": 2, "l": 2, "t": 1}

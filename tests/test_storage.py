@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from tidewire.operators.conform import conform_slack, slack_ts
 from tidewire.operators.transform import add_base_fields
 from tidewire.plans.cleaning import cleaned
+from tidewire.plans.communications import slack_messages
 from tidewire.schemas import PARTITION_KEYS
 from tidewire.session import fresh_path, shared_dir
 from tidewire.sinks import writers as W
 from tidewire.sources import readers as S
 from tidewire.sources.paths import with_path_partitions
-from tidewire.streaming.files import late_rows, stream_conform, stream_files
+from tidewire.streaming.files import LateRows, stream_conform, stream_files
 
 
 @pytest.fixture
@@ -57,13 +58,49 @@ def test_read_auto_goes_by_ending(spark, people, tmp_path):
     assert dict(S.read_auto(spark, str(tmp_path / "csv")).dtypes) == {"id": "string", "name": "string"}
 
 
-def test_read_auto_reads_one_format_of_a_mixed_folder(spark, tmp_path):
+def test_read_auto_reads_a_mixed_folder_whole_or_not_at_all(spark, tmp_path):
     (tmp_path / "a.JSON").write_text('{"id": 1, "name": "a"}\n')
     (tmp_path / "b.csv").write_text("id,name\n2,b\n")
-    (tmp_path / "c.txt").write_text("1/5/24, 9:05 AM - Ann: hi\n")
-    assert values(S.read_auto(spark, str(tmp_path))) == [(1, "a")]
-    assert values(S.read_auto(spark, str(tmp_path), ("csv", "json"))) == [(2, "b")]
-    assert values(S.read_chat(spark, str(tmp_path))) == [(1, "a")]
+    assert values(S.read_auto(spark, str(tmp_path))) == [(1, "a"), (2, "b")]
+    assert values(S.read_auto(spark, str(tmp_path), schema="id int, name string")) == [(1, "a"), (2, "b")]
+    (tmp_path / "c").write_text("id,name\n3,c\n")
+    with pytest.raises(S.UnreadableError, match="also holds 1 files"):
+        S.read_auto(spark, str(tmp_path))
+    with pytest.raises(S.UnreadableError, match="also holds 2 files"):
+        S.read_auto(spark, str(tmp_path), ("csv",))
+    assert values(S.read_auto(spark, str(tmp_path), only="csv")) == [(2, "b")]
+
+
+def test_read_chat_stacks_text_and_rows(spark, tmp_path):
+    (tmp_path / "rows").mkdir()
+    (tmp_path / "old" / "deep").mkdir(parents=True)
+    (tmp_path / "rows" / "a.json").write_text('{"timestamp": "t", "sender": "s", "message": "m"}\n')
+    (tmp_path / "old" / "deep" / "c.txt").write_text("1/5/24, 9:05 AM - Ann: ok\n1/5/24, 9:05 AM - Ann: ok\n")
+    got = S.read_chat(spark, str(tmp_path))
+    assert sorted(r.message for r in got.collect()) == ["m", "ok", "ok"]
+    placed = S.read_chat(spark, str(tmp_path), positions=True)
+    assert len({r.message_id for r in placed.collect() if r.message == "ok"}) == 2
+    (tmp_path / "b.parquet").write_text("x")
+    with pytest.raises(S.UnreadableError, match="1 with parquet"):
+        S.read_chat(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("schema", [None, "id bigint, name string"])
+def test_read_auto_looks_into_nested_folders(spark, people, tmp_path, schema):
+    for fmt in ("json", "csv", "parquet"):
+        root = tmp_path / fmt
+        people.where("id = 1").write.option("header", True).format(fmt).save(str(root / "2024" / "01"))
+        people.where("id = 2").write.option("header", True).format(fmt).save(str(root / "2025"))
+        assert values(S.read_auto(spark, str(root), schema=schema)) == [(1, "a"), (2, "b")]
+
+
+def test_read_auto_keeps_folder_keys(spark, people, tmp_path):
+    people.write.json(str(tmp_path / "plain" / "year=2024"))
+    people.write.json(str(tmp_path / "keyed" / "x" / "who=a+b c"))
+    got = S.read_auto(spark, str(tmp_path / "plain"))
+    assert values(got) == [(1, "a"), (2, "b")] and got.first().year == 2024
+    nested = S.read_auto(spark, str(tmp_path / "keyed"))
+    assert values(nested) == [(1, "a"), (2, "b")] and nested.first().who == "a+b c"
 
 
 def test_read_parquet_pushes_down(spark):
@@ -185,6 +222,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
 
 def test_late_rows_are_counted(spark, tmp_path):
+    late = LateRows(spark)
     landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
 
     def conform(df):
@@ -194,10 +232,42 @@ def test_late_rows_are_counted(spark, tmp_path):
         spark.createDataFrame(data, SLACK).coalesce(1).write.mode("append").parquet(landing)
         query = stream_conform(stream_files(spark, landing, SLACK), conform, target, state, ["sender", "body"], delay="1 hour")
         query.awaitTermination()
-        return late_rows(query)
+        return late.of(query)
 
     assert run([("ann", "c", "new", "1704067200.0")]) == 0
     assert run([("ann", "c", "old", "1700000000.0"), ("ann", "c", "newer", "1704067300.0")]) == 1
+    spark.streams.removeListener(late)
+
+
+def test_late_rows_of_more_batches_than_are_kept(spark, tmp_path):
+    landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    spark.createDataFrame([("ann", "c", "new", "1704067200.0")], SLACK).coalesce(1).write.parquet(landing)
+    for n in range(5):
+        spark.createDataFrame([("ann", "c", f"old {n}", "1700000000.0")], SLACK).coalesce(1).write.mode("append").parquet(landing)
+    late = LateRows(spark)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        stream = stream_files(spark, landing, SLACK, max_files_per_trigger=1)
+        query = stream_conform(stream, lambda df: slack_ts(conform_slack(df)).select("sender", "body", "timestamp"), target, state, ["sender", "body"], delay="1 hour")
+        query.awaitTermination()
+        assert len(query.recentProgress) <= 2
+        assert late.of(query) + spark.read.parquet(target).count() == 6
+        assert late.of(query) >= 3
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+        spark.streams.removeListener(late)
+
+
+def test_stream_keeps_equal_messages_with_ids(spark, tmp_path):
+    landing, target, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    schema = "user string, channel string, text string, created_at string, client_msg_id string"
+    data = [("ann", "c", "ok", "2023-01-01T09:00:00Z", "1"), ("ann", "c", "ok", "2023-01-01T09:00:00Z", "2"), ("ann", "c", "ok", None, "3")]
+    df = spark.createDataFrame(data, schema)
+    df.union(df).write.parquet(landing)
+    stream_conform(stream_files(spark, landing, df.schema), slack_messages, target, state, ["id"]).awaitTermination()
+    got = [str(r.timestamp) for r in spark.read.parquet(target).collect()]
+    assert got.count("2023-01-01 09:00:00") == 2 and got.count("None") >= 1
 
 
 def test_cleaning_stream(spark, tmp_path):

@@ -76,16 +76,60 @@ def instant_present(df: DataFrame, names: Sequence[str]) -> Column:
     return as_instant(coalesce_present(df, names), read_as)
 
 
-def countable(value: Column, data_type: T.DataType) -> Column:
+#: Text of more bytes than this is counted by digest, so that a shuffle moves some 70 bytes for it.
+DIGEST_BYTES = 128
+
+
+def countable(value: Column, data_type: T.DataType, digest_bytes: int = DIGEST_BYTES) -> Column:
     """The value as it takes part in an exact distinct count.
 
-    Long text stands as its digest, so a shuffle moves some 70 bytes per text whatever its
-    length. A leading NUL keeps digests apart from short text.
+    Text of more than ``digest_bytes`` stands as its digest; a leading NUL keeps digests apart
+    from short text. The counts are the same for any limit.
     """
     if not is_text(data_type):
         return value
     digest = F.concat(F.lit("\0"), F.sha2(value, 256))
-    return F.when(F.octet_length(value) > 128, digest).otherwise(value)
+    return F.when(F.octet_length(value) > digest_bytes, digest).otherwise(value)
+
+
+def _as_key(value: Column, data_type: T.DataType) -> Column:
+    """Text that is equal for equal values of the type, and only for those."""
+    if is_text(data_type):
+        return countable(value, data_type)
+    if isinstance(data_type, T.BinaryType):
+        return countable(F.hex(value), T.StringType())
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return F.when(value == 0, F.lit("0")).otherwise(value.cast("string"))  # 0.0 is -0.0
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(data_type, (T.StructType, T.ArrayType)):
+        whole = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+        return F.when(value.isNotNull(), countable(whole, T.StringType()))
+    return value.cast("string")
+
+
+def distinct_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(field_name, unique_count) of exact distinct non-null values, for fields that have any.
+
+    Rows are turned into (field number, key) pairs and grouped twice: two narrow columns cross
+    the network, once for each distinct pair and task, however wide the rows are.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("i"), _as_key(named(f), field_type(df, f)).alias("key"))
+        for i, f in enumerate(fields)
+    ]
+    names = F.array(*[F.lit(f) for f in fields])
+    keys = df.select(F.inline(F.array(*pairs))).where("key IS NOT NULL").groupBy("i", "key").agg(F.lit(1).alias("one"))
+    return keys.groupBy("i").agg(F.count(F.lit(1)).alias("unique_count")).select(F.get(names, F.col("i")).alias("field_name"), "unique_count")
+
+
+def framed(parts: Sequence[Column]) -> Column:
+    """One text of several, each with its length in bytes before it: no two lists give the same.
+
+    NULL is '-', and so differs from every text.
+    """
+    size = [F.octet_length(p).cast("string") for p in parts]
+    return F.concat(*[F.coalesce(F.concat(n, F.lit(":"), p), F.lit("-")) for n, p in zip(size, parts, strict=True)])
 
 
 def null_count(value: Column) -> Column:

@@ -77,10 +77,19 @@ def escape_for_log(value: Column, max_length: int = 1000) -> Column:
     ).otherwise(flat)
 
 
+def spaced_words(value: Column) -> Column:
+    """Lower-case ASCII words with one blank for whatever lies between them."""
+    return F.lower(F.regexp_replace(value, r"\W+", " "))
+
+
+def without_short(spaced: Column) -> Column:
+    """Spaced words without those of one or two letters, whose gaps stay."""
+    return F.regexp_replace(spaced, r"\b\w{1,2}\b", "")
+
+
 def plain_words(value: Column) -> Column:
     """Lower-case ASCII words of three letters or more; the gaps of removed words stay."""
-    single_gaps = F.regexp_replace(value, r"\W+", " ")
-    return F.lower(F.regexp_replace(single_gaps, r"\b\w{1,2}\b", ""))
+    return without_short(spaced_words(value))
 
 
 def flag(predicate: Column) -> Column:

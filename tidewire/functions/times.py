@@ -1,4 +1,4 @@
-"""Message clocks: chat export stamps and epoch strings."""
+"""Message clocks: epoch strings, chat export stamps and ISO text."""
 
 from __future__ import annotations
 
@@ -18,3 +18,10 @@ def chat_instant(value: Column) -> Column:
         F.try_to_timestamp(value, F.lit("M/d/yy, h:mm a")),
         F.try_to_timestamp(value, F.lit("M/d/yyyy, h:mm a")),
     )
+
+
+def message_instant(value: Column) -> Column:
+    """Clock text of any channel to a timestamp: epoch seconds, a chat stamp, or ISO text, which
+    starts with a four-digit year; other text to NULL."""
+    iso = F.when(value.rlike(r"^\s*[0-9]{4}-"), F.try_to_timestamp(F.trim(value)))
+    return F.coalesce(epoch_text_instant(value), chat_instant(value), iso)

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.functions.columns import (
+    as_instant,
     coalesce_present,
+    field_type,
+    framed,
     instant_present,
+    is_number,
+    is_text,
     named,
     present,
     typed_null,
@@ -23,7 +29,7 @@ from tidewire.functions.mail import (
     message_body,
     raw_header,
 )
-from tidewire.functions.times import chat_instant, epoch_text_instant
+from tidewire.functions.times import message_instant
 from tidewire.operators.filters import slack_keep, whatsapp_keep
 from tidewire.schemas import COMMUNICATION_FIELDS
 
@@ -39,6 +45,23 @@ EMAIL_FIELDS = {
     "recipient": "To",
     "subject": "Subject",
 }
+# Slack's markup, and the aliases of each shared field.
+_MENTION, _CHANNEL_LINK, _BARE_TAG = r"<@U[A-Z0-9]+>", r"<#C[A-Z0-9]+\|([^>]+)>", r"<([^>]+)>"
+_TITLED = r"(?s)<(https?://[^|>]+)\|(.*)\z"
+SLACK_ALIASES = {
+    "sender": ["user", "sender", "username", "user_id"],
+    "recipient": ["channel", "channel_id", "channel_name"],
+    "body": ["text", "message", "content", "body"],
+    "timestamp": ["ts", "timestamp", "created_at", "sent_at"],
+    "message_id": ["client_msg_id", "message_id"],
+}
+WHATSAPP_ALIASES = {
+    "sender": ["sender", "from", "username", "contact"],
+    "recipient": ["recipient", "to", "chat_name"],
+    "body": ["message", "text", "content", "body"],
+    "timestamp": ["timestamp", "date", "sent_at"],
+    "message_id": ["message_id"],
+}
 _CHAT_STAMP = r"\d{1,2}/\d{1,2}/\d{2,4}, \d{1,2}:\d{2} [AP]M"
 _CHAT_MESSAGE = f"{_CHAT_STAMP} - [^:]+: (.+)"
 
@@ -109,20 +132,54 @@ def route_source(df: DataFrame, source: str) -> DataFrame:
     return EMAIL_SOURCES[source](df)
 
 
+def _titled_links(text: Column, pieces: Column) -> Column:
+    """``<https://x|Site>`` to ``Site (https://x)``; linear in the text.
+
+    A link ends at the first closing bracket and needs a bar before it, so each piece between
+    brackets is searched up to its last bar only: any link start before it is followed no
+    further than the next bar. ``pieces`` is the text split on closing brackets.
+    """
+
+    def rewritten(piece: Column) -> Column:
+        tail = F.substring_index(piece, "|", -1)
+        head = F.substr(piece, F.lit(1), F.length(piece) - F.length(tail))
+        url, after = F.regexp_extract(head, _TITLED, 1), F.regexp_extract(head, _TITLED, 2)
+        title = F.concat(after, tail)
+        found = (url != "") & (title != "")
+        before = F.substr(head, F.lit(1), F.length(head) - F.length(F.regexp_extract(head, _TITLED, 0)))
+        link = F.concat(before, title, F.lit(" ("), url, F.lit(")"))
+        closed = F.concat(piece, F.lit(">"))
+        return F.when(piece.contains("|") & found, link).otherwise(closed)
+
+    closed_pieces = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), rewritten)
+    linked = F.concat(F.concat_ws("", closed_pieces), F.element_at(pieces, -1))
+    return F.when(text.contains("|") & text.contains("<http"), linked).otherwise(text)
+
+
+def _split_closed(text: Column) -> tuple[Column, Column]:
+    """The text up to its last closing bracket, and what follows."""
+    tail = F.substring_index(text, ">", -1)
+    return F.substr(text, F.lit(1), F.length(text) - F.length(tail)), tail
+
+
 def clean_slack_markup(df: DataFrame, column: str = "body") -> DataFrame:
     """Mentions, channel links, titled links and bare tags to plain text.
 
     Every rule ends on a closing bracket, so the text after the last one is left out of the
     searches: unclosed brackets there would each be followed to the end of the text.
     """
-    raw = named(column)
-    tail = F.substring_index(raw, ">", -1)
-    text = F.substr(raw, F.lit(1), F.length(raw) - F.length(tail))
-    text = F.regexp_replace(text, r"<@U[A-Z0-9]+>", "@user")
-    text = F.regexp_replace(text, r"<#C[A-Z0-9]+\|([^>]+)>", "#$1")
-    text = F.regexp_replace(text, r"<(https?://[^|>]+)\|([^>]+)>", "$2 ($1)")
-    text = F.regexp_replace(text, r"<([^>]+)>", "$1")
-    return with_all(df, {column: F.trim(F.concat(text, tail))})
+    text, tail = _split_closed(named(column))
+    text = F.regexp_replace(text, _MENTION, "@user")
+    text = F.regexp_replace(text, _CHANNEL_LINK, "#$1")
+    # Read several times by the next rule, so a step of its own.
+    staged = df.select("*", text.alias("_markup"), tail.alias("_tail"))
+    staged = staged.select("*", F.split("_markup", ">").alias("_pieces"))
+    staged = staged.select("*", _titled_links(F.col("_markup"), F.col("_pieces")).alias("_linked"))
+    # A link takes its bracket away, so what is left open may again follow the last one.
+    text, open_end = _split_closed(F.col("_linked"))
+    bare = F.regexp_replace(text, _BARE_TAG, "$1")
+    cleaned = with_all(staged, {column: F.trim(F.concat(bare, open_end, F.col("_tail")))})
+    return cleaned.select(*[named(c) for c in df.columns])
 
 
 def prefix_channel(df: DataFrame, column: str = "recipient") -> DataFrame:
@@ -136,15 +193,16 @@ def slack_fields(df: DataFrame) -> DataFrame:
     """Aliased Slack columns under their shared names, not yet cleaned or filtered."""
     thread = coalesce_present(df, ["thread_ts"])
     return df.select(
-        coalesce_present(df, ["user", "sender", "username", "user_id"]).alias("sender"),
-        coalesce_present(df, ["channel", "channel_id", "channel_name"]).alias("recipient"),
+        coalesce_present(df, SLACK_ALIASES["sender"]).alias("sender"),
+        coalesce_present(df, SLACK_ALIASES["recipient"]).alias("recipient"),
         F.when(thread.isNotNull(), "Thread Reply").otherwise("Slack Message").alias("subject"),
-        coalesce_present(df, ["text", "message", "content", "body"]).alias("body"),
-        coalesce_present(df, ["ts", "timestamp", "created_at", "sent_at"]).alias("timestamp"),
+        coalesce_present(df, SLACK_ALIASES["body"]).alias("body"),
+        coalesce_present(df, SLACK_ALIASES["timestamp"]).alias("timestamp"),
         thread.alias("thread_timestamp"),
         coalesce_present(df, ["subtype"], F.lit("message")).alias("message_subtype"),
         coalesce_present(df, ["reactions"], data_type=REACTIONS_TYPE).alias("reactions"),
         coalesce_present(df, ["reply_count"], data_type="bigint").alias("reply_count"),
+        coalesce_present(df, SLACK_ALIASES["message_id"]).cast("string").alias("message_id"),
     )
 
 
@@ -166,27 +224,31 @@ def conform_slack(df: DataFrame) -> DataFrame:
 def parse_chat_lines(df: DataFrame, column: str = "value") -> DataFrame:
     """Exported chat lines to timestamp, sender, message; other lines are dropped.
 
-    A line with a message part has the other two parts as well, so one search decides.
+    A line with a message part has the other two parts as well, so one search decides. A
+    ``message_id`` of the lines is carried.
     """
     line = named(column)
+    own = [named(c) for c in present(df, WHATSAPP_ALIASES["message_id"])]
     return df.filter(line.rlike(_CHAT_MESSAGE)).select(
         F.regexp_extract(line, f"({_CHAT_STAMP})", 1).alias("timestamp"),
         F.regexp_extract(line, f"{_CHAT_STAMP} - ([^:]+):", 1).alias("sender"),
         F.regexp_extract(line, _CHAT_MESSAGE, 1).alias("message"),
+        *own,
     )
 
 
 def whatsapp_fields(df: DataFrame) -> DataFrame:
     """Aliased WhatsApp columns under their shared names, not yet filtered."""
-    chat = coalesce_present(df, ["recipient", "to", "chat_name"])
+    chat = coalesce_present(df, WHATSAPP_ALIASES["recipient"])
     return df.select(
-        F.trim(coalesce_present(df, ["sender", "from", "username", "contact"])).alias("sender"),
+        F.trim(coalesce_present(df, WHATSAPP_ALIASES["sender"])).alias("sender"),
         F.when(chat.isNull() | (chat == ""), "Direct Message").otherwise(chat).alias("recipient"),
         F.lit("WhatsApp Message").alias("subject"),
-        coalesce_present(df, ["message", "text", "content", "body"]).alias("body"),
-        coalesce_present(df, ["timestamp", "date", "sent_at"]).alias("timestamp"),
+        coalesce_present(df, WHATSAPP_ALIASES["body"]).alias("body"),
+        coalesce_present(df, WHATSAPP_ALIASES["timestamp"]).alias("timestamp"),
         coalesce_present(df, ["message_type"]).alias("message_type"),
         coalesce_present(df, ["media_type"]).alias("media_type"),
+        coalesce_present(df, WHATSAPP_ALIASES["message_id"]).cast("string").alias("message_id"),
     )
 
 
@@ -210,14 +272,20 @@ def conform_local_slack(df: DataFrame) -> DataFrame:
     )
 
 
+def _clock_of(df: DataFrame, column: str) -> Column:
+    if is_text(field_type(df, column)) or is_number(field_type(df, column)):
+        return message_instant(named(column).cast("string"))
+    return as_instant(named(column), field_type(df, column))
+
+
 def slack_ts(df: DataFrame, column: str = "timestamp") -> DataFrame:
-    """Epoch-seconds text to a timestamp, in place."""
-    return with_all(df, {column: epoch_text_instant(named(column))})
+    """Epoch-seconds, ISO or chat clock text to a timestamp, in place; timestamps stay."""
+    return with_all(df, {column: _clock_of(df, column)})
 
 
 def chat_ts(df: DataFrame, column: str = "timestamp") -> DataFrame:
-    """Chat export stamp to a timestamp, in place."""
-    return with_all(df, {column: chat_instant(named(column))})
+    """Chat, ISO or epoch clock text to a timestamp, in place; timestamps stay."""
+    return with_all(df, {column: _clock_of(df, column)})
 
 
 def media_flag(df: DataFrame) -> DataFrame:
@@ -228,10 +296,25 @@ def media_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("has_media", marked)
 
 
+def _id_part(df: DataFrame, name: str) -> Column:
+    if isinstance(field_type(df, name), T.TimestampType):
+        return F.unix_micros(named(name)).cast("string")
+    return named(name).cast("string")
+
+
 def to_communication(df: DataFrame, channel: str, id_columns: list[str]) -> DataFrame:
-    """A conformed channel frame in contract columns, with a content-derived id."""
-    parts = [F.coalesce(named(c).cast("string"), F.lit("\x1e")) for c in id_columns]
-    key = F.sha2(F.concat_ws("\x1f", F.lit(channel), *parts), 256)
+    """A conformed channel frame in contract columns, with an id.
+
+    The id is a digest of the channel and the source's own ``message_id``, or of the
+    ``id_columns`` where there is none: equal messages of one minute then share an id, so give
+    sources without ids one (:func:`tidewire.sources.readers.read_chat_text` takes the line's
+    place in its file). Clocks count as microseconds, so no session setting changes an id.
+    """
+    content = F.sha2(framed([F.lit(channel), *[_id_part(df, c) for c in id_columns]]), 256)
+    key = content
+    if "message_id" in df.columns:
+        own = F.sha2(framed([F.lit("own"), F.lit(channel), named("message_id").cast("string")]), 256)
+        key = F.when(named("message_id").isNotNull(), own).otherwise(content)
     fixed = {
         "id": key,
         "timestamp": instant_present(df, ["timestamp"]),

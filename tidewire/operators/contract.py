@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.columns import (
-    countable,
+    distinct_counts,
     field_type,
     named,
     null_count,
@@ -22,29 +22,46 @@ class ContractError(ValueError):
     """A frame does not fit its contract."""
 
 
+def _leaves(data_type: T.DataType, path: str = "", nullable: bool = True) -> dict[str, tuple[str, bool]]:
+    """Every level of a type by its path: the kind found there, and whether it may be NULL."""
+    out: dict[str, tuple[str, bool]] = {}
+    todo = [(path, data_type, nullable)]
+    while todo:
+        at, kind, may_be_null = todo.pop()
+        below = []
+        if isinstance(kind, T.StructType):
+            below = [(f"{at}.{f.name}", f.dataType, f.nullable) for f in kind.fields]
+        elif isinstance(kind, T.ArrayType):
+            below = [(f"{at}[]", kind.elementType, kind.containsNull)]
+        elif isinstance(kind, T.MapType):
+            below = [(f"{at}{{key}}", kind.keyType, False), (f"{at}{{value}}", kind.valueType, kind.valueContainsNull)]
+        nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+        out[at] = (kind.typeName() if nested else kind.simpleString(), may_be_null)
+        todo += below
+    return out
+
+
+def type_differences(
+    expected: T.DataType, actual: T.DataType, check_nullable: bool = False
+) -> list[tuple[str, str | None, str | None]]:
+    """(path, expected, actual) of every level that differs; None where a side has no such path.
+
+    Struct fields match by name. ``check_nullable`` also compares which levels may be NULL.
+    """
+    left, right = _leaves(expected), _leaves(actual)
+
+    def shown(found: tuple[str, bool] | None) -> str | None:
+        if found is None:
+            return None
+        return found[0] + ("" if found[1] else " not null") if check_nullable else found[0]
+
+    pairs = [(path, shown(left.get(path)), shown(right.get(path))) for path in sorted({*left, *right})]
+    return [p for p in pairs if p[1] != p[2]]
+
+
 def types_match(expected: T.DataType, actual: T.DataType, check_nullable: bool = False) -> bool:
-    """Same type at every level; struct fields match by name, nullability on request."""
-    if type(expected) is not type(actual):
-        return False
-    if isinstance(expected, T.StructType):
-        left = {f.name: f for f in expected.fields}
-        right = {f.name: f for f in actual.fields}
-        return left.keys() == right.keys() and all(
-            types_match(f.dataType, right[n].dataType, check_nullable)
-            and not (check_nullable and f.nullable != right[n].nullable)
-            for n, f in left.items()
-        )
-    if isinstance(expected, T.ArrayType):
-        same_nulls = not check_nullable or expected.containsNull == actual.containsNull
-        return same_nulls and types_match(expected.elementType, actual.elementType, check_nullable)
-    if isinstance(expected, T.MapType):
-        same_nulls = not check_nullable or expected.valueContainsNull == actual.valueContainsNull
-        return (
-            same_nulls
-            and types_match(expected.keyType, actual.keyType, check_nullable)
-            and types_match(expected.valueType, actual.valueType, check_nullable)
-        )
-    return expected == actual
+    """Whether no level of the two types differs."""
+    return not type_differences(expected, actual, check_nullable)
 
 
 def _status(expected: T.StructType, df: DataFrame, name: str, check_nullable: bool) -> str:
@@ -63,20 +80,40 @@ def _nested(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
 
 
-def _cast_or_null(df: DataFrame, name: str, to: T.DataType) -> Column:
-    """``try_cast`` to the contract type; NULL where no such cast exists."""
-    have = field_type(df, name)
-    if types_match(to, have):
-        return named(name)
-    if isinstance(to, T.StringType) or not (_nested(to) or _nested(have)):
-        numeric_to_date = isinstance(to, (T.DateType, T.TimestampNTZType)) and isinstance(
-            have, (T.NumericType, T.BooleanType)
-        )
-        return typed_null(to) if numeric_to_date else named(name).try_cast(to)
-    if isinstance(to, T.ArrayType) and isinstance(have, T.ArrayType):
-        if not (_nested(to.elementType) or _nested(have.elementType)):
-            return named(name).try_cast(to)
-    return typed_null(to)
+def _convert(value: Column, have: T.DataType, to: T.DataType) -> tuple[Column, Column]:
+    """The value in the contract's type, and how many non-null values inside it the casts lose.
+
+    Struct fields go by name into the contract's order, elements and map values one by one.
+    """
+    if have.simpleString() == to.simpleString():
+        return value, F.lit(0)
+    if isinstance(have, T.StructType) and isinstance(to, T.StructType):
+        inner = {f.name: f.dataType for f in have.fields}
+        cells, lost = [], F.lit(0)
+        for f in to.fields:
+            if f.name not in inner:
+                cells.append(typed_null(f.dataType).alias(f.name))
+                continue
+            cell, gone = _convert(value.getField(f.name), inner[f.name], f.dataType)
+            cells.append(cell.alias(f.name))
+            lost = lost + gone
+        return F.when(value.isNotNull(), F.struct(*cells)), F.when(value.isNotNull(), lost).otherwise(0)
+    if isinstance(have, T.ArrayType) and isinstance(to, T.ArrayType):
+        made = F.transform(value, lambda x: _convert(x, have.elementType, to.elementType)[0])
+        return made, _sum_of(value, lambda x: _convert(x, have.elementType, to.elementType)[1])
+    if isinstance(have, T.MapType) and isinstance(to, T.MapType) and have.keyType == to.keyType:
+        made = F.transform_values(value, lambda _k, x: _convert(x, have.valueType, to.valueType)[0])
+        return made, _sum_of(F.map_values(value), lambda x: _convert(x, have.valueType, to.valueType)[1])
+    numeric_to_date = isinstance(to, (T.DateType, T.TimestampNTZType)) and isinstance(
+        have, (T.NumericType, T.BooleanType)
+    )
+    castable = isinstance(to, T.StringType) or not (_nested(to) or _nested(have))
+    made = value.try_cast(to) if castable and not numeric_to_date else typed_null(to)
+    return made, (value.isNotNull() & made.isNull()).cast("int")
+
+
+def _sum_of(values: Column, count: Callable[[Column], Column]) -> Column:
+    return F.coalesce(F.aggregate(values, F.lit(0), lambda n, x: n + count(x)), F.lit(0))
 
 
 def contract_check(
@@ -84,7 +121,9 @@ def contract_check(
 ) -> DataFrame:
     """One row per field of the frame or the contract, sorted by name.
 
-    Extra fields are warnings only. Counts come from one aggregation over the data.
+    Extra fields are warnings only. Counts come from one aggregation over the data; inside
+    nested fields ``uncastable_count`` counts the single values that no cast can keep.
+    :func:`type_differences` names the levels of a field that differ.
     """
     names = sorted({*df.columns, *contract.fieldNames()})
     status = {n: _status(contract, df, n, check_nullable) for n in names}
@@ -95,8 +134,8 @@ def contract_check(
             continue
         parts.append(null_count(named(n)).alias(f"null_{i}"))
         if status[n] == "type_mismatch":
-            lost = named(n).isNotNull() & _cast_or_null(df, n, contract[n].dataType).isNull()
-            parts.append(F.count_if(lost).alias(f"lost_{i}"))
+            lost = _convert(named(n), field_type(df, n), contract[n].dataType)[1]
+            parts.append(F.coalesce(F.sum(lost.cast("bigint")), F.lit(0).cast("bigint")).alias(f"lost_{i}"))
     rows = []
     for i, n in enumerate(names):
         in_contract, in_frame = n in contract.fieldNames(), n in df.columns
@@ -134,29 +173,26 @@ def contract_strict(df: DataFrame, contract: T.StructType, name: str = "contract
 
 def cast_to_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Contract columns by ``try_cast``, absent ones as typed NULL, and ``lost_cells``:
-    how many values of the row the casts could not keep."""
+    how many values of the row, nested ones included, the casts could not keep."""
     cells, lost = [], F.lit(0)
     for f in contract.fields:
         if f.name not in df.columns:
             cells.append(typed_null(f.dataType).alias(f.name))
             continue
-        cell = _cast_or_null(df, f.name, f.dataType)
+        cell, gone = _convert(named(f.name), field_type(df, f.name), f.dataType)
         cells.append(cell.alias(f.name))
-        if not types_match(f.dataType, field_type(df, f.name)):
-            lost = lost + (named(f.name).isNotNull() & cell.isNull()).cast("int")
+        lost = lost + gone
     return df.select(*cells, lost.alias("lost_cells"))
 
 
 def _side(df: DataFrame, side: str, distinct: str | None) -> DataFrame:
-    """Per-field facts of one table from one aggregation."""
-    count = {"approx": F.approx_count_distinct, "exact": F.count_distinct}.get(distinct or "")
+    """Per-field facts of one table from one aggregation; exact distinct counts beside it."""
+    usable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     parts = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(df.schema.fields):
-        value = named(f.name)
-        usable = count is not None and not isinstance(f.dataType, (T.MapType, T.VariantType))
-        key = countable(value, f.dataType) if distinct == "exact" else value
-        unique = count(key) if usable else typed_null("bigint")
-        parts += [null_count(value).alias(f"n{i}"), unique.alias(f"u{i}")]
+        sketched = distinct == "approx" and f.name in usable
+        unique = F.approx_count_distinct(named(f.name)) if sketched else typed_null("bigint")
+        parts += [null_count(named(f.name)).alias(f"n{i}"), unique.alias(f"u{i}")]
     rows = [
         {
             "field_name": F.lit(f.name),
@@ -168,7 +204,13 @@ def _side(df: DataFrame, side: str, distinct: str | None) -> DataFrame:
         }
         for i, f in enumerate(df.schema.fields)
     ]
-    return report_rows(df.agg(*parts), rows)
+    facts = report_rows(df.agg(*parts), rows)
+    if distinct != "exact" or not usable:
+        return facts
+    counts = distinct_counts(df, usable).withColumnRenamed("unique_count", "_u")
+    none = F.when(F.col("field_name").isin(usable), F.lit(0).cast("bigint"))
+    exact = facts.join(counts, "field_name", "left").withColumn(f"{side}_distinct", F.coalesce("_u", none))
+    return exact.select(facts.columns)
 
 
 def table_diff(left: DataFrame, right: DataFrame, distinct: str | None = "approx") -> DataFrame:

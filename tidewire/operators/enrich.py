@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark.accumulators import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,17 +119,20 @@ def _with_parsed(df: DataFrame, column: str) -> DataFrame:
     """Adds ``_parsed``, the answer struct of a response text.
 
     A JSON object gives its values, with defaults for keys it lacks (a JSON null stays
-    NULL). Anything else gives the start of the text as the analysis.
+    NULL). Anything else gives the start of the text as the analysis. One strict reading
+    decides: single quotes, raw line breaks, trailing commas and text after the object are not
+    JSON.
     """
     response = named(column)
-    # Inside brackets the whole text must parse; json_object_keys alone ignores a tail.
+    # Inside brackets the whole text must parse; a reader of one value ignores what follows it.
     whole = F.json_array_length(F.concat(F.lit("["), response, F.lit("]"))) == 1
-    read = df.select(
+    strict = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_corrupt"}
+    values = F.from_json(response, f"{_ANSWER_DDL}, _corrupt string", strict)
+    read = df.select("*", values.alias("_values"), whole.alias("_whole")).select(
         "*",
-        flag(strip(response).startswith("{") & whole).alias("_is_object"),
-        F.json_object_keys(response).alias("_keys"),
-        F.from_json(response, _ANSWER_DDL).alias("_values"),
+        flag(strip(response).startswith("{") & F.col("_whole") & F.col("_values._corrupt").isNull()).alias("_is_object"),
     )
+    read = read.select("*", F.when(F.col("_is_object"), F.json_object_keys(response)).alias("_keys"))
     from_object = _answer(
         {
             k: F.when(F.array_contains("_keys", k), F.col("_values")[k]).otherwise(default)
@@ -193,27 +198,38 @@ def ai_parse_response(df: DataFrame, column: str = "response") -> DataFrame:
     return _with_parsed(df, column).withColumnRenamed("_parsed", "ai_analysis")
 
 
-def model_responses(make_client: Callable[[], Callable[[str], str]]):
+def model_responses(
+    make_client: Callable[[], Callable[[str], str]],
+    concurrency: int = 1,
+    failures: Accumulator | None = None,
+):
     """Arrow UDF prompt -> response: one client per task, NULL where the call fails.
 
-    NULL prompts are not sent. The UDF is marked nondeterministic, so the optimizer never
-    repeats a call when several columns read its result.
+    A task has ``concurrency`` calls under way at a time and keeps the order; the client must
+    then be safe to call from threads. Failed calls are added to ``failures``, so that a wrong
+    key is seen and not taken for an answer by rules. NULL prompts are not sent. The UDF is
+    marked nondeterministic, so the optimizer never repeats a call when several columns read
+    its result.
     """
 
     @F.pandas_udf("string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         client = make_client()
 
-        def ask(prompt: str | None) -> str | None:
+        def ask(prompt: str | None) -> tuple[str | None, bool]:
             if prompt is None:
-                return None
+                return None, False
             try:
-                return client(prompt)
+                return client(prompt), False
             except Exception:  # noqa: BLE001 - any client error means "use the rules"
-                return None
+                return None, True
 
-        for prompts in batches:
-            yield prompts.map(ask)
+        with ThreadPoolExecutor(concurrency) as pool:
+            for prompts in batches:
+                answers = list(pool.map(ask, prompts))
+                if failures is not None:
+                    failures.add(sum(failed for _, failed in answers))
+                yield pd.Series([a for a, _ in answers], dtype=object)
 
     return call.asNondeterministic()
 
@@ -234,11 +250,14 @@ def ai_enrich(
     make_client: Callable[[], Callable[[str], str]] | None = None,
     column: str | None = None,
     as_of: Column | None = None,
+    concurrency: int = 1,
+    failures: Accumulator | None = None,
 ) -> DataFrame:
     """Analysis columns for every row.
 
     Without a client the rules decide. With one, blank rows get the empty answer, rows the
-    client fails on get the rules, and the rest their parsed response.
+    client fails on get the rules, and the rest their parsed response. ``concurrency`` and
+    ``failures`` are those of :func:`model_responses`.
     """
     text = named(column or text_column(df))
     if make_client is None:
@@ -246,7 +265,7 @@ def ai_enrich(
     asked = df.withColumn(
         "_prompt", F.when(~is_blank(text), prompt_of(text))  # NULL text gives a NULL prompt
     )
-    answered = asked.withColumn("_response", model_responses(make_client)(named("_prompt")))
+    answered = asked.withColumn("_response", model_responses(make_client, concurrency, failures)(named("_prompt")))
     unanswered = F.when(named("_response").isNull(), text)
     judged = _with_ruled(_with_parsed(answered, "_response"), unanswered)
     analysis = (

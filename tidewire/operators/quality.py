@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import datetime as dt
+import re
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from operator import add, and_
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewire.functions.columns import (
     countable,
+    distinct_counts,
     field_type,
     is_number,
     is_text,
@@ -54,6 +61,7 @@ def _always(message: str) -> Message:
     return lambda _passed: F.lit(message)
 
 
+# The rule messages from here to the end of rule_positive, and in _verdict.
 def rule_email(field: str = "email") -> Rule:
     def check(df: DataFrame) -> tuple[Column, Message]:
         absent = "Email field not found"
@@ -105,9 +113,70 @@ def rule_positive(field: str) -> Rule:
     )
 
 
+def _literal(value: object) -> str:
+    """A bound value as a SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int, float, Decimal)):
+        return f"DOUBLE('{value}')" if isinstance(value, float) else str(value)
+    kind = "TIMESTAMP " if isinstance(value, dt.datetime) else "DATE " if isinstance(value, dt.date) else ""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"{kind}'{text}'"
+
+
+def _bound(predicate: str, parameters: Mapping[str, object]) -> str:
+    """``{name}`` of a parameter as its literal; all other braces stay."""
+    return re.sub(r"\{(\w+)\}", lambda m: _literal(parameters[m[1]]) if m[1] in parameters else m[0], predicate)
+
+
+def _by_batch(function: Callable[[pd.DataFrame], pd.Series], fields: Sequence[str]) -> Column:
+    """Boolean of a vectorized function; where a batch fails its rows are tried one by one, and a failing row is NULL."""
+
+    def verdict(value: object) -> bool | None:
+        return None if pd.isna(value) else bool(value)
+
+    @F.pandas_udf("boolean")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for rows in batches:
+            try:
+                yield pd.Series([verdict(v) for v in function(rows)], dtype=object)
+            except Exception:  # noqa: BLE001 - any error of a user's rule fails its record
+                out = []
+                for i in range(len(rows)):
+                    try:
+                        out.append(verdict(next(iter(function(rows.iloc[i : i + 1])))))
+                    except Exception:  # noqa: BLE001
+                        out.append(None)
+                yield pd.Series(out, dtype=object)
+
+    return run(F.struct(*[named(f) for f in fields]))
+
+
+@contextmanager
+def _lenient(df: DataFrame) -> Iterator[None]:
+    """Expressions resolved inside give NULL where strict SQL would end the job, as for a division by zero."""
+    conf = df.sparkSession.conf
+    strict = conf.get("spark.sql.ansi.enabled")
+    conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        conf.set("spark.sql.ansi.enabled", strict)
+
+
+def _resolves(df: DataFrame, predicate: Column) -> bool:
+    try:
+        df.select(predicate)
+    except AnalysisException as error:
+        if (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return False
+        raise
+    return True
+
+
 def custom_rule(
     name: str,
-    predicate: str | Column | None,
+    predicate: str | Column | Callable[[pd.DataFrame], pd.Series] | None,
     severity: str = "error",
     dimension: str = "validity",
     field: str | None = None,
@@ -115,20 +184,28 @@ def custom_rule(
     passed_message: str = "Rule passed",
     failed_message: str = "Rule failed",
     parameters: Mapping[str, object] | None = None,
+    inputs: Sequence[str] | None = None,
 ) -> Rule:
-    """Rule from a SQL predicate, in which ``{name}`` is filled from ``parameters``, or from
-    a boolean column.
+    """Rule from a SQL predicate, in which ``{name}`` of a parameter stands for its value as a
+    literal, from a boolean column, or from a vectorized function of the ``inputs`` columns.
 
-    No predicate passes. One that cannot be decided (NULL, as ``try_`` functions give for
-    bad input) fails with severity error.
+    No predicate passes. One that cannot be decided for a record (NULL, a division by zero, an
+    error of the function, a column the frame lacks) fails it with severity error.
     """
     if predicate is None:
         return Rule(name, severity, dimension, field, description)
-    as_text = isinstance(predicate, str)
-    filled = predicate.format(**parameters) if as_text and parameters else predicate
 
-    def check(_df: DataFrame) -> tuple[Column, Message]:
-        return F.expr(filled) if as_text else filled, lambda passed: (
+    def check(df: DataFrame) -> tuple[Column, Message]:
+        if isinstance(predicate, str):
+            raw = F.expr(_bound(predicate, parameters or {}))
+        elif isinstance(predicate, Column):
+            raw = predicate
+        else:
+            fields = list(inputs or df.columns)
+            raw = _by_batch(predicate, fields) if set(fields) <= set(df.columns) else F.lit(None).cast("boolean")
+        if not _resolves(df, raw):
+            raw = F.lit(None).cast("boolean")
+        return raw, lambda passed: (
             F.when(passed.isNull(), "Validation rule execution failed")
             .when(passed, passed_message)
             .otherwise(failed_message)
@@ -138,16 +215,16 @@ def custom_rule(
 
 
 def passes(df: DataFrame, rule: Rule) -> Column:
-    """Two-valued pass predicate of a rule on a frame."""
+    """Two-valued pass predicate of a rule on a frame; errors in it follow the session's SQL mode."""
     return F.lit(True) if rule.check is None else flag(rule.check(df)[0])
 
 
-def _verdict(df: DataFrame, rule: Rule, raw: Column, record_id: Column) -> dict[str, Column]:
+def _verdict(rule: Rule, message_of: Message | None, raw: Column, record_id: Column, at: Column) -> dict[str, Column]:
     if rule.check is None:
         passed, message = F.lit(True), F.lit("No validation function defined")
         severity, dimension = F.lit("info"), F.lit("validity")
     else:
-        passed, message, dimension = flag(raw), rule.check(df)[1](raw), F.lit(rule.dimension)
+        passed, message, dimension = flag(raw), message_of(raw), F.lit(rule.dimension)
         severity = F.when(raw.isNull(), "error").otherwise(rule.severity)
     return {
         "rule_name": F.lit(rule.name),
@@ -157,6 +234,7 @@ def _verdict(df: DataFrame, rule: Rule, raw: Column, record_id: Column) -> dict[
         "dimension": dimension,
         "record_id": record_id,
         "field_name": F.lit(rule.field).cast("string"),
+        "checked_at": at,
     }
 
 
@@ -165,29 +243,44 @@ def dq_results(
     rules: Sequence[Rule],
     record_id: str = "record_id",
     only: Sequence[str] | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """One row per record and rule, from one narrow pass; ``only`` picks rules by name.
+    """One row per record and rule, from one narrow pass; ``only`` picks rules by name and
+    ``as_of`` replaces the clock.
 
     Predicates are a projection below the explode, so each is evaluated once per record.
     """
     chosen = [r for r in rules if not only or r.name in only]
     key = named(record_id).cast("string") if record_id in df.columns else F.lit(None).cast("string")
-    raw = {f"_p{i}": r.check(df)[0] for i, r in enumerate(chosen) if r.check}
-    tested = df.select("*", *[p.alias(n) for n, p in raw.items()])
-    rows = [_verdict(df, r, F.col(f"_p{i}"), key) for i, r in enumerate(chosen)]
+    at = F.current_timestamp() if as_of is None else as_of
+    with _lenient(df):
+        checks = {i: r.check(df) for i, r in enumerate(chosen) if r.check}
+        tested = df.select("*", *[c[0].alias(f"_p{i}") for i, c in checks.items()])
+    rows = [
+        _verdict(r, checks[i][1] if i in checks else None, F.col(f"_p{i}"), key, at)
+        for i, r in enumerate(chosen)
+    ]
     return report_rows(tested, rows)
 
 
-def _with_passes(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, dict[str, Column]]:
-    """The frame with one pass column per rule, and those columns by rule name."""
-    flags = [passes(df, r).alias(f"_p{i}") for i, r in enumerate(rules)]
-    return df.select("*", *flags), {r.name: F.col(f"_p{i}") for i, r in enumerate(rules)}
+def _with_passes(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
+    """The frame with one pass column per rule, and those columns in the order of the rules."""
+    with _lenient(df):
+        tested = df.select("*", *[passes(df, r).alias(f"_p{i}") for i, r in enumerate(rules)])
+    return tested, [F.col(f"_p{i}") for i in range(len(rules))]
+
+
+def _labels(rules: Sequence[Rule]) -> list[str]:
+    """Names of the rules, with their field where a name repeats."""
+    names = [r.name for r in rules]
+    return [f"{r.name}:{r.field}" if names.count(r.name) > 1 and r.field else r.name for r in rules]
 
 
 def dq_flags(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Adds ``data_quality_score`` and ``quality_flags``.
 
-    With rules: the percentage passed, truncated, and the failed rules' names or 'VALID'.
+    With rules: the percentage passed, truncated, and the failed rules' names (as name:field
+    where several share a name) or 'VALID'.
     Without: the constants 100 and 'VALID'.
     """
     if not rules:
@@ -195,8 +288,8 @@ def dq_flags(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
             {"data_quality_score": F.lit(100), "quality_flags": F.lit("VALID")}
         )
     tested, passed = _with_passes(df, rules)
-    count = reduce(add, [p.cast("int") for p in passed.values()])
-    failed_names = F.concat_ws(",", *[F.when(~p, n) for n, p in passed.items()])
+    count = reduce(add, [p.cast("int") for p in passed])
+    failed_names = F.concat_ws(",", *[F.when(~p, n) for n, p in zip(_labels(rules), passed, strict=True)])
     named_failures = tested.select("*", failed_names.alias("_failed"))
     return named_failures.select(
         *[named(c) for c in df.columns],
@@ -210,12 +303,6 @@ def _percent(part: Column, whole: Column, empty: float = 0.0) -> Column:
     return F.coalesce(share, F.lit(empty))
 
 
-def _distinct(df: DataFrame, name: str, exact: bool) -> Column:
-    if not exact:
-        return F.approx_count_distinct(named(name))
-    return F.count_distinct(countable(named(name), field_type(df, name)))
-
-
 def _distinct_keys(df: DataFrame, key_columns: Sequence[str]) -> Column:
     parts = [countable(named(k), field_type(df, k)) for k in key_columns]
     return F.count_distinct(F.struct(*parts))
@@ -233,8 +320,8 @@ def dq_field_profile(
 ) -> DataFrame:
     """One row per field: counts, completeness, uniqueness, format and overall score.
 
-    One aggregation. Exact distinct counts expand every row once per field before the
-    partial aggregation; ``exact=False`` uses fixed-size sketches for very wide tables.
+    Counts come from one aggregation. Exact distinct counts group (field, key) pairs beside it;
+    ``exact=False`` uses fixed-size sketches in the same aggregation.
     """
     chosen = list(fields or [f.name for f in df.schema.fields if _comparable(f.dataType)])
     formats = formats or {}
@@ -244,31 +331,43 @@ def dq_field_profile(
         ok = flag(formats[name]) if name in formats else F.lit(True)
         parts += [
             F.count(value).alias(f"n{i}"),
-            _distinct(df, name, exact).alias(f"u{i}"),
+            (F.lit(None).cast("bigint") if exact else F.approx_count_distinct(value)).alias(f"u{i}"),
             F.count_if(value.isNotNull() & ok).alias(f"f{i}"),
         ]
-    total = F.col("total")
-    rows = []
-    for i, name in enumerate(chosen):
-        filled, unique = F.col(f"n{i}"), F.col(f"u{i}")
-        scores = {
-            "completeness_score": _percent(filled, total),
-            "uniqueness_score": _percent(unique, filled),
-            "format_compliance_score": _percent(F.col(f"f{i}"), filled),
-        }
-        rows.append(
+    counted = report_rows(
+        df.agg(*parts),
+        [
             {
                 "field_name": F.lit(name),
-                "total_records": total,
-                "non_null_count": filled,
-                "unique_count": unique,
-                "null_count": total - filled,
-                "duplicate_count": filled - unique,
-                **scores,
-                "overall_quality_score": reduce(add, scores.values()) / 3,
+                "total_records": F.col("total"),
+                "non_null_count": F.col(f"n{i}"),
+                "_unique": F.col(f"u{i}"),
+                "_formed": F.col(f"f{i}"),
             }
+            for i, name in enumerate(chosen)
+        ],
+    )
+    if exact:
+        counted = counted.drop("_unique").join(
+            distinct_counts(df, chosen).withColumnRenamed("unique_count", "_unique"), "field_name", "left"
         )
-    return report_rows(df.agg(*parts), rows)
+    total, filled = named("total_records"), named("non_null_count")
+    unique = F.coalesce("_unique", F.lit(0).cast("bigint"))
+    scores = {
+        "completeness_score": _percent(filled, total),
+        "uniqueness_score": _percent(unique, filled),
+        "format_compliance_score": _percent(F.col("_formed"), filled),
+    }
+    return counted.select(
+        "field_name",
+        total,
+        filled,
+        unique.alias("unique_count"),
+        (total - filled).alias("null_count"),
+        (filled - unique).alias("duplicate_count"),
+        *[v.alias(k) for k, v in scores.items()],
+        (reduce(add, scores.values()) / 3).alias("overall_quality_score"),
+    )
 
 
 def dq_penalty(results: DataFrame, base: Mapping[str, float] | float = 100.0) -> DataFrame:
@@ -308,19 +407,19 @@ def dq_summary(
     """One row about the dataset: record counts, dimension scores, overall score, issues."""
     start = base if isinstance(base, Mapping) else dict.fromkeys(DIMENSIONS, base)
     tested, passed = _with_passes(df, rules)
-    valid = reduce(and_, passed.values(), F.lit(True))
+    valid = reduce(and_, passed, F.lit(True))
 
-    def failures(chosen: Sequence[Rule]) -> Column:
-        counts = [F.count_if(~passed[r.name]) for r in chosen]
+    def failures(chosen: Callable[[Rule], bool]) -> Column:
+        counts = [F.count_if(~p) for r, p in zip(rules, passed, strict=True) if chosen(r)]
         return reduce(add, counts, F.lit(0).cast("bigint"))
 
     counted = tested.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(valid).alias("valid_records"),
         _distinct_keys(df, key_columns).alias("distinct_keys"),
-        failures(rules).alias("validation_issues"),
-        failures([r for r in rules if r.severity == "critical"]).alias("critical_issues"),
-        *[failures([r for r in rules if r.dimension == d]).alias(f"f_{d}") for d in DIMENSIONS],
+        failures(lambda r: True).alias("validation_issues"),
+        failures(lambda r: r.severity == "critical").alias("critical_issues"),
+        *[failures(lambda r, d=d: r.dimension == d).alias(f"f_{d}") for d in DIMENSIONS],
     )
     total, ok = named("total_records"), named("valid_records")
     scores = {d: _penalised(start.get(d, 0.0), named(f"f_{d}")) for d in DIMENSIONS}
@@ -408,15 +507,16 @@ def dq_gate(
 
 
 def require_gate(report: DataFrame) -> DataFrame:
-    """A gate report itself, or an error naming the checks that failed."""
-    broken = report.filter(~named("passed")).collect()
+    """The rows of a gate report, computed once, or an error naming the checks that failed."""
+    rows = report.collect()
+    broken = [r for r in rows if not r.passed]
     if broken:
         detail = "; ".join(
             f"Data quality check '{r.check}' failed: {r.observed} (threshold: {r.threshold})"
             for r in broken
         )
         raise QualityError(detail)
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)
 
 
 def dq_required_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -463,9 +563,9 @@ def _dimension(df: DataFrame, dimension: str, checked: Column, passed: Column) -
 
 
 def _rule_share(df: DataFrame, dimension: str, rules: Sequence[Rule]) -> DataFrame:
-    both = [F.count_if(passes(df, r)) for r in rules]
+    tested, passed = _with_passes(df, rules)
     checked = F.count(F.lit(1)) * len(rules)
-    return _dimension(df, dimension, checked, reduce(add, both))
+    return _dimension(tested, dimension, checked, reduce(add, [F.count_if(p) for p in passed]))
 
 
 def dq_completeness(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from tidewire.functions.lexicon import (
     signed_weights,
     word_array,
 )
-from tidewire.functions.text import flag, plain_words
+from tidewire.functions.text import flag, plain_words, spaced_words, without_short
 
 # Fixed values.
 TEXT_ALIASES = ("body", "message", "text", "content")
@@ -47,17 +47,26 @@ def lexicon_hits(
     negative: Mapping[str, float] = NEGATIVE,
     tones: Mapping[str, Sequence[str]] = TONES,
 ) -> DataFrame:
-    """Adds ``_hits`` (distinct list words present) and ``word_count`` from ``clean_text``.
+    """Adds ``_hits`` (distinct list words present) and ``word_count`` from ``clean_text``, or
+    from ``_spaced`` words, short ones included, where the frame has them.
 
     One hash lookup per token against all lists together; everything after works on the
-    few hits instead of on the text.
+    few hits instead of on the text. A gap at either end of the clean text counts as a word.
     """
+    source = "_spaced" if "_spaced" in df.columns else "clean_text"
     listed = dict.fromkeys([*positive, *negative, *(w for ws in tones.values() for w in ws)])
-    tokens = df.withColumn("_tokens", F.split(named("clean_text"), r"\s+"))
+    tokens = df.select("*", F.split(named(source), " ").alias("_tokens"))
+    several = F.size("_tokens") > 1
+    gaps = [
+        (several & (F.length(F.get("_tokens", at)) <= 2)).cast("int")
+        for at in (F.lit(0), F.size("_tokens") - 1)
+    ]
+    kept = F.size(F.filter("_tokens", lambda w: F.length(w) > 2))
+    count = F.greatest(kept + gaps[0] + gaps[1], F.lit(1))
     return tokens.select(
-        *[named(c) for c in df.columns],
+        *[named(c) for c in df.columns if c != "_spaced"],
         F.array_intersect("_tokens", word_array(list(listed))).alias("_hits"),
-        F.when(named("clean_text").isNotNull(), F.size("_tokens")).otherwise(0).alias("word_count"),
+        F.when(named(source).isNotNull(), count).otherwise(0).alias("word_count"),
     )
 
 
@@ -115,14 +124,17 @@ def sentiment_full(
     as_of: Column | None = None,
 ) -> DataFrame:
     """All sentiment columns; a narrow plan without shuffle or Python."""
-    base = df.transform(sentiment_text).transform(clean_text)
+    text = df.transform(sentiment_text)
+    # Only the output column needs the second search; nobody pays for it who does not read it.
+    spaced = text.select("*", spaced_words(named("body")).alias("_spaced"))
+    base = spaced.withColumn("clean_text", without_short(F.col("_spaced")))
     hit = lexicon_hits(base, positive, negative)
     scored = hit.withColumn(
         "sentiment_score", score_of_hits(named("_hits"), named("word_count"), positive, negative)
     )
     score, hits = named("sentiment_score"), named("_hits")
     return scored.select(
-        *[named(c) for c in base.columns],
+        *[named(c) for c in base.columns if c != "_spaced"],
         score,
         label_of(score).alias("sentiment_label"),
         F.abs(score).alias("confidence"),

@@ -13,6 +13,7 @@ from tidewire.functions.columns import (
     as_instant,
     coalesce_present,
     field_type,
+    framed,
     instant_present,
     named,
     present,
@@ -144,17 +145,22 @@ def add_base_fields(
     )
 
 
+def _key_part(df: DataFrame, name: str) -> Column:
+    if isinstance(field_type(df, name), T.TimestampType):
+        return F.unix_micros(named(name)).cast("string")
+    return named(name).cast("string")
+
+
 def record_ids(
     df: DataFrame, prefix: str = "REC", key_columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Adds ``record_id``.
 
-    With ``key_columns`` the id is a digest of their text, the same after every rerun or
-    repartitioning. Without, it is the engine's running id: unique, but not repeatable.
+    With ``key_columns`` the id is a digest of their framed text (timestamps as microseconds),
+    the same after every rerun or repartitioning and in every session time zone. Without, it is the engine's running id: unique, but not repeatable.
     """
     if key_columns:
-        parts = [F.coalesce(named(c).cast("string"), F.lit("\x1e")) for c in key_columns]
-        tail = F.sha2(F.concat_ws("\x1f", *parts), 256)
+        tail = F.sha2(framed([_key_part(df, c) for c in key_columns]), 256)
     else:
         tail = F.monotonically_increasing_id().cast("string")
     return df.withColumn("record_id", F.concat(F.lit(f"{prefix}-"), tail))

@@ -9,6 +9,8 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Keys of a dedupe within a long delay stay on local disk, not on the executor's heap.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(
@@ -20,6 +22,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     )
     if master:
         builder = builder.master(master)

@@ -35,7 +35,9 @@ def path_partitions(path: Column) -> Column:
 
 def with_path_partitions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Columns for the named pairs of each row's own file path; NULL where absent."""
-    pairs = path_partitions(F.url_decode(F.col("_metadata.file_path")))
+    # A plus sign in a path is one; the decoder would read it as a blank.
+    raw = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    pairs = path_partitions(F.url_decode(raw))
     found = df.select("*", pairs.alias("_pairs"))
     out = with_all(found, {k: F.try_element_at(F.col("_pairs"), F.lit(k)) for k in keys})
     return out.drop("_pairs")

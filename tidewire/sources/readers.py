@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewire.functions.columns import named, with_all
 from tidewire.operators.conform import parse_chat_lines
+from tidewire.sources.paths import with_path_partitions
 
 FORMATS = ("json", "parquet", "csv")
 PARQUET_FIRST = ("parquet", "json", "csv")
@@ -30,14 +34,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def formats_at(spark: SparkSession, path: str) -> set[str]:
-    """Formats by file ending. Lists names only: the content column is pruned away."""
-    names = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        .select(F.regexp_extract(F.lower("path"), _ENDING, 1).alias("ending"))
-        .distinct()
+def _is_glob(path: str) -> bool:
+    return any(c in path for c in "*?[{")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(ending, keys, plain) of each file below ``path``: its format, the keys of its key=value
+    folders, and whether it lies in another kind of folder. Only names are listed: the content
+    column is pruned away.
+    """
+    if _is_glob(path):
+        below = F.lit("")
+    else:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        root = hadoop.getFileSystem(conf).makeQualified(hadoop).toUri().getPath()
+        # The folder part below the root; '' for a file that is the root itself.
+        rest = F.substr(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), F.lit(1))
+        rest = F.regexp_replace(rest, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+        below = F.regexp_extract(F.substring(rest, len(root) + 1, 1 << 20), r"^/?(.*)/[^/]*$", 1)
+    folders = F.filter(F.split(below, "/"), lambda x: x != "")
+    pair = r"^\w+=[^/]+$"
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.regexp_extract(F.lower("path"), _ENDING, 1).alias("ending"),
+        F.transform(F.filter(folders, lambda x: x.rlike(pair)), lambda x: F.substring_index(x, "=", 1)).alias("keys"),
+        F.exists(folders, lambda x: ~x.rlike(pair)).alias("plain"),
     )
-    return {r.ending for r in names.collect()} - {""}
+
+
+@dataclass(frozen=True)
+class Listing:
+    """Files by ending ('' for none that is known), and how they lie in folders."""
+
+    counts: Mapping[str, int]
+    keys: tuple[str, ...]
+    nested: bool
+
+
+def listing(spark: SparkSession, path: str) -> Listing:
+    """Counts of the files below ``path``; a row per ending and one set of folder keys come back."""
+    found = _files(spark, path).groupBy("ending").agg(
+        F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys"), F.max("plain").alias("plain")
+    ).collect()
+    keys = dict.fromkeys(k for r in found for k in r["keys"])
+    return Listing({r["ending"]: r["n"] for r in found}, tuple(keys), any(r["plain"] for r in found))
+
+
+def formats_at(spark: SparkSession, path: str) -> set[str]:
+    """Formats by file ending."""
+    return set(listing(spark, path).counts) - {""}
 
 
 def _only(fmt: str) -> str:
@@ -46,14 +91,50 @@ def _only(fmt: str) -> str:
 
 
 def _load(
-    spark: SparkSession, fmt: str, path: str, schema: T.StructType | str | None, by_name: bool
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    schema: T.StructType | str | None,
+    by_name: bool,
+    seen: Listing,
 ) -> DataFrame:
+    """Files of one format, found the way they were listed.
+
+    Folders named key=value are left to the source, which makes columns of them. Where other
+    folders lie between, the source is told to look into all, and the keys come from the paths.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if by_name:
         reader = reader.option("pathGlobFilter", _only(fmt))
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+    if not seen.nested:
+        return reader.format(fmt).load(path)
+    rows = reader.option("recursiveFileLookup", "true").format(fmt).load(path)
+    return with_path_partitions(rows, [k for k in seen.keys if k not in rows.columns])
+
+
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    """Frames one below the other by column name; columns of unequal types as text."""
+    kinds: dict[str, set[str]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    mixed = {c for c, k in kinds.items() if len(k) > 1}
+    same = [with_all(df, {c: as_text(df, c) for c in df.columns if c in mixed}) for df in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)
+
+
+def as_text(df: DataFrame, name: str) -> Column:
+    nested = isinstance(df.schema[name].dataType, (T.StructType, T.ArrayType, T.MapType))
+    return F.to_json(named(name)) if nested else named(name).cast("string")
+
+
+def _unread(seen: Listing, read: Sequence[str], path: str) -> None:
+    left = {e or "no known ending": n for e, n in seen.counts.items() if e not in read}
+    if left:
+        files = ", ".join(f"{n} with {e}" for e, n in sorted(left.items()))
+        raise UnreadableError(f"{path} also holds {sum(left.values())} files that would not be read: {files}")
 
 
 def read_auto(
@@ -61,27 +142,36 @@ def read_auto(
     path: str,
     formats: Sequence[str] = FORMATS,
     schema: T.StructType | str | None = None,
+    only: str | None = None,
 ) -> DataFrame:
-    """Frame of the first format, in the given order, that fits the files at ``path``.
+    """All rows of the files below ``path``, nested folders included.
 
-    Files with known endings decide by name, and only those of the chosen format are read.
-    Nameless files are tried in order, and a JSON read that understands nothing counts as a
-    failure. Give ``schema`` for large JSON: to infer one, Spark reads the data once more.
+    Files with known endings are read by their names, each format by its reader, and stacked by
+    column name. A file that none of ``formats`` would read raises an error with the count;
+    ``only`` names one format to read and leaves the others out knowingly. Where no file has a
+    known ending the formats are tried in order, and a JSON read that understands nothing counts
+    as a failure. Give ``schema`` for large JSON: to infer one, Spark reads the data once more.
     """
-    known = formats_at(spark, path)
-    by_name = [f for f in formats if f in known]
-    candidates = by_name or list(formats)
+    seen = listing(spark, path)
+    if only is not None:
+        return _load(spark, only, path, schema, True, seen)
+    by_name = [f for f in formats if f in seen.counts]
+    if by_name:
+        _unread(seen, by_name, path)
+        return _stacked([_load(spark, f, path, schema, True, seen) for f in by_name])
+    if set(seen.counts) - {""}:
+        _unread(seen, (), path)
     failure = None
-    for fmt in candidates:
+    for fmt in formats:
         try:
-            df = _load(spark, fmt, path, schema, bool(by_name))
+            df = _load(spark, fmt, path, schema, False, seen)
         # A wrong guess fails while planning, or in the task that reads a parquet footer.
         except (PySparkException, Py4JJavaError) as error:
             failure = error
             continue
         if df.columns and df.columns != [_CORRUPT]:
             return df
-    raise UnreadableError(f"none of {candidates} reads {path}") from failure
+    raise UnreadableError(f"none of {list(formats)} reads {path}") from failure
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -112,20 +202,47 @@ def read_optional(spark: SparkSession, path: str) -> DataFrame | None:
     return None if df.isEmpty() else df
 
 
-def read_chat_text(spark: SparkSession, path: str) -> DataFrame:
-    """Exported chat text files to timestamp, sender, message."""
-    return parse_chat_lines(spark.read.text(path))
+def read_chat_text(
+    spark: SparkSession, path: str, positions: bool = False, only_txt: bool = False
+) -> DataFrame:
+    """Exported chat text files to timestamp, sender, message; nested folders included.
 
+    ``positions`` adds ``message_id``, the file and the line's number in it, which keeps equal
+    messages apart. Each file is then read whole by one task, as exports of single chats allow.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if only_txt:
+        reader = reader.option("pathGlobFilter", _only("txt"))
+    if not positions:
+        return parse_chat_lines(reader.text(path))
+    files = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    return parse_chat_lines(lines.select("value", F.concat_ws("#", "file", "line").alias("message_id")))
 
 
 def read_chat(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    only: str | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """Chat export of any kind: JSON or CSV rows as they are, text files parsed to rows."""
-    known = formats_at(spark, path)
-    if "json" not in known and "txt" in known:
-        return parse_chat_lines(spark.read.option("pathGlobFilter", _only("txt")).text(path))
-    return read_auto(spark, path, ("json", "csv"), schema)
+    """All rows of a chat export: JSON and CSV rows as they are, text files parsed to rows.
+
+    Stacked by column name; other files raise an error, as in :func:`read_auto`.
+    """
+    seen = listing(spark, path)
+    there = [f for f in ("json", "csv", "txt") if f in seen.counts and only in (None, f)]
+    if not there:
+        return read_auto(spark, path, ("json", "csv"), schema, only)
+    if only is None:
+        _unread(seen, there, path)
+    return _stacked(
+        [
+            read_chat_text(spark, path, positions, only_txt=True) if f == "txt" else _load(spark, f, path, schema, True, seen)
+            for f in there
+        ]
+    )
 
 
 def read_csv_header(spark: SparkSession, path: str) -> DataFrame:
