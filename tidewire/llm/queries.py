@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm import bpe, html, lines, neardup, packing, quality, rules, sharding, topk, urls
 from tidewire.llm.common import read, salted_join
+from tidewire.llm.oracles import ORACLES  # noqa: F401 (registered beside the queries)
 
 SHARDS = 8
 URL_RULES = (
@@ -95,6 +96,3 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
-
-
-ORACLES: dict[str, str] = {}
