@@ -16,6 +16,7 @@ from tidewire.session import fresh_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Copies of the small side of a salted join: a key that holds a third of the rows is split into as many tasks.
 SALTS = 32
 
@@ -28,9 +29,13 @@ def _package(application: str) -> str:
 
 
 @lru_cache(maxsize=None)
+def _shipped(application: str) -> None:
+    SparkSession.active().sparkContext.addPyFile(_package(application))
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this library wherever they start."""
-    spark.sparkContext.addPyFile(_package(spark.sparkContext.applicationId))
+    _shipped(spark.sparkContext.applicationId)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -39,11 +44,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: cuts the lineage and survives lost executors."""
+    """The rows as a table in the shared folder: cuts the lineage and survives lost executors.
+
+    What the step shuffled is of no more use then, and goes when it ends.
+    """
     spark = df.sparkSession
     ship(spark)
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    kept = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, kept) if kept is not None else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,13 +45,13 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return rows.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
 
 
-def _sets(texts: pd.Series) -> list[np.ndarray]:
-    value, offsets = S.shingle_sets(*text_bytes(pa.array(texts, pa.string())))
+def _sets(texts: pa.Array) -> list[np.ndarray]:
+    value, offsets = S.shingle_sets(*text_bytes(texts))
     return [value[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked. A hub's pairs are checked in groups of about CHUNK, with one copy of its text each."""
+    """The pairs (a, b) whose full sets are linked. A hub's pairs are dealt out in parts of about CHUNK, each with a copy of its text."""
     hubs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
     members = salted_join(pairs, hubs, ["b"], F.col("a")).select(
         "b", "a", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
@@ -60,21 +60,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     centres = (
         hubs.join(texts.withColumnsRenamed({"id": "b", "t": "hub"}), "b")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(F.col("b").alias("hub_id"), F.col("part").alias("hub_part"), "hub")
+        .select("b", "part", "hub")
     )
 
-    def check(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for hub_id, hub in zip(right["hub_id"], _sets(right["hub"]), strict=True):
-            for i in range(0, len(left), CHUNK):
-                part = left.iloc[i : i + CHUNK]
-                for own_id, own in zip(part["a"], _sets(part["own"]), strict=True):
-                    inter = len(np.intersect1d(own, hub, assume_unique=True))
-                    if S.linked(inter, len(own), len(hub)):
-                        out.append((own_id, hub_id))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _sets(batch.column(2))
+            coded = batch.column(3).dictionary_encode()
+            hubs_here = _sets(coded.dictionary)
+            keep = [
+                bool(S.linked(len(np.intersect1d(x, hubs_here[j], assume_unique=True)), len(x), len(hubs_here[j])))
+                for x, j in zip(own, coded.indices.to_pylist(), strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return members.groupBy("b", "part").cogroup(centres.groupBy("hub_id", "hub_part")).applyInPandas(check, "a long, b long")
+    return members.join(centres, ["b", "part"]).select("a", "b", "own", "hub").mapInArrow(check, "a long, b long")
 
 
 def block_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -141,7 +141,7 @@ def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         lo, hi = rows["lo"].iloc[0], rows["hi"].iloc[0]
         mine = rows["own"].to_numpy() == lo
         found = block_links(
-            rows["id"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), _sets(rows["t"]), at[mine], at if lo == hi else at[~mine]
+            rows["id"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), _sets(pa.array(rows["t"], pa.string())), at[mine], at if lo == hi else at[~mine]
         )
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -157,11 +157,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     gives no rows; other columns are not carried.
     """
     signed = written(signatures(docs, key, text), "signatures")
-    classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id"), F.min("n").alias("n"))
+    classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")
+    )
     classes = written(classes, "classes")
-    named = signed.where("digest IS NOT NULL").select("id", "digest", "keys").join(classes.select("id", "digest"), ["id", "digest"])
-    bands = named.dropDuplicates(["id", "digest"]).select("id", F.explode("keys").alias("key")).join(classes.groupBy("id").agg(F.min("n").alias("n")), "id")
-    bands = written(bands, "bands")
+    bands = classes.select("id", "n", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = written(salted_join(bands, shared, ["key"], F.col("id"), salts=4), "met")
     scores = met.groupBy("id").agg(F.sum("m").alias("score"))
@@ -175,7 +175,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     tried = written(tried, "tried")
     wanted = met.select("id").distinct()
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi")
+    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(wanted, "id", "left_semi")
     texts = written(texts, "texts")
     links = written(confirmed(tried.select("a", "b"), texts), "links")
     # A first label: the best hub that a class is linked to, and that hub's own.
@@ -199,7 +199,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         .distinct()
     )
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = confirmed(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), texts)
+    more = written(confirmed(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), texts), "more-links")
     rest = _large_links(open_.where(F.col("m") > SMALL), texts)
     groups = components(links.union(more).union(rest), "groups")
     found = written(classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("_component")), "found")
