@@ -26,8 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that an earlier document holds; documents without any text left go."""
-    cut = lines.dedup_lines(docs.select(*COLUMNS)).where(F.col("text") != "")
+    """Texts without lines that an earlier document holds; every document stays, if with an empty text."""
+    cut = lines.dedup_lines(docs.select(*COLUMNS))
     return cut.select(*(F.char_length("text").cast("long").alias(c) if c == "n_chars" else c for c in COLUMNS))
 
 

@@ -1,0 +1,517 @@
+"""Nulls, empty and long texts, ties and repeated rows, empty tables, clashing columns: every operator has a defined result."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from tests.llm import brute
+from tidewire.llm import bpe, html, lines, neardup, packing, quality, rules, sharding, shingles, tokens, topk, urls
+from tidewire.llm.common import numbered, text_bytes, word_hashes
+from tidewire.llm.components import components
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+MODEL = public_tokenizers.path("byte_bpe_50k.json")
+LONG = "word " * 40_000
+DOCS = [
+    (1, "The same line of text\nshort\n\n  The SAME line of text \t", "en", "a", 5),
+    (2, "the same line of text\nshort\nown line number two", "en", "a", None),
+    (2, "the same line of text\nshort\nown line number two", "en", "a", None),
+    (3, None, None, None, None),
+    (4, "", "en", "b", 0),
+    (5, " \n\t\r ", "en", "b", 3),
+    (6, LONG, "en", "b", 9),
+    (None, "a text without any id at all", "en", "b", 9),
+    (7, "$$$ éß 中文 \x00 <|endoftext|>", None, "a", 9),
+]
+DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+#: Names that operators use inside or for their results.
+CLASHES = ["_text", "_doc", "_key", "_t", "_k", "_v", "_id", "id", "n", "t", "key", "kept", "n_words", "n_lines", "n_dropped", "shard", "slot", "size", "score", "_score", "component_id", "_salt", "_part", "_host", "_form", "length", "piece"]
+
+
+@pytest.fixture
+def docs(rows):
+    return rows(DOCS, DDL)
+
+
+@pytest.fixture
+def wide(docs):
+    return docs.withColumns({c: F.lit(f"clash {c}") for c in CLASHES})
+
+
+@pytest.fixture
+def none(docs):
+    return docs.limit(0)
+
+
+def got(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
+
+
+def test_numbered_splits_a_hot_group(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(0).alias("g"))
+    out = numbered(df, ["g"], ["id"], "slot", rows=100).collect()
+    for g in range(7):
+        assert sorted(r.slot for r in out if r.g == g) == list(range(sum(r.g == g for r in out)))
+
+
+def test_jump_moves_only_into_the_new_shard():
+    keys = np.array([*range(-500, 2000), 2**63 - 1, -(2**63)], np.int64)
+    before = None
+    for n in range(1, 40):
+        now = sharding.jump(keys, n)
+        assert now.tolist() == [brute.jump(int(k), n) for k in keys] and (now < n).all()
+        if before is not None:
+            moved = now != before
+            assert (now[moved] == n - 1).all() and moved.mean() < 2.5 / n
+        before = now
+    with pytest.raises(ValueError):
+        sharding.shard_of(F.lit(1), 0)
+
+
+def test_sharding(docs, wide, none):
+    out = sharding.assign_shards(docs)
+    assert out.count() == len(DOCS) and got(out, "doc_id", "size") == got(sharding.assign_shards(wide), "doc_id", "size")
+    sizes = dict(got(out, "doc_id", "size"))
+    assert sizes[3] == 1 and sizes[4] == 1 and sizes[6] == len(LONG) + 1 and sizes[None] > 1
+    for s in {r.shard for r in out.collect()}:
+        assert sorted(r.slot for r in out.collect() if r.shard == s) == list(range(sum(r.shard == s for r in out.collect())))
+    assert sharding.assign_shards(none).collect() == []
+
+
+def test_write_shards(docs, spark, tmp_path):
+    sharding.write_shards(docs, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert got(back, "doc_id", "text") == got(docs, "doc_id", "text")
+
+
+def test_bpe_edges(docs, wide, none):
+    encoding = brute.tiktoken_encoding()
+    out = {r.doc_id: r for r in bpe.encode(docs, RANKS).collect()}
+    for i, t, *_ in DOCS:
+        assert list(out[i].ids) == encoding.encode_ordinary(t or "")
+        assert not out[i].ids or out[i].ends[-1] == len((t or "").encode()) and out[i].starts[0] == 0
+    back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(docs, RANKS), RANKS).collect()}
+    assert back == {i: t or "" for i, t, *_ in DOCS}
+    assert got(bpe.round_trip(wide, RANKS), "doc_id", "ids_sha256") == got(bpe.round_trip(docs, RANKS), "doc_id", "ids_sha256")
+    assert bpe.round_trip(none, RANKS).collect() == [] and bpe.encode(none, RANKS).collect() == []
+
+
+def test_bpe_split_characters():
+    encoding = brute.tiktoken_encoding()
+    for text in ("é中🤦🏼‍♂️", "🤦🤦 a", "ñ" * 5):
+        ids = np.array(encoding.encode_ordinary(text), np.int64)
+        assert "".join(bpe.decode_pieces(ids, RANKS)) == text
+    broken = np.array([bpe.ranks(RANKS)[b"\xf0"], bpe.ranks(RANKS)[b"a"]], np.int64)
+    assert "".join(bpe.decode_pieces(broken, RANKS)) == "\ufffda" and bpe.decode_bytes(broken, RANKS) == b"\xf0a"
+
+
+def test_chunked_encoding_is_that_of_the_whole_text(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 50)
+    monkeypatch.setattr(tokens, "PIECE", 100)
+    encoding, encode = brute.tiktoken_encoding(), bpe._encoder(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(2)
+    alphabets = ["ab ", "aAé,.! ", "  \n\t", "01. ", "it's 'll don't. ", "中文a. ", "a\x1c  \x85. ", "a×÷. ", "\u3000a \u2028", "  ,a"]
+    texts = ["".join(rng.choices(rng.choice(alphabets), k=rng.randrange(80))) for _ in range(3000)] + ["x" * 5000, " " * 5000, "\n"]
+    for i in range(0, len(texts), 100):
+        some = texts[i : i + 100]
+        assert encode(some) == [brute.ids_bytes(encoding.encode_ordinary(t)) for t in some]
+
+
+def test_line_dedup_edges(docs, wide, none):
+    out = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert (out[1].text, out[1].n_lines, out[1].n_dropped) == (DOCS[0][1], 4, 0)
+    assert (out[2].text, out[2].n_dropped) == ("short\nown line number two", 1)
+    assert (out[3].text, out[3].n_lines, out[3].n_dropped, out[4].text) == ("", 1, 0, "")
+    assert out[5].n_lines == 2 and out[6].text == LONG and out[None].n_dropped == 0
+    assert lines.dedup_lines(docs).columns == [*docs.columns, "n_lines", "n_dropped"]
+    again = lines.dedup_lines(wide)
+    assert got(again, "doc_id", "text", "n_dropped", "_text") == [(*r, "clash _text") for r in got(lines.dedup_lines(docs), "doc_id", "text", "n_dropped")]
+    assert lines.dedup_lines(none).collect() == []
+
+
+def test_line_dedup_on_random_texts(rows):
+    rng = random.Random(4)
+    words = ["Alpha beta gamma", "ALPHA beta gamma ", "x", "", "longer line here", "Äöü äöü äöü ä", "äöü Äöü äöü ä"]
+    data = [(i, "\n".join(rng.choices(words, k=rng.randrange(9)))) for i in range(120)]
+    out = lines.dedup_lines(rows(data, "doc_id bigint, text string"))
+    found = {r.doc_id: (r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in out.collect()}
+    assert found == brute.line_dedup(data)
+
+
+def test_rules_edges(docs, wide, none):
+    out = {r.doc_id: r for r in rules.judge(docs).collect()}
+    for i, t, *_ in DOCS:
+        assert tuple(out[i][c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == brute.base_rules(t)
+    assert not out[3].kept and not out[6].kept
+    assert got(rules.judge(wide), "doc_id", "kept", "_text", "_host") == [(*r, "clash _text", "clash _host") for r in got(rules.judge(docs), "doc_id", "kept")]
+    assert rules.judge(none).collect() == []
+
+
+def test_rules_on_random_texts(rows):
+    rng = random.Random(6)
+    data = []
+    for i in range(150):
+        base = rng.choices("ab cd ef gh".split(), k=rng.randrange(60))
+        data.append((i, "\n".join(" ".join(base[k : k + 9]) for k in range(0, len(base), 9)), "s"))
+    out = rules.judge(rows(data, "doc_id bigint, text string, source string"))
+    assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in out.collect()} == {
+        i: brute.base_rules(t) for i, t, _ in data
+    }
+
+
+def test_rules_reject_texts_of_common_lines_only(rows):
+    menu = [f"menu entry {k} of this host" for k in range(8)]
+    boiler = [(i, "\n".join([*menu, f"only {i}"]), "h") for i in range(40)]
+    clean = [(100 + i, "\n".join([*menu[:1], *(f"sentence {k} of text {i} with some words" for k in range(8))]), "h") for i in range(40)]
+    copies = [(200 + i, "\n".join(f"copied sentence number {k}, word for word" for k in range(8)), "h") for i in range(40)]
+    out = {r.doc_id: r.kept for r in rules.judge(rows(boiler + clean + copies, "doc_id bigint, text string, source string")).collect()}
+    assert [out[i] for i, *_ in boiler] == [False] * 40
+    assert [out[i] for i, *_ in clean + copies] == [True] * 80
+
+
+def optimum(items, capacity):
+    """Fewest bins, by search."""
+    items = sorted(items, reverse=True)
+    best = len(items)
+
+    def go(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for room in sorted(set(bins)):
+            if room >= items[i]:
+                rest = list(bins)
+                rest[rest.index(room)] -= items[i]
+                go(i + 1, rest)
+        go(i + 1, [*bins, capacity - items[i]])
+
+    go(0, [])
+    return best
+
+
+def test_reduction_never_costs_a_bin():
+    rng = random.Random(8)
+    for _ in range(150):
+        capacity = rng.randrange(6, 25)
+        items = [rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 9))]
+        counts = {x: items.count(x) for x in items}
+        left = packing.Instance(counts)
+        fixed = packing.reduce_instance(left, capacity)
+        rest = [x for x in left.lengths for _ in range(left.counts[x])]
+        held = sorted(x for lengths, times in fixed for x in lengths * times)
+        assert sorted(held + rest) == sorted(items) and all(sum(lengths) <= capacity for lengths, _ in fixed)
+        assert sum(times for _, times in fixed) + (optimum(rest, capacity) if rest else 0) == optimum(items, capacity)
+
+
+def plain_best_fit(items, capacity):
+    rooms = []
+    for x in sorted(items, reverse=True):
+        fitting = [r for r in rooms if r >= x]
+        if fitting:
+            rooms[rooms.index(min(fitting))] -= x
+        else:
+            rooms.append(capacity - x)
+    return len(rooms)
+
+
+def test_plan_places_every_piece_once():
+    rng = random.Random(9)
+    for _ in range(60):
+        capacity = rng.randrange(10, 200)
+        counts = {rng.randrange(1, capacity + 1): rng.randrange(1, 60) for _ in range(rng.randrange(1, 20))}
+        table = packing.plan(counts, capacity)
+        length = np.repeat(list(counts), list(counts.values()))
+        rank = np.concatenate([np.arange(n) for n in counts.values()])
+        bins, offset = packing.place(length, rank, table)
+        for b in np.unique(bins):
+            mine = np.argsort(offset[bins == b])
+            at, size = offset[bins == b][mine], length[bins == b][mine]
+            assert at.tolist() == np.concatenate([[0], np.cumsum(size)[:-1]]).tolist() and size.sum() <= capacity
+        assert len(np.unique(bins)) <= plain_best_fit(length.tolist(), capacity) + 1
+    assert packing.plan({}, 10).empty
+
+
+def test_packing_edges(docs, wide, none):
+    out = packing.pack_documents(docs, MODEL, keep_ids=True).collect()
+    assert sorted({r.doc_id for r in out}, key=str) == sorted({d[0] for d in DOCS}, key=str)
+    empty = [r for r in out if r.doc_id in (3, 4)]
+    assert [(r.length, r.start, list(r.ids)) for r in empty] == [(1, 0, [0])] * 2
+    long = sorted((r.piece, r.start, r.length) for r in out if r.doc_id == 6)
+    assert len(long) > 15 and {n for _, _, n in long[1:]} == {2048}
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert got(packing.pack_documents(wide, MODEL), *columns) == got(packing.pack_documents(docs, MODEL), *columns)
+    assert packing.pack_documents(none, MODEL).collect() == []
+
+
+def test_word_hashes_follow_the_words():
+    texts = ["Ab  cd\tAB", None, "", " ", "ab", "é\x0bé É", "x" * 300]
+    raw, offsets = text_bytes(pa.array(texts))
+    hashes, owner, length = word_hashes(raw, offsets)
+    words = [(i, w) for i, t in enumerate(texts) for w in brute.WORD.findall(brute.low(t or ""))]
+    assert [int(o) for o in owner] == [i for i, _ in words] and [int(n) for n in length] == [len(w.encode()) for _, w in words]
+    by_word = {}
+    for (_, w), h in zip(words, hashes.tolist(), strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_shingle_sets_have_the_right_sizes_and_overlaps():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices("abcde", k=rng.randrange(14))) for _ in range(200)]
+    value, offsets = shingles.shingle_sets(*text_bytes(pa.array(texts)))
+    sets = [set(value[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    plain = [brute.shingles(t) for t in texts]
+    assert [len(s) for s in sets] == [len(s) for s in plain]
+    for i in range(0, 200, 7):
+        assert [len(sets[i] & s) for s in sets] == [len(plain[i] & s) for s in plain]
+
+
+def test_register_estimates():
+    rng = np.random.default_rng(3)
+    for n, shared in ((2000, 1900), (2000, 1000), (400, 340), (2000, 0)):
+        common = rng.integers(0, 1 << 62, shared).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([common, rng.integers(0, 1 << 62, n - shared).astype(np.uint64)])) for _ in "ab")
+        regs = shingles.registers(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert abs(shingles.jaccard(regs[0], regs[1], len(a), len(b)) - true) < 0.13
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 500)] + [(7000, 6999), (5, 5), (8000, 8000)]
+    out = dict(got(components(spark.createDataFrame(edges, "a long, b long")), "node", "component"))
+    assert all(out[i] == 0 for i in range(61)) and all(out[1000 + i] == 1000 for i in range(500))
+    assert out[7000] == out[6999] == 6999
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_near_dedup_edges(docs, wide, none):
+    out = {r.doc_id: r for r in neardup.near_groups(docs).collect()}
+    assert neardup.near_groups(docs).count() == len(DOCS)
+    for i in (3, 4, 5):
+        assert (out[i].n_shingles, out[i].component_id, out[i].kept) == (0, i, True)
+    assert (out[6].n_shingles, out[6].component_id) == (1, 6) and out[2].kept and out[None].n_shingles == 3
+    assert got(neardup.near_groups(wide), "doc_id", "component_id") == got(neardup.near_groups(docs), "doc_id", "component_id")
+    assert neardup.near_groups(none).collect() == []
+
+
+def noisy(rng, base, share):
+    return " ".join(w if rng.random() > share else f"new{rng.randrange(10**6)}" for w in base)
+
+
+@pytest.mark.parametrize("small,block", [(48, 1024), (4, 30)])
+def test_near_dedup_equals_brute_force(rows, monkeypatch, small, block):
+    """Groups with copies of copies, chains, and members with few links; large buckets by the in-task search."""
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(12)
+    data, texts = [], []
+    for _ in range(3):
+        base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+        group = [noisy(rng, base, rng.choice([0, 0.005, 0.01, 0.02, 0.03])) for _ in range(60)]
+        group += [noisy(rng, t.split(), 0.01) for t in group[:20]]
+        texts += group + group[:5]
+    for _ in range(40):
+        words = [f"v{rng.randrange(300)}" for _ in range(rng.randrange(1, 12))]
+        texts += [" ".join(words), " ".join(words[:-1]), " ".join([*words, "z"])]
+    rng.shuffle(texts)
+    data = list(enumerate(texts))
+    want = brute.near(data)
+    out = neardup.near_groups(rows(data, "doc_id bigint, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out.collect())
+
+
+def test_classifier_edges(spark, docs, wide, none, rows):
+    labels = rows([(1, 1), (2, 1), (5, 0), (None, 1), (6, None)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels, F.lit(True))
+    out = got(quality.score(docs, model), "doc_id", "score")
+    assert len(out) == len(DOCS) and all(0 <= s <= 1 and not math.isnan(s) for _, s in out)
+    assert got(quality.score(wide, model), "doc_id", "score") == out
+    assert quality.score(none, model).collect() == []
+    untrained = quality.train(docs, labels.limit(0), F.lit(True))
+    assert {round(r.score, 6) for r in quality.score(docs, untrained).collect()} == {0.5}
+    assert len(got(quality.scored_rows(docs.withColumn("id", F.lit(1)), model), "doc_id", "text", "id", "_score")) == len(DOCS)
+
+
+def test_risk_gradient():
+    rng = np.random.default_rng(0)
+    for shift in (0.0, 4.0):
+        p, u = rng.normal(shift, 1, 30), rng.normal(-shift, 1, 40)
+        risk, step_p, step_u = quality.nn_risk(p, u, 0.6)
+        negative = np.logaddexp(0, u).mean() - 0.6 * np.logaddexp(0, p).mean()
+        sign = 1 if negative >= 0 else -1
+        def goal(a, b):
+            gap = np.logaddexp(0, b).mean() - 0.6 * np.logaddexp(0, a).mean()
+            return 0.6 * np.logaddexp(0, -a).mean() + gap if sign > 0 else -gap
+        for i in (0, 7):
+            e = np.zeros(30)
+            e[i] = 1e-5
+            assert abs((goal(p + e, u) - goal(p - e, u)) / 2e-5 - step_p[i]) < 1e-6
+            e = np.zeros(40)
+            e[i] = 1e-5
+            assert abs((goal(p, u + e) - goal(p, u - e)) / 2e-5 - step_u[i]) < 1e-6
+        assert risk >= 0
+
+
+def test_url_edges(rows):
+    data = [
+        (1, "HTTP://WWW.Example.COM/EN/1?x#y", None), (2, None, None), (3, "no scheme", None), (4, "://", None), (5, "a://h", 1), (6, "a://h?x/y", 1),
+        (7, "a://h#x", 0), (8, "a://example.com/en/1", None), (9, "a://notexample.com/en/1", None), (10, "a://x.net/fr/", None), (11, "a://x.net/fr", None),
+        (12, "a://net", None), (13, "b://a://c/d", None), (14, "a://h/" + "p/" * 3000, None), (14, "a://h/" + "p/" * 3000, None), (None, "a://h/q", None),
+    ]
+    from tidewire.llm.queries import URL_RULES
+
+    out = {r.page_id: r for r in urls.judge_urls(rows(data, "page_id bigint, url string, good int"), URL_RULES).collect()}
+    assert (out[1].host, out[1].path, out[1].rule, out[1].verdict) == ("www.example.com", "/EN/1", "com/", "allow")
+    assert (out[2].host, out[2].path, out[3].host, out[4].host) == ("", "", "", "")
+    assert (out[6].host, out[6].path, out[7].host, out[5].rule) == ("h", "", "h", None)
+    assert (out[8].rule, out[8].verdict, out[9].rule) == ("example.com/en/", "block", "com/")
+    assert (out[10].rule, out[11].rule, out[12].rule, out[13].host, out[13].path) == ("net/fr/", None, None, "a:", "//c/d")
+    assert len(out) == 15 and all(r.verdict in ("allow", "block") for r in out.values())
+    assert urls.judge_urls(rows([], "page_id bigint, url string, good int"), URL_RULES).collect() == []
+
+
+def test_templates_reject_impure_branches(rows):
+    data = []
+    for i in range(400):
+        data += [
+            (4 * i, f"a://h.org/spam/{i}", 0), (4 * i + 1, f"a://h.org/news/{i}", 1), (4 * i + 2, f"a://h.org/blog/{i}", 1 if i % 50 else 0),
+            (4 * i + 3, f"a://h.org/user/name-of-{'abcdefghij'[i % 10] * (1 + i // 10)}", None),
+        ]
+    out = urls.judge_urls(rows(data, "page_id bigint, url string, good int")).collect()
+    verdicts = {r.template: r.verdict for r in out}
+    assert verdicts["h.org/spam/*"] == "block"
+    assert {v for t, v in verdicts.items() if "spam" not in t} == {"allow"} and len(verdicts) <= 5
+
+
+def plain_cut(terminal, links):
+    n = len(terminal)
+    best = None
+    for mask in range(1 << n):
+        side = [bool(mask >> i & 1) for i in range(n)]
+        cost = sum(t if not s else 0 for t, s in zip(terminal, side) if t > 0) + sum(-t if s else 0 for t, s in zip(terminal, side) if t < 0)
+        cost += sum(w for a, b, w in links if side[a] != side[b])
+        best = cost if best is None else min(best, cost)
+    return best
+
+
+def test_minimum_cut_is_minimal():
+    rng = random.Random(13)
+    for _ in range(200):
+        n = rng.randrange(1, 9)
+        terminal = [rng.choice([-3.0, -1.0, -0.5, 0.0, 0.5, 1.0, 2.5]) for _ in range(n)]
+        links = [(rng.randrange(n), rng.randrange(n), rng.choice([0.1, 0.5, 1.0, 2.0])) for _ in range(rng.randrange(12))]
+        links = [x for x in links if x[0] != x[1]]
+        side = html.source_side(terminal, links)
+        cost = sum(t for t, s in zip(terminal, side) if t > 0 and not s) - sum(t for t, s in zip(terminal, side) if t < 0 and s)
+        cost += sum(w for a, b, w in links if side[a] != side[b])
+        assert abs(cost - plain_cut(terminal, links)) < 1e-9
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>if (a<b) x("<p>no</p>")</script><style>p{}</style></head><body>
+<header><h2>Site name</h2><p>The slogan of a site, long enough to look like text, with many words in it, really.</p></header>
+<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
+<div class="cookie-notice">We use cookies on this site to make it better for you and all of our many partners, so please agree to it.</div>
+<main><article><h1>Title &amp; more</h1><p class=lead>First&nbsp;paragraph   of
+text<br>goes on.<p>Second <b>bold</b> one with <a href="x">a link</a>.<ul><li>point one<li>point two</ul>
+<table><tr><td>cell a<td>cell b</table><pre>x &lt; y</pre><aside class="related">Related: a long list of other articles that you may like to read one day</aside>
+<form><label>Mail</label><input><button>Send</button></form><p>Last.</p></article>
+<section id="comments"><h3>Comments</h3><p>A reader says that this article is long and good, and goes on for quite a few words about it.</p></section></main>
+<aside><p>Sidebar text with a good number of words, to look like content of the page though it is not.</p></aside>
+<div class="ad">Buy now</div><footer>&copy; me</footer></body></html>"""
+
+
+@pytest.mark.parametrize("weights", [html.UNTRAINED, (-6.0, 3.0, -9.0, -1.0, 2.0, -1.0), (0.0,) * 6])
+def test_html_parts(weights):
+    assert html.main_text(PAGE, weights).split("\n\n") == [
+        "Title & more", "First paragraph of text goes on.", "Second bold one with a link.", "point one", "point two", "cell a", "cell b", "x < y", "Last.",
+    ]
+
+
+def test_html_attributes():
+    page = """<article><header><h1>Head</h1></header><p class="overflow-hidden text">Shown.</p><p hidden>No.</p><p style="display: none">No.</p>
+    <div aria-hidden=true>No.</div><ins class=adsbygoogle>No.</ins><div class="x notice-box">No.</div><p data-x="a>b">Kept.</p></article>"""
+    assert html.main_text(page).split("\n\n") == ["Head", "Shown.", "Kept."]
+
+
+def test_html_text_classifier_is_trained(rows):
+    pages = [(i, f"<article><p>{'many words of a sentence, and more. ' * (1 + i % 3)}</p></article><nav><a href=x>short {i}</a></nav>") for i in range(40)]
+    weights = html.train(rows(pages, "page_id bigint, html string"))
+    content, menu = (html.blocks(p)[0] for p in ("<div>many words of a sentence, and more words.</div>", "<div><a href=y>short</a></div>"))
+    assert html.costs(content, weights) > 0 > html.costs(menu, weights)
+    assert html.train(rows([], "page_id bigint, html string")) == html.UNTRAINED
+
+
+def test_html_edges(rows):
+    data = [(1, "u", None), (2, None, ""), (3, "u", "plain text, no markup"), (4, "u", "<p>open"), (5, "u", "<<>><"), (6, "u", "<!-- x"), (7, "u", "<script>x"), (7, "u", "<script>x"),
+            (8, "u", "<article><p>" + "many words " * 50_000), (9, "u", "<div>" * 5000 + "deep text"), (10, "u", "<article>" + "<p>p</p>" * 5000), (None, "u", "<p>&#65;&bogus;&#x1F600;</p>")]
+    out = {r.page_id: r for r in html.extract(rows(data, "page_id bigint, url string, html string")).collect()}
+    assert out[1].text == out[2].text == out[6].text == out[7].text == "" and out[2].url is None
+    assert out[3].text in ("plain text, no markup", "") and out[8].n_chars == len("many words " * 50_000) - 1
+    assert out[10].text.count("p") == 5000 and all(r.n_chars == len(r.text) for r in out.values())
+    assert html.extract(rows([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_top_k_edges(rows):
+    rng = random.Random(14)
+    data = [(i, [rng.choice([0.25, -0.5, 0.001, 1.0, 0.0]) for _ in range(6)]) for i in range(300)]
+    data += [(None, [1.0] * 6), (301, None), (302, [None] * 6), (303, [float("nan")] * 6), (304, [float("inf")] * 6), (305, [1.0]), (306, [])]
+    data += [(400, [1e15] * 6), (500, [-1e15] * 6), (600, [1.0] * 6), (601, [1.0] * 6), (602, [1.0] * 6)]
+    df = rows(data, "vec_id bigint, embedding array<double>")
+    query = F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False))
+
+    def run(frame):
+        found: dict = {}
+        for r in frame.orderBy("query_id", "rank").collect():
+            found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        return found
+
+    small = [d for d in data if d[0] not in (400, 500)]
+    assert run(topk.search(rows(small, "vec_id bigint, embedding array<double>"), query)) == brute.top_k(small)
+    huge = run(topk.search(df, query))
+    assert set(huge) == {0, 100, 200, 400, 500, 600} and huge[400][0][1] > 0 and huge[500][0][0] == 300 - 300 + huge[500][0][0]
+    few = rows([(0, [1.0]), (1, [2.0]), (100, [3.0])], "vec_id bigint, embedding array<float>")
+    assert run(topk.search(few, query)) == {0: [(100, 3145728), (1, 2097152)], 100: [(1, 6291456), (0, 3145728)]}
+    assert topk.search(few.limit(0), query).collect() == [] and topk.search(few.where("vec_id = 1"), query).collect() == []
+
+
+def test_top_k_prunes_and_stays_exact(rows, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "SEEDS", 40)
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(1200, 8)) * rng.exponential(1, (1200, 1)) * np.array([4, 2, 1, 1, 0.3, 0.2, 0.1, 0.1])
+    x[600:800] = x[0]
+    data = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    out: dict = {}
+    for r in topk.search(rows(data, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert out == brute.top_k(data)
+
+
+def test_pipeline_stages_on_awkward_rows(spark, wide, tmp_path, monkeypatch):
+    clean = [(100 + i, "\n".join(" ".join(f"w{(i * 31 + k * 7 + j * j) % 997}x{i}" for j in range(12)) for k in range(6)), "en", "a", 9) for i in range(30)]
+    docs = wide.select(*P.COLUMNS, "kept", "_text").unionByName(spark.createDataFrame(clean, DDL), allowMissingColumns=True)
+    docs = docs.unionByName(docs.where("doc_id = 100"))
+    spark.createDataFrame([(100 + i, 1, 0) for i in range(30)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != "best_fit_packing":
+            assert out.columns == P.COLUMNS
+            docs = spark.createDataFrame(out.collect(), out.schema)
+    assert {r.doc_id for r in docs.collect()} == {100 + i for i in range(30)} and docs.count() == 30
+    empty = docs.limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0

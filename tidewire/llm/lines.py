@@ -42,12 +42,17 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     of one key are one document: their lines are not dropped for each other's sake. Whole texts of any length are read;
     a text without lines left becomes ''. Columns of the names ``n_lines`` and ``n_dropped`` are replaced.
     """
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.drop("n_lines", "n_dropped").withColumns(
-        {"_doc": F.coalesce(F.col(key).cast("long"), F.lit(_LAST)), "_text": F.unhex(F.md5(whole.cast("binary")))}
+    # Other columns travel in a struct, so none of them can meet a name used here.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns if c != text] or [F.lit(0).alias("none")]).alias("_row"),
+        whole.alias("_whole"),
+        F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("_doc"),
+        F.unhex(F.md5(whole.cast("binary"))).alias("_text"),
     )
     held = (
-        rows.select("_doc", "_text", F.posexplode(F.split(whole, "\n")).alias("_pos", "_line"))
+        rows.select("_doc", "_text", F.posexplode(F.split("_whole", "\n")).alias("_pos", "_line"))
         .withColumn("_line", line_key(F.col("_line")))
         .where(F.char_length("_line") >= least_chars)
         .select("_doc", "_text", "_pos", F.unhex(F.md5(F.col("_line").cast("binary"))).alias("_hash"))
@@ -65,9 +70,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
         .agg(F.sort_array(F.collect_set("_pos")).alias("_drops"))
     )
     cut = rows.join(drops, ["_doc", "_text"], "left")
-    lines = F.split(whole, "\n")
+    lines = F.split("_whole", "\n")
     return cut.select(
-        *(F.array_join(_kept(lines, F.col("_drops")), "\n").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")),
+        *(F.array_join(_kept(lines, F.col("_drops")), "\n").alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns),
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("n_dropped"),
     )

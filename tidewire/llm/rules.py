@@ -123,13 +123,20 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source") -> DataFram
         .agg(F.sum("_words").alias("_gone"))
     )
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words"]
-    plain = docs.drop(*added)
-    keyed = base_counts(plain, text).withColumns(
-        {"_host": owner, "_text": F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))}
+    columns = [c for c in docs.columns if c not in added]
+    # Other columns travel in a struct, so none of them can meet a name used here.
+    keyed = base_counts(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in columns if c != text] or [F.lit(0).alias("none")]).alias("_row"),
+            F.col(text).alias("_whole"),
+            owner.alias("_host"),
+            F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("_text"),
+        ),
+        "_whole",
     )
     left = F.col("n_words") - F.coalesce("_gone", F.lit(0))
     return (
         keyed.join(gone, ["_host", "_text"], "left")
         .withColumns({"kept": ~F.col("base_failed") & (left >= LEFT * F.col("n_words")), "n_removed_words": F.coalesce("_gone", F.lit(0))})
-        .select(*plain.columns, *added)
+        .select(*(F.col("_whole").alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns), *added)
     )
