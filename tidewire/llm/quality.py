@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import text_bytes, word_hashes
 
-#: Most positives and most unlabelled texts of the fit; rows are taken by the hash of their text.
+#: Most positives and most unlabelled texts of the fit; rows are taken by the hash of their key.
 POSITIVES, UNLABELLED = 8_000, 16_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 24, 60, 1024, 0.01, 1e-4, 7
 _SYMBOLS = b"#*$%&|<>@^~=+_\\/{}[]"
@@ -149,24 +149,32 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int
     return model
 
 
-def _plain(rows: DataFrame) -> np.ndarray:
-    raw, offsets = text_bytes(pa.array([r["t"] for r in rows.toLocalIterator()], pa.string()))
-    return features(raw, offsets)
+def _sample_features(rows: DataFrame, most: int) -> np.ndarray:
+    """Features of the chosen rows (_k, _t), the first ``most`` of them in the order of the choice.
 
-
-def _sample_features(rows: DataFrame, text: str, most: int) -> np.ndarray:
-    """Features of up to ``most`` rows, the least by hash of the text: computed in tasks, so texts stay there."""
-    chosen = rows.select(F.col(text).alias("t"), F.xxhash64(F.col(text)).alias("h")).orderBy("h").limit(most)
+    The choice is a filter on the scan, so no other text moves; features are computed where the text is.
+    """
     width = features(np.zeros(0, np.uint8), np.zeros(1, np.int64)).shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
-                made = features(*text_bytes(batch.column(0).slice(i, 512)))
-                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in made], pa.binary())], names=["f"])
+                part = batch.slice(i, 512)
+                made = features(*text_bytes(part.column(1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in made], pa.binary())], names=["h", "f"])
+
+    got = rows.select(_place().alias("h"), "_t").mapInArrow(run, "h long, f binary").collect()
+    got.sort(key=lambda r: (r["h"], r["f"]))
+    return np.stack([np.frombuffer(r["f"], np.float32) for r in got[:most]]) if got else np.zeros((0, width), np.float32)
+
+
+def _place() -> Column:
+    """Place of a row in the order that samples are taken by, 0 to 2^30."""
+    return F.pmod(F.xxhash64("_k"), F.lit(1 << 30))
+
 
-    got = chosen.select("t").mapInArrow(run, "f binary").collect()
-    return np.stack([np.frombuffer(r["f"], np.float32) for r in got]) if got else np.zeros((0, width), np.float32)
+def _chosen(rows: DataFrame, n: int, most: int) -> DataFrame:
+    return rows.where(_place() < F.lit(int((1 << 30) * min(1.0, most / max(1, n)))))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
@@ -176,12 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     """
     marks = labels.select(F.col(key).cast("long").alias("_k"), F.col(label).cast("int").alias("_y")).where("_k IS NOT NULL AND _y IS NOT NULL")
     marks = marks.groupBy("_k").agg(F.min("_y").alias("_y"))
-    rows = docs.where(learn).select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias(text))
+    rows = docs.where(learn).select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    n = rows.agg(F.count("_k").alias("n")).first()["n"]
     known = marks.join(rows.select("_k").distinct(), "_k", "left_semi").agg(F.count_if(F.col("_y") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
     prior = (known["p"] + 1) / (known["n"] + 2)
-    # The hash decides first, so only a small multiple of the sample is sorted, joined and read in full.
-    positive = rows.join(marks.where("_y = 1").select("_k"), "_k", "left_semi")
-    return fit(_sample_features(positive, text, POSITIVES), _sample_features(rows, text, UNLABELLED), prior)
+    trusted = _chosen(marks.where("_y = 1").select("_k"), known["p"], POSITIVES)
+    positive = _chosen(rows, known["p"], POSITIVES).join(trusted, "_k", "left_semi")
+    return fit(
+        _sample_features(positive, POSITIVES), _sample_features(_chosen(rows, n, UNLABELLED), UNLABELLED), prior
+    )
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
