@@ -9,32 +9,41 @@ other set with it can be fixed without loss. Equal lengths are fixed together.
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.bpe import BATCH
+from tidewire.llm.bpe import BATCH, byte_characters
 from tidewire.llm.common import numbered, written
-from tidewire.llm.tokens import ChunkEncoder
 
 CAPACITY = 2048
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(2)
-def _encoder(path: str) -> ChunkEncoder:
-    from tokenizers import Tokenizer
+def _encoder(path: str) -> Callable[[str], list[int]]:
+    """Ids of a text by a byte-level BPE file of the tokenizers library, special tokens as plain text.
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return ChunkEncoder(lambda some: [e.ids for e in made.encode_batch_fast(some, add_special_tokens=False)])
+    Such a file numbers its bytes and merges in the order of their ranks, which is all that tiktoken's encoder needs; it
+    gives the same ids in a third of the time (tests compare them).
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    back = {character: byte for byte, character in enumerate(byte_characters())}
+    merged = {"".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]}
+    ranks = {bytes(back[c] for c in token): i for token, i in model["vocab"].items() if len(token) == 1 or token in merged}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -55,8 +64,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, key: str = "doc
             for i in range(0, batch.num_rows, BATCH):
                 part = batch.slice(i, BATCH)
                 out: list[tuple] = []
-                for doc, ids in zip(part.column(0).to_pylist(), made(part.column(1).to_pylist()), strict=True):
-                    ids += bytes(4)
+                for doc, words in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    ids = np.array([*made(words), 0], "<u4").tobytes()
                     for k, (start, length) in enumerate(cut_points(len(ids) // 4, capacity)):
                         own = ids[4 * start : 4 * (start + length)]
                         out.append((doc, k, start, length, zlib.crc32(own), np.frombuffer(own, "<i4") if keep_ids else None))
