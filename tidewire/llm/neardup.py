@@ -51,30 +51,35 @@ def _sets(texts: pa.Array) -> list[np.ndarray]:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked. A hub's pairs are dealt out in parts of about CHUNK, each with a copy of its text."""
+    """The pairs (a, b) whose full sets are linked.
+
+    A hub's pairs are dealt out in parts of about CHUNK, each with a copy of its text in front; a text moves once to be
+    found and once to its part.
+    """
     hubs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
     members = salted_join(pairs, hubs, ["b"], F.col("a")).select(
-        "b", "a", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
+        F.col("a").alias("id"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role")
     )
-    members = members.join(texts.withColumnsRenamed({"id": "a", "t": "own"}), "a")
-    centres = (
-        hubs.join(texts.withColumnsRenamed({"id": "b", "t": "hub"}), "b")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("b", "part", "hub")
+    centres = hubs.select(
+        F.col("b").alias("id"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role")
     )
+    placed = members.union(centres).join(texts, "id").repartition("b", "part").sortWithinPartitions("b", "part", "role")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, centre = None, []
         for batch in batches:
-            own = _sets(batch.column(2))
-            coded = batch.column(3).dictionary_encode()
-            hubs_here = _sets(coded.dictionary)
-            keep = [
-                bool(S.linked(len(np.intersect1d(x, hubs_here[j], assume_unique=True)), len(x), len(hubs_here[j])))
-                for x, j in zip(own, coded.indices.to_pylist(), strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found = []
+            columns = [batch.column(c).to_pylist() for c in ("id", "b", "part", "role")]
+            for own_id, hub_id, part, role, own in zip(*columns, _sets(batch.column("t")), strict=True):
+                if here != (hub_id, part):
+                    here, centre = (hub_id, part), []
+                if not role:
+                    centre.append(own)
+                elif any(S.linked(len(np.intersect1d(own, hub, assume_unique=True)), len(own), len(hub)) for hub in centre):
+                    found.append((own_id, hub_id))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return members.join(centres, ["b", "part"]).select("a", "b", "own", "hub").mapInArrow(check, "a long, b long")
+    return placed.select("id", "b", "part", "role", "t").mapInArrow(check, "a long, b long")
 
 
 def block_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -166,10 +171,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     met = written(salted_join(bands, shared, ["key"], F.col("id"), salts=4), "met")
     scores = met.groupBy("id").agg(F.sum("m").alias("score"))
     scored = met.join(scores, "id")
-    hubs = scored.groupBy("key").agg(F.max(F.struct(F.col("score"), (-F.col("id")).alias("i"))).alias("h")).select("key", (-F.col("h.i")).alias("b"), F.col("h.score").alias("top"))
+    hubs = scored.groupBy("key").agg(F.max(F.struct(F.col("score"), (-F.col("id")).alias("i"), "n")).alias("h"))
+    hubs = hubs.select("key", (-F.col("h.i")).alias("b"), F.col("h.score").alias("top"), F.col("h.n").alias("n_b"))
     tried = (
         salted_join(met, hubs, ["key"], F.col("id"), salts=4)
-        .where("id != b")
+        .where("id != b AND 4 * n >= 3 * n_b AND 4 * n_b >= 3 * n")  # sets of other sizes have no link
         .groupBy(F.col("id").alias("a"), "b")
         .agg(F.max("top").alias("top"))
     )
