@@ -65,7 +65,8 @@ def tokenizer(path: str, pattern: str):
 @lru_cache(4)
 def _encoder(path: str, pattern: str) -> ChunkEncoder:
     made = tokenizer(path, pattern)
-    return ChunkEncoder(lambda some: [e.ids for e in made.encode_batch_fast(some, add_special_tokens=False)])
+    sizes = np.array([len(token) for token in _decoding(path)], np.int64)
+    return ChunkEncoder(lambda text: made.encode(text, add_special_tokens=False).ids, sizes)
 
 
 @lru_cache(4)

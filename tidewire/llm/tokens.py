@@ -11,12 +11,14 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Chunks kept by a task, and their longest length; longer ones are encoded each time.
+#: Chunks kept by a task before it starts over with those that come again, and their longest length; longer ones are
+#: encoded each time.
 CACHE_CHUNKS, CACHE_CHARS = 300_000, 40
 #: Characters encoded in one call when a text has other spaces than blanks and newlines.
 PIECE = 1 << 16
 
-_CHUNKS = re.compile(r"[ \n]*[^ \n]+|[ \n]+$").findall
+# A chunk may also end between a letter and a punctuation mark: there the pattern changes class.
+_CHUNKS = re.compile(r"[ \n]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?])|[ \n]*[^ \n]+|[ \n]+$").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
@@ -35,23 +37,56 @@ def chunks(text: str) -> list[str]:
 
 
 class ChunkEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes; ``encode`` gives the ids of each of many chunks."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self._encode, self._cache = encode, {}
+    ``encode`` gives the ids of one text and ``sizes`` the bytes of each id. New chunks are encoded joined: each starts with
+    a space after a non-space, where the text could be cut, so the ids fall apart at the chunks' ends.
+    """
+
+    def __init__(self, encode: Callable[[str], list[int]], sizes: np.ndarray):
+        self._encode, self._sizes = encode, sizes
+        self._cache: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [chunks(t) for t in texts]
-        cache = self._cache
-        missing = list(set().union(*parts) - cache.keys())
-        if len(cache) + len(missing) > CACHE_CHUNKS:
-            cache = self._cache = {}
-            missing = list(set().union(*parts))
-        extra = {}
-        for i in range(0, len(missing), 4096):
-            some = missing[i : i + 4096]
-            for chunk, ids in zip(some, self._encode(some), strict=True):
-                (cache if len(chunk) <= CACHE_CHARS else extra)[chunk] = np.asarray(ids, "<u4").tobytes()
+        if len(self._cache) > CACHE_CHUNKS:
+            self._before, self._cache = self._cache, {}
+        cache, before = self._cache, self._before
+        missing = set().union(*parts) - cache.keys()
+        if before:
+            again = missing & before.keys()
+            cache.update({c: before[c] for c in again})
+            missing -= again
+        extra: dict[str, bytes] = {}
+        joined: list[str] = []
+        size = 0
+        for chunk in missing:
+            if len(chunk) > CACHE_CHARS:
+                extra[chunk] = self._one(chunk)
+            elif chunk[0] in " \n" and not chunk[-1].isspace():
+                joined.append(chunk)
+                size += len(chunk)
+                if size > PIECE:
+                    self._many(joined, cache)
+                    joined, size = [], 0
+            else:
+                cache[chunk] = self._one(chunk)
+        self._many(joined, cache)
         if not extra:
             return [b"".join(map(cache.__getitem__, p)) for p in parts]
         return [b"".join([cache[c] if c in cache else extra[c] for c in p]) for p in parts]
+
+    def _one(self, text: str) -> bytes:
+        return np.asarray(self._encode(text), "<u4").tobytes()
+
+    def _many(self, some: list[str], cache: dict[str, bytes]) -> None:
+        if not some:
+            return
+        ids = np.asarray(self._encode("".join(some)), "<u4")
+        raw, ends = ids.tobytes(), np.cumsum(self._sizes[ids])
+        at = 4 * (np.searchsorted(ends, np.cumsum([len(c.encode()) for c in some])) + 1)
+        start = 0
+        for chunk, end in zip(some, at.tolist(), strict=True):
+            cache[chunk] = raw[start:end]
+            start = end
