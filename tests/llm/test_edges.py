@@ -396,6 +396,29 @@ def test_templates_reject_impure_branches(rows):
     assert {v for t, v in verdicts.items() if "spam" not in t} == {"allow"} and len(verdicts) <= 5
 
 
+def word(i):
+    return "".join("abcdefghij"[int(c)] for c in str(i))
+
+
+def test_templates_pool_below_variable_words(rows):
+    data = []
+    for i in range(300):
+        data += [(2 * i, f"a://h.org/user/name-{word(i)}/spam/1", 0), (2 * i + 1, f"a://h.org/user/name-{word(i)}/news/1", 1)]
+    out = urls.judge_urls(rows(data, "page_id bigint, url string, good int")).collect()
+    assert {(r.template, r.verdict) for r in out} == {("h.org/user/*/spam/*", "block"), ("h.org/user/*/news/*", "allow")}
+
+
+def test_templates_of_a_small_host(rows):
+    data = [(i, f"a://small.org/{'spam' if i % 2 else 'news'}/{i}", 1 - i % 2) for i in range(30)]
+    data += [(100 + i, f"a://mixed.org/{i}", 1) for i in range(300)] + [(500 + i, f"a://mixed.org/bad-{word(i)}", 0) for i in range(60)]
+    data += [(1000 + i, f"a://slugs.org/page-{word(i)}", int(i % 20 > 0)) for i in range(400)]
+    out = urls.judge_urls(rows(data, "page_id bigint, url string, good int")).collect()
+    verdicts = {(r.template, r.verdict) for r in out}
+    assert {v for v in verdicts if v[0].startswith("small")} == {("small.org/spam/*", "block"), ("small.org/news/*", "allow")}
+    assert {v for v in verdicts if v[0].startswith("mixed")} == {("mixed.org/*", "allow"), ("mixed.org/*words", "block")}
+    assert {v for v in verdicts if v[0].startswith("slugs")} == {("slugs.org/*", "allow")}
+
+
 def plain_cut(terminal, links):
     n = len(terminal)
     best = None

@@ -1,9 +1,10 @@
 """URL filter by path templates: per host a tree of path segments, judged by the labelled purity of its leaves.
 
-Segments with digits are variable by form; others are variable where their value is rare at its node of the tree.
-Sibling leaves whose purity does not differ from their common pool are merged, from the deepest segment up. Pages are
-reduced to counts by host and path form before any tree work, and only those counts are joined and grouped; a hot host
-is split over salted keys. DataFrame operations only.
+Segments with digits are variable by form; others are variable where their value is rare at its node of the tree and its
+labels do not set it apart from the other rare ones. Nodes are generalised from the root down, each below the generalised
+path to it, so what is below a variable segment is one node. Sibling leaves whose purity does not differ from their common
+pool are merged, from the deepest segment up. Pages are reduced to counts by host and path form before any tree work, and
+only those counts are joined and grouped; a hot host is split over salted keys. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -17,11 +18,14 @@ from tidewire.llm.common import ascii_lower, salted_join, written
 
 #: Levels of the tree; what lies deeper is one wildcard.
 DEPTH = 4
-#: A value stays literal if it has this many pages and this share of its node's pages.
+#: A value with this many pages and this share of its node's pages stays literal; a rarer one if its labels set it apart.
 LITERAL_PAGES, LITERAL_SHARE = 20, 0.01
 #: Leaves within this many standard deviations of their pool are merged; pseudo-counts at the prior; least purity.
 SIMILAR, SMOOTHING, PURITY = 1.96, 10.0, 0.5
-ANY, DEEPER = "*", "**"
+#: Chance at which the rarer values of a node are told apart, all of them together.
+CHANCE = 0.05
+#: Segments with a digit, and others that vary; WORDS where a node has both kinds and their purity differs.
+ANY, WORDS, DEEPER = "*", "*words", "**"
 
 
 def url_host(url: Column) -> Column:
@@ -53,39 +57,95 @@ def path_form(path: Column, depth: int = DEPTH) -> Column:
     return F.when(F.size(parts) > depth, F.concat(shown, F.array(F.lit(DEEPER)))).otherwise(shown)
 
 
-def _generalised(forms: DataFrame) -> DataFrame:
-    """Adds ``_leaf`` to (_host, _form, n, good, bad): the form with its rare values as wildcards."""
-    steps = forms.select("_host", "_form", "n", F.posexplode("_form").alias("_at", "_value")).withColumn(
-        "_node", F.to_json(F.slice("_form", 1, F.col("_at")))
+def _apart(good: Column, bad: Column, share: Column, tests: Column) -> Column:
+    """Whether labels differ from a pool with ``share`` good ones more than chance allows in so many tests.
+
+    Chernoff's bound on the binomial tail, so it holds for small counts: one label alone is never apart from its pool.
+    """
+    seen = good + bad
+
+    def part(n: Column, p: Column) -> Column:
+        return F.when(n > 0, n * F.log(n / (seen * p))).otherwise(0.0)
+
+    return part(good, share) + part(bad, 1 - share) > F.log(2 * tests / CHANCE)
+
+
+def _share(good: Column, bad: Column) -> Column:
+    return (good + 1) / (good + bad + 2)
+
+
+def _next_level(forms: DataFrame) -> DataFrame:
+    """``forms`` (_host, _form, n, good, bad, _leaf) with one more segment of _form, as it is or as a wildcard, in _leaf."""
+    node, counts = ["_host", "_leaf"], ("n", "good", "bad")
+    at = F.size("_leaf")
+    forms = forms.withColumn("_value", F.get("_form", at))
+    children = forms.where("_value IS NOT NULL").groupBy(*node, "_value").agg(*(F.sum(c).alias(c) for c in counts))
+    children = written(children, "url-children")
+    totals = children.groupBy(*node).agg(F.sum("n").alias("_all"))
+    word = F.col("_value") != ANY
+    rare = word & ((F.col("n") < LITERAL_PAGES) | (F.col("n") < LITERAL_SHARE * F.col("_all")))
+    children = salted_join(children, totals, node, F.col("_value")).withColumn("_rare", rare)
+    pools = (
+        children.where(F.col("_rare") | ~word)
+        .groupBy(*node)
+        .agg(
+            F.count_if("_rare").alias("_words"),
+            F.count_if(F.col("_rare") & (F.col("good") + F.col("bad") > 0)).alias("_tests"),
+            *(F.coalesce(F.sum(F.when(F.col("_rare") == kind, F.col(c))), F.lit(0)).alias(f"_{c}_{kind}".lower()) for c in ("good", "bad") for kind in (True, False)),
+        )
     )
-    children = steps.groupBy("_host", "_node", "_value").agg(F.sum("n").alias("_own"))
-    nodes = children.groupBy("_host", "_node").agg(F.sum("_own").alias("_all"))
-    literal = (
-        salted_join(children, nodes, ["_host", "_node"], F.col("_value"))
-        .where((F.col("_own") >= LITERAL_PAGES) & (F.col("_own") >= LITERAL_SHARE * F.col("_all")))
-        .select("_host", "_node", "_value", F.lit(True).alias("_literal"))
+    words, digits = ((F.col(f"_good_{kind}"), F.col(f"_bad_{kind}")) for kind in ("true", "false"))
+    both = _share(words[0] + digits[0], words[1] + digits[1])
+    pools = pools.where("_words > 0").withColumns(
+        {"_share": _share(*words), "_name": F.when(_apart(*words, both, F.lit(2)) | _apart(*digits, both, F.lit(2)), WORDS).otherwise(ANY)}
     )
-    leaves = (
-        salted_join(steps, literal, ["_host", "_node", "_value"], F.col("_form"), "left")
-        .groupBy("_host", "_form")
-        .agg(F.sort_array(F.collect_list(F.struct("_at", F.when(F.col("_literal"), F.col("_value")).otherwise(ANY).alias("v")))).alias("_steps"))
-        .select("_host", "_form", F.transform("_steps", lambda x: x["v"]).alias("_leaf"))
+    # A lone rare word has no siblings to be merged with; whether digits are like it is for _merged to tell.
+    joins = (F.col("_words") > 1) & ~_apart(F.col("good"), F.col("bad"), F.col("_share"), F.col("_tests"))
+    wild = (
+        salted_join(children.where("_rare"), pools.select(*node, "_words", "_tests", "_share", "_name"), node, F.col("_value"))
+        .where(joins)
+        .select(*node, "_value", "_name")
+    )
+    step = F.coalesce("_name", "_value")
+    return (
+        salted_join(forms, wild, [*node, "_value"], F.col("_form"), "left")
+        .withColumn("_leaf", F.when(step.isNotNull(), F.concat("_leaf", F.array(step))).otherwise(F.col("_leaf")))
+        .drop("_value", "_name")
     )
-    return forms.join(leaves, ["_host", "_form"], "left").withColumn("_leaf", F.coalesce("_leaf", F.array().cast("array<string>")))
+
+
+def _generalised(forms: DataFrame) -> DataFrame:
+    """Adds ``_leaf`` to (_host, _form, n, good, bad): the form with its rare values as wildcards."""
+    forms = forms.withColumn("_leaf", F.array().cast("array<string>"))
+    for at in range(DEPTH + 1):
+        forms = written(_next_level(forms), f"url-level-{at}")
+    return forms
 
 
 def _merged(forms: DataFrame, at: int) -> DataFrame:
-    """Leaves that differ at one segment only, and whose purity is that of their pool, get a wildcard there."""
+    """Leaves that differ at one segment only, and whose purity is that of their pool, get a wildcard there.
+
+    A leaf that has a wildcard there already is of the pool; where its purity is another, its siblings stay apart.
+    """
     sums = [F.sum(c).alias(c) for c in ("good", "bad")]
-    leaves = forms.groupBy("_host", "_leaf").agg(*sums).where((F.size("_leaf") > at) & (F.get("_leaf", F.lit(at)) != ANY))
+    leaves = forms.groupBy("_host", "_leaf").agg(*sums).where(F.size("_leaf") > at)
     leaves = leaves.withColumn("_pool", F.transform("_leaf", lambda s, i: F.when(i == at, ANY).otherwise(s)))
-    pools = leaves.groupBy("_host", "_pool").agg(F.sum("good").alias("_g"), F.sum("bad").alias("_b"), F.count(F.lit(1)).alias("_siblings"))
-    share = (F.col("_g") + 1) / (F.col("_g") + F.col("_b") + 2)
-    seen = F.col("good") + F.col("bad")
-    alike = F.abs(F.col("good") - seen * share) <= SIMILAR * F.sqrt(seen * share * (1 - share))
+    wild = F.get("_leaf", F.lit(at)) == ANY
+    pools = leaves.groupBy("_host", "_pool").agg(
+        F.sum("good").alias("_g"),
+        F.sum("bad").alias("_b"),
+        F.count(F.lit(1)).alias("_siblings"),
+        *(F.coalesce(F.sum(F.when(wild, F.col(c))), F.lit(0)).alias(f"_{c}") for c in ("good", "bad")),
+    )
+
+    def alike(good: Column, bad: Column) -> Column:
+        share, seen = _share(F.col("_g"), F.col("_b")), good + bad
+        return F.abs(good - seen * share) <= SIMILAR * F.sqrt(seen * share * (1 - share))
+
+    pools = pools.where((F.col("_siblings") > 1) & alike(F.col("_good"), F.col("_bad"))).drop("_good", "_bad")
     moves = (
-        salted_join(leaves, pools, ["_host", "_pool"], F.col("_leaf"))
-        .where((F.col("_siblings") > 1) & alike)
+        salted_join(leaves.where(~wild), pools, ["_host", "_pool"], F.col("_leaf"))
+        .where(alike(F.col("good"), F.col("bad")))
         .select("_host", "_leaf", "_pool")
     )
     return salted_join(forms, moves, ["_host", "_leaf"], F.col("_form"), "left").withColumn("_leaf", F.coalesce("_pool", "_leaf")).drop("_pool")
