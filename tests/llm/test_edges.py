@@ -419,6 +419,18 @@ def test_templates_of_a_small_host(rows):
     assert {v for v in verdicts if v[0].startswith("slugs")} == {("slugs.org/*", "allow")}
 
 
+def test_templates_of_deep_paths(rows):
+    data = []
+    for i in range(200):
+        data += [(4 * i, f"a://h.org/a/b/c/d/spam/{i}", 0), (4 * i + 1, f"a://h.org/a/b/c/d/news/{i}", 1)]
+        data += [(4 * i + 2, f"a://h.org/a/b/c/d/e/{word(i)}/f/g/bad/x", 0), (4 * i + 3, f"a://h.org/a/b/c/d/e/{word(i)}/f/g/good/x", 1)]
+    out = urls.judge_urls(rows(data, "page_id bigint, url string, good int")).collect()
+    start = "h.org/a/b/c/d"
+    assert {(r.template, r.verdict) for r in out} == {
+        (f"{start}/spam/*", "block"), (f"{start}/news/*", "allow"), (f"{start}/e/*/f/g/bad/x", "block"), (f"{start}/e/*/f/g/good/x", "allow"),
+    }
+
+
 def plain_cut(terminal, links):
     n = len(terminal)
     best = None

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import ascii_lower, salted_join, written
 
-#: Levels of the tree; what lies deeper is one wildcard.
-DEPTH = 4
 #: A value with this many pages and this share of its node's pages stays literal; a rarer one if its labels set it apart.
 LITERAL_PAGES, LITERAL_SHARE = 20, 0.01
 #: Leaves within this many standard deviations of their pool are merged; pseudo-counts at the prior; least purity.
@@ -25,7 +23,9 @@ SIMILAR, SMOOTHING, PURITY = 1.96, 10.0, 0.5
 #: Chance at which the rarer values of a node are told apart, all of them together.
 CHANCE = 0.05
 #: Segments with a digit, and others that vary; WORDS where a node has both kinds and their purity differs.
-ANY, WORDS, DEEPER = "*", "*words", "**"
+ANY, WORDS = "*", "*words"
+#: A node of the tree: its host and the generalised path to it.
+NODE = ["_host", "_leaf"]
 
 
 def url_host(url: Column) -> Column:
@@ -50,11 +50,10 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
     return out
 
 
-def path_form(path: Column, depth: int = DEPTH) -> Column:
-    """Segments of a path, those with a digit as wildcards, all below ``depth`` as one."""
+def path_form(path: Column) -> Column:
+    """Segments of a path, those with a digit as wildcards."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    shown = F.transform(F.slice(parts, 1, depth), lambda s: F.when(s.rlike("[0-9]"), ANY).otherwise(s))
-    return F.when(F.size(parts) > depth, F.concat(shown, F.array(F.lit(DEEPER)))).otherwise(shown)
+    return F.transform(parts, lambda s: F.when(s.rlike("[0-9]"), ANY).otherwise(s))
 
 
 def _apart(good: Column, bad: Column, share: Column, tests: Column) -> Column:
@@ -74,20 +73,33 @@ def _share(good: Column, bad: Column) -> Column:
     return (good + 1) / (good + bad + 2)
 
 
-def _next_level(forms: DataFrame) -> DataFrame:
-    """``forms`` (_host, _form, n, good, bad, _leaf) with one more segment of _form, as it is or as a wildcard, in _leaf."""
-    node, counts = ["_host", "_leaf"], ("n", "good", "bad")
-    at = F.size("_leaf")
-    forms = forms.withColumn("_value", F.get("_form", at))
-    children = forms.where("_value IS NOT NULL").groupBy(*node, "_value").agg(*(F.sum(c).alias(c) for c in counts))
-    children = written(children, "url-children")
-    totals = children.groupBy(*node).agg(F.sum("n").alias("_all"))
+def _to_branch(forms: DataFrame) -> DataFrame:
+    """``forms`` (_host, _form, n, good, bad, _leaf) with the segments in _leaf that all longer forms of its node go on with."""
+    rest = F.slice("_form", F.size("_leaf") + 1, F.greatest(F.size("_form") - F.size("_leaf"), F.lit(0)))
+    forms = forms.withColumn("_rest", rest)
+    ends = forms.where(F.size("_rest") > 0).groupBy(*NODE).agg(F.min("_rest").alias("_lo"), F.max("_rest").alias("_hi"))
+    differ = F.array_position(F.zip_with("_lo", "_hi", lambda a, b: a.eqNullSafe(b)), False)
+    shared = ends.select(*NODE, F.when(differ > 0, F.slice("_lo", F.lit(1), (differ - 1).cast("int"))).otherwise(F.col("_lo")).alias("_shared"))
+    longer = F.when((F.size("_rest") > 0) & F.col("_shared").isNotNull(), F.concat("_leaf", "_shared")).otherwise(F.col("_leaf"))
+    return salted_join(forms, shared, NODE, F.col("_form"), "left").withColumn("_leaf", longer).drop("_rest", "_shared")
+
+
+def _children(forms: DataFrame) -> DataFrame:
+    """(_host, _leaf, _value, n, good, bad): the next segments at each node."""
+    counts = (F.sum(c).alias(c) for c in ("n", "good", "bad"))
+    return forms.withColumn("_value", F.get("_form", F.size("_leaf"))).where("_value IS NOT NULL").groupBy(*NODE, "_value").agg(*counts)
+
+
+def _next_level(forms: DataFrame, children: DataFrame) -> DataFrame:
+    """``forms`` with one more segment of _form, as it is or as a wildcard, in _leaf."""
+    forms = forms.withColumn("_value", F.get("_form", F.size("_leaf")))
+    totals = children.groupBy(*NODE).agg(F.sum("n").alias("_all"))
     word = F.col("_value") != ANY
     rare = word & ((F.col("n") < LITERAL_PAGES) | (F.col("n") < LITERAL_SHARE * F.col("_all")))
-    children = salted_join(children, totals, node, F.col("_value")).withColumn("_rare", rare)
+    children = salted_join(children, totals, NODE, F.col("_value")).withColumn("_rare", rare)
     pools = (
         children.where(F.col("_rare") | ~word)
-        .groupBy(*node)
+        .groupBy(*NODE)
         .agg(
             F.count_if("_rare").alias("_words"),
             F.count_if(F.col("_rare") & (F.col("good") + F.col("bad") > 0)).alias("_tests"),
@@ -102,24 +114,32 @@ def _next_level(forms: DataFrame) -> DataFrame:
     # A lone rare word has no siblings to be merged with; whether digits are like it is for _merged to tell.
     joins = (F.col("_words") > 1) & ~_apart(F.col("good"), F.col("bad"), F.col("_share"), F.col("_tests"))
     wild = (
-        salted_join(children.where("_rare"), pools.select(*node, "_words", "_tests", "_share", "_name"), node, F.col("_value"))
+        salted_join(children.where("_rare"), pools.select(*NODE, "_words", "_tests", "_share", "_name"), NODE, F.col("_value"))
         .where(joins)
-        .select(*node, "_value", "_name")
+        .select(*NODE, "_value", "_name")
     )
     step = F.coalesce("_name", "_value")
     return (
-        salted_join(forms, wild, [*node, "_value"], F.col("_form"), "left")
+        salted_join(forms, wild, [*NODE, "_value"], F.col("_form"), "left")
         .withColumn("_leaf", F.when(step.isNotNull(), F.concat("_leaf", F.array(step))).otherwise(F.col("_leaf")))
         .drop("_value", "_name")
     )
 
 
-def _generalised(forms: DataFrame) -> DataFrame:
-    """Adds ``_leaf`` to (_host, _form, n, good, bad): the form with its rare values as wildcards."""
-    forms = forms.withColumn("_leaf", F.array().cast("array<string>"))
-    for at in range(DEPTH + 1):
-        forms = written(_next_level(forms), f"url-level-{at}")
-    return forms
+def _generalised(forms: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Adds ``_leaf`` to (_host, _form, n, good, bad): the form with its rare values as wildcards; and where nodes branch.
+
+    One round for each branching of a path, whatever its length: what all forms of a node share is passed at once.
+    """
+    forms, places = forms.withColumn("_leaf", F.array().cast("array<string>")), set()
+    while True:
+        forms = written(_to_branch(forms), "url-leaves")
+        children = written(_children(forms), "url-children")
+        branched = {r[0] for r in children.select(F.size("_leaf")).distinct().collect()}
+        if not branched:
+            return forms, sorted(places)
+        places |= branched
+        forms = _next_level(forms, children)
 
 
 def _merged(forms: DataFrame, at: int) -> DataFrame:
@@ -165,10 +185,10 @@ def templates(pages: DataFrame, url: str = "url", good: str = "good") -> DataFra
             F.count_if(F.col("_label") == 0).alias("bad"),
         )
     )
-    forms = written(_generalised(written(forms, "url-forms")), "url-leaves")
+    forms, places = _generalised(written(forms, "url-forms"))
     total = forms.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
     prior = ((total["g"] or 0) + 1) / ((total["g"] or 0) + (total["b"] or 0) + 2) if (total["g"] or total["b"]) else 1.0
-    for at in reversed(range(DEPTH)):
+    for at in reversed(places):
         forms = written(_merged(forms, at), f"url-merged-{at}")
     leaves = forms.groupBy("_host", "_leaf").agg(*(F.sum(c).alias(f"_{c}") for c in ("n", "good", "bad")))
     purity = (F.col("_good") + SMOOTHING * F.lit(prior)) / (F.col("_good") + F.col("_bad") + SMOOTHING)
