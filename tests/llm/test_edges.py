@@ -178,6 +178,23 @@ def test_rules_reject_texts_of_common_lines_only(rows):
     assert [out[i] for i, *_ in clean + copies] == [True] * 80
 
 
+def test_rules_count_lines_of_any_length(rows):
+    legal = [f"notice {k}: " + " ".join(f"legal{k}x{j}" for j in range(14)) for k in range(3)]
+    boiler = [(i, "\n".join([*legal, f"only {i}"]), "h") for i in range(40)]
+    clean = [(100 + i, "\n".join([legal[0], *(f"sentence {k} of text {i} with some words" for k in range(8))]), "h") for i in range(40)]
+    out = {r.doc_id: (r.kept, r.n_removed_words) for r in rules.judge(rows(boiler + clean, "doc_id bigint, text string, source string")).collect()}
+    assert [out[i] for i, *_ in boiler] == [(False, 48)] * 40
+    assert [out[i] for i, *_ in clean] == [(True, 16)] * 40
+
+
+def test_rules_charge_copies_once(rows):
+    menu = [f"menu entry {k} of this host" for k in range(6)]
+    data = [(i, "\n".join([*menu, *(f"sentence {k} of text {i} with words" for k in range(6))]), "h") for i in range(40)]
+    copies = [(100 + i, *data[0][1:]) for i in range(5)]
+    out = rules.judge(rows(data + copies, "doc_id bigint, text string, source string")).collect()
+    assert {(r.kept, r.n_removed_words) for r in out} == {(True, 36)}
+
+
 def optimum(items, capacity):
     """Fewest bins, by search."""
     items = sorted(items, reverse=True)

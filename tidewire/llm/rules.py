@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import BLANKS, ascii_lower, let, salted_join
+from tidewire.llm.common import BLANKS, ascii_lower, let, salted_join, written
 
 #: Words in a window, least words of a text, most repeated words in percent.
 WINDOW, LEAST_WORDS, MOST_REPEATED = 8, 20, 30
-#: A line of at most LINE_WORDS words goes if at least LEAST_TEXTS texts and SHARE of all texts of its host hold it; a
-#: document goes if less than LEFT of its words stay. Longer lines are passages, which other stages deal with.
-LINE_WORDS, LEAST_TEXTS, SHARE, LEFT = 12, 20, 0.05, 0.2
+#: A line of any length goes if at least LEAST_TEXTS texts and SHARE of all texts of its host hold it; a document goes if
+#: less than LEFT of its words stay.
+LEAST_TEXTS, SHARE, LEFT = 20, 0.05, 0.2
+#: Only the SQL twin reads this: it looks at lines of up to so many words.
+LINE_WORDS = 12
 
 
 def split_words(text: Column) -> Column:
@@ -86,14 +88,13 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def host_lines(docs: DataFrame, host: Column, text: str = "text") -> DataFrame:
-    """(_host, _text, _line, _words) once for each distinct line of each distinct text of a host."""
+    """(_host, _text, _line, _words) once for each distinct line of each distinct text of a host; words of all its copies."""
     whole = F.coalesce(F.col(text), F.lit(""))
     return (
         docs.select(host.alias("_host"), F.unhex(F.md5(whole.cast("binary"))).alias("_text"), F.explode(F.split(whole, "\n")).alias("_l"))
         .withColumn("_l", F.btrim(F.col("_l"), F.lit(BLANKS)))
         .where("_l != ''")
-        .withColumn("_words", F.size(split_words(F.col("_l"))))
-        .where(F.col("_words") <= LINE_WORDS)
+        .withColumn("_words", F.size(F.split("_l", r"[\x20\x09-\x0D]+")))
         .select("_host", "_text", F.unhex(F.md5(ascii_lower(F.col("_l")).cast("binary"))).alias("_line"), "_words")
         .groupBy("_host", "_text", "_line")
         .agg(F.sum("_words").alias("_words"))
@@ -108,20 +109,24 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source") -> DataFram
     empty table gives no rows. Columns of the added names are replaced.
     """
     owner = F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit(""))
-    lines = host_lines(docs, owner, text)
+    lines = written(host_lines(docs, owner, text), "host-lines")
     common = lines.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= LEAST_TEXTS)
-    texts = (
+    copies = (
         docs.select(owner.alias("_host"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("_text"))
-        .distinct()
-        .groupBy("_host")
-        .agg(F.count(F.lit(1)).alias("_texts"))
+        .groupBy("_host", "_text")
+        .agg(F.count(F.lit(1)).alias("_copies"))
     )
+    copies = written(copies, "copies")
+    texts = copies.groupBy("_host").agg(F.count(F.lit(1)).alias("_texts"))
     removed = salted_join(common, texts, ["_host"], F.col("_line")).where(F.col("_n") >= SHARE * F.col("_texts")).select("_host", "_line")
     gone = (
         salted_join(lines, removed, ["_host", "_line"], F.col("_text"))
         .groupBy("_host", "_text")
         .agg(F.sum("_words").alias("_gone"))
+        .join(copies, ["_host", "_text"])
+        .select("_host", "_text", F.expr("_gone div _copies").alias("_gone"))
     )
+    gone = written(gone, "gone")
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words"]
     columns = [c for c in docs.columns if c not in added]
     # Other columns travel in a struct, so none of them can meet a name used here.
