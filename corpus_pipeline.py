@@ -32,9 +32,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, and one row of each document."""
-    kept = neardup.near_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of each near-duplicate group: that of the smallest id, of rows without an id only if the group has no other.
+
+    Rows are grouped by their own texts, so rows of one id with unlike texts stay, and so do unlike rows without an id.
+    Texts without words are in no group: of those, one row of each id stays, and every row without an id.
+    """
+    rows = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
+    found = neardup.near_groups(rows, "_row").join(rows.select("_row", "doc_id", F.md5("text").alias("_digest")), "_row")
+    blank = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    groups = found.groupBy(F.when(~blank, F.col("component_id")).alias("_group"), F.when(blank, F.col("doc_id")).alias("_blank"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest", "_row"))
+    kept = groups.agg(first.alias("_first")).select("_first._row")
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -567,3 +567,15 @@ def test_pipeline_stages_on_awkward_rows(spark, wide, tmp_path, monkeypatch):
     empty = docs.limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_pipeline_near_dedup_keeps_rows_without_id(spark, tmp_path):
+    texts = [" ".join(f"v{k}x{j}" for j in range(120)) for k in range(6)]
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " end"), (None, texts[2]), (7, texts[2] + " end"), (5, texts[2]), (8, texts[3]), (8, texts[4]), (8, texts[4]),
+            (9, ""), (9, None), (None, ""), (None, texts[5]), (None, texts[5])]
+    docs = spark.createDataFrame([(i, t, "en", "a", 9) for i, t in data], DDL)
+    out = P.near_dedup(spark, docs, str(tmp_path)).collect()
+    found = sorted(((r.doc_id, r.text and texts.index(r.text.removesuffix(" end"))) for r in out), key=str)
+    assert [f for f in found if f[1]] + [f for f in found if f[1] == 0] == [(5, 2), (8, 3), (8, 4), (None, 1), (None, 5), (None, 0)]
+    assert sorted(str(r.doc_id) for r in out if not r.text) == ["9", "None"]
+    assert [r.text for r in out if r.doc_id == 5] == [texts[2]]
