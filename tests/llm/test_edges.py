@@ -539,6 +539,14 @@ def test_top_k_edges(rows):
     assert topk.search(few.limit(0), query).collect() == [] and topk.search(few.where("vec_id = 1"), query).collect() == []
 
 
+def test_top_k_of_a_repeated_query_id(rows):
+    data = [(100, [2.0, 0.0]), (100, [1.0, 5.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    out = topk.search(rows(data, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 100).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in out] == [(100, 2, 5 << 20), (100, 1, 1 << 20)]
+    asked = topk.search(rows(data, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 1).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in asked] == [(100, 2 << 20), (100, 1 << 20), (2, 0)]
+
+
 def test_top_k_prunes_and_stays_exact(rows, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 64)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)

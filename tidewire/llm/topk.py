@@ -117,7 +117,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
 
     Vectors that are null, or hold null or non-finite components, and rows without an id take no part. Vectors of unequal
     dimension are as if filled up with zeros. Copies are candidates like all others; ties go to the smaller id. A query
-    with fewer rivals gets fewer rows; an empty table gives none. Other columns are not carried.
+    with fewer rivals gets fewer rows; an empty table gives none. Query rows of one id are one query, of the smallest vector
+    by its components in order; as candidates all rows stay. Other columns are not carried.
     """
     whole = integer_vector(F.col(vector), scale)
     rows = vectors.select(F.col(key).cast("long").alias("_id"), whole.alias("_v"), is_query.alias("_query")).where("_id IS NOT NULL AND _v IS NOT NULL")
