@@ -187,6 +187,14 @@ def test_rules_count_lines_of_any_length(rows):
     assert [out[i] for i, *_ in clean] == [(True, 16)] * 40
 
 
+@pytest.mark.parametrize("share,removed", [(49, 0), (50, 5)])
+def test_rules_share_of_a_hot_host(rows, share, removed):
+    own = [(i, "\n".join(f"sentence {k} of text {i} with words" for k in range(4)), "hot") for i in range(1000)]
+    data = [(i, t + "\na line of the host" * (i < share), h) for i, t, h in own]
+    out = rules.judge(rows(data, "doc_id bigint, text string, source string")).collect()
+    assert {r.n_removed_words for r in out if r.doc_id < share} == {removed}
+
+
 def test_rules_charge_copies_once(rows):
     menu = [f"menu entry {k} of this host" for k in range(6)]
     data = [(i, "\n".join([*menu, *(f"sentence {k} of text {i} with words" for k in range(6))]), "h") for i in range(40)]
