@@ -101,7 +101,6 @@ def test_best_fit_packing(spark, docs):
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
     got = rows(spark, "op6_best_fit_packing")
     mine: dict = {}
     for r in got:

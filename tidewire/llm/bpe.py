@@ -18,20 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.tokens import ChunkEncoder
+from tidewire.llm.common import mapped
+from tidewire.llm.tokens import ChunkEncoder, byte_characters
 
 #: Texts encoded together.
 BATCH = 256
 
 
-@lru_cache(1)
-def byte_characters() -> tuple[str, ...]:
-    """The character that stands for each byte: itself if printable, else one from 256 on."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(256, 512))
-    return tuple(chr(b if b in shown else next(spare)) for b in range(256))
-
-
 @lru_cache(4)
 def ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -122,7 +115,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
                     names=[key, "ids", "starts", "ends"],
                 )
 
-    return _texts(docs, key, text).mapInArrow(run, f"{key} long, ids array<int>, starts array<long>, ends array<long>")
+    return mapped(_texts(docs, key, text), run, f"{key} long, ids array<int>, starts array<long>, ends array<long>")
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -135,7 +128,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
                 [batch.column(0), pa.array(raw, pa.binary()), pa.array([r.decode("utf-8", "replace") for r in raw])], names=[key, "bytes", "text"]
             )
 
-    return encoded.select(key, ids).mapInArrow(run, f"{key} long, bytes binary, text string")
+    return mapped(encoded.select(key, ids), run, f"{key} long, bytes binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,4 +151,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATT
                     names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return _texts(docs, key, text).mapInArrow(run, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return mapped(_texts(docs, key, text), run, f"{key} long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator, Sequence
+from contextvars import ContextVar
+from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
 
@@ -11,14 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewire.session import fresh_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Copies of the small side of a salted join: a key that holds a third of the rows is split into as many tasks.
-SALTS = 32
+#: Keys that a salted join may split, rows of one part of such a key, and most parts: bounds on what it copies.
+HOT_KEYS, SALT_ROWS, MOST_SALTS = 256, 2_000, 1024
+#: Tasks that merge the sketches of a sample.
+MERGERS = 64
 
 
 @lru_cache(maxsize=None)
@@ -43,28 +49,135 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+class Scope:
+    """Owner of the tables that ``written`` makes while it is open: all of them go when it closes.
+
+    ``with Scope():`` around a query and the write of its result leaves no folder behind. Scopes nest; a table belongs to
+    the innermost one. A table goes earlier if its last reader drops it; outside any scope it goes when the driver ends.
+    """
+
+    _open: ContextVar[tuple[Scope, ...]] = ContextVar("scopes", default=())
+
+    def __init__(self) -> None:
+        self.paths: dict[str, SparkSession] = {}
+
+    def __enter__(self) -> Scope:
+        self._token = Scope._open.set((*Scope._open.get(), self))
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        Scope._open.reset(self._token)
+        for path, spark in self.paths.items():
+            _delete(spark, path)
+        self.paths.clear()
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of a path, and the path: the folder may lie in any store that Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    store, place = _folder(spark, path)
+    store.delete(place, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` whose last reader has been written."""
+    for table in tables:
+        _delete(table.sparkSession, table._written_to)
+        for scope in Scope._open.get():
+            scope.paths.pop(table._written_to, None)
+
+
+def written(df: DataFrame, name: str, last: Sequence[DataFrame] = ()) -> DataFrame:
     """The rows as a table in the shared folder: cuts the lineage and survives lost executors.
 
-    What the step shuffled is of no more use then, and goes when it ends.
+    What the step shuffled is of no more use then, and goes when it ends; so do the tables ``last``, of which it was the
+    last reader. The table itself goes with its scope.
     """
     spark = df.sparkSession
     ship(spark)
     path = fresh_path(spark, name)
-    kept = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, kept) if kept is not None else spark.conf.unset(SHUFFLE_CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
+    store, place = _folder(spark, path)
+    store.deleteOnExit(place)
+    for scope in Scope._open.get()[-1:]:
+        scope.paths[path] = spark
+    # A clone of the session has settings of its own: no query planned meanwhile sees this one.
+    apart = spark._jsparkSession.cloneSession()
+    apart.conf().set(SHUFFLE_CLEANUP, "true")
+    spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(apart, df._jdf.logicalPlan()).write().parquet(path)
+    drop(*last)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Hashes of the keys that hold most rows, and into how many parts each of them is split."""
 
+    hashes: tuple[int, ...]
+    salts: int
 
-def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """``big`` joined with ``small`` (one row for each key), hot keys of ``big`` split into ``salts`` parts by ``spread``."""
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+#: No key holds many rows.
+NO_HOT = Hot((), 1)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], weight: str) -> Hot:
+    """The HOT_KEYS heaviest keys of ``counts`` that hold over SALT_ROWS rows; any other key has less than 1/HOT_KEYS of all.
+
+    ``counts`` has a row for each key and its number of rows; the driver gets HOT_KEYS rows of it at most.
+    """
+    top = counts.select(F.xxhash64(*keys).alias("h"), F.col(weight).alias("n")).orderBy(F.col("n").desc()).limit(HOT_KEYS).collect()
+    hot = [r for r in top if r["n"] > SALT_ROWS]
+    return Hot(tuple(sorted({r["h"] for r in hot})), min(MOST_SALTS, -(-hot[0]["n"] // SALT_ROWS)) if hot else 1)
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: Column, hot: Hot, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small`` (one row for each key): hot keys of ``big`` are split by ``spread``, all others stay whole.
+
+    Only the hot keys' rows of ``small`` are copied. Rows of ``big`` without a key match nothing and are spread too.
+    """
+    if not hot.hashes and how == "inner":
+        return big.join(small, keys, how)
+    is_hot = F.xxhash64(*keys).isin(list(hot.hashes)) if hot.hashes else F.lit(False)
+    loose = F.lit(False)
+    for key in keys:
+        loose = loose | F.col(key).isNull()
+    part = F.pmod(F.xxhash64(spread), F.when(is_hot, F.lit(hot.salts)).otherwise(F.lit(MOST_SALTS)))
+    left = big.withColumn("_salt", F.when(is_hot | loose, part).otherwise(F.lit(0)).cast("int"))
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(hot.salts - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(small.withColumn("_salt", F.explode(parts)), [*keys, "_salt"], how).drop("_salt")
+
+
+def least_rows(rows: DataFrame, most: int, place: str = "_place") -> DataFrame:
+    """The rows of the ``most`` smallest distinct values of ``place`` (a hash of a row's content), one row for each value.
+
+    A sample by row identity: copies count once, rows without an id are rows like others. Tasks keep a sketch of the
+    smallest values, sketches are merged by a tree of tasks, and the driver gets their greatest value alone.
+    """
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.zeros(0, np.int64)
+        for batch in batches:
+            kept = np.unique(np.concatenate([kept, batch.column(0).to_numpy(zero_copy_only=False)]))[:most]
+        yield pa.RecordBatch.from_arrays([pa.array(kept)], names=["p"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            values = batch.column(place).to_pylist()
+            fresh = [i for i, v in enumerate(values) if not (v in seen or seen.add(v))]
+            yield batch.take(pa.array(fresh, pa.int64()))
+
+    places = mapped(rows.select(F.col(place).alias("p")), sketch, "p long")
+    places = mapped(mapped(places.repartition(MERGERS), sketch, "p long").coalesce(1), sketch, "p long")
+    limit = places.agg(F.max("p").alias("p")).first()["p"]
+    chosen = rows.where(F.col(place) <= F.lit(limit).cast("long"))
+    return mapped(chosen, first, chosen.schema).dropDuplicates([place])
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], slot: str, rows: int = 50_000, least: int = 64) -> DataFrame:
@@ -93,7 +206,14 @@ def let(value: Column, body) -> Column:
 
 
 def ascii_lower(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+    """A-Z lower-cased and nothing else; the cheaper function serves strings without other letters."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def mapped(rows: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``rows`` through a function of Arrow batches; workers get this library before the function is bound to them."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, schema)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

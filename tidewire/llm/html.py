@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import least_rows, mapped
+
 #: Elements that start a block of their own.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -220,7 +222,7 @@ def fit_text(x: np.ndarray, y: np.ndarray, rounds: int = 25) -> tuple[float, ...
 def train(pages: DataFrame, page: str = "html") -> tuple[float, ...]:
     """Weights of the text classifier, from blocks that elements mark as content (4 or more) or boilerplate (-8 or less).
 
-    The sample is chosen by the hash of the page, about SAMPLE_PAGES of all and never more blocks of a page than
+    The sample is of distinct pages, the SAMPLE_PAGES with the least hashes, and never more blocks of a page than
     SAMPLE_BLOCKS, evenly spaced.
     """
 
@@ -235,9 +237,8 @@ def train(pages: DataFrame, page: str = "html") -> tuple[float, ...]:
                 )
 
     there = pages.select(F.col(page).alias("_p")).where("_p IS NOT NULL")
-    n = there.count()
-    chosen = there.where(F.pmod(F.xxhash64("_p"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE_PAGES / max(1, n)))))
-    rows = chosen.mapInArrow(run, "x array<double>, y int").collect()
+    chosen = least_rows(there.withColumn("_place", F.xxhash64("_p")), SAMPLE_PAGES).select("_p")
+    rows = mapped(chosen, run, "x array<double>, y int").collect()
     if not rows:
         return UNTRAINED
     return fit_text(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], np.float64))
@@ -366,4 +367,4 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
                 )
 
     rows = pages.select(F.col(key).cast("long").alias(key), F.col(url), F.col(page))
-    return rows.mapInArrow(run, f"{key} long, {url} string, text string, n_chars long")
+    return mapped(rows, run, f"{key} long, {url} string, text string, n_chars long")

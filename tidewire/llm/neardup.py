@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm import shingles as S
-from tidewire.llm.common import salted_join, text_bytes, written
+from tidewire.llm.common import hot_keys, mapped, salted_join, ship, text_bytes, written
 from tidewire.llm.components import components
 
 #: Pairs of one hub checked in one group; classes of a bucket that is searched as pairs; classes in one block of a larger one.
@@ -42,7 +42,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 )
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
+    return mapped(rows, run, "id long, n long, digest binary, keys array<long>")
 
 
 def _sets(texts: pa.Array) -> list[np.ndarray]:
@@ -57,7 +57,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     found and once to its part.
     """
     hubs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
-    members = salted_join(pairs, hubs, ["b"], F.col("a")).select(
+    members = salted_join(pairs, hubs, ["b"], F.col("a"), hot_keys(hubs.withColumn("n", F.col("parts") * CHUNK), ["b"], "n")).select(
         F.col("a").alias("id"), "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role")
     )
     centres = hubs.select(
@@ -79,7 +79,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     found.append((own_id, hub_id))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return placed.select("id", "b", "part", "role", "t").mapInArrow(check, "a long, b long")
+    return mapped(placed.select("id", "b", "part", "role", "t"), check, "a long, b long")
 
 
 def block_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -150,39 +150,50 @@ def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         )
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
+    ship(members.sparkSession)
     return dealt.join(texts, "id").groupBy("key", "lo", "hi").applyInPandas(search, "a long, b long")
 
 
+def _same_key(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of rows with one key and unlike texts; rows without a key have none."""
+    several = signed.where(F.col("digest").isNotNull() & (F.col("id") != _LAST)).groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
+    rows = signed.select("id", "digest").join(several.where("x < y").select("id"), "id", "left_semi").distinct()
+    named = rows.join(classes.select("digest", F.col("id").alias("a")), "digest").select("id", "a")
+    return named.join(named.groupBy("id").agg(F.min("a").alias("b")), "id").where("a != b").select("a", "b").distinct()
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id, kept), one row out for each document.
+    """(key, n_shingles, component_id, kept), one row out for each row in.
 
     Linked are documents whose sets of five-word shingles have a similarity of 0.75 or more; a component is named by its
-    smallest key, which is kept. Null, empty and blank texts have no shingles and no links. Rows of one key are one
-    document; rows without a key count as the last one, and none of them is kept in a group with others. An empty table
-    gives no rows; other columns are not carried.
+    smallest key, which is kept. Null, empty and blank texts have no shingles and no links; whole texts of any length are
+    read. Rows of one key are one document, whatever their texts: all that is linked with any of them is one component.
+    Rows without a key stand for themselves but count as the last one, and none of them is kept in a group with others. An
+    empty table gives no rows; other columns are not carried.
     """
     signed = written(signatures(docs, key, text), "signatures")
-    classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")
+    counted = signed.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")
     )
-    classes = written(classes, "classes")
+    classes = written(counted, "classes")
     bands = classes.select("id", "n", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    met = written(salted_join(bands, shared, ["key"], F.col("id"), salts=4), "met")
+    shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
+    hot = hot_keys(shared, ["key"], "m")
+    met = written(salted_join(bands, shared, ["key"], F.col("id"), hot), "met")
     scores = met.groupBy("id").agg(F.sum("m").alias("score"))
     scored = met.join(scores, "id")
     hubs = scored.groupBy("key").agg(F.max(F.struct(F.col("score"), (-F.col("id")).alias("i"), "n")).alias("h"))
     hubs = hubs.select("key", (-F.col("h.i")).alias("b"), F.col("h.score").alias("top"), F.col("h.n").alias("n_b"))
     tried = (
-        salted_join(met, hubs, ["key"], F.col("id"), salts=4)
+        salted_join(met, hubs, ["key"], F.col("id"), hot)
         .where("id != b AND 4 * n >= 3 * n_b AND 4 * n_b >= 3 * n")  # sets of other sizes have no link
         .groupBy(F.col("id").alias("a"), "b")
         .agg(F.max("top").alias("top"))
     )
     tried = written(tried, "tried")
     wanted = met.select("id").distinct()
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(wanted, "id", "left_semi")
-    texts = written(texts, "texts")
+    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    texts = written(texts.join(wanted, "id", "left_semi"), "texts")
     links = written(confirmed(tried.select("a", "b"), texts), "links")
     # A first label: the best hub that a class is linked to, and that hub's own.
     own = links.join(tried, ["a", "b"]).groupBy("a").agg(F.max(F.struct("top", F.col("b").alias("hub"))).alias("h"))
@@ -190,12 +201,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         "id", F.when(F.col("h.top") >= F.col("score"), F.col("h.hub")).otherwise(F.col("id")).alias("label")
     )
     near = written(near, "labels")
-    jumped = salted_join(
-        near, near.select(F.col("id").alias("label"), F.col("label").alias("top")), ["label"], F.col("id"), salts=8
-    ).select("id", F.col("top").alias("label"))
-    marked = written(met.join(jumped, "id"), "marked")
+    owners = near.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    tops = near.select(F.col("id").alias("label"), F.col("label").alias("top"))
+    jumped = salted_join(near, tops, ["label"], F.col("id"), hot_keys(owners, ["label"], "n")).select("id", F.col("top").alias("label"))
+    marked = written(met.join(jumped, "id"), "marked", last=[met, near])
     apart = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_ = written(salted_join(marked, apart, ["key"], F.col("id"), salts=4), "open")
+    open_ = written(salted_join(marked, apart, ["key"], F.col("id"), hot), "open", last=[marked, shared])
     few = open_.where(F.col("m") <= SMALL)
     left, right = (few.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label"))) for s in "ab")
     pairs = (
@@ -205,12 +216,15 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         .distinct()
     )
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = written(confirmed(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), texts), "more-links")
-    rest = _large_links(open_.where(F.col("m") > SMALL), texts)
-    groups = components(links.union(more).union(rest), "groups")
-    found = written(classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("_component")), "found")
+    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs", last=[tried])
+    more = written(confirmed(pairs, texts), "more-links", last=[pairs])
+    rest = written(_large_links(open_.where(F.col("m") > SMALL), texts), "large-links", last=[open_, texts])
+    groups = components(links.union(more).union(rest).union(_same_key(signed, classes)), "groups")
+    found = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("_component"))
+    found = written(found, "found", last=[links, more, rest, classes])
     rows = signed.select("id", "n", "digest")
-    joined = salted_join(rows.where("digest IS NOT NULL"), found, ["digest"], F.col("id")).select("id", "n", "_component")
+    by_digest = hot_keys(found, ["digest"], "copies")
+    joined = salted_join(rows.where("digest IS NOT NULL"), found.drop("copies"), ["digest"], F.col("id"), by_digest).select("id", "n", "_component")
     single = rows.where("digest IS NULL").select("id", "n", F.col("id").alias("_component"))
     return joined.union(single).select(
         F.nullif("id", F.lit(_LAST)).alias(key),

@@ -50,8 +50,7 @@ base AS (SELECT doc_id, host, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(
     CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words FROM d LEFT JOIN covered USING (doc_id)),
 lines AS (SELECT host, t, k, sum(words) AS words FROM (SELECT host, t, {_lower("l")} AS k, len(regexp_extract_all(l, {_WORD})) AS words FROM
     (SELECT DISTINCT host, t, i, trim(string_split(t, chr(10))[i], {_BLANKS}) AS l FROM
-      (SELECT host, t, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM (SELECT DISTINCT host, t FROM d))) WHERE l <> '')
-    WHERE words <= {rules.LINE_WORDS} GROUP BY host, t, k),
+      (SELECT host, t, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM (SELECT DISTINCT host, t FROM d))) WHERE l <> '') GROUP BY host, t, k),
 texts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
 common AS (SELECT host, k FROM (SELECT host, k, count(*) AS c FROM lines GROUP BY host, k) JOIN texts USING (host)
     WHERE c >= {rules.LEAST_TEXTS} AND c >= {rules.SHARE} * n),

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import text_bytes, word_hashes
+from tidewire.llm.common import least_rows, mapped, text_bytes, word_hashes, written
 
 #: Most positives and most unlabelled texts of the fit; rows are taken by the hash of their key.
 POSITIVES, UNLABELLED = 8_000, 16_000
@@ -150,10 +150,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int
 
 
 def _sample_features(rows: DataFrame, most: int) -> np.ndarray:
-    """Features of the chosen rows (_k, _t), the first ``most`` of them in the order of the choice.
-
-    The choice is a filter on the scan, so no other text moves; features are computed where the text is.
-    """
+    """Features of the ``most`` rows (_place, _t) with the least places; only their texts move, and only their features leave."""
     width = features(np.zeros(0, np.uint8), np.zeros(1, np.int64)).shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,36 +160,32 @@ def _sample_features(rows: DataFrame, most: int) -> np.ndarray:
                 made = features(*text_bytes(part.column(1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in made], pa.binary())], names=["h", "f"])
 
-    got = rows.select(_place().alias("h"), "_t").mapInArrow(run, "h long, f binary").collect()
+    got = mapped(least_rows(rows, most).select("_place", "_t"), run, "h long, f binary").collect()
     got.sort(key=lambda r: (r["h"], r["f"]))
-    return np.stack([np.frombuffer(r["f"], np.float32) for r in got[:most]]) if got else np.zeros((0, width), np.float32)
-
-
-def _place() -> Column:
-    """Place of a row in the order that samples are taken by, 0 to 2^30."""
-    return F.pmod(F.xxhash64("_k"), F.lit(1 << 30))
-
-
-def _chosen(rows: DataFrame, n: int, most: int) -> DataFrame:
-    return rows.where(_place() < F.lit(int((1 << 30) * min(1.0, most / max(1, n)))))
+    return np.stack([np.frombuffer(r["f"], np.float32) for r in got]) if got else np.zeros((0, width), np.float32)
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """Fits on rows where ``learn`` holds: trusted positives are those labelled 1, unlabelled text is any of them.
 
-    The class prior is estimated as the share of label 1 among the labels of those rows, smoothed by one of each.
+    The class prior is estimated as the share of label 1 among the labels of those rows, smoothed by one of each. Both
+    samples are of distinct rows (key and text), chosen by their hash: at most POSITIVES and UNLABELLED of them, whatever
+    the number of copies. Rows without a key can be unlabelled text; null, empty and very long texts are texts like
+    others. Of several labels of one key the least counts. Without rows or labels all scores are the prior's. Other
+    columns are not read.
     """
     marks = labels.select(F.col(key).cast("long").alias("_k"), F.col(label).cast("int").alias("_y")).where("_k IS NOT NULL AND _y IS NOT NULL")
     marks = marks.groupBy("_k").agg(F.min("_y").alias("_y"))
     rows = docs.where(learn).select(F.col(key).cast("long").alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    n = rows.agg(F.count("_k").alias("n")).first()["n"]
-    known = marks.join(rows.select("_k").distinct(), "_k", "left_semi").agg(F.count_if(F.col("_y") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    prior = (known["p"] + 1) / (known["n"] + 2)
-    trusted = _chosen(marks.where("_y = 1").select("_k"), known["p"], POSITIVES)
-    positive = _chosen(rows, known["p"], POSITIVES).join(trusted, "_k", "left_semi")
-    return fit(
-        _sample_features(positive, POSITIVES), _sample_features(_chosen(rows, n, UNLABELLED), UNLABELLED), prior
-    )
+    rows = rows.withColumn("_place", F.xxhash64("_k", "_t"))
+    places = rows.where("_k IS NOT NULL").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = written(places.join(marks, "_k"), "labelled")
+    seen = known.agg(F.count_if(F.col("_y") == 1).alias("p"), F.count(F.lit(1)).alias("n")).first()
+    prior = (seen["p"] + 1) / (seen["n"] + 2)
+    # Trusted rows are found by their keys; few more than the sample needs are looked at, as keys are chosen by hash too.
+    trusted = least_rows(known.where("_y = 1").select("_k", F.xxhash64("_k").alias("_place")), POSITIVES).select("_k")
+    positive = rows.join(F.broadcast(trusted), "_k", "left_semi")
+    return fit(_sample_features(positive, POSITIVES), _sample_features(rows, UNLABELLED), prior)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,7 +199,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.float64())], names=[key, "score"])
 
     rows = docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-    return rows.mapInArrow(run, f"{key} long, score double")
+    return mapped(rows, run, f"{key} long, score double")
 
 
 def scored_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -220,4 +213,4 @@ def scored_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], names=[*part.schema.names, "_score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, _score double")
+    return mapped(docs, run, f"{fields}, _score double")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import bpe, html, lines, neardup, packing, quality, rules, sharding, topk, urls
-from tidewire.llm.common import read, salted_join
+from tidewire.llm.common import hot_keys, read, salted_join
 from tidewire.llm.oracles import ORACLES  # noqa: F401 (registered beside the queries)
 
 SHARDS = 8
@@ -57,7 +57,9 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     number = F.regexp_extract(urls.url_path(F.col("url")), r"/([0-9]{1,18})(?:\.[A-Za-z]+)?/?$", 1)
     labels = read(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
-    marked = salted_join(pages.withColumn("doc_id", F.try_to_number(number, F.lit("9" * 18)).cast("long")), labels, ["doc_id"], F.col("page_id"), "left")
+    pages = pages.withColumn("doc_id", F.try_to_number(number, F.lit("9" * 18)).cast("long"))
+    many = hot_keys(pages.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), ["doc_id"], "n")
+    marked = salted_join(pages, labels, ["doc_id"], F.col("page_id"), many, "left")
     return urls.judge_urls(marked, URL_RULES)
 
 
@@ -84,7 +86,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = rules.judge(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    judged = rules.judge(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), removed=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -9,10 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import numbered
+from tidewire.llm.common import numbered, ship
 
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -34,6 +34,8 @@ def shard_of(key: Column, shards: int) -> Column:
     if shards < 1:
         raise ValueError("at least one shard")
 
+    ship(SparkSession.active())
+
     @F.pandas_udf("int")
     def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for keys in batches:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import written
+from tidewire.llm.common import ship, written
 
 #: Results for each query; rows of a vector block, of a query block, and of the block that gives first thresholds.
 K, BLOCK, QUERY_BLOCK, SEEDS = 10, 4096, 4096, 1024
@@ -120,6 +120,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, key: str = "vec_id"
     with fewer rivals gets fewer rows; an empty table gives none. Query rows of one id are one query, of the smallest vector
     by its components in order; as candidates all rows stay. Other columns are not carried.
     """
+    ship(vectors.sparkSession)
     whole = integer_vector(F.col(vector), scale)
     rows = vectors.select(F.col(key).cast("long").alias("_id"), whole.alias("_v"), is_query.alias("_query")).where("_id IS NOT NULL AND _v IS NOT NULL")
     length = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import ascii_lower, salted_join, written
+from tidewire.llm.common import NO_HOT, Hot, ascii_lower, hot_keys, salted_join, written
 
 #: A value with this many pages and this share of its node's pages stays literal; a rarer one if its labels set it apart.
 LITERAL_PAGES, LITERAL_SHARE = 20, 0.01
@@ -73,7 +73,12 @@ def _share(good: Column, bad: Column) -> Column:
     return (good + 1) / (good + bad + 2)
 
 
-def _to_branch(forms: DataFrame) -> DataFrame:
+def _hot(rows: DataFrame, keys: list[str], skewed: bool) -> Hot:
+    """Keys that hold many rows; without a host that does there is none."""
+    return hot_keys(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, "_rows") if skewed else NO_HOT
+
+
+def _to_branch(forms: DataFrame, skewed: bool) -> DataFrame:
     """``forms`` (_host, _form, n, good, bad, _leaf) with the segments in _leaf that all longer forms of its node go on with."""
     rest = F.slice("_form", F.size("_leaf") + 1, F.greatest(F.size("_form") - F.size("_leaf"), F.lit(0)))
     forms = forms.withColumn("_rest", rest)
@@ -81,7 +86,7 @@ def _to_branch(forms: DataFrame) -> DataFrame:
     differ = F.array_position(F.zip_with("_lo", "_hi", lambda a, b: a.eqNullSafe(b)), False)
     shared = ends.select(*NODE, F.when(differ > 0, F.slice("_lo", F.lit(1), (differ - 1).cast("int"))).otherwise(F.col("_lo")).alias("_shared"))
     longer = F.when((F.size("_rest") > 0) & F.col("_shared").isNotNull(), F.concat("_leaf", "_shared")).otherwise(F.col("_leaf"))
-    return salted_join(forms, shared, NODE, F.col("_form"), "left").withColumn("_leaf", longer).drop("_rest", "_shared")
+    return salted_join(forms, shared, NODE, F.col("_form"), _hot(forms, NODE, skewed), "left").withColumn("_leaf", longer).drop("_rest", "_shared")
 
 
 def _children(forms: DataFrame) -> DataFrame:
@@ -90,13 +95,14 @@ def _children(forms: DataFrame) -> DataFrame:
     return forms.withColumn("_value", F.get("_form", F.size("_leaf"))).where("_value IS NOT NULL").groupBy(*NODE, "_value").agg(*counts)
 
 
-def _next_level(forms: DataFrame, children: DataFrame) -> DataFrame:
+def _next_level(forms: DataFrame, children: DataFrame, skewed: bool) -> DataFrame:
     """``forms`` with one more segment of _form, as it is or as a wildcard, in _leaf."""
     forms = forms.withColumn("_value", F.get("_form", F.size("_leaf")))
     totals = children.groupBy(*NODE).agg(F.sum("n").alias("_all"))
     word = F.col("_value") != ANY
     rare = word & ((F.col("n") < LITERAL_PAGES) | (F.col("n") < LITERAL_SHARE * F.col("_all")))
-    children = salted_join(children, totals, NODE, F.col("_value")).withColumn("_rare", rare)
+    many = _hot(children, NODE, skewed)
+    children = salted_join(children, totals, NODE, F.col("_value"), many).withColumn("_rare", rare)
     pools = (
         children.where(F.col("_rare") | ~word)
         .groupBy(*NODE)
@@ -114,35 +120,35 @@ def _next_level(forms: DataFrame, children: DataFrame) -> DataFrame:
     # A lone rare word has no siblings to be merged with; whether digits are like it is for _merged to tell.
     joins = (F.col("_words") > 1) & ~_apart(F.col("good"), F.col("bad"), F.col("_share"), F.col("_tests"))
     wild = (
-        salted_join(children.where("_rare"), pools.select(*NODE, "_words", "_tests", "_share", "_name"), NODE, F.col("_value"))
+        salted_join(children.where("_rare"), pools.select(*NODE, "_words", "_tests", "_share", "_name"), NODE, F.col("_value"), many)
         .where(joins)
         .select(*NODE, "_value", "_name")
     )
     step = F.coalesce("_name", "_value")
     return (
-        salted_join(forms, wild, [*NODE, "_value"], F.col("_form"), "left")
+        salted_join(forms, wild, [*NODE, "_value"], F.col("_form"), _hot(forms, [*NODE, "_value"], skewed), "left")
         .withColumn("_leaf", F.when(step.isNotNull(), F.concat("_leaf", F.array(step))).otherwise(F.col("_leaf")))
         .drop("_value", "_name")
     )
 
 
-def _generalised(forms: DataFrame) -> tuple[DataFrame, list[int]]:
+def _generalised(forms: DataFrame, skewed: bool) -> tuple[DataFrame, list[int]]:
     """Adds ``_leaf`` to (_host, _form, n, good, bad): the form with its rare values as wildcards; and where nodes branch.
 
     One round for each branching of a path, whatever its length: what all forms of a node share is passed at once.
     """
     forms, places = forms.withColumn("_leaf", F.array().cast("array<string>")), set()
     while True:
-        forms = written(_to_branch(forms), "url-leaves")
+        forms = written(_to_branch(forms, skewed), "url-leaves")
         children = written(_children(forms), "url-children")
         branched = {r[0] for r in children.select(F.size("_leaf")).distinct().collect()}
         if not branched:
             return forms, sorted(places)
         places |= branched
-        forms = _next_level(forms, children)
+        forms = _next_level(forms, children, skewed)
 
 
-def _merged(forms: DataFrame, at: int) -> DataFrame:
+def _merged(forms: DataFrame, at: int, skewed: bool) -> DataFrame:
     """Leaves that differ at one segment only, and whose purity is that of their pool, get a wildcard there.
 
     A leaf that has a wildcard there already is of the pool; where its purity is another, its siblings stay apart.
@@ -164,17 +170,17 @@ def _merged(forms: DataFrame, at: int) -> DataFrame:
 
     pools = pools.where((F.col("_siblings") > 1) & alike(F.col("_good"), F.col("_bad"))).drop("_good", "_bad")
     moves = (
-        salted_join(leaves.where(~wild), pools, ["_host", "_pool"], F.col("_leaf"))
+        salted_join(leaves.where(~wild), pools, ["_host", "_pool"], F.col("_leaf"), _hot(leaves, ["_host", "_pool"], skewed))
         .where(alike(F.col("good"), F.col("bad")))
         .select("_host", "_leaf", "_pool")
     )
-    return salted_join(forms, moves, ["_host", "_leaf"], F.col("_form"), "left").withColumn("_leaf", F.coalesce("_pool", "_leaf")).drop("_pool")
+    return salted_join(forms, moves, ["_host", "_leaf"], F.col("_form"), _hot(forms, ["_host", "_leaf"], skewed), "left").withColumn("_leaf", F.coalesce("_pool", "_leaf")).drop("_pool")
 
 
 def templates(pages: DataFrame, url: str = "url", good: str = "good") -> DataFrame:
-    """(_host, _form, template, n, good, bad, purity, verdict): one row for each host and path form.
+    """(_host, _form, _pages, template, n, good, bad, purity, verdict): one row for each host and path form.
 
-    ``good`` is 1 or 0 on labelled pages and null on others; purity is smoothed towards the share of good labels.
+    ``_pages`` are those of the form, ``n`` those of its template. ``good`` is 1 or 0 on labelled pages and null on others; purity is smoothed towards the share of good labels.
     """
     forms = (
         pages.select(url_host(F.col(url)).alias("_host"), path_form(url_path(F.col(url))).alias("_form"), F.col(good).cast("int").alias("_label"))
@@ -185,16 +191,20 @@ def templates(pages: DataFrame, url: str = "url", good: str = "good") -> DataFra
             F.count_if(F.col("_label") == 0).alias("bad"),
         )
     )
-    forms, places = _generalised(written(forms, "url-forms"))
+    forms = written(forms, "url-forms")
+    skewed = bool(_hot(forms, ["_host"], True).hashes)
+    forms, places = _generalised(forms, skewed)
     total = forms.agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).first()
     prior = ((total["g"] or 0) + 1) / ((total["g"] or 0) + (total["b"] or 0) + 2) if (total["g"] or total["b"]) else 1.0
     for at in reversed(places):
-        forms = written(_merged(forms, at), f"url-merged-{at}")
+        forms = written(_merged(forms, at, skewed), f"url-merged-{at}")
     leaves = forms.groupBy("_host", "_leaf").agg(*(F.sum(c).alias(f"_{c}") for c in ("n", "good", "bad")))
     purity = (F.col("_good") + SMOOTHING * F.lit(prior)) / (F.col("_good") + F.col("_bad") + SMOOTHING)
-    return salted_join(forms.select("_host", "_form", "_leaf"), leaves, ["_host", "_leaf"], F.col("_form")).select(
+    rows = forms.select("_host", "_form", "_leaf", F.col("n").alias("_pages"))
+    return salted_join(rows, leaves, ["_host", "_leaf"], F.col("_form"), _hot(rows, ["_host", "_leaf"], skewed)).select(
         "_host",
         "_form",
+        "_pages",
         F.concat(F.col("_host"), F.lit("/"), F.array_join("_leaf", "/")).alias("template"),
         *(F.col(f"_{c}").alias(c) for c in ("n", "good", "bad")),
         purity.alias("purity"),
@@ -209,13 +219,15 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = (), key
     and path and the template of those. Repeated rows are judged alike and count each; an empty table gives no rows; other
     columns are not carried. Without any label all templates are allowed.
     """
-    judged = templates(pages, url, good).select("_host", "_form", "template", "purity", F.col("verdict").alias("_method"))
+    judged = templates(pages, url, good).select("_host", "_form", "_pages", "template", "purity", F.col("verdict").alias("_method"))
+    judged = written(judged, "url-templates")
+    many = hot_keys(judged, ["_host", "_form"], "_pages")
     rows = pages.select(
         F.col(key), url_host(F.col(url)).alias("_host"), url_path(F.col(url)).alias("path"), F.xxhash64(F.col(key), F.col(url)).alias("_row")
     ).withColumn("_form", path_form(F.col("path")))
     rule = rule_for(F.col("_host"), F.col("path"), rules)
     return (
-        salted_join(rows, judged, ["_host", "_form"], F.col("_row"))
+        salted_join(rows, judged.drop("_pages"), ["_host", "_form"], F.col("_row"), many)
         .withColumn("_rule", rule)
         .select(
             key,
