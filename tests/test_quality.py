@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewire.operators import contract as C
 from tidewire.operators import quality as D
@@ -325,3 +327,46 @@ def test_exact_counts_of_every_type(rows):
     )
     got = {r.field_name: r.unique_count for r in D.dq_field_profile(df).collect()}
     assert got == {"d": 2, "b": 2, "l": 2, "t": 1}
+
+
+def test_map_keys_are_cast(rows):
+    df = rows([(1, {1: 10, 2: None}), (2, {}), (3, None)], "id int, m map<int,int>")
+    contract = T.StructType([T.StructField("m", T.MapType(T.LongType(), T.IntegerType()))])
+    out = C.cast_to_contract(df, contract)
+    assert out.schema["m"].dataType.simpleString() == "map<bigint,int>"
+    assert [(r.m, r.lost_cells) for r in out.collect()] == [({1: 10, 2: None}, 0), ({}, 0), (None, 0)]
+    assert C.contract_check(df, contract).where("field_name = 'm'").first().uncastable_count == 0
+
+
+def test_map_entries_lost_by_their_keys(spark, rows):
+    df = spark.sql("SELECT map('1', '5', '01', '6', 'x', '7', '2', 'y') AS m")
+    contract = T.StructType([T.StructField("m", T.MapType(T.IntegerType(), T.IntegerType()))])
+    out = C.cast_to_contract(df, contract).first()
+    # "01" meets the key of "1", "x" is no number, and the value "y" is none.
+    assert out.m == {1: 5, 2: None} and out.lost_cells == 3
+    nested = rows([([{"a": {1: "1", 2: "z"}}],)], "m array<map<string,map<int,string>>>")
+    to = T.StructType([T.StructField("m", T.ArrayType(T.MapType(T.StringType(), T.MapType(T.LongType(), T.IntegerType()))))])
+    found = C.cast_to_contract(nested, to).first()
+    assert found.m == [{"a": {1: 1, 2: None}}] and found.lost_cells == 1
+
+
+def test_lenient_rules_leave_the_session_strict(spark, rows):
+    df = rows([("a", 0), ("b", 2)], "record_id string, n int")
+    rule = D.custom_rule("ratio", "10 / n > 1")
+    seen, stop = set(), threading.Event()
+
+    def strict():
+        while not stop.is_set():
+            seen.add(spark.conf.get("spark.sql.ansi.enabled"))
+            with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+                df.select(F.expr("10 / n")).collect()
+
+    thread = threading.Thread(target=strict)
+    thread.start()
+    for _ in range(3):
+        got = {r.record_id: (r.passed, r.severity) for r in D.dq_results(df, [rule]).collect()}
+        assert got["a"] == (False, "error") and got["b"][0]
+    stop.set()
+    thread.join()
+    assert seen == {"true"}
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 from pathlib import Path
 from types import SimpleNamespace
@@ -285,3 +286,29 @@ def test_plain_stream_keeps_every_row(spark, rows, tmp_path):
     spark.createDataFrame([("a", "c", "x", "1")] * 3, SLACK).write.parquet(landing)
     stream_conform(stream_files(spark, landing, SLACK), conform_slack, target, state).awaitTermination()
     assert spark.read.parquet(target).count() == 3
+
+
+def test_a_file_is_read_by_one_format(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"a": 1}\n')
+    (tmp_path / "b.json.csv").write_text("a\n2\n")
+    (tmp_path / "d.csv").write_text("a\n3\n")
+    with gzip.open(tmp_path / "e.JSON.gz", "wt") as out:
+        out.write('{"a": 4}\n')
+    got = S.read_auto(spark, str(tmp_path))
+    assert sorted(int(r.a) for r in got.collect()) == [1, 2, 3, 4]
+    assert S.read_chat(spark, str(tmp_path)).count() == 4
+    (tmp_path / "f.json.bak").write_text("x")
+    with pytest.raises(S.UnreadableError):
+        S.read_auto(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_folder_keys_have_one_type_however_nested(spark, tmp_path, plain):
+    for value, day, word in (("05", "2024-01-02", "x"), ("7", "2024-01-03", "8"), ("__HIVE_DEFAULT_PARTITION__", "2024-01-03", "y")):
+        folder = tmp_path / f"m={value}" / f"d={day}" / f"w={word}"
+        folder = folder / "plain" if plain else folder
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text('{"a": 1}\n')
+    got = S.read_auto(spark, str(tmp_path))
+    assert [got.schema[c].dataType.simpleString() for c in ("m", "d", "w")] == ["int", "date", "string"]
+    assert sorted((r.m or 0, str(r.d), r.w) for r in got.collect()) == [(0, "2024-01-03", "y"), (5, "2024-01-02", "x"), (7, "2024-01-03", "8")]

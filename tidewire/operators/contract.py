@@ -83,7 +83,7 @@ def _nested(data_type: T.DataType) -> bool:
 def _convert(value: Column, have: T.DataType, to: T.DataType) -> tuple[Column, Column]:
     """The value in the contract's type, and how many non-null values inside it the casts lose.
 
-    Struct fields go by name into the contract's order, elements and map values one by one.
+    Struct fields go by name into the contract's order, elements, map keys and values one by one.
     """
     if have.simpleString() == to.simpleString():
         return value, F.lit(0)
@@ -101,7 +101,9 @@ def _convert(value: Column, have: T.DataType, to: T.DataType) -> tuple[Column, C
     if isinstance(have, T.ArrayType) and isinstance(to, T.ArrayType):
         made = F.transform(value, lambda x: _convert(x, have.elementType, to.elementType)[0])
         return made, _sum_of(value, lambda x: _convert(x, have.elementType, to.elementType)[1])
-    if isinstance(have, T.MapType) and isinstance(to, T.MapType) and have.keyType == to.keyType:
+    if isinstance(have, T.MapType) and isinstance(to, T.MapType) and have.keyType != to.keyType:
+        return _convert_map(value, have, to)
+    if isinstance(have, T.MapType) and isinstance(to, T.MapType):
         made = F.transform_values(value, lambda _k, x: _convert(x, have.valueType, to.valueType)[0])
         return made, _sum_of(F.map_values(value), lambda x: _convert(x, have.valueType, to.valueType)[1])
     numeric_to_date = isinstance(to, (T.DateType, T.TimestampNTZType)) and isinstance(
@@ -112,6 +114,43 @@ def _convert(value: Column, have: T.DataType, to: T.DataType) -> tuple[Column, C
     return made, (value.isNotNull() & made.isNull()).cast("int")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, whatever the number of uses."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _convert_map(value: Column, have: T.MapType, to: T.MapType) -> tuple[Column, Column]:
+    """A map with its keys cast too.
+
+    An entry is lost if no cast keeps its key, or if its key is then that of an entry before it;
+    it counts as one value. Maps stay as they are ordered.
+    """
+
+    def cast_entry(entry: Column) -> Column:
+        key, lost_key = _convert(entry["key"], have.keyType, to.keyType)
+        cell, lost = _convert(entry["value"], have.valueType, to.valueType)
+        return F.struct(key.alias("key"), cell.alias("value"), (lost_key + lost).alias("lost"))
+
+    def first_of_key(entries: Column) -> Column:
+        keys = F.transform(entries, lambda e: e["key"])
+        kept = lambda k: F.filter(
+            entries, lambda e, i: e["key"].isNotNull() & (F.array_position(k, e["key"]) == i + 1)
+        )
+        return _let(keys, kept)
+
+    def made(entries: Column) -> Column:
+        return _let(
+            first_of_key(entries),
+            lambda kept: F.struct(
+                F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], e["value"]))).alias("map"),
+                (F.size(entries) - F.size(kept) + _sum_of(kept, lambda e: e["lost"])).alias("lost"),
+            ),
+        )
+
+    out = _let(F.transform(F.map_entries(value), cast_entry), made)
+    return F.when(value.isNotNull(), out["map"]), F.when(value.isNotNull(), out["lost"]).otherwise(0)
+
+
 def _sum_of(values: Column, count: Callable[[Column], Column]) -> Column:
     return F.coalesce(F.aggregate(values, F.lit(0), lambda n, x: n + count(x)), F.lit(0))
 

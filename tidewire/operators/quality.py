@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -13,7 +12,7 @@ from operator import add, and_
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,16 +151,24 @@ def _by_batch(function: Callable[[pd.DataFrame], pd.Series], fields: Sequence[st
     return run(F.struct(*[named(f) for f in fields]))
 
 
-@contextmanager
-def _lenient(df: DataFrame) -> Iterator[None]:
-    """Expressions resolved inside give NULL where strict SQL would end the job, as for a division by zero."""
-    conf = df.sparkSession.conf
-    strict = conf.get("spark.sql.ansi.enabled")
-    conf.set("spark.sql.ansi.enabled", "false")
+def _lenient(df: DataFrame, tested: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``tested`` of the frame, its expressions giving NULL where strict SQL would end the job, as for a division by zero.
+
+    They are resolved in a clone of the session, which has settings of its own and is active in
+    this thread alone; the resolved plan comes back to the session of ``df``, which stays as strict as it is.
+    """
+    spark = df.sparkSession
+    sessions, frames = spark._jvm.org.apache.spark.sql.classic.SparkSession, spark._jvm.org.apache.spark.sql.classic.Dataset
+    own = spark._jsparkSession
+    apart = own.cloneSession()
+    apart.conf().set("spark.sql.ansi.enabled", "false")
+    sessions.setActiveSession(apart)
     try:
-        yield
+        loose = DataFrame(frames.ofRows(apart, df._jdf.queryExecution().analyzed()), SparkSession(spark.sparkContext, apart))
+        plan = tested(loose)._jdf.queryExecution().analyzed()
     finally:
-        conf.set("spark.sql.ansi.enabled", strict)
+        sessions.setActiveSession(own)
+    return DataFrame(frames.ofRows(own, plan), spark)
 
 
 def _resolves(df: DataFrame, predicate: Column) -> bool:
@@ -253,9 +260,13 @@ def dq_results(
     chosen = [r for r in rules if not only or r.name in only]
     key = named(record_id).cast("string") if record_id in df.columns else F.lit(None).cast("string")
     at = F.current_timestamp() if as_of is None else as_of
-    with _lenient(df):
-        checks = {i: r.check(df) for i, r in enumerate(chosen) if r.check}
-        tested = df.select("*", *[c[0].alias(f"_p{i}") for i, c in checks.items()])
+    checks: dict[int, tuple[Column, Message]] = {}
+
+    def test(loose: DataFrame) -> DataFrame:
+        checks.update({i: r.check(loose) for i, r in enumerate(chosen) if r.check})
+        return loose.select("*", *[c[0].alias(f"_p{i}") for i, c in checks.items()])
+
+    tested = _lenient(df, test)
     rows = [
         _verdict(r, checks[i][1] if i in checks else None, F.col(f"_p{i}"), key, at)
         for i, r in enumerate(chosen)
@@ -265,8 +276,7 @@ def dq_results(
 
 def _with_passes(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
     """The frame with one pass column per rule, and those columns in the order of the rules."""
-    with _lenient(df):
-        tested = df.select("*", *[passes(df, r).alias(f"_p{i}") for i, r in enumerate(rules)])
+    tested = _lenient(df, lambda loose: loose.select("*", *[passes(loose, r).alias(f"_p{i}") for i, r in enumerate(rules)]))
     return tested, [F.col(f"_p{i}") for i in range(len(rules))]
 
 

@@ -20,7 +20,12 @@ FORMATS = ("json", "parquet", "csv")
 PARQUET_FIRST = ("parquet", "json", "csv")
 
 _CORRUPT = "_corrupt_record"
-_ENDING = r"\.(json|parquet|csv|txt)(\.[a-z0-9]+)?$"
+#: One grammar of file names, for listing and loading alike: the last ending names the format, but for a codec's.
+_ENDINGS = ("json", "parquet", "csv", "txt")
+_CODECS = ("gz", "gzip", "bz2", "zst", "zstd", "lz4", "snappy", "deflate", "xz", "br")
+_ENDING = rf"\.({'|'.join(_ENDINGS)})(\.({'|'.join(_CODECS)}))?$"
+#: Types of a key of key=value folders, tried in this order, as Spark does for its own.
+_KEY_TYPES = ("int", "bigint", "double", "date", "timestamp")
 
 
 class UnreadableError(ValueError):
@@ -39,8 +44,8 @@ def _is_glob(path: str) -> bool:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """(ending, keys, plain) of each file below ``path``: its format, the keys of its key=value
-    folders, and whether it lies in another kind of folder. Only names are listed: the content
+    """(ending, pairs, plain) of each file below ``path``: its format, its key=value folders,
+    and whether it lies in another kind of folder. Only names are listed: the content
     column is pruned away.
     """
     if _is_glob(path):
@@ -57,27 +62,44 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     pair = r"^\w+=[^/]+$"
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         F.regexp_extract(F.lower("path"), _ENDING, 1).alias("ending"),
-        F.transform(F.filter(folders, lambda x: x.rlike(pair)), lambda x: F.substring_index(x, "=", 1)).alias("keys"),
+        F.filter(folders, lambda x: x.rlike(pair)).alias("pairs"),
         F.exists(folders, lambda x: ~x.rlike(pair)).alias("plain"),
     )
 
 
 @dataclass(frozen=True)
 class Listing:
-    """Files by ending ('' for none that is known), and how they lie in folders."""
+    """Files by ending ('' for none that is known), the types of their folders' keys, and
+    whether other folders lie between."""
 
     counts: Mapping[str, int]
-    keys: tuple[str, ...]
+    keys: Mapping[str, str]
     nested: bool
 
 
 def listing(spark: SparkSession, path: str) -> Listing:
-    """Counts of the files below ``path``; a row per ending and one set of folder keys come back."""
-    found = _files(spark, path).groupBy("ending").agg(
-        F.count(F.lit(1)).alias("n"), F.array_distinct(F.flatten(F.collect_set("keys"))).alias("keys"), F.max("plain").alias("plain")
-    ).collect()
-    keys = dict.fromkeys(k for r in found for k in r["keys"])
-    return Listing({r["ending"]: r["n"] for r in found}, tuple(keys), any(r["plain"] for r in found))
+    """Counts of the files below ``path``, listed once; a row per ending and folder key comes back.
+
+    A key's type is the first that all its values have, as Spark infers it where it makes the
+    columns itself, so the same folders give the same types however they are nested.
+    """
+    value = F.nullif(F.expr("substr(pair, instr(pair, '=') + 1)"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    files = _files(spark, path).select("ending", "plain", F.explode_outer("pairs").alias("pair"), F.size("pairs").alias("n_pairs"))
+    fits = [F.bool_and(value.try_cast(t).isNotNull() | value.isNull()).alias(t) for t in _KEY_TYPES]
+    # A file counts once, as the fraction of its pairs that a row stands for.
+    found = (
+        files.groupBy("ending", F.substring_index("pair", "=", 1).alias("key"))
+        .agg(F.sum(1 / F.greatest("n_pairs", F.lit(1))).alias("n"), F.max("plain").alias("plain"), *fits)
+        .collect()
+    )
+    counts: dict[str, float] = {}
+    for r in found:
+        counts[r["ending"]] = counts.get(r["ending"], 0) + r["n"]
+    named_keys = dict.fromkeys(r["key"] for r in found if r["key"] is not None)
+    keys = {
+        k: next((t for t in _KEY_TYPES if all(r[t] for r in found if r["key"] == k)), "string") for k in named_keys
+    }
+    return Listing({e: round(n) for e, n in counts.items()}, keys, any(r["plain"] for r in found))
 
 
 def formats_at(spark: SparkSession, path: str) -> set[str]:
@@ -86,8 +108,12 @@ def formats_at(spark: SparkSession, path: str) -> set[str]:
 
 
 def _only(fmt: str) -> str:
-    """Glob of the file names that end in a format, in any case, compressed or not."""
-    return "*." + "".join(f"[{c}{c.upper()}]" for c in fmt) + "*"
+    """Glob of the file names that the listing counts to a format, in any case, compressed or not."""
+
+    def any_case(word: str) -> str:
+        return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+    return f"*.{any_case(fmt)}{{,{','.join('.' + any_case(c) for c in _CODECS)}}}"
 
 
 def _load(
@@ -111,7 +137,9 @@ def _load(
     if not seen.nested:
         return reader.format(fmt).load(path)
     rows = reader.option("recursiveFileLookup", "true").format(fmt).load(path)
-    return with_path_partitions(rows, [k for k in seen.keys if k not in rows.columns])
+    keys = {k: t for k, t in seen.keys.items() if k not in rows.columns}
+    rows = with_path_partitions(rows, list(keys))
+    return with_all(rows, {k: F.nullif(named(k), F.lit("__HIVE_DEFAULT_PARTITION__")).cast(t) for k, t in keys.items()})
 
 
 def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
