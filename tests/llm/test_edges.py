@@ -493,7 +493,7 @@ text<br>goes on.<p>Second <b>bold</b> one with <a href="x">a link</a>.<ul><li>po
 <div class="ad">Buy now</div><footer>&copy; me</footer></body></html>"""
 
 
-@pytest.mark.parametrize("weights", [html.UNTRAINED, (-6.0, 3.0, -9.0, -1.0, 2.0, -1.0), (0.0,) * 6])
+@pytest.mark.parametrize("weights", [html.UNTRAINED, html.Model((-6.0, 3.0, -9.0, -1.0, 2.0, -1.0)), html.Model((0.0,) * 6)])
 def test_html_parts(weights):
     assert html.main_text(PAGE, weights).split("\n\n") == [
         "Title & more", "First paragraph of text goes on.", "Second bold one with a link.", "point one", "point two", "cell a", "cell b", "x < y", "Last.",

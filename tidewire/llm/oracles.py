@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewire.llm import rules
+from tidewire.llm import phrases, rules
 from tidewire.llm.common import LOWER, UPPER
 from tidewire.llm.lines import LEAST_CHARS
 
@@ -69,9 +69,29 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
+PHRASES = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM
+    (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, {phrases.WORDS} + 1) AS s(m)) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE m = 1 GROUP BY lang),
+cand AS (SELECT * FROM grams WHERE m >= 2 AND f >= {phrases.LEAST}),
+cuts AS (SELECT lang, m, phrase, f, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS x, array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS y
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (SELECT c.lang, c.m, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+    CAST((CAST(1000 AS HUGEINT) * c.f * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.x JOIN grams y ON y.lang = c.lang AND y.phrase = c.y JOIN totals t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+alive AS (SELECT * FROM worst x WHERE NOT EXISTS (SELECT 1 FROM cand y WHERE y.lang = x.lang AND y.m > x.m AND y.f >= x.a
+    AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank FROM alive)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {phrases.TOP}"""
+
 ORACLES = {
     "op5_line_dedup": LINE_DEDUP,
     "op7_minhash_near_dedup": NEAR_DEDUP,
     "op8_quality_rules": QUALITY_RULES,
     "op10_exact_top_k": TOP_K,
+    "op12_phrase_collocations": PHRASES,
 }

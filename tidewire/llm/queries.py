@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe, html, lines, neardup, packing, quality, rules, sharding, topk, urls
+from tidewire.llm import alignment, bpe, html, lines, neardup, packing, phrases, quality, rules, sharding, topk, toxicity, urls
 from tidewire.llm.common import hot_keys, read, salted_join
 from tidewire.llm.oracles import ORACLES  # noqa: F401 (registered beside the queries)
 
@@ -20,8 +20,8 @@ URL_RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-LEAST_SCORE = 0.3
-RANKS, TOKENIZER = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
+LEAST_SCORE, TOXIC_SCORE = 0.3, 0.5
+RANKS, TOKENIZER, PIECES = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -98,3 +98,31 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``evidence``: the telling terms found, and the nearest examples as id, cosine and share of toxic ones."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    index = toxicity.train(docs, read(spark, sf_dir, "labels"), ~held_out())
+    near = F.transform(
+        F.slice("neighbours", 1, 3), lambda x: F.format_string("%d:%.2f:%.2f", F.element_at(x["ids"], 1), x["cosine"], x["toxic"])
+    )
+    scored = toxicity.score(docs, index)
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_SCORE, 1).otherwise(0).alias("predicted"),
+        F.concat_ws(" ", F.slice("found", 1, 5), F.lit("|"), near).alias("evidence"),
+    )
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
