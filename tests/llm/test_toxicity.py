@@ -93,7 +93,7 @@ def test_training_over_odd_tables(rows):
 
 def test_sample_is_bounded_whatever_the_copies(rows, monkeypatch):
     monkeypatch.setattr(toxicity, "EXAMPLES", 20)
-    docs = rows([(7, "vile")], "doc_id bigint, text string").crossJoin(rows([(i,) for i in range(3000)], "i int")).drop("i")
+    docs = rows([(7, "vile")] * 3000, "doc_id bigint, text string")
     docs = docs.union(rows([(100 + i, f"text {i}") for i in range(200)], "doc_id bigint, text string"))
     labels = rows([(7, 1)] + [(100 + i, i % 2) for i in range(200)], "doc_id bigint, toxic int")
     index = toxicity.train(docs, labels, F.lit(True))

@@ -68,6 +68,8 @@ PLAIN_PARTS = re.compile(
 )
 GOOD_NAMES = frozenset("article articlebody article-body article-content article-text body content entry entry-content main main-content post post-body post-content post-text story story-body text".split())
 BAD, GOOD = -8.0, 3.0
+#: Mark of an article among other boilerplate: a teaser, but the page's article if it has no other.
+TEASER = -7.0
 #: Sample of the classifier: most pages, most blocks of a page in it; ridge; largest log-odds of all but the marks.
 SAMPLE_PAGES, SAMPLE_BLOCKS, RIDGE, MOST = 2_000, 32, 1.0, 2.5
 #: Words of a block whose words are looked at; log-odds of a word that names boilerplate, most of a learned word or class.
@@ -85,6 +87,7 @@ _NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^'
 _QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _HIDDEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _HIDDEN_NAME = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_SLASH = re.compile(r"(?:^|[\s\"'])/\s*$")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
 _PARTS = re.compile(r"[_-]+")
@@ -250,7 +253,8 @@ def blocks(page: str) -> list[Block]:
             if name == "br" and parts:
                 parts.append(" ")
             continue
-        if attributes.rstrip().endswith("/") and name not in BLOCKS and name not in RAW:
+        # A slash closes such an element only if it is no part of a value without quotes.
+        if _SLASH.search(attributes) and name not in BLOCKS and name not in RAW:
             continue
         around = stack[-1]
         named = names_of(attributes) if name not in ("html", "body") else ()
@@ -275,6 +279,9 @@ def blocks(page: str) -> list[Block]:
             reader.send(stop)
     close(1)
     flush()
+    if all(b.mark < 4 for b in out):
+        for b in out:
+            b.mark = GOOD_ELEMENTS["article"] if b.mark == TEASER else b.mark
     return out
 
 
@@ -282,7 +289,10 @@ def _mark(name: str, named: tuple[str, ...], around: float, in_apart: bool, in_a
     """The mark that holds in an element: its own, or that of the nearest marked one around it."""
     if any(marks_boilerplate(n) for n in named):
         return BAD
-    if name in GOOD_ELEMENTS and not (name == "article" and in_apart):
+    if name == "article" and around < 0:
+        # Among boilerplate inside an article, or in a sidebar, it is a teaser or a comment.
+        return around if in_apart or in_article else TEASER
+    if name in GOOD_ELEMENTS:
         return GOOD_ELEMENTS[name]
     # The header of an article holds its headline; others are the site's.
     if name in BAD_ELEMENTS and not (name == "header" and in_article):
