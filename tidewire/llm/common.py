@@ -65,6 +65,13 @@ class Scope:
         self._token = Scope._open.set((*Scope._open.get(), self))
         return self
 
+    def release(self, table: DataFrame) -> None:
+        """Hands a table over to the scope around this one, if there is one."""
+        path = table._written_to
+        if self.paths.pop(path, None) is not None:
+            for scope in Scope._open.get()[:-1][-1:]:
+                scope.paths[path] = table.sparkSession
+
     def __exit__(self, *_: object) -> None:
         Scope._open.reset(self._token)
         for path, spark in self.paths.items():

@@ -1,9 +1,11 @@
-"""Near-duplicate groups by HyperMinHash: compressed registers in bands, links confirmed on full shingle sets.
+"""Near-duplicate groups by HyperMinHash: compressed registers in bands, candidates in the order of their estimated
+similarity, links confirmed on full shingle sets.
 
 Documents with equal sets are one class from the start. Classes meet in buckets of equal bands. In each bucket all classes
-are tried against its hub, the class that shares most buckets with others; buckets whose classes are then still apart are
-searched in full: small ones as pairs, large ones inside a task over the sets themselves, where a class is left out only
-if too few of its shingles occur elsewhere. No bucket's pairs are written out, and no bucket is cut.
+have its hub as a candidate, the class that shares most buckets with others. A class's best candidate by the collision-
+corrected estimate is confirmed first; candidates that are then in one group already are never looked at again. Buckets
+whose classes are still apart are searched in full: small ones as pairs. Classes of larger ones meet by the rarest shingles
+of their sets, of which two linked sets share one at least. No bucket's pairs are written out, and no bucket is cut.
 """
 
 from __future__ import annotations
@@ -17,32 +19,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm import shingles as S
-from tidewire.llm.common import hot_keys, mapped, salted_join, ship, text_bytes, written
+from tidewire.llm.common import Hot, hot_keys, mapped, salted_join, ship, text_bytes, written
 from tidewire.llm.components import components
 
-#: Pairs of one hub checked in one group; classes of a bucket that is searched as pairs; classes in one block of a larger one.
+#: Pairs of one hub checked in one group; classes of a bucket or shingle that is searched as pairs; classes in one block of a larger one.
 CHUNK, SMALL, BLOCK = 256, 48, 1024
+#: Counters of the sketch that orders shingles, and tasks that add up the sketches of all.
+COUNTERS, ADDERS = 1 << 20, 16
 _LAST = 9223372036854775807
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, digest, keys): size and digest of each document's shingle set, and its band keys."""
+    """(id, n, digest, registers): size and digest of each document's shingle set, and its registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 value, offsets = S.shingle_sets(*text_bytes(part.column(1)))
-                own, keys = S.band_keys(S.registers(value, offsets))
-                starts = np.searchsorted(own, np.arange(part.num_rows + 1)).astype(np.int32)
+                made = S.registers(value, offsets)
                 digests = [S.set_digest(value[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(starts), pa.array(keys))],
-                    names=["id", "n", "digest", "keys"],
+                    [part.column(0), pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in made], pa.binary())],
+                    names=["id", "n", "digest", "registers"],
                 )
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).cast("string").alias("t"))
-    return mapped(rows, run, "id long, n long, digest binary, keys array<long>")
+    return mapped(rows, run, "id long, n long, digest binary, registers binary")
+
+
+def band_rows(classes: DataFrame) -> DataFrame:
+    """(id, n, key): a row for each class and band with a filled register."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, keys = S.band_keys(_registers(batch.column(2)))
+            at = pa.array(own)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(keys)], names=["id", "n", "key"])
+
+    return mapped(classes.select("id", "n", "registers"), run, "id long, n long, key long")
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), S.REGISTERS)
+
+
+def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Adds ``estimate`` to pairs (a, b, ...): the similarity that the registers tell, less expected collisions."""
+    columns = pairs.columns
+    of_a = classes.select(F.col("id").alias("a"), F.col("n").alias("_n_a"), F.col("registers").alias("_a"))
+    of_b = classes.select(F.col("id").alias("b"), F.col("n").alias("_n_b"), F.col("registers").alias("_b"))
+    hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_pairs")), ["b"], "_pairs")
+    met = salted_join(pairs.join(of_a, "a"), of_b, ["b"], F.col("a"), hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (_registers(batch.column(c)) for c in ("_a", "_b"))
+            sizes = (batch.column(c).to_numpy() for c in ("_n_a", "_n_b"))
+            found = S.jaccard_of(left, right, *sizes)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found)], names=[*columns, "estimate"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
+    return mapped(met, run, f"{fields}, estimate double")
 
 
 def _sets(texts: pa.Array) -> list[np.ndarray]:
@@ -131,7 +171,10 @@ def block_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], lef
 
 
 def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links inside large buckets: (key, id, label, m). Blocks of a bucket meet in pairs, each pair in one task."""
+    """Links between the classes of a shingle that many share even as one of their rarest: (key, id, label, m).
+
+    Blocks of such a list meet in pairs, each pair in one task.
+    """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
     dealt = (
@@ -154,6 +197,67 @@ def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
     return dealt.join(texts, "id").groupBy("key", "lo", "hi").applyInPandas(search, "a long, b long")
 
 
+def _prefixes(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, id, n, label): the rarest shingles of each class (id, n, label), so many that linked sets share one.
+
+    Sets of a similarity of 0.75 or more share at least 0.75 of either one's shingles; so in any order of all shingles they
+    share one of the first n - ceil(0.75 n) + 1. The order is by how often the classes hold a shingle, as a sketch of fixed
+    size counts it: one that no other class can hold is left out, and common ones are seldom needed.
+    """
+    rows = members.join(texts, "id")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for own in _sets(batch.column(0)):
+                np.add.at(total, _counter(own), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                total += np.frombuffer(part, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
+
+    parts = mapped(mapped(rows.select("t"), counted, "c binary").repartition(ADDERS), added, "c binary").coalesce(1)
+    whole = mapped(parts, added, "c binary").first()
+    often = members.sparkSession.sparkContext.broadcast(np.frombuffer(whole["c"], np.int64) if whole else np.zeros(COUNTERS, np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own in _sets(batch.column(3)):
+                held = often.value[_counter(own)]
+                first = np.lexsort((own, held))[: len(own) - -(-3 * len(own) // 4) + 1]
+                out.append(own[first[held[first] > 1]])
+            at = pa.array(np.repeat(np.arange(len(out)), [len(x) for x in out]))
+            keys = np.concatenate(out) if out else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(batch.column(c).take(at) for c in range(3))], names=["key", "id", "n", "label"])
+
+    return mapped(rows.select("id", "n", "label", "t"), run, "key long, id long, n long, label long")
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(20)).astype(np.int64) & (COUNTERS - 1)
+
+
+def _apart(members: DataFrame, hot: Hot) -> DataFrame:
+    """The rows (key, id, label, ...) of keys that hold classes of several labels."""
+    several = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    return salted_join(members, several, ["key"], F.col("id"), hot)
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    """(a, b): the pairs of classes of unlike labels within a key, of sizes that can be linked."""
+    left, right = (members.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label"))) for s in "ab")
+    return (
+        left.join(right, "key")
+        .where("id_a < id_b AND label_a != label_b AND 4 * n_a >= 3 * n_b AND 4 * n_b >= 3 * n_a")
+        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    )
+
+
 def _same_key(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) between the classes of rows with one key and unlike texts; rows without a key have none."""
     several = signed.where(F.col("digest").isNotNull() & (F.col("id") != _LAST)).groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
@@ -162,6 +266,26 @@ def _same_key(signed: DataFrame, classes: DataFrame) -> DataFrame:
     return named.join(named.groupBy("id").agg(F.min("a").alias("b")), "id").where("a != b").select("a", "b").distinct()
 
 
+def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, label): classes of one label are in one group. A class goes to the least class it is linked to, and with that one on."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    own = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
+    near = written(ids.join(own, "id", "left").select("id", F.least("id", F.coalesce("b", "id")).alias("label")), "labels")
+    for _ in range(2):
+        many = hot_keys(near.groupBy("label").agg(F.count(F.lit(1)).alias("n")), ["label"], "n")
+        tops = near.select(F.col("id").alias("label"), F.col("label").alias("top"))
+        near = written(salted_join(near, tops, ["label"], F.col("id"), many).select("id", F.col("top").alias("label")), "labels", last=[near])
+    return near
+
+
+def _unlike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose classes have unlike labels."""
+    hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), ["b"], "n")
+    of_a = pairs.join(labels.select(F.col("id").alias("a"), F.col("label").alias("x")), "a")
+    both = salted_join(of_a, labels.select(F.col("id").alias("b"), F.col("label").alias("y")), ["b"], F.col("a"), hot)
+    return both.where("x != y").select("a", "b")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept), one row out for each row in.
 
@@ -173,13 +297,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     signed = written(signatures(docs, key, text), "signatures")
     counted = signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("registers").alias("registers")
     )
     classes = written(counted, "classes")
-    bands = classes.select("id", "n", F.explode("keys").alias("key"))
+    bands = written(band_rows(classes), "bands")
     shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     hot = hot_keys(shared, ["key"], "m")
-    met = written(salted_join(bands, shared, ["key"], F.col("id"), hot), "met")
+    met = written(salted_join(bands, shared, ["key"], F.col("id"), hot), "met", last=[bands, shared])
     scores = met.groupBy("id").agg(F.sum("m").alias("score"))
     scored = met.join(scores, "id")
     hubs = scored.groupBy("key").agg(F.max(F.struct(F.col("score"), (-F.col("id")).alias("i"), "n")).alias("h"))
@@ -190,35 +314,32 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         .groupBy(F.col("id").alias("a"), "b")
         .agg(F.max("top").alias("top"))
     )
-    tried = written(tried, "tried")
+    tried = written(tried, "candidates")
+    tried = written(estimated(tried, classes), "tried", last=[tried])
     wanted = met.select("id").distinct()
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     texts = written(texts.join(wanted, "id", "left_semi"), "texts")
-    links = written(confirmed(tried.select("a", "b"), texts), "links")
-    # A first label: the best hub that a class is linked to, and that hub's own.
-    own = links.join(tried, ["a", "b"]).groupBy("a").agg(F.max(F.struct("top", F.col("b").alias("hub"))).alias("h"))
-    near = scores.join(own, scores["id"] == own["a"], "left").select(
-        "id", F.when(F.col("h.top") >= F.col("score"), F.col("h.hub")).otherwise(F.col("id")).alias("label")
-    )
-    near = written(near, "labels")
-    owners = near.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    tops = near.select(F.col("id").alias("label"), F.col("label").alias("top"))
-    jumped = salted_join(near, tops, ["label"], F.col("id"), hot_keys(owners, ["label"], "n")).select("id", F.col("top").alias("label"))
-    marked = written(met.join(jumped, "id"), "marked", last=[met, near])
-    apart = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    open_ = written(salted_join(marked, apart, ["key"], F.col("id"), hot), "open", last=[marked, shared])
-    few = open_.where(F.col("m") <= SMALL)
-    left, right = (few.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "label"))) for s in "ab")
-    pairs = (
-        left.join(right, "key")
-        .where("id_a < id_b AND label_a != label_b AND 4 * n_a >= 3 * n_b AND 4 * n_b >= 3 * n_a")
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-        .distinct()
-    )
+    # The likeliest candidate of each class first; most others then need no look.
+    order = F.struct("estimate", "top", (-F.col("b")).alias("i"))
+    best = written(tried.groupBy("a").agg((-F.max(order)["i"]).alias("b")), "best")
+    links = written(confirmed(best, texts), "links")
+    labels = _labels(wanted, links)
+    rest = tried.select("a", "b").join(best, ["a", "b"], "left_anti")
+    rest = written(_unlike(rest, labels), "other-candidates", last=[best, labels])
+    links = written(links.union(confirmed(rest, texts)), "more-links", last=[links, rest])
+    labels = _labels(wanted, links)
+    marked = written(met.join(labels, "id"), "marked", last=[met, labels])
+    open_ = written(_apart(marked, hot), "open", last=[marked])
+    large = written(open_.where(F.col("m") > SMALL).select("id", "n", "label").distinct(), "large")
+    postings = written(_prefixes(large, texts), "postings", last=[large])
+    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key", "m")
+    sizes = written(sizes, "posting-sizes")
+    postings = written(salted_join(postings, sizes, ["key"], F.col("id"), hot_keys(sizes, ["key"], "m")), "open-postings", last=[postings, sizes])
+    pairs = _pairs(open_.where(F.col("m") <= SMALL)).union(_pairs(postings.where(F.col("m") <= SMALL))).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs", last=[tried])
-    more = written(confirmed(pairs, texts), "more-links", last=[pairs])
-    rest = written(_large_links(open_.where(F.col("m") > SMALL), texts), "large-links", last=[open_, texts])
+    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs", last=[tried, open_])
+    more = written(confirmed(pairs, texts), "pair-links", last=[pairs])
+    rest = written(_large_links(postings.where(F.col("m") > SMALL), texts), "large-links", last=[postings, texts])
     groups = components(links.union(more).union(rest).union(_same_key(signed, classes)), "groups")
     found = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("_component"))
     found = written(found, "found", last=[links, more, rest, classes])
@@ -232,3 +353,23 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.nullif("_component", F.lit(_LAST)).alias("component_id"),
         (F.col("id") == F.col("_component")).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each near-duplicate group: that of the smallest key, of rows without a key only if the group has no other.
+
+    Rows are grouped by their own texts, so rows of one key with unlike texts stay, and so do unlike rows without a key.
+    Texts without words are in no group: of those, one row of each key stays, and every row without a key. Ties go to the
+    smallest text digest, equal rows to any. Whole texts are compared; an empty table stays empty; all columns are kept.
+    """
+    own = "_row"
+    while own in docs.columns:
+        own += "_"
+    rows = written(docs.withColumn(own, F.monotonically_increasing_id()), "rows")
+    marks = rows.select(F.col(own).alias("_row"), F.col(key).alias("_key"), F.md5(F.col(text)).alias("_digest"))
+    found = near_groups(rows.select(F.col(own).alias("_row"), F.col(text).alias("_text")), "_row", "_text").join(marks, "_row")
+    blank = (F.col("n_shingles") == 0) & F.col("_key").isNotNull()
+    groups = found.groupBy(F.when(~blank, F.col("component_id")).alias("_group"), F.when(blank, F.col("_key")).alias("_blank"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_digest", "_row"))
+    kept = written(groups.agg(first.alias("_first")).select(F.col("_first._row").alias(own)), "kept-rows")
+    return rows.join(kept.hint("shuffle_hash"), own, "left_semi").drop(own)
