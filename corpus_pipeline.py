@@ -7,19 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import lines, neardup, packing, quality, rules
-from tidewire.llm.common import read, written
+from tidewire.llm.common import Scope, read, written
 from tidewire.llm.queries import LEAST_SCORE, TOKENIZER, held_out
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and keep text after their host's common lines."""
-    return rules.judge(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    """Documents that pass the base rules and keep text after their host's common lines.
+
+    A null or empty text fails; a null source is one host; rows without an id are documents like others. Texts of any length
+    are judged whole, copies and repeated rows alike, so there are no ties. An empty table stays empty; other columns go.
+    """
+    return rules.judge(docs.select(*COLUMNS), removed=False).where("kept").select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of at least LEAST_SCORE."""
+    """Documents with a score of at least LEAST_SCORE.
+
+    Nulls, empty and long texts and repeated rows are scored as :func:`quality.scored_rows` states; each row is judged by
+    itself, so there are no ties. An empty table stays empty; other columns go.
+    """
     docs = docs.select(*COLUMNS)
     model = quality.train(docs, read(spark, sf_dir, "labels"), ~held_out())
     return quality.scored_rows(docs, model).where(F.col("_score") >= LEAST_SCORE).select(*COLUMNS)
@@ -32,22 +40,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: that of the smallest id, of rows without an id only if the group has no other.
-
-    Rows are grouped by their own texts, so rows of one id with unlike texts stay, and so do unlike rows without an id.
-    Texts without words are in no group: of those, one row of each id stays, and every row without an id.
-    """
-    rows = written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")), "rows")
-    found = neardup.near_groups(rows, "_row").join(rows.select("_row", "doc_id", F.md5("text").alias("_digest")), "_row")
-    blank = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
-    groups = found.groupBy(F.when(~blank, F.col("component_id")).alias("_group"), F.when(blank, F.col("doc_id")).alias("_blank"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest", "_row"))
-    kept = groups.agg(first.alias("_first")).select("_first._row")
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    """One row of each near-duplicate group, as :func:`neardup.one_of_each` keeps them; nulls, blanks and ties are stated there."""
+    return neardup.one_of_each(docs.select(*COLUMNS))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, packed into sequences of 2048."""
+    """Token pieces of all documents, packed into sequences of 2048.
+
+    A null text is empty, repeated rows are packed each, long texts are cut into pieces; ties are placed by hash. An empty
+    table gives no pieces; other columns are not carried.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
@@ -64,7 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """All stages. What a stage wrote for itself goes once its result is written, and that once the next one's is."""
+    docs, held = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with Scope() as tables:
+            kept = written(stage(spark, docs, sf_dir), name, last=held)
+            tables.release(kept)
+        docs, held = kept, [kept]
     return STAGES[-1][1](spark, docs, sf_dir)
