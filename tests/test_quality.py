@@ -370,3 +370,22 @@ def test_lenient_rules_leave_the_session_strict(spark, rows):
     thread.join()
     assert seen == {"true"}
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_value_rule_gets_parameters_and_context(rows):
+    def limit(value, parameters, context):
+        if context["kind"] == "broken":
+            raise ValueError("Rule execution error")
+        top = parameters["limits"][context["kind"]]
+        return value is not None and value <= top, f"{value} against {top}"
+
+    df = rows([("1", 5, "a"), ("2", 50, "a"), ("3", 50, "b"), ("4", None, "b"), ("5", 1, "broken")], "record_id string, n int, kind string")
+    rule = D.value_rule("limit", limit, "n", severity="warning", dimension="accuracy", parameters={"limits": {"a": 9, "b": 99}})
+    got = {r.record_id: (r.passed, r.message, r.severity) for r in D.dq_results(df, [rule, D.rule_positive("n")]).collect() if r.rule_name == "limit"}
+    assert got == {
+        "1": (True, "5 against 9", "warning"), "2": (False, "50 against 9", "warning"), "3": (True, "50 against 99", "warning"),
+        "4": (False, "None against 99", "warning"), "5": (False, "Validation rule execution failed: Rule execution error", "error"),
+    }
+    assert [r.data_quality_score for r in D.dq_flags(df, [rule]).orderBy("record_id").collect()] == [100, 0, 100, 0, 0]
+    lone = D.value_rule("seen", lambda value, _p, context: (value is None and not context, "none"), "absent", context=[])
+    assert {(r.passed, r.message) for r in D.dq_results(df, [lone]).collect()} == {(True, "none")}

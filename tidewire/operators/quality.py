@@ -11,6 +11,7 @@ from functools import reduce
 from operator import add, and_
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,10 @@ class QualityError(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """A named check on a frame; without ``check`` every record passes."""
+    """A named check on a frame; without ``check`` every record passes.
+
+    Where ``answers`` is set the check's column is a struct of ``passed`` and its own ``message``.
+    """
 
     name: str
     severity: str = "info"
@@ -54,6 +58,7 @@ class Rule:
     field: str | None = None
     description: str = ""
     check: Check | None = None
+    answers: bool = False
 
 
 def _always(message: str) -> Message:
@@ -221,9 +226,58 @@ def custom_rule(
     return Rule(name, severity, dimension, field, description, check)
 
 
+def value_rule(
+    name: str,
+    function: Callable[[object, Mapping[str, object], Mapping[str, object]], tuple[bool, str]],
+    field: str,
+    severity: str = "error",
+    dimension: str = "validity",
+    description: str = "",
+    parameters: Mapping[str, object] | None = None,
+    context: Sequence[str] | None = None,
+) -> Rule:
+    """Rule from a function of one value, ``function(value, parameters, context)``, that says
+    whether it passes and why.
+
+    The value is that of ``field``, NULL where the frame lacks it; ``context`` has the record's other
+    columns by name, all of them unless some are chosen. An error of the function fails its record
+    with severity error and the error in the message. It runs once for each record, in Arrow
+    batches: state a rule as a predicate where one can say it.
+    """
+    given = dict(parameters or {})
+
+    def check(df: DataFrame) -> tuple[Column, Message]:
+        others = [c for c in (df.columns if context is None else context) if c != field and c in df.columns]
+
+        def answer(value: object, around: Mapping[str, object]) -> tuple[bool | None, str]:
+            try:
+                passed, message = function(value, given, around)
+                return bool(passed), str(message)
+            except Exception as error:  # noqa: BLE001 - any error of a user's rule fails its record
+                return None, f"Validation rule execution failed: {error}"
+
+        @F.arrow_udf("struct<passed: boolean, message: string>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                rows = batch.to_pylist()
+                found = [answer(r["value"], dict(zip(others, r["others"].values(), strict=True)) if others else {}) for r in rows]
+                yield pa.StructArray.from_arrays(
+                    [pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.string())], names=["passed", "message"]
+                )
+
+        value = named(field) if field in df.columns else F.lit(None).cast("string")
+        around = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(others)] or [F.lit(0).alias("none")])
+        return run(F.struct(value.alias("value"), around.alias("others"))), lambda answered: answered["message"]
+
+    return Rule(name, severity, dimension, field, description, check, answers=True)
+
+
 def passes(df: DataFrame, rule: Rule) -> Column:
     """Two-valued pass predicate of a rule on a frame; errors in it follow the session's SQL mode."""
-    return F.lit(True) if rule.check is None else flag(rule.check(df)[0])
+    if rule.check is None:
+        return F.lit(True)
+    found = rule.check(df)[0]
+    return flag(found["passed"] if rule.answers else found)
 
 
 def _verdict(rule: Rule, message_of: Message | None, raw: Column, record_id: Column, at: Column) -> dict[str, Column]:
@@ -231,8 +285,9 @@ def _verdict(rule: Rule, message_of: Message | None, raw: Column, record_id: Col
         passed, message = F.lit(True), F.lit("No validation function defined")
         severity, dimension = F.lit("info"), F.lit("validity")
     else:
-        passed, message, dimension = flag(raw), message_of(raw), F.lit(rule.dimension)
-        severity = F.when(raw.isNull(), "error").otherwise(rule.severity)
+        message, dimension = message_of(raw), F.lit(rule.dimension)
+        raw = raw["passed"] if rule.answers else raw
+        passed, severity = flag(raw), F.when(raw.isNull(), "error").otherwise(rule.severity)
     return {
         "rule_name": F.lit(rule.name),
         "passed": passed,
