@@ -18,24 +18,24 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import mapped, mix, text_bytes, written
+from tidewire.llm.common import hash_parts, mapped, mix, text_bytes, written
 
 #: Most words of a phrase, least count, and results for each language.
 WORDS, LEAST, TOP = 5, 100, 2000
 #: The first round's words stand for this share of a language's words; a round that finds too little takes GROWTH times that.
-SHARE, GROWTH = 0.04, 4
+SHARE, GROWTH = 0.04, 8
 #: Bits for each phrase that may be frequent, and most bits of a table (16 MB).
 SPARSE, MOST_BITS = 16, 1 << 27
 #: Bytes of text counted together; phrases that a task holds before it sends them.
-PART, PENDING = 1 << 21, 500_000
+PART, PENDING = 1 << 20, 250_000
 UNKNOWN = "und"
 _COUNTS = "lang string, phrase string, h long, n long"
-_BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE, _BREAK = 1, 2
 
 
@@ -58,16 +58,6 @@ def _kinds() -> np.ndarray:
 
 
 _KINDS = _kinds()
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, 2 * PART), base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.multiply.accumulate(steps)
-    return _POWERS
 
 
 class Words:
@@ -84,11 +74,7 @@ class Words:
         last = inside.copy()
         last[:-1] &= ~inside[1:] | fresh[1:]
         self.raw, self.start, self.end = raw, np.flatnonzero(fresh), np.flatnonzero(last) + 1
-        power, inverse = _powers(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=sums[1:])
-        length = (self.end - self.start).astype(np.uint64)
-        own = mix((sums[self.end] - sums[self.start]) * inverse[self.start] + length * np.uint64(0xD6E8FEB86659FD93))
+        own = hash_parts(raw, self.start, self.end - self.start)
         self.owner = np.searchsorted(offsets, self.start, side="right") - 1
         self.word = own
         self.lang = owner_hash[self.owner]
@@ -148,6 +134,15 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def distinct(h: np.ndarray, places: bool = False) -> tuple[np.ndarray, ...]:
+    """The distinct values in the order of their first places, those places, how often each stands, and if asked for each one's number."""
+    where, unique = pd.factorize(h)
+    first = np.zeros(len(unique), np.int64)
+    first[where[::-1]] = np.arange(len(h))[::-1]
+    out = (unique, first, np.bincount(where, minlength=len(unique)).astype(np.int64))
+    return (*out, where) if places else out
+
+
 class _Sums:
     """Counts by hash, with each hash's language and phrase."""
 
@@ -164,7 +159,7 @@ class _Sums:
             return
         h, n = (np.concatenate([x[i] for x in self.held]) for i in (0, 1))
         lang, phrase = (pa.concat_arrays([x[i] for x in self.held]) for i in (2, 3))
-        unique, first, where = np.unique(h, return_index=True, return_inverse=True)
+        unique, first, _, where = distinct(h, True)
         total = np.zeros(len(unique), np.int64)
         np.add.at(total, where, n)
         self.held = [(unique, total, lang.take(pa.array(first)), phrase.take(pa.array(first)))]
@@ -204,9 +199,9 @@ def _counted(texts: DataFrame, size: int, tables: Broadcast | None) -> DataFrame
                         totals[names[i].as_py()] = totals.get(names[i].as_py(), 0) + n
                 else:
                     h, chosen = _candidates(words, size, *tables.value)
-                unique, first, n = np.unique(h[chosen], return_index=True, return_counts=True)
+                unique, first, n = distinct(h[chosen])
                 at = chosen[first]
-                sums.add(unique, n.astype(np.int64), names.take(pa.array(code[words.owner[at]])), words.spelled(at, size))
+                sums.add(unique, n, names.take(pa.array(code[words.owner[at]])), words.spelled(at, size))
                 if sums.rows > PENDING:
                     sums.merge()
                     if sums.rows > PENDING // 2:
@@ -258,28 +253,30 @@ def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", (wide(a) * wide(n) * F.lit(1000).cast("decimal(4,0)")), wide(left) * wide(right))
 
 
-def _survivors(grams: DataFrame, words: DataFrame, totals: dict[str, int]) -> DataFrame:
+def _survivors(grams: DataFrame, words: DataFrame, totals: dict[str, int], limits: dict[str, int]) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the candidates between anchors that no longer phrase stands for as often.
 
-    ``grams`` are the frequent phrases with an anchor at an end, ``both`` those with one at each end; ``words`` the frequent
-    words, ``totals`` each language's number of words.
+    ``grams`` are the frequent phrases with an anchor at an end, ``words`` the frequent words, ``totals`` each language's
+    number of words and ``limits`` the frequency of its anchors. Between anchors all parts of a phrase are among ``grams``.
     """
     split = F.split("phrase", " ")
     m = F.size(split)
     # A longer phrase as frequent holds one longer by a single word that is as frequent.
-    held = grams.where(m > 2).select("lang", F.explode(F.array(*(F.array_join(F.slice(split, s, m - 1), " ") for s in (F.lit(1), F.lit(2))))).alias("phrase"), F.col("n").alias("longer"))
+    inner = F.array(*(F.array_join(F.slice(split, s, m - 1), " ") for s in (F.lit(1), F.lit(2))))
+    held = grams.where(m > 2).select("lang", F.explode(inner).alias("phrase"), F.col("n").alias("longer"))
     held = held.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
-    open_ = grams.where("both").join(held, ["lang", "phrase"], "left").where("longer IS NULL OR longer < n").select("lang", "phrase", F.col("n").alias("a"))
-    cuts = open_.withColumn("k", F.explode(F.sequence(F.lit(1), m - 1))).select(
-        "*", F.array_join(F.slice(split, F.lit(1), F.col("k")), " ").alias("first"), F.array_join(F.slice(split, F.col("k") + 1, m - F.col("k")), " ").alias("rest")
+    open_ = grams.join(held, ["lang", "phrase"], "left").where("longer IS NULL OR longer < n").select("lang", "phrase", F.col("n").alias("a"))
+    cuts = open_.withColumns({"m": m, "k": F.explode(F.sequence(F.lit(1), m - 1))}).select(
+        "*", F.array_join(F.slice(split, F.lit(1), F.col("k")), " ").alias("first"), F.array_join(F.slice(split, F.col("k") + 1, F.col("m") - F.col("k")), " ").alias("rest")
     )
     counts = words.select("lang", "phrase", "n").union(grams.select("lang", "phrase", "n"))
     cuts = cuts.join(counts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l")), ["lang", "first"])
     cuts = cuts.join(counts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r")), ["lang", "rest"])
-    of_lang = F.create_map(*(F.lit(x) for pair in totals.items() for x in pair))
-    scored = cuts.withColumn("n", F.element_at(of_lang, F.col("lang")).cast("long")).withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
-    worst = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("w"))
-    return worst.select("lang", "phrase", *(f"w.{c}" for c in ("a", "l", "r", "n", "score")))
+    of_lang, limit = (F.element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), F.col("lang")).cast("long") for table in (totals, limits))
+    scored = cuts.withColumn("n", of_lang).withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
+    ends = F.count_if((F.col("k") == 1) & (F.col("l") <= limit)) + F.count_if((F.col("k") == F.col("m") - 1) & (F.col("r") <= limit))
+    worst = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("w"), ends.alias("ends"))
+    return worst.where("ends = 2").select("lang", "phrase", *(f"w.{c}" for c in ("a", "l", "r", "n", "score")))
 
 
 def _best(found: DataFrame, top: int) -> DataFrame:
@@ -287,17 +284,21 @@ def _best(found: DataFrame, top: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
 
-def _first_limits(words: DataFrame, totals: dict[str, int], share: float) -> dict[str, int]:
-    """The frequency up to which a language's frequent words stand for about ``share`` of all its words."""
-    # Frequencies by octaves: a few numbers for each language.
+def _octaves(words: DataFrame) -> dict[str, list[tuple[int, int]]]:
+    """(octave of the frequency, words that stand there) of each language's frequent words, rising: a few numbers for each."""
     octave = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
-    sums: dict[str, list[tuple[int, int]]] = {}
+    out: dict[str, list[tuple[int, int]]] = {}
     for r in words.groupBy("lang", octave.alias("o")).agg(F.sum("n").alias("n")).orderBy("o").collect():
-        sums.setdefault(r["lang"], []).append((r["o"], r["n"]))
+        out.setdefault(r["lang"], []).append((r["o"], r["n"]))
+    return out
+
+
+def _limits(octaves: dict[str, list[tuple[int, int]]], totals: dict[str, int], share: float) -> dict[str, int]:
+    """The frequency up to which a language's frequent words stand for about ``share`` of all its words."""
     limits = {}
-    for lang, octaves in sums.items():
+    for lang, rising in octaves.items():
         held = 0
-        for o, n in octaves:
+        for o, n in rising:
             held += n
             limits[lang] = 2 ** (o + 1)
             if held >= share * totals[lang]:
@@ -322,7 +323,8 @@ def mine(
     total = {r["lang"]: r["n"] for r in kept.where("phrase IS NULL").select("lang", "n").collect()}
     known = kept.where("phrase IS NOT NULL")
     frequent = _bits(known)
-    limits = _first_limits(known, total, share)
+    octaves = _octaves(known)
+    limits = _limits(octaves, total, share)
     parts: list[DataFrame] = []
     while limits:
         open_texts = texts.where(F.col("lang").isin(list(limits)))
@@ -330,13 +332,9 @@ def mine(
         marked = known.where(F.col("lang").isin(list(limits))).withColumn("anchor", F.col("n") <= F.element_at(limit, F.col("lang")))
         anchors = marked.where("anchor")
         grams = _grown(open_texts, frequent, anchors, least, words)
-        split = F.split("phrase", " ")
-        ends = [F.element_at(split, i) for i in (1, -1)]
-        both = grams.withColumns({"x": ends[0], "y": ends[1]})
-        for c in ("x", "y"):
-            both = both.join(anchors.select("lang", F.col("phrase").alias(c), F.lit(True).alias(f"is_{c}")), ["lang", c], "left")
-        grams = written(both.select("lang", "phrase", "n", (F.col("is_x").isNotNull() & F.col("is_y").isNotNull()).alias("both")), "phrases", last=[grams])
-        found = written(_best(_survivors(grams, known, total), top), "survivors", last=[grams])
+        found = written(_best(_survivors(grams, known, total, limits), top), "survivors", last=[grams])
+        share *= GROWTH
+        further = _limits(octaves, total, share)
         # The least frequent word that is not expanded bounds all that is left; its language is settled if nothing can reach the last place.
         nexts = {r["lang"]: r["n"] for r in marked.where("NOT anchor").groupBy("lang").agg(F.min("n").alias("n")).collect()}
         last = {r["lang"]: r["score"] for r in found.where(F.col("rank") == top).select("lang", "score").collect()}
@@ -345,7 +343,7 @@ def mine(
             if name not in nexts:
                 continue
             if name not in last:
-                wider[name] = reached * GROWTH
+                wider[name] = max(2 * reached, further[name])
             elif 1000 * total[name] // nexts[name] >= last[name]:
                 # Words up to this frequency can reach the last place's score; no other can.
                 wider[name] = max(reached + 1, 1000 * total[name] // max(1, last[name]))

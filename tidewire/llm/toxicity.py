@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import least_rows, mapped, mix, text_bytes, written
+from tidewire.llm.common import hash_parts, least_rows, mapped, text_bytes, written
 
 #: Most examples of each label in the index; rows are taken by the hash of their content.
 EXAMPLES = 6_000
@@ -30,8 +30,6 @@ K, BLOCK, SHARPNESS = 16, 64, 4
 PREFIXES, MOST_TERMS, CHANCE, LEAST_TEXTS = (4, 5, 6, 7, 8), 4_096, 0.05, 4
 #: Texts whose terms are counted together.
 PART = 512
-_BASE = 0x9E3779B97F4A7C15 | 1
-_ANY = np.uint64(0)
 
 
 def _word_bytes() -> np.ndarray:
@@ -43,16 +41,6 @@ def _word_bytes() -> np.ndarray:
 
 
 _INSIDE = _word_bytes()
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 20), base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.multiply.accumulate(steps)
-    return _POWERS
 
 
 @dataclass
@@ -79,9 +67,6 @@ def terms(texts: pa.Array, known: np.ndarray | None = None) -> Terms:
     last = inside.copy()
     last[:-1] &= ~inside[1:] | fresh[1:]
     start, end = np.flatnonzero(fresh), np.flatnonzero(last) + 1
-    power, inverse = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     owner = np.searchsorted(offsets, start, side="right") - 1
     if known is not None:
         few = np.zeros(1 << 16, bool)
@@ -91,7 +76,7 @@ def terms(texts: pa.Array, known: np.ndarray | None = None) -> Terms:
         which = np.flatnonzero(end - start > size) if size else np.arange(len(start))
         length = np.full(len(which), size) if size else end - start
         at = start[which]
-        h = mix((sums[at + length] - sums[at]) * inverse[at] + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        h = hash_parts(raw, at, length)
         if known is not None:
             hit = np.flatnonzero(few[(h >> np.uint64(48)).astype(np.int64)])
             place = np.minimum(np.searchsorted(known, h[hit]), max(0, len(known) - 1))
