@@ -29,7 +29,8 @@ def corpus(seed):
 
 
 @pytest.mark.parametrize("share,top", [(0.02, 6), (0.02, 400), (0.5, 20), (1.0, 1)])
-def test_rounds_equal_a_full_count(rows, share, top):
+def test_rounds_equal_a_full_count(rows, monkeypatch, share, top):
+    monkeypatch.setattr(phrases, "ROUND_WORDS", 0)
     docs = corpus(int(100 * share) + top)
     frame = rows(docs, "lang string, text string, rank int")
     got = phrases.mine(frame, least=6, top=top, share=share)

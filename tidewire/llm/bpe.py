@@ -132,7 +132,11 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encodes and decodes each text in one pass and keeps the digests: (key, n_tokens, ids_sha256, decoded_sha256)."""
+    """Encodes and decodes each text in one pass and keeps the digests: (key, n_tokens, ids_sha256, decoded_sha256).
+
+    One row out for each row in: a null text is empty and has no tokens, texts of any length are encoded whole, repeated rows
+    come out as often. There are no ties. An empty table gives no rows; other columns are not carried.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _encoder(path, pattern)

@@ -30,6 +30,8 @@ from tidewire.llm.common import hash_parts, mapped, mix, text_bytes, written
 WORDS, LEAST, TOP = 5, 100, 2000
 #: The first round's words stand for this share of a language's words; a round that finds too little takes GROWTH times that.
 SHARE, GROWTH = 0.04, 8
+#: Fewer words are not worth a round of their own.
+ROUND_WORDS = 2_000_000
 #: Bits for each phrase that may be frequent, and most bits of a table (16 MB).
 SPARSE, MOST_BITS = 16, 1 << 27
 #: Bytes of text counted together; phrases that a task holds before it sends them.
@@ -294,14 +296,14 @@ def _octaves(words: DataFrame) -> dict[str, list[tuple[int, int]]]:
 
 
 def _limits(octaves: dict[str, list[tuple[int, int]]], totals: dict[str, int], share: float) -> dict[str, int]:
-    """The frequency up to which a language's frequent words stand for about ``share`` of all its words."""
+    """The frequency up to which a language's frequent words stand for about ``share`` of all its words, ROUND_WORDS at least."""
     limits = {}
     for lang, rising in octaves.items():
         held = 0
         for o, n in rising:
             held += n
             limits[lang] = 2 ** (o + 1)
-            if held >= share * totals[lang]:
+            if held >= max(share * totals[lang], ROUND_WORDS):
                 break
     return limits
 

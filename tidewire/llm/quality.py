@@ -203,7 +203,12 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def scored_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_score``."""
+    """All columns of ``docs`` and ``_score``, one row out for each row in; a column of that name is replaced.
+
+    A null text is scored as an empty one, whole texts of any length; copies and repeated rows get one score, so there are
+    no ties to decide. An empty table gives no rows.
+    """
+    docs = docs.drop("_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -116,7 +116,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", removed: bo
     repeated rows share a verdict; ties cannot occur. An empty table gives no rows. Columns of the added names are replaced.
     """
     owner = F.coalesce(F.concat(F.lit("h"), F.col(host)), F.lit(""))
-    gone = removed_words(docs, owner, text)
+    gone = removed_words(docs, owner, text, depleted_only=not removed)
     counted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     columns = [c for c in docs.columns if c not in (*counted, "n_removed_words")]
     # Other columns travel in a struct, so none of them can meet a name used here.
@@ -126,10 +126,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", removed: bo
         owner.alias("_host"),
         _digest(F.col(text)).alias("_text"),
     )
-    # Few texts are depleted: adaptive execution sends them to the texts if they are, so whole texts stay where they are.
+    # Few texts are depleted: their table is small, so they are sent to the texts and whole texts stay where they are.
     judged = (
         base_counts(rows, "_whole")
-        .join(gone if removed else gone.where("_depleted").drop("_gone"), ["_host", "_text"], "left")
+        .join(gone if removed else gone.drop("_gone"), ["_host", "_text"], "left")
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce("_depleted", F.lit(False)))
     )
     own = [F.col("_whole").alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns]
@@ -140,7 +140,7 @@ def _digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def removed_words(docs: DataFrame, host: Column, text: str = "text") -> DataFrame:
+def removed_words(docs: DataFrame, host: Column, text: str = "text", depleted_only: bool = False) -> DataFrame:
     """(_host, _text, _gone, _depleted) of the texts that lose words: how many, and whether less than LEFT of them stay.
 
     A text's words are those of its lines, so the narrow table of lines decides alone.
@@ -161,4 +161,4 @@ def removed_words(docs: DataFrame, host: Column, text: str = "text") -> DataFram
     found = words.join(copies, ["_host", "_text"]).select(
         "_host", "_text", F.expr("_gone div _copies").alias("_gone"), (F.col("_all") - F.col("_gone") < LEFT * F.col("_all")).alias("_depleted")
     )
-    return written(found, "removed-words", last=[lines, removed, gone, copies])
+    return written(found.where("_depleted") if depleted_only else found, "removed-words", last=[lines, removed, gone, copies])
