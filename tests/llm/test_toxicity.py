@@ -27,10 +27,15 @@ def made(n=400, seed=3):
     return texts, np.array(toxic)
 
 
-@pytest.fixture(scope="module")
-def index():
+def trained(spark):
     texts, toxic = made()
-    return toxicity.build_index(pa.array(texts, pa.large_string()), list(range(len(texts))), toxic)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return toxicity.train(docs, spark.createDataFrame([(i, int(y)) for i, y in enumerate(toxic)], "doc_id bigint, toxic int"), F.lit(True))
+
+
+@pytest.fixture(scope="module")
+def index(spark):
+    return trained(spark)
 
 
 def dense(index):
@@ -42,10 +47,10 @@ def dense(index):
     return out
 
 
-def test_nearest_equals_all_cosines(index, monkeypatch):
-    texts, toxic = made()
+def test_nearest_equals_all_cosines(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK", 4)
-    index = toxicity.build_index(pa.array(texts, pa.large_string()), list(range(len(texts))), toxic)
+    monkeypatch.setattr(toxicity, "_own_votes", lambda table, _: table.select("_y", F.lit(0.5).alias("vote")))
+    index = trained(spark)
     assert index.block_most.shape[1] > 3
     every = dense(index)
     assert np.allclose((every**2).sum(1), 1)
@@ -72,6 +77,22 @@ def test_terms_are_telling_and_votes_calibrated(index):
 DOCS = [(1, "a vile and rotten thing", "x"), (2, "a plain thing", "x"), (3, None, "x"), (4, "", None), (2, "a plain thing", "x"), (None, "rottenly", "x")]
 
 
+def test_vote_without_itself_is_that_of_an_index_without_it(index):
+    every = dense(index)
+    for entry in (0, len(index.ids) // 2, len(index.ids) - 1):
+        at = np.append(np.flatnonzero(every[entry, :-1]), every.shape[1] - 1)
+        for label in {index.toxic[entry] / index.count[entry], 0.0, 1.0} & {0.0, 1.0}:
+            if (label and not index.toxic[entry]) or (not label and index.toxic[entry] == index.count[entry]):
+                continue
+            rest = np.flatnonzero((np.arange(len(every)) != entry) | (index.count[entry] > 1))
+            scores = every @ every[entry]
+            near = rest[np.lexsort((rest, -np.round(scores[rest], 9)))][: toxicity.K]
+            share = [(index.toxic[e] - label * (e == entry)) / (index.count[e] - (e == entry)) for e in near]
+            w = scores[near] ** toxicity.SHARPNESS
+            want = ((w * share).sum() + toxicity.FAR_VOTE * index.prior) / (w.sum() + toxicity.FAR_VOTE)
+            assert abs(index.vote_without(at, every[entry][at], int(label)) - want) < 1e-9
+
+
 def test_odd_rows(rows, index):
     docs = rows([*DOCS, (9, "plain vile " * 40_000, "x")], "doc_id bigint, text string, score string")
     out = toxicity.score(docs, index).collect()

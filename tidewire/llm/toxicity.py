@@ -11,21 +11,25 @@ its cosines in the block, so blocks are searched from the highest bound down unt
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import hash_parts, least_rows, mapped, text_bytes, written
+from tidewire.llm.common import drop, hash_parts, least_rows, mapped, text_bytes, written
 
 #: Most examples of each label in the index; rows are taken by the hash of their content.
 EXAMPLES = 6_000
 #: Nearest distinct vectors that vote; entries of a block; a vote's weight is similarity ** SHARPNESS.
 K, BLOCK, SHARPNESS = 16, 64, 4
+#: Weight of the prior beside the votes.
+FAR_VOTE = 0.1
 #: Beginnings of words in bytes; most terms; chance at which any term at all is told apart wrongly; texts that hold a term.
 PREFIXES, MOST_TERMS, CHANCE, LEAST_TEXTS = (4, 5, 6, 7, 8), 4_096, 0.05, 4
 #: Texts whose terms are counted together.
@@ -94,28 +98,22 @@ def _counted(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return owner[first], h[first], np.diff(np.append(first, len(h)))
 
 
-def telling(term: np.ndarray, toxic: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Terms whose share differs between labels; ``term`` has one entry for each text that holds it, ``toxic`` that text's label.
+def telling(held: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """Terms whose share differs between labels, of (h, n, toxic): the texts that hold a term, and the toxic ones of them.
 
     A likelihood ratio over a bound that holds for all terms together (Bonferroni's, on the tail of one normal deviate
     squared); the highest MOST_TERMS of them.
     """
-    names, where = np.unique(term, return_inverse=True)
-    held = np.bincount(where, minlength=len(names)).astype(float)
-    a = np.bincount(where, weights=toxic, minlength=len(names))
-    b = held - a
-    total = n_toxic + n_clean
+    rate = F.col("n") / (n_toxic + n_clean)
 
-    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
-        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    rate = held / total
+    a, b = F.col("toxic"), F.col("n") - F.col("toxic")
     ratio = 2 * (part(a, n_toxic * rate) + part(b, n_clean * rate) + part(n_toxic - a, n_toxic * (1 - rate)) + part(n_clean - b, n_clean * (1 - rate)))
     # exp(-x / 2) bounds the tail of a squared normal deviate.
-    sure = (ratio > 2 * np.log(max(1, len(names)) / CHANCE)) & (held >= LEAST_TEXTS)
-    best = np.flatnonzero(sure)
-    best = best[np.argsort(-ratio[best], kind="stable")][:MOST_TERMS]
-    return np.sort(names[best])
+    sure = (ratio > 2 * math.log(max(1, held.count()) / CHANCE)) & (F.col("n") >= LEAST_TEXTS)
+    return held.withColumn("ratio", ratio).where(sure).orderBy(F.col("ratio").desc(), "h").limit(MOST_TERMS)
 
 
 @dataclass
@@ -188,7 +186,17 @@ class Index:
         """Share of toxic among the neighbours by similarity, drawn to the prior by one far vote."""
         w = cosines**SHARPNESS
         share = self.toxic[entries] / self.count[entries]
-        return float(((w * share).sum() + 0.1 * self.prior) / (w.sum() + 0.1))
+        return float(((w * share).sum() + FAR_VOTE * self.prior) / (w.sum() + FAR_VOTE))
+
+    def vote_without(self, at: np.ndarray, weight: np.ndarray, label: int) -> float:
+        """The vote on one of the examples as if it were not there."""
+        own = int(self.nearest(at, weight, 1)[0][0])
+        alone = self.count[own] == 1
+        entries, cosines = self.nearest(at, weight, K, own if alone else -1)
+        w = cosines**SHARPNESS
+        less = (entries == own) & ~alone
+        share = (self.toxic[entries] - label * less) / (self.count[entries] - less)
+        return float(((w * share).sum() + FAR_VOTE * self.prior) / (w.sum() + FAR_VOTE))
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
         return np.interp(votes, *self.steps)
@@ -217,72 +225,100 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at), np.maximum.accumulate(0.999 * np.array(chance) + 0.001 * np.array(at))
 
 
-def build_index(texts: pa.Array, ids: list[int], toxic: np.ndarray) -> Index:
-    """The index of labelled texts. Without both labels every score is the share of toxic ones, smoothed by one of each."""
-    prior = (toxic.sum() + 1) / (len(toxic) + 2)
-    counted: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i in range(0, len(texts), PART):
-        found = terms(texts.slice(i, PART))
-        owner, h, times = _counted(found.h, found.owner)
-        counted.append((owner + i, h, times))
-    owner, h, times = (np.concatenate([c[j] for c in counted]) if counted else np.zeros(0, np.int64) for j in range(3))
-    n_toxic = int(toxic.sum())
-    known = telling(h, toxic[owner], n_toxic, len(toxic) - n_toxic) if 0 < n_toxic < len(toxic) else np.zeros(0, np.uint64)
-    keep = np.isin(h, known)
-    owner, h, times = owner[keep], h[keep], times[keep]
-    held = np.bincount(np.searchsorted(known, h), minlength=len(known)) if len(known) else np.zeros(0)
-    index = Index(known, _spelled(texts, known), np.log((len(toxic) + 1) / (held + 1)) + 1, prior=prior)
-    edges = np.searchsorted(owner, np.arange(len(toxic) + 1))
-    vectors = [index.vector(h[a:b], times[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    index.build(vectors, ids, toxic)
-    if 0 < n_toxic < len(toxic):
-        index.steps = _calibration(index, vectors, toxic)
+def _held(examples: DataFrame) -> DataFrame:
+    """(h, n, toxic): how many of the examples (_y, _t) hold each term, and how many toxic ones; tasks add up their own first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, PART):
+                part = batch.slice(i, PART)
+                found = terms(part.column(1))
+                owner, h, _ = _counted(found.h, found.owner)
+                where, names = pd.factorize(h)
+                toxic = part.column(0).to_numpy().astype(np.float64)[owner]
+                sums = [np.bincount(where, weights=w, minlength=len(names)).astype(np.int64) for w in (None, toxic)]
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), *map(pa.array, sums)], names=["h", "n", "toxic"])
+
+    counts = mapped(examples.select("_y", "_t"), run, "h long, n long, toxic long")
+    return counts.groupBy("h").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+
+
+def _vectors(examples: DataFrame, known: np.ndarray) -> DataFrame:
+    """(_k, _place, _y, h, times, spelled) of the examples (_k, _place, _y, _t): their known terms, and how they are written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, PART):
+                part = batch.slice(i, PART)
+                found = terms(part.column(3), known)
+                owner, h, times = _counted(found.h, found.owner)
+                names, first = np.unique(found.h, return_index=True)
+                written_as = [found.raw[found.start[j] : found.start[j] + found.length[j]].tobytes().decode("utf-8", "ignore") for j in first]
+                spelled = pa.array(written_as, pa.string()).take(pa.array(np.searchsorted(names, h)))
+                starts = pa.array(np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(starts, x) for x in (pa.array(h.view(np.int64)), pa.array(times.astype(np.int64)), spelled)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(3)), *lists], names=["_k", "_place", "_y", "h", "times", "spelled"])
+
+    schema = "_k long, _place long, _y int, h array<long>, times array<long>, spelled array<string>"
+    return mapped(examples.select("_k", "_place", "_y", "_t"), run, schema)
+
+
+def build_index(examples: DataFrame) -> Index:
+    """The index of the examples (_k, _place, _y, _t). Without both labels every score is the share of toxic ones, smoothed by one of each.
+
+    The driver gets the telling terms, the examples' counts of those, and a vote of each; texts stay in the tasks.
+    """
+    seen = examples.agg(F.count_if(F.col("_y") == 1).alias("toxic"), F.count(F.lit(1)).alias("n")).first()
+    prior, both = (seen["toxic"] + 1) / (seen["n"] + 2), 0 < seen["toxic"] < seen["n"]
+    held = written(_held(examples), "term-counts")
+    chosen = telling(held, seen["toxic"], seen["n"] - seen["toxic"]).collect() if both else []
+    drop(held)
+    chosen.sort(key=lambda r: r["h"] % (1 << 64))
+    known = np.array([r["h"] for r in chosen], np.int64).view(np.uint64)
+    counts = np.array([r["n"] for r in chosen], np.float64)
+    index = Index(known, [""] * len(known), np.log((seen["n"] + 1) / (counts + 1)) + 1, prior=prior)
+    table = written(_vectors(examples, known), "vectors")
+    rows = table.orderBy("_place").collect()
+    for r in rows:
+        for h, name in zip(r["h"], r["spelled"], strict=True):
+            at = int(np.searchsorted(known, np.uint64(h % (1 << 64))))
+            index.spelled[at] = min(index.spelled[at] or name, name)
+    vectors = [index.vector(np.array(r["h"], np.int64).view(np.uint64), np.array(r["times"], np.float64)) for r in rows]
+    index.build(vectors, [r["_k"] for r in rows], np.array([r["_y"] for r in rows], np.float64))
+    if both:
+        votes = _own_votes(table, index).collect()
+        index.steps = isotonic(np.array([r["vote"] for r in votes]), np.array([r["_y"] for r in votes], np.float64))
     else:
         index.steps = (np.array([0.0, 1.0]), np.array([prior, prior]))
+    drop(table)
     return index
 
 
-def _spelled(texts: pa.Array, known: np.ndarray) -> list[str]:
-    """How each known term is written."""
-    out = [""] * len(known)
-    for i in range(0, len(texts), PART):
-        found = terms(texts.slice(i, PART), known)
-        names, first = np.unique(found.h, return_index=True)
-        for h, j in zip(names, first, strict=True):
-            at = int(np.searchsorted(known, h))
-            out[at] = out[at] or found.raw[found.start[j] : found.start[j] + found.length[j]].tobytes().decode("utf-8", "ignore")
-    return out
-
-
-def _calibration(index: Index, vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each example's vote without itself: with the rest of its own entry, or none of it if it is alone there."""
-    place: dict[bytes, int] = {}
-    votes = np.zeros(len(vectors))
-    cache: dict[tuple, float] = {}
-    for i, (at, weight) in enumerate(vectors):
-        key = at.tobytes() + np.round(weight, 12).tobytes()
-        if (key, toxic[i]) in cache:
-            votes[i] = cache[key, toxic[i]]
-            continue
-        if key not in place:
-            entries, _ = index.nearest(at, weight, 1)
-            place[key] = int(entries[0])
-        own = place[key]
-        alone = index.count[own] == 1
-        entries, cosines = index.nearest(at, weight, K, own if alone else -1)
-        index.toxic[own] -= 0 if alone else toxic[i]
-        index.count[own] -= 0 if alone else 1
-        votes[i] = cache[key, toxic[i]] = index.vote(entries, cosines)
-        index.toxic[own] += 0 if alone else toxic[i]
-        index.count[own] += 0 if alone else 1
-    return isotonic(votes, toxic)
+def _own_votes(table: DataFrame, index: Index) -> DataFrame:
+    """(_y, vote): each example's vote without itself: with the rest of its own entry, or none of it if it is alone there."""
+    shared = table.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        same: dict[tuple, float] = {}
+        for batch in batches:
+            votes = []
+            for y, h, times in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                key = (y, tuple(h), tuple(times))
+                if key not in same:
+                    same[key] = own.vote_without(*own.vector(np.array(h, np.int64).view(np.uint64), np.array(times, np.float64)), y)
+                votes.append(same[key])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["_y", "vote"])
+
+    return mapped(table.select("_y", "h", "times"), run, "_y int, vote double")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
     """The index of the labelled rows where ``learn`` holds: at most EXAMPLES distinct rows (key and text) of each label.
 
     Rows are chosen by the hash of their content, so copies of a row count once. Of several labels of one key the greatest
-    counts. Null texts are empty ones; rows without a key have no label. The driver holds the sample's texts only.
+    counts. Null, empty and very long texts are texts like others; rows without a key have no label; without both labels
+    every score is the prior's. Ties between examples go to the least hash. Other columns are not read.
     """
     marks = labels.select(F.col(key).cast("long").alias("_k"), F.col(label).cast("int").alias("_y")).where("_k IS NOT NULL AND _y IS NOT NULL")
     marks = marks.groupBy("_k").agg(F.max("_y").alias("_y"))
@@ -291,10 +327,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     # Chosen by place before any text moves.
     places = written(rows.select("_k", "_place").join(marks, "_k"), "labelled")
     chosen = [least_rows(places.where(F.col("_y") == y), EXAMPLES) for y in (1, 0)]
-    few = written(chosen[0].union(chosen[1]).select("_k", "_place", "_y"), "examples", last=[places])
-    found = rows.join(F.broadcast(few), ["_k", "_place"]).dropDuplicates(["_place"]).orderBy("_place").toArrow()
-    toxic = found["_y"].to_numpy().astype(float)
-    return build_index(found["_t"].combine_chunks().cast(pa.large_string()), found["_k"].to_pylist(), toxic)
+    few = written(chosen[0].union(chosen[1]).select("_k", "_place", "_y"), "chosen", last=[places])
+    examples = written(rows.join(F.broadcast(few), ["_k", "_place"]).dropDuplicates(["_place"]), "examples", last=[few])
+    index = build_index(examples)
+    drop(examples)
+    return index
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
