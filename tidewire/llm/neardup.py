@@ -271,11 +271,10 @@ def _labels(ids: DataFrame, links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     own = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b"))
     near = written(ids.join(own, "id", "left").select("id", F.least("id", F.coalesce("b", "id")).alias("label")), "labels")
-    for _ in range(2):
-        many = hot_keys(near.groupBy("label").agg(F.count(F.lit(1)).alias("n")), ["label"], "n")
-        tops = near.select(F.col("id").alias("label"), F.col("label").alias("top"))
-        near = written(salted_join(near, tops, ["label"], F.col("id"), many).select("id", F.col("top").alias("label")), "labels", last=[near])
-    return near
+    many = hot_keys(near.groupBy("label").agg(F.count(F.lit(1)).alias("n")), ["label"], "n")
+    tops = near.select(F.col("id").alias("label"), F.col("label").alias("top"))
+    jumped = salted_join(near, tops, ["label"], F.col("id"), many).select("id", F.col("top").alias("label"))
+    return written(jumped, "labels", last=[near])
 
 
 def _unlike(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -331,18 +330,22 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     marked = written(met.join(labels, "id"), "marked", last=[met, labels])
     open_ = written(_apart(marked, hot), "open", last=[marked])
     large = written(open_.where(F.col("m") > SMALL).select("id", "n", "label").distinct(), "large")
-    postings = written(_prefixes(large, texts), "postings", last=[large])
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key", "m")
-    sizes = written(sizes, "posting-sizes")
-    postings = written(salted_join(postings, sizes, ["key"], F.col("id"), hot_keys(sizes, ["key"], "m")), "open-postings", last=[postings, sizes])
-    pairs = _pairs(open_.where(F.col("m") <= SMALL)).union(_pairs(postings.where(F.col("m") <= SMALL))).distinct()
+    pairs, postings = _pairs(open_.where(F.col("m") <= SMALL)), []
+    if not large.isEmpty():
+        rarest = written(_prefixes(large, texts), "postings")
+        sizes = rarest.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key", "m")
+        sizes = written(sizes, "posting-sizes")
+        postings = [written(salted_join(rarest, sizes, ["key"], F.col("id"), hot_keys(sizes, ["key"], "m")), "open-postings", last=[rarest, sizes])]
+        pairs = pairs.union(_pairs(postings[0].where(F.col("m") <= SMALL)))
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs", last=[tried, open_])
-    more = written(confirmed(pairs, texts), "pair-links", last=[pairs])
-    rest = written(_large_links(postings.where(F.col("m") > SMALL), texts), "large-links", last=[postings, texts])
-    groups = components(links.union(more).union(rest).union(_same_key(signed, classes)), "groups")
+    pairs = written(pairs.distinct().join(done, ["a", "b"], "left_anti"), "pairs", last=[tried, open_, large])
+    found = links.union(confirmed(pairs, texts))
+    for many in postings:
+        found = found.union(_large_links(many.where(F.col("m") > SMALL), texts))
+    links = written(found, "all-links", last=[links, pairs, texts, *postings])
+    groups = components(links.union(_same_key(signed, classes)), "groups")
     found = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("_component"))
-    found = written(found, "found", last=[links, more, rest, classes])
+    found = written(found, "found", last=[links, classes])
     rows = signed.select("id", "n", "digest")
     by_digest = hot_keys(found, ["digest"], "copies")
     joined = salted_join(rows.where("digest IS NOT NULL"), found.drop("copies"), ["digest"], F.col("id"), by_digest).select("id", "n", "_component")
