@@ -20,7 +20,7 @@ def folders(spark):
     return set(os.listdir(there)) if os.path.isdir(there) else set()
 
 
-@pytest.mark.parametrize("name", ["op3_url_filter", "op5_line_dedup", "op7_minhash_near_dedup", "op8_quality_rules", "op12_phrase_collocations"])
+@pytest.mark.parametrize("name", ["op5_line_dedup", "op7_minhash_near_dedup", "op8_quality_rules"])
 def test_no_folder_is_left(spark, tmp_path, name):
     before = folders(spark)
     with common.Scope():

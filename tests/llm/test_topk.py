@@ -18,8 +18,7 @@ def vectors(n, falling, seed=1):
     return [(i, [float(x) for x in v]) for i, v in enumerate(out)]
 
 
-@pytest.mark.parametrize("group", [1, 3])
-@pytest.mark.parametrize("falling", [True, False])
+@pytest.mark.parametrize("falling,group", [(True, 1), (False, 3)])
 def test_blocks_equal_all_products(rows, monkeypatch, falling, group):
     for name, value in {"BLOCK": 100, "QUERY_BLOCK": 16, "SEEDS": 64, "GROUP": group, "CELLS": 1}.items():
         monkeypatch.setattr(topk, name, value)
