@@ -27,7 +27,7 @@ from tidewire.llm.common import drop, hash_parts, least_rows, mapped, text_bytes
 #: Most examples of each label in the index; rows are taken by the hash of their content.
 EXAMPLES = 6_000
 #: Nearest distinct vectors that vote; entries of a block; a vote's weight is similarity ** SHARPNESS.
-K, BLOCK, SHARPNESS = 16, 64, 4
+K, BLOCK, SHARPNESS = 16, 512, 4
 #: Weight of the prior beside the votes.
 FAR_VOTE = 0.1
 #: Beginnings of words in bytes; most terms; chance at which any term at all is told apart wrongly; texts that hold a term.
@@ -160,27 +160,33 @@ class Index:
         self.block_most = np.zeros((n_terms, n_blocks))
         np.maximum.at(self.block_most, (term, entry // BLOCK), weight)
 
+    def _in_block(self, at: np.ndarray, weight: np.ndarray, block: int) -> np.ndarray:
+        """Cosines of all entries of a block, from the postings of all terms at once."""
+        cell = at * self.block_most.shape[1] + block
+        start, size = self.posting_start[cell], self.posting_start[cell + 1] - self.posting_start[cell]
+        ends = np.cumsum(size)
+        place = np.repeat(start - ends + size, size) + np.arange(ends[-1])
+        low = block * BLOCK
+        return np.bincount(self.posting_entry[place] - low, np.repeat(weight, size) * self.posting_weight[place], min(BLOCK, len(self.ids) - low))
+
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(entries, cosines) of the k nearest, ties to the smaller entry; ``without`` takes no part. Exact."""
-        n_blocks = self.block_most.shape[1]
         bound = weight @ self.block_most[at]
-        best_entry, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if len(best) >= k and bound[block] < best[k - 1] - 1e-9:
+        entries, best, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+        for block in np.argsort(-bound, kind="stable") if self.ids else ():
+            if len(best) >= k and bound[block] < least:
                 break
+            score = self._in_block(at, weight, int(block))
             low = block * BLOCK
-            score = np.zeros(min(BLOCK, len(self.ids) - low))
-            for t, w in zip(at, weight, strict=True):
-                a, b = self.posting_start[t * n_blocks + block], self.posting_start[t * n_blocks + block + 1]
-                if b > a:
-                    score[self.posting_entry[a:b] - low] += w * self.posting_weight[a:b]
             if low <= without < low + len(score):
                 score[without - low] = -1.0
-            entries, scores = np.append(best_entry, np.arange(low, low + len(score))), np.append(best, score)
-            order = np.lexsort((entries, -np.round(scores, 9)))[:k]
-            best_entry, best = entries[order], scores[order]
+            near = np.flatnonzero(score >= least)
+            entries, best = np.append(entries, near + low), np.append(best, score[near])
+            order = np.lexsort((entries, -np.round(best, 9)))[:k]
+            entries, best = entries[order], best[order]
+            least = best[-1] - 1e-9 if len(best) >= k else 0.0
         sound = best > 0
-        return best_entry[sound], best[sound]
+        return entries[sound], best[sound]
 
     def vote(self, entries: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic among the neighbours by similarity, drawn to the prior by one far vote."""
