@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import hot_keys, salted_join, written
+from tidewire.llm.common import NO_HOT, SALT_ROWS, hot_keys, salted_join, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,12 +26,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # Large star: each larger neighbour of a node goes to the least of the node and its neighbours.
         twice = held.select(F.col("a").alias("u"), F.col("b").alias("v")).union(held.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = twice.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        hot = hot_keys(least, ["u"], "n")
+        hot = hot_keys(least, ["u"], "n") if state[0] > SALT_ROWS else NO_HOT  # no key has more rows than there are
         large = salted_join(twice.where("v > u"), least.drop("n"), ["u"], F.col("v"), hot).select(F.col("v").alias("a"), F.col("m").alias("b"))
         # Small star: a node and its smaller neighbours go to the least of them.
         large = written(large.where("a != b").distinct(), f"{name}-large")
         lower = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-        hot = hot_keys(lower, ["a"], "n")
+        hot = hot_keys(lower, ["a"], "n") if state[0] > SALT_ROWS else NO_HOT
         lower = lower.drop("n")
         small = salted_join(large, lower, ["a"], F.col("b"), hot).select(F.col("b").alias("a"), F.col("m").alias("b")).union(lower.select("a", F.col("m").alias("b")))
         held = written(small.where("a != b").distinct(), name, last=[held, large])
