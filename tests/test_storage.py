@@ -199,6 +199,24 @@ def test_compact_and_dual(spark, people, tmp_path):
     assert values(spark.read.parquet(parquet)) == values(spark.read.schema(people.schema).json(js))
 
 
+def test_compact_files_need_no_shuffle(spark, people, tmp_path, monkeypatch):
+    """Each file's task reads its share of parquet, also where tasks hold one row, and the shares go in the end."""
+    plans, frame = [], type(people)
+    own = frame.observe
+    monkeypatch.setattr(frame, "observe", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or own(df, *a))
+    cases = {"wide": (spark.range(0, 1000, 1, 7), 4), "single": (spark.range(0, 9, 1, 9), 3), "few": (spark.range(0, 2, 1, 1), 4), "none": (spark.range(0), 4)}
+    for name, (ids, files) in cases.items():
+        rows = ids.select("id", (F.col("id") * 2).alias("Part"), F.when(F.col("id") > 3, "x").alias("a.b"))
+        path = str(tmp_path / "out" / name)
+        assert W.write_compact(rows, path, files=files) == ids.count()
+        back = spark.read.parquet(path)
+        assert back.dtypes == rows.dtypes and back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+        sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+        assert len(back.inputFiles()) == max(1, min(files, ids.count())) and (not sizes or max(sizes) - min(sizes) <= 7)
+    assert not any("Exchange" in p for p in plans)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(cases)
+
+
 SLACK = T.StructType([T.StructField(n, T.StringType()) for n in ("user", "channel", "text", "ts")])
 
 
