@@ -71,3 +71,56 @@ def test_estimates_of_many_pairs_equal_single_ones():
     many = shingles.jaccard_of(made[left], made[right], sizes[left], sizes[right])
     one = [shingles.jaccard(made[a], made[b], sizes[a], sizes[b]) for a, b in pairs]
     assert np.allclose(many, one, atol=0.02)
+
+
+def sketch(values):
+    return shingles.sketches(values, np.array([0, len(values)]))[0]
+
+
+def test_sketches_drop_no_link():
+    """Cells that differ are no more than shingles that differ, whatever the sizes; sets that are far apart are told."""
+    draw, told = np.random.default_rng(5), 0
+    for n in (1, 2, 3, 7, 63, 64, 65, 300, 1024, 3000):
+        whole = np.unique(draw.integers(0, 1 << 63, 3 * n + 8).astype(np.uint64))
+        for shared in (0, n // 2, 3 * n // 4, n - n // 8, n):
+            for more in (0, n - shared, (n + 3) // 4, 2 * n):
+                a, b = whole[:n], np.concatenate([whole[:shared], whole[n : n + more]])
+                if not len(b):
+                    continue
+                apart, inter = shingles.unlike(sketch(a), sketch(b)), len(np.intersect1d(a, b))
+                assert apart == shingles.unlike(sketch(b), sketch(a)) <= len(a) + len(b) - 2 * inter
+                assert shingles.may_link(apart, len(a), len(b)) or not shingles.linked(inter, len(a), len(b))
+                told += not shingles.may_link(apart, len(a), len(b))
+    assert told > 50
+    assert len(shingles.sketches(np.zeros(0, np.uint64), np.zeros(1, np.int64))) == 0
+
+
+def test_rows_that_may_meet_are_those_of_linkable_pairs():
+    draw = np.random.default_rng(6)
+    whole = np.unique(draw.integers(0, 1 << 63, 4000).astype(np.uint64))
+    sets = [np.sort(whole[s : s + n]) for s, n in zip(draw.integers(0, 60, 40) * 40, draw.integers(40, 160, 40), strict=True)]
+    made, n, labels = [sketch(s) for s in sets], np.array([len(s) for s in sets]), draw.integers(0, 30, 40)
+    left, right = draw.random(40) < 0.5, draw.random(40) < 0.7
+    got = neardup.may_meet(made, n, labels, left, right)
+    linked = set()
+    for i in np.flatnonzero(left):
+        for j in np.flatnonzero(right):
+            if labels[i] != labels[j] and shingles.linked(len(np.intersect1d(sets[i], sets[j])), n[i], n[j]):
+                linked |= {i, j}
+    assert linked and linked <= set(np.flatnonzero(got).tolist()) and not got.all()
+
+
+@pytest.mark.parametrize("small", [48, 4])
+def test_texts_of_chance_buckets_do_not_move(rows, monkeypatch, small):
+    """Short texts that share a passage meet in buckets; only the two that are linked are looked at in full."""
+    moved, own, lists = [], neardup.confirmed, neardup._large_links
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "confirmed", lambda pairs, texts: moved.append(pairs.count()) or own(pairs, texts))
+    monkeypatch.setattr(neardup, "_large_links", lambda dealt, texts: moved.append(dealt.count()) or lists(dealt, texts))
+    passage = [f"p{j}" for j in range(8)]
+    texts = [[*passage, *(f"w{i}x{j}" for j in range(20))] for i in range(40)]
+    texts.append([*texts[3], "more"])
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_groups(rows(docs, "doc_id bigint, text string")).collect()}
+    assert got == brute.near(docs) and got[40][1] == 3
+    assert 1 <= sum(moved) <= 4

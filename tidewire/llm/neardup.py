@@ -5,7 +5,9 @@ Documents with equal sets are one class from the start. Classes meet in buckets
 have its hub as a candidate, the class that shares most buckets with others. A class's best candidate by the collision-
 corrected estimate is confirmed first; candidates that are then in one group already are never looked at again. Buckets
 whose classes are still apart are searched in full: small ones as pairs. Classes of larger ones meet by the rarest shingles
-of their sets, of which two linked sets share one at least. No bucket's pairs are written out, and no bucket is cut.
+of their sets, of which two linked sets share one at least. No large bucket's pairs are written out, and no bucket is cut.
+Before texts move, sketches tell which pairs differ in too many shingles to be linked: a bound, so no link is lost. Texts
+are read from the documents at each step that needs some of them.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ _LAST = 9223372036854775807
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, digest, registers): size and digest of each document's shingle set, and its registers."""
+    """(id, n, digest, registers, sketch): size and digest of each document's shingle set, its registers and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,12 +42,18 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 made = S.registers(value, offsets)
                 digests = [S.set_digest(value[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(offsets)), pa.array(digests, pa.binary()), pa.array([r.tobytes() for r in made], pa.binary())],
-                    names=["id", "n", "digest", "registers"],
+                    [
+                        part.column(0),
+                        pa.array(np.diff(offsets)),
+                        pa.array(digests, pa.binary()),
+                        pa.array([r.tobytes() for r in made], pa.binary()),
+                        pa.array(S.sketches(value, offsets), pa.binary()),
+                    ],
+                    names=["id", "n", "digest", "registers", "sketch"],
                 )
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).cast("string").alias("t"))
-    return mapped(rows, run, "id long, n long, digest binary, registers binary")
+    return mapped(rows, run, "id long, n long, digest binary, registers binary, sketch binary")
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
@@ -64,23 +72,44 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), S.REGISTERS)
 
 
+def _beside(pairs: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
+    """The pairs (a, b, ...) with columns (_c_a, _c_b) of both classes."""
+    of_a, of_b = (classes.select(F.col("id").alias(s), *(F.col(c).alias(f"_{c}_{s}") for c in columns)) for s in "ab")
+    hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_pairs")), ["b"], "_pairs")
+    return salted_join(pairs.join(of_a, "a"), of_b, ["b"], F.col("a"), hot)
+
+
+def _may_link(batch: pa.RecordBatch) -> pa.Array:
+    both = (zip(*(batch.column(f"_{c}_{s}").to_pylist() for s in "ab"), strict=True) for c in ("sketch", "n"))
+    return pa.array([bool(S.may_link(S.unlike(*sketches), *n)) for sketches, n in zip(*both, strict=True)], pa.bool_())
+
+
+def linkable(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that may be linked, told by the sketches of both: a bound that drops no link."""
+    columns = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(columns).filter(_may_link(batch))
+
+    return mapped(_beside(pairs, classes, ["n", "sketch"]), run, pairs.schema)
+
+
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Adds ``estimate`` to pairs (a, b, ...): the similarity that the registers tell, less expected collisions."""
+    """The ``linkable`` of the pairs (a, b, ...) with ``estimate``: the similarity that the registers tell, less expected collisions."""
     columns = pairs.columns
-    of_a = classes.select(F.col("id").alias("a"), F.col("n").alias("_n_a"), F.col("registers").alias("_a"))
-    of_b = classes.select(F.col("id").alias("b"), F.col("n").alias("_n_b"), F.col("registers").alias("_b"))
-    hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_pairs")), ["b"], "_pairs")
-    met = salted_join(pairs.join(of_a, "a"), of_b, ["b"], F.col("a"), hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(_may_link(batch))
             if not batch.num_rows:
                 continue
-            left, right = (_registers(batch.column(c)) for c in ("_a", "_b"))
-            sizes = (batch.column(c).to_numpy() for c in ("_n_a", "_n_b"))
+            left, right = (_registers(batch.column(f"_registers_{s}")) for s in "ab")
+            sizes = (batch.column(f"_n_{s}").to_numpy() for s in "ab")
             found = S.jaccard_of(left, right, *sizes)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found)], names=[*columns, "estimate"])
 
+    met = _beside(pairs, classes, ["n", "registers", "sketch"])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
     return mapped(met, run, f"{fields}, estimate double")
 
@@ -170,10 +199,35 @@ def block_links(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], lef
     return out
 
 
-def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between the classes of a shingle that many share even as one of their rarest: (key, id, label, m).
+def may_meet(sketches: list[bytes], n: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which rows may be linked with one of another label, rows ``left`` against rows ``right``, as their sketches tell.
 
-    Blocks of such a list meet in pairs, each pair in one task.
+    Sizes of linked sets are within a third of each other, so one sketch has the other's length or twice that.
+    """
+    length, stays = np.array([len(s) for s in sketches], np.int64), np.zeros(len(sketches), bool)
+    names, counts = np.unique(labels, return_counts=True)
+    largest = names[np.argmax(counts)] if len(names) else None
+    for size in np.unique(length):
+        of_size = (length == size) | (length == 2 * size)
+        for mine, met in ((left, right), (right, left)):
+            # Of two labels one is not the most frequent; rows of that one are found from the other side.
+            rows, others = np.flatnonzero(mine & of_size & (labels != largest)), np.flatnonzero(met & of_size)
+            if not len(rows) or not len(others):
+                continue
+            cells = np.stack([S.folded(sketches[j], size) for j in others])
+            for i in rows:
+                apart = np.bitwise_count(cells ^ S.folded(sketches[i], size)).sum(1, dtype=np.int64)
+                found = others[(labels[others] != labels[i]) & S.may_link(apart, n[i], n[others]) & ((length[i] == size) | (length[others] == size))]
+                stays[found] = True
+                stays[i] |= len(found) > 0
+    return stays
+
+
+def _large_lists(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, label, own, lo, hi): the classes (key, id, label, m) of a shingle that many share even as one of their rarest.
+
+    Blocks of such a list meet in pairs (lo, hi), each pair in one task. Where a class meets none of another label that its
+    sketch lets it be linked with, its row is left out, before any text moves.
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id", "key"), F.col("blocks")).cast("int")
@@ -184,6 +238,19 @@ def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         .select("key", "id", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
     )
 
+    def possible(rows: pd.DataFrame) -> pd.DataFrame:
+        lo, hi, own = rows["lo"].iloc[0], rows["hi"].iloc[0], rows["own"].to_numpy()
+        stays = may_meet(rows["sketch"].tolist(), rows["n"].to_numpy(np.int64), rows["label"].to_numpy(np.int64), own == lo, own == hi)
+        return rows.loc[stays, ["key", "id", "label", "own", "lo", "hi"]]
+
+    ship(members.sparkSession)
+    sketches = classes.select("id", "n", "sketch")
+    return dealt.join(sketches, "id").groupBy("key", "lo", "hi").applyInPandas(possible, dealt.schema)
+
+
+def _large_links(dealt: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the classes of each pair of blocks (key, lo, hi)."""
+
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         at = np.arange(len(rows))
         lo, hi = rows["lo"].iloc[0], rows["hi"].iloc[0]
@@ -193,7 +260,7 @@ def _large_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         )
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    ship(members.sparkSession)
+    ship(dealt.sparkSession)
     return dealt.join(texts, "id").groupBy("key", "lo", "hi").applyInPandas(search, "a long, b long")
 
 
@@ -294,11 +361,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     Rows without a key stand for themselves but count as the last one, and none of them is kept in a group with others. An
     empty table gives no rows; other columns are not carried.
     """
-    signed = written(signatures(docs, key, text), "signatures")
-    counted = signed.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("registers").alias("registers")
+    made = written(signatures(docs, key, text), "signatures")
+    signed = written(made.select("id", "n", "digest"), "signed")
+    counted = made.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), *(F.first(c).alias(c) for c in ("registers", "sketch"))
     )
-    classes = written(counted, "classes")
+    classes = written(counted, "classes", last=[made])
     bands = written(band_rows(classes), "bands")
     shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     hot = hot_keys(shared, ["key"], "m")
@@ -315,9 +383,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     tried = written(tried, "candidates")
     tried = written(estimated(tried, classes), "tried", last=[tried])
+    classes = written(classes.drop("registers"), "classes", last=[classes])
     wanted = met.select("id").distinct()
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    texts = written(texts.join(wanted, "id", "left_semi"), "texts")
     # The likeliest candidate of each class first; most others then need no look.
     order = F.struct("estimate", "top", (-F.col("b")).alias("i"))
     best = written(tried.groupBy("a").agg((-F.max(order)["i"]).alias("b")), "best")
@@ -339,17 +407,19 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         pairs = pairs.union(_pairs(postings[0].where(F.col("m") <= SMALL)))
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = written(pairs.distinct().join(done, ["a", "b"], "left_anti"), "pairs", last=[tried, open_, large])
+    pairs = written(linkable(pairs, classes), "linkable-pairs", last=[pairs])
+    postings = [written(_large_lists(many.where(F.col("m") > SMALL), classes), "large-lists", last=[many]) for many in postings]
+    classes = written(classes.drop("sketch"), "classes", last=[classes])
     found = links.union(confirmed(pairs, texts))
     for many in postings:
-        found = found.union(_large_links(many.where(F.col("m") > SMALL), texts))
-    links = written(found, "all-links", last=[links, pairs, texts, *postings])
+        found = found.union(_large_links(many, texts))
+    links = written(found, "all-links", last=[links, pairs, *postings])
     groups = components(links.union(_same_key(signed, classes)), "groups")
     found = classes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("digest", "copies", F.coalesce("component", "id").alias("_component"))
     found = written(found, "found", last=[links, classes])
-    rows = signed.select("id", "n", "digest")
     by_digest = hot_keys(found, ["digest"], "copies")
-    joined = salted_join(rows.where("digest IS NOT NULL"), found.drop("copies"), ["digest"], F.col("id"), by_digest).select("id", "n", "_component")
-    single = rows.where("digest IS NULL").select("id", "n", F.col("id").alias("_component"))
+    joined = salted_join(signed.where("digest IS NOT NULL"), found.drop("copies"), ["digest"], F.col("id"), by_digest).select("id", "n", "_component")
+    single = signed.where("digest IS NULL").select("id", "n", F.col("id").alias("_component"))
     return joined.union(single).select(
         F.nullif("id", F.lit(_LAST)).alias(key),
         F.col("n").alias("n_shingles"),

@@ -61,6 +61,32 @@ def registers(value: np.ndarray, offsets: np.ndarray, size: int = REGISTERS, man
     return np.where(filled, ((kept + 1) << mantissa) | bits, 0).astype(np.uint16).reshape(n, size)
 
 
+def sketches(value: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """A bit for each of some cells of each set, as many as shingles or up to twice that: is an odd number of them in it?"""
+    n = np.diff(offsets)
+    bits = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1)))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    cell = np.repeat(first[:-1], n) + (value & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(cell, minlength=first[-1]) & 1).astype(np.uint8), bitorder="little")
+    return [packed[a:b].tobytes() for a, b in zip(first[:-1] // 8, first[1:] // 8, strict=True)]
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch that the set has in ``size`` bytes, no more than it holds."""
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0)
+
+
+def unlike(a: bytes, b: bytes) -> int:
+    """How many cells tell two sets apart: no more than the shingles that one of them alone has."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum(dtype=np.int64))
+
+
+def may_link(apart: int | np.ndarray, n_a: int | np.ndarray, n_b: int | np.ndarray) -> bool | np.ndarray:
+    """Linked sets share at least 3/7 of their two sizes, so at most 1/7 of them lies in one set alone."""
+    return 7 * apart <= n_a + n_b
+
+
 def band_keys(regs: np.ndarray, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(set number, key) for each band with a filled register; equal keys are equal bands."""
     n, size = regs.shape
