@@ -124,3 +124,39 @@ def test_texts_of_chance_buckets_do_not_move(rows, monkeypatch, small):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_groups(rows(docs, "doc_id bigint, text string")).collect()}
     assert got == brute.near(docs) and got[40][1] == 3
     assert 1 <= sum(moved) <= 4
+
+
+def test_among_keeps_what_is_wanted_and_few_others(rows):
+    whole = rows([(i,) for i in range(20_000)], "id bigint")
+    wanted = rows([(i,) for i in (*range(0, 20_000, 50), 99_999)], "b bigint")
+    left = {r.id for r in common.among(whole, "id", wanted).collect()}
+    assert set(range(0, 20_000, 50)) <= left and len(left) < 2_000
+    assert common.among(whole, "id", wanted.where("b < 0")).count() == 0
+
+
+@pytest.mark.parametrize("small", [48, 4])
+def test_rows_without_a_partner_stay_where_they_are(rows, monkeypatch, small):
+    """Of 2,000 texts 60 meet others: no others' texts, registers, sketches or bands come to a join."""
+    came, own = [], common.among
+    monkeypatch.setattr(neardup, "among", lambda *a: came.append((a[0].count(), own(*a).count())) or own(*a))
+    monkeypatch.setattr(neardup, "SMALL", small)
+    passage = [f"p{j}" for j in range(30)]
+    texts = [[*passage, *(f"w{i}x{j}" for j in range(6))] for i in range(60)]
+    texts += [[f"y{i}x{j}" for j in range(12)] for i in range(1_940)]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_groups(rows(docs, "doc_id bigint, text string")).collect()}
+    assert got == brute.near(docs)
+    assert len(came) >= 5 and all(after <= 0.2 * before for before, after in came)
+
+
+def test_counters_move_as_small_rows(rows, monkeypatch):
+    """No task sends all counters as one value, so none holds those of many tasks at once."""
+    sent, own = [], neardup.mapped
+    monkeypatch.setattr(neardup, "PART", 7)
+    monkeypatch.setattr(neardup, "mapped", lambda df, run, schema: sent.append(own(df, run, schema)) or sent[-1])
+    docs = rows([(i, f"a b c d e{i % 3} f g h i j") for i in range(40)], "id bigint, t string")
+    members = rows([(i, 6, i) for i in range(40)], "id bigint, n bigint, label bigint")
+    keys = neardup._prefixes(members, docs)
+    assert keys.where("key IS NOT NULL").count() > 0
+    for made in sent:
+        assert "binary" not in dict(made.dtypes).values()

@@ -7,7 +7,8 @@ corrected estimate is confirmed first; candidates that are then in one group alr
 whose classes are still apart are searched in full: small ones as pairs. Classes of larger ones meet by the rarest shingles
 of their sets, of which two linked sets share one at least. No large bucket's pairs are written out, and no bucket is cut.
 Before texts move, sketches tell which pairs differ in too many shingles to be linked: a bound, so no link is lost. Texts
-are read from the documents at each step that needs some of them.
+are read from the documents at each step that needs some of them; of texts, registers, sketches and bands only those move
+that a table of bits tells to be wanted.
 """
 
 from __future__ import annotations
@@ -21,36 +22,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm import shingles as S
-from tidewire.llm.common import Hot, hot_keys, mapped, salted_join, ship, text_bytes, written
+from tidewire.llm.common import Hot, among, hot_keys, mapped, salted_join, ship, text_bytes, written
 from tidewire.llm.components import components
 
 #: Pairs of one hub checked in one group; classes of a bucket or shingle that is searched as pairs; classes in one block of a larger one.
 CHUNK, SMALL, BLOCK = 256, 48, 1024
-#: Counters of the sketch that orders shingles, and tasks that add up the sketches of all.
-COUNTERS, ADDERS = 1 << 20, 16
+#: Counters of the sketch that orders shingles, and texts whose shingles a task holds at once.
+COUNTERS, PART = 1 << 20, 512
 _LAST = 9223372036854775807
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART):
+            yield batch.slice(i, PART)
+
+
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n, digest, registers, sketch): size and digest of each document's shingle set, its registers and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
-                value, offsets = S.shingle_sets(*text_bytes(part.column(1)))
-                made = S.registers(value, offsets)
-                digests = [S.set_digest(value[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(np.diff(offsets)),
-                        pa.array(digests, pa.binary()),
-                        pa.array([r.tobytes() for r in made], pa.binary()),
-                        pa.array(S.sketches(value, offsets), pa.binary()),
-                    ],
-                    names=["id", "n", "digest", "registers", "sketch"],
-                )
+        for part in _parts(batches):
+            value, offsets = S.shingle_sets(*text_bytes(part.column(1)))
+            made = S.registers(value, offsets)
+            digests = [S.set_digest(value[a:b]) if b > a else None for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(np.diff(offsets)),
+                    pa.array(digests, pa.binary()),
+                    pa.array([r.tobytes() for r in made], pa.binary()),
+                    pa.array(S.sketches(value, offsets), pa.binary()),
+                ],
+                names=["id", "n", "digest", "registers", "sketch"],
+            )
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("id"), F.col(text).cast("string").alias("t"))
     return mapped(rows, run, "id long, n long, digest binary, registers binary, sketch binary")
@@ -72,8 +77,13 @@ def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), S.REGISTERS)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+
+
 def _beside(pairs: DataFrame, classes: DataFrame, columns: list[str]) -> DataFrame:
     """The pairs (a, b, ...) with columns (_c_a, _c_b) of both classes."""
+    classes = among(classes.select("id", *columns), "id", _ends(pairs))
     of_a, of_b = (classes.select(F.col("id").alias(s), *(F.col(c).alias(f"_{c}_{s}") for c in columns)) for s in "ab")
     hot = hot_keys(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_pairs")), ["b"], "_pairs")
     return salted_join(pairs.join(of_a, "a"), of_b, ["b"], F.col("a"), hot)
@@ -132,14 +142,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     centres = hubs.select(
         F.col("b").alias("id"), "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role")
     )
-    placed = members.union(centres).join(texts, "id").repartition("b", "part").sortWithinPartitions("b", "part", "role")
+    wanted = among(texts, "id", _ends(pairs))
+    placed = members.union(centres).join(wanted, "id").repartition("b", "part").sortWithinPartitions("b", "part", "role")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, centre = None, []
-        for batch in batches:
+        for rows in _parts(batches):
             found = []
-            columns = [batch.column(c).to_pylist() for c in ("id", "b", "part", "role")]
-            for own_id, hub_id, part, role, own in zip(*columns, _sets(batch.column("t")), strict=True):
+            columns = [rows.column(c).to_pylist() for c in ("id", "b", "part", "role")]
+            for own_id, hub_id, part, role, own in zip(*columns, _sets(rows.column("t")), strict=True):
                 if here != (hub_id, part):
                     here, centre = (hub_id, part), []
                 if not role:
@@ -244,7 +255,7 @@ def _large_lists(members: DataFrame, classes: DataFrame) -> DataFrame:
         return rows.loc[stays, ["key", "id", "label", "own", "lo", "hi"]]
 
     ship(members.sparkSession)
-    sketches = classes.select("id", "n", "sketch")
+    sketches = among(classes.select("id", "n", "sketch"), "id", members.select("id"))
     return dealt.join(sketches, "id").groupBy("key", "lo", "hi").applyInPandas(possible, dealt.schema)
 
 
@@ -261,7 +272,7 @@ def _large_links(dealt: DataFrame, texts: DataFrame) -> DataFrame:
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     ship(dealt.sparkSession)
-    return dealt.join(texts, "id").groupBy("key", "lo", "hi").applyInPandas(search, "a long, b long")
+    return dealt.join(among(texts, "id", dealt.select("id")), "id").groupBy("key", "lo", "hi").applyInPandas(search, "a long, b long")
 
 
 def _prefixes(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -271,36 +282,31 @@ def _prefixes(members: DataFrame, texts: DataFrame) -> DataFrame:
     share one of the first n - ceil(0.75 n) + 1. The order is by how often the classes hold a shingle, as a sketch of fixed
     size counts it: one that no other class can hold is left out, and common ones are seldom needed.
     """
-    rows = members.join(texts, "id")
+    rows = members.join(among(texts, "id", members.select("id")), "id")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for own in _sets(batch.column(0)):
+        for part in _parts(batches):
+            for own in _sets(part.column(0)):
                 np.add.at(total, _counter(own), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
 
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for part in batch.column(0).to_pylist():
-                total += np.frombuffer(part, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
-
-    parts = mapped(mapped(rows.select("t"), counted, "c binary").repartition(ADDERS), added, "c binary").coalesce(1)
-    whole = mapped(parts, added, "c binary").first()
-    often = members.sparkSession.sparkContext.broadcast(np.frombuffer(whole["c"], np.int64) if whole else np.zeros(COUNTERS, np.int64))
+    counts = mapped(rows.select("t"), counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    held_by = np.ones(COUNTERS, np.int64)
+    held_by[counts["cell"].to_numpy()] = counts["n"].to_numpy()
+    often = members.sparkSession.sparkContext.broadcast(held_by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in _parts(batches):
             out = []
-            for own in _sets(batch.column(3)):
+            for own in _sets(part.column(3)):
                 held = often.value[_counter(own)]
                 first = np.lexsort((own, held))[: len(own) - -(-3 * len(own) // 4) + 1]
                 out.append(own[first[held[first] > 1]])
             at = pa.array(np.repeat(np.arange(len(out)), [len(x) for x in out]))
             keys = np.concatenate(out) if out else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(batch.column(c).take(at) for c in range(3))], names=["key", "id", "n", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *(part.column(c).take(at) for c in range(3))], names=["key", "id", "n", "label"])
 
     return mapped(rows.select("id", "n", "label", "t"), run, "key long, id long, n long, label long")
 
@@ -370,7 +376,8 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     bands = written(band_rows(classes), "bands")
     shared = written(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared")
     hot = hot_keys(shared, ["key"], "m")
-    met = written(salted_join(bands, shared, ["key"], F.col("id"), hot), "met", last=[bands, shared])
+    kept = among(bands, "key", shared.select("key"))
+    met = written(salted_join(kept, shared, ["key"], F.col("id"), hot), "met", last=[bands, shared])
     scores = met.groupBy("id").agg(F.sum("m").alias("score"))
     scored = met.join(scores, "id")
     hubs = scored.groupBy("key").agg(F.max(F.struct(F.col("score"), (-F.col("id")).alias("i"), "n")).alias("h"))

@@ -15,7 +15,6 @@ table of bits of bounded size: a false bit costs a count that is thrown away, no
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import hash_parts, mapped, mix, text_bytes, written
+from tidewire.llm.common import Bits, bits_of, hash_parts, mapped, mix, text_bytes, written
 
 #: Most words of a phrase, least count, and results for each language.
 WORDS, LEAST, TOP = 5, 100, 2000
@@ -32,8 +31,6 @@ WORDS, LEAST, TOP = 5, 100, 2000
 SHARE, GROWTH = 0.04, 8
 #: Fewer words are not worth a round of their own.
 ROUND_WORDS = 2_000_000
-#: Bits for each phrase that may be frequent, and most bits of a table (16 MB).
-SPARSE, MOST_BITS = 16, 1 << 27
 #: Bytes of text counted together; phrases that a task holds before it sends them.
 PART, PENDING = 1 << 20, 250_000
 UNKNOWN = "und"
@@ -41,17 +38,6 @@ _COUNTS = "lang string, phrase string, h long, n long"
 _SPACE, _BREAK = 1, 2
 
 
-@dataclass(frozen=True)
-class Bits:
-    """A set of hashes by their low bits: has no false absence."""
-
-    words: np.ndarray
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        at = h & np.uint64(64 * len(self.words) - 1)
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _kinds() -> np.ndarray:
     table = np.zeros(256, np.uint8)
     table[list(b" \t")] = _SPACE
@@ -236,19 +222,6 @@ def _candidates(words: Words, size: int, frequent: Bits, anchors: Bits, shorter:
     return h, np.flatnonzero(sound & (right | left))
 
 
-def _bits(rows: DataFrame, h: str = "h") -> Bits:
-    """The set of hashes ``h``: the driver gets one row for each 64 bits of the table at most, whatever the number of rows."""
-    n = rows.count()
-    bits = 1 << 16
-    while bits < min(MOST_BITS, SPARSE * n):
-        bits *= 2
-    place = F.col(h).bitwiseAND(F.lit(bits - 1))
-    slots = rows.groupBy(F.shiftright(place, 6).alias("slot")).agg(F.expr(f"bit_or(shiftleft(1L, cast(`{h}` & 63 AS int)))").alias("bits")).toArrow()
-    words = np.zeros(bits // 64, np.uint64)
-    words[slots["slot"].to_numpy()] = slots["bits"].to_numpy().view(np.uint64)
-    return Bits(words)
-
-
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
     """floor(1000 * a * n / (l * r)) in exact decimals of up to 38 digits; beyond those the query fails, it never rounds."""
     wide = lambda c: c.cast("decimal(19,0)")
@@ -324,7 +297,7 @@ def mine(
     kept = written(counts.where((F.col("n") >= least) | F.col("phrase").isNull()), "words")
     total = {r["lang"]: r["n"] for r in kept.where("phrase IS NULL").select("lang", "n").collect()}
     known = kept.where("phrase IS NOT NULL")
-    frequent = _bits(known)
+    frequent = bits_of(known)
     octaves = _octaves(known)
     limits = _limits(octaves, total, share)
     parts: list[DataFrame] = []
@@ -362,13 +335,13 @@ def mine(
 def _grown(texts: DataFrame, frequent: Bits, anchors: DataFrame, least: int, words: int) -> DataFrame:
     """(lang, phrase, n): the frequent phrases of 2 to ``words`` words that start or end with an anchor."""
     spark = texts.sparkSession
-    starts, shorter, found = _bits(anchors), frequent, []
+    starts, shorter, found = bits_of(anchors), frequent, []
     for size in range(2, words + 1):
         tables = spark.sparkContext.broadcast((frequent, starts, shorter))
         grams = written(_counted(texts, size, tables).where(F.col("n") >= least), f"phrases-of-{size}")
         tables.unpersist()
         found.append(grams)
-        shorter = _bits(grams)
+        shorter = bits_of(grams)
         if not shorter.words.any():
             break
     every = found[0]
