@@ -129,7 +129,9 @@ def test_texts_of_chance_buckets_do_not_move(rows, monkeypatch, small):
 def test_among_keeps_what_is_wanted_and_few_others(rows):
     whole = rows([(i,) for i in range(20_000)], "id bigint")
     wanted = rows([(i,) for i in (*range(0, 20_000, 50), 99_999)], "b bigint")
-    left = {r.id for r in common.among(whole, "id", wanted).collect()}
+    kept = common.among(whole, "id", wanted)
+    assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()  # workers of its own would add to each task's
+    left = {r.id for r in kept.collect()}
     assert set(range(0, 20_000, 50)) <= left and len(left) < 2_000
     assert common.among(whole, "id", wanted.where("b < 0")).count() == 0
 
